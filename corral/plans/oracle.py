@@ -36,6 +36,7 @@ _SQL = {
     "advance_file_watermark": "SELECT max(last_modified) AS last_load_file_detail, count(*) AS source_file_count FROM ({L}) x WHERE starts_with(path,'click/')",
     "csv_read_explicit_schema": "SELECT {C} FROM orders",
     "stage_roundtrip": "SELECT {C} FROM orders",
+    "stream_new_files": "SELECT {C} FROM orders",
     "select_columns": "SELECT o_orderkey,o_totalprice,o_orderdate FROM orders",
     "source_metrics": "SELECT count(*) AS source_row_count, CAST(6 AS BIGINT) AS source_column_count FROM orders",
     "empty_policy": "SELECT source_row_count, source_row_count=0 AS is_empty FROM (SELECT count(*) AS source_row_count FROM orders WHERE o_totalprice < 0) x UNION ALL SELECT count(*), count(*)=0 FROM orders",

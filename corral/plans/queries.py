@@ -157,3 +157,342 @@ def dq_expression(spark, sf_dir):
         R.expression("l_discount >= l_tax", column="l_discount,l_tax"),
         ["l_orderkey", "l_linenumber", "l_discount", "l_tax"],
     )
+
+
+# --------------------------------------------------------------------------
+# Sources and file discovery
+# --------------------------------------------------------------------------
+
+from corral.functions import scalar as S  # noqa: E402
+from corral.operators import counts as K  # noqa: E402
+from corral.operators import increments as I  # noqa: E402
+from corral.operators import profile as P  # noqa: E402
+from corral.operators import runlog as M  # noqa: E402
+from corral.operators import target as W  # noqa: E402
+from corral.operators.transform import apply_transformations  # noqa: E402
+from corral.plans import reports as RP  # noqa: E402
+from corral.session import fresh_database, scratch_location  # noqa: E402
+from corral.sources import delimited as CSV  # noqa: E402
+from corral.sources import discovery as D  # noqa: E402
+from corral.sources.stage import RAW, Stage  # noqa: E402
+from corral.streaming.file_stream import stream_new_files as _stream_new_files  # noqa: E402
+
+ORDERS_DDL = (
+    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp, o_orderpriority string"
+)
+CUTOFF = "1996-01-01 00:00:00"
+ETL_TIME = "2024-01-01T10:00:00.000+00:00"
+
+
+def orders(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+
+
+def events_listing(spark, sf_dir) -> DataFrame:
+    """events seen as a file listing (path, last_modified)."""
+    ev = table(spark, sf_dir, "events")
+    path = F.concat(
+        F.col("event_type"), F.lit("/u"), F.col("user_id").cast("string"),
+        F.lit("/part_"), F.col("event_id").cast("string"), F.lit(".csv"),
+    )
+    return ev.select(path.alias("path"), F.col("ts").alias("last_modified"))
+
+
+def events_log(spark, sf_dir) -> DataFrame:
+    """events seen as a run log: user = workflow, event = run, type = step;
+    a record with value above 200 is a successful step."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        F.col("user_id").alias("workflow_id"),
+        F.col("event_id").alias("run_id"),
+        F.col("event_type").alias("step_name"),
+        F.when(F.col("value") > 200, F.lit(M.SUCCESS)).otherwise(F.lit(M.FAILED)).alias("step_completion_status"),
+        F.col("ts").alias("step_started"),
+        F.col("ts").alias("step_completion"),
+        F.col("props").alias("run_details"),
+    )
+
+
+@query("list_match_glob")
+def list_match_glob(spark, sf_dir):
+    return D.match_glob(events_listing(spark, sf_dir), "click/*.csv")
+
+
+@query("latest_file")
+def latest_file(spark, sf_dir):
+    return D.latest_file(D.match_glob(events_listing(spark, sf_dir), "click/"))
+
+
+@query("new_files_since")
+def new_files_since(spark, sf_dir):
+    listing = events_listing(spark, sf_dir)
+    # stored watermark: one day before the newest file (one aggregate row)
+    wm = listing.agg(
+        F.date_format(F.max("last_modified") - F.expr("INTERVAL 1 DAY"), D.WATERMARK_FORMAT)
+    ).first()[0]
+    return D.new_files_since(D.match_glob(listing, "click/"), wm)
+
+
+@query("advance_file_watermark")
+def advance_file_watermark(spark, sf_dir):
+    return D.file_watermark(D.match_glob(events_listing(spark, sf_dir), "click/"))
+
+
+@query("source_table_name")
+def source_table_name(spark, sf_dir):
+    return events_listing(spark, sf_dir).select("path", S.table_name_from_path("path").alias("table_name"))
+
+
+def _orders_as_files(spark, sf_dir, encoding="UTF-8") -> str:
+    """Write orders as pipe-delimited text with zoned timestamps; return the folder."""
+    loc = scratch_location(spark, "orders_csv")
+    text = orders(spark, sf_dir).withColumn(
+        "o_orderdate",
+        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+0000")),
+    )
+    CSV.write_delimited(text, loc, header=True, encoding=encoding)
+    return loc
+
+
+@query("csv_read_explicit_schema")
+def csv_read_explicit_schema(spark, sf_dir):
+    loc = _orders_as_files(spark, sf_dir, encoding="ISO-8859-1")
+    df = CSV.read_delimited(spark, loc, ORDERS_DDL, header=True, encoding="ISO-8859-1")
+    return df.withColumn("o_orderdate", S.utc_wall_clock("o_orderdate", spark))
+
+
+@query("stream_new_files")
+def stream_new_files(spark, sf_dir):
+    src = _orders_as_files(spark, sf_dir)
+    sink = scratch_location(spark, "orders_stream_sink")
+    ckpt = scratch_location(spark, "orders_stream_ckpt")
+    _stream_new_files(spark, src, ORDERS_DDL, sink, ckpt)
+    # a second run finds nothing new: the checkpoint remembers every file
+    again = _stream_new_files(spark, src, ORDERS_DDL, sink, ckpt)
+    if again:
+        raise RuntimeError(f"file stream read {again} rows twice")
+    out = spark.read.parquet(sink)
+    return out.withColumn("o_orderdate", S.utc_wall_clock("o_orderdate", spark))
+
+
+@query("stage_roundtrip")
+def stage_roundtrip(spark, sf_dir):
+    stage = Stage(spark, "orders_wf", scratch_location(spark, "run").rsplit("-", 1)[-1])
+    stage.save(RAW, orders(spark, sf_dir))
+    return stage.load(RAW)
+
+
+@query("drop_stage")
+def drop_stage(spark, sf_dir):
+    stage = Stage(spark, "orders_wf", scratch_location(spark, "run").rsplit("-", 1)[-1])
+    stage.save(RAW, orders(spark, sf_dir))
+    staged = stage.load(RAW).agg(F.count(F.lit(1)).alias("rows")).first()["rows"]
+    kinds = stage.kinds()
+    stage.drop()
+    gone = not spark.catalog.databaseExists(stage.database)
+    return spark.createDataFrame(
+        [(k, int(staged), gone) for k in kinds], "kind string, staged_rows bigint, dropped boolean"
+    )
+
+
+@query("select_columns")
+def select_columns(spark, sf_dir):
+    return CSV.select_columns(orders(spark, sf_dir), ["o_orderkey", "o_totalprice", "o_orderdate"])
+
+
+@query("source_metrics")
+def source_metrics(spark, sf_dir):
+    return CSV.source_metrics(orders(spark, sf_dir))
+
+
+@query("empty_policy")
+def empty_policy(spark, sf_dir):
+    o = orders(spark, sf_dir)
+    return CSV.empty_check(o.where(F.col("o_totalprice") < 0)).unionByName(CSV.empty_check(o))
+
+
+@query("transform_slot")
+def transform_slot(spark, sf_dir):
+    return apply_transformations(
+        orders(spark, sf_dir),
+        [
+            "SELECT o_orderkey, upper(o_orderpriority) AS o_orderpriority, "
+            "o_totalprice*2 AS doubled FROM {src} WHERE o_orderstatus='F'"
+        ],
+    )
+
+
+# --------------------------------------------------------------------------
+# Count checks and profile
+# --------------------------------------------------------------------------
+
+
+def _loaded(spark, sf_dir) -> DataFrame:
+    return orders(spark, sf_dir).where(F.col("o_totalprice") >= 100000)
+
+
+@query("count_check_source_target")
+def count_check_source_target(spark, sf_dir):
+    return K.table_count_check(orders(spark, sf_dir), _loaded(spark, sf_dir))
+
+
+@query("count_check_threshold")
+def count_check_threshold(spark, sf_dir):
+    return K.threshold_count_check(orders(spark, sf_dir), _loaded(spark, sf_dir), 10)
+
+
+@query("count_check_control_file")
+def count_check_control_file(spark, sf_dir):
+    control = orders(spark, sf_dir).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("expected_count"))
+    return K.control_file_check(control, _loaded(spark, sf_dir), "o_orderstatus")
+
+
+@query("report_count_alerts")
+def report_count_alerts(spark, sf_dir):
+    settings = RP.check_settings_frame(
+        spark,
+        [
+            {"subStrategy": [K.TABLE_COUNT], "email": True},
+            {"subStrategy": [K.THRESHOLD_COUNT], "email": False, "threshold_value": 10},
+        ],
+    )
+    results = K.count_checks(orders(spark, sf_dir), _loaded(spark, sf_dir), 10)
+    return RP.count_alerts(settings, results)
+
+
+@query("profile_columns")
+def profile_columns(spark, sf_dir):
+    return P.profile_columns(orders(spark, sf_dir), ["o_orderkey", "o_orderpriority"])
+
+
+@query("profile_numeric")
+def profile_numeric(spark, sf_dir):
+    return P.profile_numeric(orders(spark, sf_dir), ["o_totalprice"])
+
+
+# --------------------------------------------------------------------------
+# Target load and increments
+# --------------------------------------------------------------------------
+
+
+def _targets(spark) -> W.TargetTables:
+    cur = fresh_database(spark, "tgt_current")
+    hist = fresh_database(spark, "tgt_history")
+    return W.TargetTables(spark, W.TargetSettings(cur, hist, "orders", "orders_history"))
+
+
+def _two_loads(spark, sf_dir) -> W.TargetTables:
+    """Load 1 (epoch 100): orders before the cutoff; load 2 (epoch 200):
+    orders from the cutoff on."""
+    t = _targets(spark)
+    o = orders(spark, sf_dir)
+    before = F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp_ntz")
+    t.load(o.where(before), epoch_id=100, etl_time=ETL_TIME)
+    t.load(o.where(~before), epoch_id=200, etl_time=ETL_TIME)
+    return t
+
+
+@query("first_load_current")
+def first_load_current(spark, sf_dir):
+    t = _targets(spark)
+    o = orders(spark, sf_dir)
+    t.load(o.where(F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp_ntz")), epoch_id=100, etl_time=ETL_TIME)
+    return t.current_frame().select(*ORDER_COLUMNS, W.EPOCH)
+
+
+@query("replace_current")
+def replace_current(spark, sf_dir):
+    return _two_loads(spark, sf_dir).current_frame().select(*ORDER_COLUMNS, W.EPOCH)
+
+
+@query("archive_history")
+def archive_history(spark, sf_dir):
+    return _two_loads(spark, sf_dir).history_frame().select(*ORDER_COLUMNS, W.EPOCH)
+
+
+@query("stamp_audit")
+def stamp_audit(spark, sf_dir):
+    o = orders(spark, sf_dir).select("o_orderkey")
+    return W.stamp(o, 200, ETL_TIME, create_col="etl_create_date", update_col="etl_update_date")
+
+
+@query("increment_high_water_mark")
+def increment_high_water_mark(spark, sf_dir):
+    return I.high_water_marks(orders(spark, sf_dir), [I.IncrementSetting("o_orderkey")])
+
+
+@query("incremental_extract")
+def incremental_extract(spark, sf_dir):
+    o = orders(spark, sf_dir)
+    # the stored mark of an earlier load: 90% of today's high-water mark
+    mark = o.agg(F.round(F.max("o_orderkey") * 0.9).cast("bigint")).first()[0]
+    settings = [I.IncrementSetting("o_orderkey", True, str(mark))]
+    return I.incremental_filter(o.select("o_orderkey", "o_orderdate"), settings)
+
+
+# --------------------------------------------------------------------------
+# Run log and reports
+# --------------------------------------------------------------------------
+
+
+@query("next_run_id")
+def next_run_id(spark, sf_dir):
+    return M.next_run_id(events_log(spark, sf_dir))
+
+
+@query("current_run_id")
+def current_run_id(spark, sf_dir):
+    return M.current_run_id(events_log(spark, sf_dir))
+
+
+@query("step_upsert_latest")
+def step_upsert_latest(spark, sf_dir):
+    return M.latest_records(
+        events_log(spark, sf_dir), keys=("workflow_id", "step_name"), columns=["run_details", "step_completion"]
+    )
+
+
+@query("run_metrics_merge")
+def run_metrics_merge(spark, sf_dir):
+    return M.merge_run_metrics(
+        events_log(spark, sf_dir),
+        [M.Metric("view", "k", "source_row_count", "int"), M.Metric("purchase", "k", "target_row_count", "int")],
+        keys=("workflow_id",),
+    )
+
+
+@query("workflow_state")
+def workflow_state(spark, sf_dir):
+    return M.workflow_state(events_log(spark, sf_dir)).select("workflow_id", "last_step", "last_run_date")
+
+
+@query("workflow_status")
+def workflow_status(spark, sf_dir):
+    return M.job_status(events_log(spark, sf_dir), keys=("workflow_id",), load_step="purchase")
+
+
+@query("schedule_step_join")
+def schedule_step_join(spark, sf_dir):
+    schedule = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("workflow_id"), F.col("c_mktsegment").alias("schedule")
+    )
+    steps = events_log(spark, sf_dir).where(F.col("step_name") == "error").select(
+        "workflow_id", "step_name", F.col("step_completion").alias("ts")
+    )
+    return RP.schedule_steps(schedule, steps)
+
+
+@query("report_job_status")
+def report_job_status(spark, sf_dir):
+    jobs = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("workflow_id"), F.col("c_name").alias("job_name")
+    )
+    runs = RP.run_counts(events_log(spark, sf_dir), ("workflow_id",), load_step="purchase")
+    return RP.job_status_report(jobs, runs)
+
+
+@query("report_times")
+def report_times(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "ts")
+    return RP.report_clock(ev, "ts", "Asia/Kolkata").select("event_id", "local_time")
