@@ -12,7 +12,7 @@ read a single time however many outputs are used.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -130,22 +130,34 @@ class Validation:
         )
 
     # -- write once -----------------------------------------------------------
-    def materialize(self, location: str) -> "MaterializedValidation":
+    def materialize(self, location: str | None = None, stage=None, kind: str = "dq") -> "MaterializedValidation":
         """Write the tagged rows once, partitioned by verdict, and collect the
-        per-rule counts with ``observe`` in the same job."""
+        per-rule counts, the good-row count and the quarantine and fail-job
+        counts with ``observe`` in the same job.  Writes to a parquet
+        ``location`` or to ``stage`` (a ``corral.sources.stage.Stage``)."""
         obs = Observation("dq_counts")
+        action = F.coalesce(F.col(ACTION), F.lit(""))
         exprs = self._count_exprs() + [
             F.count(F.lit(1)).alias("rows"),
             F.count_if(~F.col(_BAD)).alias("good_rows"),
+            F.count_if(F.col(_BAD) & action.rlike(QUARANTINE)).alias("quarantined_rows"),
+            F.count_if(F.col(_BAD) & action.rlike(FAILJOB)).alias("failjob_rows"),
         ]
-        out = self.tagged.select(
+        out = self.tagged.observe(obs, *exprs).select(
             *self.columns,
             ACTION,
             F.when(F.col(_BAD), F.lit("bad")).otherwise(F.lit("good")).alias(VERDICT),
-            *[F.col(_flag(i)) for i in range(len(self.rules))],
-        ).observe(obs, *exprs)
-        out.write.mode("overwrite").partitionBy(VERDICT).parquet(location)
-        return MaterializedValidation(self, location, obs.get)
+        )
+        if stage is not None:
+            stage.save(kind, out, partition_by=[VERDICT])
+            reader = lambda: stage.load(kind)
+        elif location is not None:
+            out.write.mode("overwrite").partitionBy(VERDICT).parquet(location)
+            spark = self.source.sparkSession
+            reader = lambda: spark.read.parquet(location)
+        else:
+            raise ValueError("materialize needs a location or a stage")
+        return MaterializedValidation(self, reader, obs.get)
 
 
 def _summary_struct(rule: Rule, n: Column) -> Column:
@@ -164,7 +176,7 @@ class MaterializedValidation:
     """A validation written once; outputs are partition-pruned reads."""
 
     validation: Validation
-    location: str
+    reader: Callable[[], DataFrame]
     metrics: dict
 
     @property
@@ -172,7 +184,7 @@ class MaterializedValidation:
         return self.validation.source.sparkSession
 
     def _read(self) -> DataFrame:
-        return self._spark.read.parquet(self.location)
+        return self.reader()
 
     @property
     def correct_data(self) -> DataFrame:
@@ -190,6 +202,14 @@ class MaterializedValidation:
     def row_count(self) -> int:
         return int(self.metrics["rows"])
 
+    @property
+    def quarantined_count(self) -> int:
+        return int(self.metrics["quarantined_rows"])
+
+    @property
+    def failjob_count(self) -> int:
+        return int(self.metrics["failjob_rows"])
+
     @property
     def summary(self) -> DataFrame:
         """Built from the observed counts: one small row per rule."""
