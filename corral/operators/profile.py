@@ -18,36 +18,76 @@ def profile_columns(
 ) -> DataFrame:
     """column_name, row_count, null_count, distinct_count, min_value, max_value.
 
-    All metrics of all columns are one aggregate job.  Min and max are taken
-    in the column's own type and shown as text.  ``exact_distinct=False``
-    uses HyperLogLog++ (``approx_count_distinct``): no per-column expansion of
-    the rows, one small sketch per partition — the choice for very wide or
-    very large tables.
+    Two aggregates over the same scan, each one job-stage:
+
+    - rows, non-null counts, min and max of every column in one global
+      aggregate (min/max in the column's own type, shown as text);
+    - distinct counts of every column in a second aggregate with only
+      distinct counts in it, so Spark plans it as Expand + hash aggregation
+      with partial aggregation before the shuffle (a min/max on text in the
+      same aggregate would force a sort of every expanded row).
+
+    Both are turned into one row per column and merged by column name (a
+    k-row aggregate).  ``exact_distinct=False`` uses HyperLogLog++ instead:
+    no expansion at all, one small sketch per partition — the choice for
+    very wide or very large tables.
     """
     cols = list(columns or df.columns)
-    aggs = [F.count(F.lit(1)).alias("_rows")]
+    simple = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(cols):
         col = F.col(c)
-        distinct = F.count_distinct(col) if exact_distinct else F.approx_count_distinct(col, relative_sd)
-        aggs += [
+        simple += [
             F.count(col).alias(f"_nn{i}"),
-            distinct.alias(f"_d{i}"),
             F.min(col).cast("string").alias(f"_min{i}"),
             F.max(col).cast("string").alias(f"_max{i}"),
         ]
-    wide = df.agg(*aggs)
-    rows = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col("_rows").alias("row_count"),
-            (F.col("_rows") - F.col(f"_nn{i}")).alias("null_count"),
-            F.col(f"_d{i}").cast("bigint").alias("distinct_count"),
-            F.col(f"_min{i}").alias("min_value"),
-            F.col(f"_max{i}").alias("max_value"),
+    if exact_distinct:
+        distinct = [F.count_distinct(F.col(c)).alias(f"_d{i}") for i, c in enumerate(cols)]
+    else:
+        distinct = [F.approx_count_distinct(F.col(c), relative_sd).alias(f"_d{i}") for i, c in enumerate(cols)]
+    null_long, null_str = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    a = df.agg(*simple).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("column_name"),
+                        F.col("_rows").alias("row_count"),
+                        (F.col("_rows") - F.col(f"_nn{i}")).alias("null_count"),
+                        null_long.alias("distinct_count"),
+                        F.col(f"_min{i}").alias("min_value"),
+                        F.col(f"_max{i}").alias("max_value"),
+                    )
+                    for i, c in enumerate(cols)
+                ]
+            )
         )
-        for i, c in enumerate(cols)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+    )
+    b = df.agg(*distinct).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("column_name"),
+                        null_long.alias("row_count"),
+                        null_long.alias("null_count"),
+                        F.col(f"_d{i}").cast("bigint").alias("distinct_count"),
+                        null_str.alias("min_value"),
+                        null_str.alias("max_value"),
+                    )
+                    for i, c in enumerate(cols)
+                ]
+            )
+        )
+    )
+    merged = a.unionByName(b).groupBy("column_name").agg(
+        F.max("row_count").alias("row_count"),
+        F.max("null_count").alias("null_count"),
+        F.max("distinct_count").alias("distinct_count"),
+        F.max("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"),
+    )
+    return merged
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 4) -> DataFrame:
