@@ -37,6 +37,8 @@ from corral.sources import delimited as CSV
 from corral.sources import discovery as D
 from corral.sources.stage import DATA_PROFILE, DQ, DQ_VALIDATION, INTERMEDIATE, RAW, Stage
 
+SOURCE_FILE = "__source_file"
+
 
 @dataclass
 class SourceSettings:
@@ -135,8 +137,11 @@ class IngestionRun:
             delimiter=src.delimiter,
             encoding=src.file_encoding,
             timestamp_format=src.timestamp_format,
-            columns=src.columns,
         )
+        columns = list(src.columns or df.columns)
+        # the source file of each row, for control-file counts; dropped
+        # before anything downstream sees the rows
+        df = df.select(*columns, F.col("_metadata.file_name").alias(SOURCE_FILE))
         if self.s.source_load_type == "increment" and self.s.increments:
             df = incremental_filter(df, self.s.increments)
         obs = Observation("read")
@@ -146,19 +151,22 @@ class IngestionRun:
             source_file_path=chosen.paths,
             source_file_count=chosen.file_count,
             source_row_count=rows,
-            source_column_count=len(df.columns),
+            source_column_count=len(columns),
             source_file_arrival=chosen.watermark,
             last_load_file_detail=chosen.watermark,
         )
         CSV.enforce_empty_policy(rows, src.allow_empty_file)
 
+    def _raw(self, stage: Stage) -> DataFrame:
+        return stage.load(RAW).drop(SOURCE_FILE)
+
     def transformation_step(self, stage: Stage) -> None:
-        out = apply_transformations(stage.load(RAW), self.s.transformations)
+        out = apply_transformations(self._raw(stage), self.s.transformations)
         stage.save(INTERMEDIATE, out)
         self.metrics["transformation_column_count"] = len(out.columns)
 
     def _input(self, stage: Stage) -> DataFrame:
-        return stage.load(INTERMEDIATE) if stage.exists(INTERMEDIATE) else stage.load(RAW)
+        return stage.load(INTERMEDIATE) if stage.exists(INTERMEDIATE) else self._raw(stage)
 
     def dq_check(self, stage: Stage) -> Q.MaterializedValidation:
         v = Q.validate(self._input(stage), self.s.rules)
@@ -186,8 +194,23 @@ class IngestionRun:
             out[K.TABLE_COUNT] = s == t
         if K.THRESHOLD_COUNT in names:
             out[K.THRESHOLD_COUNT] = abs(s - t) * 100 <= threshold * s
+        control = next((c["control_file"] for c in self.s.table_checks if c.get("control_file")), None)
+        if K.CONTROL_FILE_COUNT in names and control:
+            out[K.CONTROL_FILE_COUNT] = self._control_file_check(stage, control)
         return out
 
+    def _control_file_check(self, stage: Stage, control_path: str) -> bool:
+        """Expected rows per source file (a delimited control file of
+        file_name|expected_count) against the rows read from each file; the
+        staged rows are counted per file in one aggregate."""
+        control = CSV.read_delimited(
+            self.spark, control_path, "file_name string, expected_count bigint", delimiter=self.s.source.delimiter
+        )
+        loaded = stage.load(RAW).select(F.col(SOURCE_FILE).alias("file_name"))
+        result = K.control_file_check(control, loaded, "file_name")
+        failed = result.where(~F.col(K.CONTROL_FILE_COUNT)).agg(F.count(F.lit(1))).first()[0]
+        return failed == 0
+
     def data_profiling(self, stage: Stage) -> None:
         stage.save(DATA_PROFILE, profile_columns(self._input(stage)))
 
@@ -231,7 +254,7 @@ class IngestionRun:
                 "source_count bigint, target_count bigint, quarantined_count bigint",
             )
             reports["dq_summary"] = stage.load(DQ_VALIDATION).limit(10)
-        if stage.exists(DATA_PROFILE):
+        if stage.exists(DATA_PROFILE) and not stage.load(DATA_PROFILE).isEmpty():
             reports["profile"] = profile_report(stage.load(DATA_PROFILE))
         if self.s.table_checks and "table_checks" in self.metrics:
             results = self.spark.createDataFrame(

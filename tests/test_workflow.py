@@ -152,3 +152,22 @@ def test_empty_file_policy(spark, tmp_dir):
     r = IngestionRun(spark, s2).run(epoch_id=100)
     assert r.metrics["source_row_count"] == 0 and r.metrics["target_row_count"] == 0
     assert r.reports["job_status"].first()["empty"] is True
+
+
+def test_control_file_check(spark, tmp_dir):
+    land = f"{tmp_dir}/landing"
+    drop(land, "orders_1.csv", ["1|10|2024-01-01T10:00:00+0000|DE", "2|11|2024-01-01T10:00:00+0000|FR"])
+    drop(land, "orders_2.csv", ["3|12|2024-01-01T10:00:00+0000|DE"])
+    os.makedirs(f"{tmp_dir}/control")
+    for name, body in [("ok.csv", "file_name|expected_count\norders_1.csv|2\norders_2.csv|1\n"),
+                       ("bad.csv", "file_name|expected_count\norders_1.csv|2\norders_2.csv|5\norders_9.csv|1\n")]:
+        with open(f"{tmp_dir}/control/{name}", "w") as fh:
+            fh.write(body)
+    for control, expected in [("ok.csv", True), ("bad.csv", False)]:
+        checks = [{"subStrategy": [K.CONTROL_FILE_COUNT], "email": True, "control_file": f"{tmp_dir}/control/{control}"}]
+        s = settings(spark, tmp_dir, table_checks=checks)
+        r = IngestionRun(spark, s).run(epoch_id=100)
+        assert r.metrics["table_checks"] == {K.CONTROL_FILE_COUNT: expected}
+        alerts = [x["check_name"] for x in r.reports["count_alerts"].collect()]
+        assert alerts == ([] if expected else [K.CONTROL_FILE_COUNT])
+        assert "__source_file" not in spark.table(s.target.current).columns
