@@ -141,3 +141,23 @@ def test_rules_from_config(spark, rows):
     v = Q.validate(rows, R.rules_from_config(specs, {"p": parent}))
     assert v.summary.count() == len(specs)
     assert v.correct_data.count() + v.erroneous_data.count() == rows.count()
+
+
+def test_limits_are_inclusive(spark):
+    df = spark.createDataFrame(
+        [(0.0, "abc"), (-0.01, "abcd"), (500.0, "ab"), (500.01, ""), (None, None)], "x double, s string"
+    )
+    rng = Q.validate(df, [R.in_range("x", 0, 500)])
+    assert sorted(r["x"] for r in rng.erroneous_data.collect()) == [-0.01, 500.01]
+    ln = Q.validate(df, [R.length_between("s", 1, 3)])
+    assert sorted(r["s"] for r in ln.erroneous_data.collect()) == ["", "abcd"]
+    blank = Q.validate(df, [R.not_blank("s")])
+    assert sorted(repr(r["s"]) for r in blank.erroneous_data.collect()) == ["''", "None"]
+
+
+def test_not_a_number_text(spark):
+    df = spark.createDataFrame([("12",), ("1.5",), ("x1",), ("",), (None,)], "v string")
+    as_int = Q.validate(df, [R.castable("v", "INT")])
+    assert sorted(r["v"] for r in as_int.erroneous_data.collect()) == ["", "1.5", "x1"]
+    as_dec = Q.validate(df, [R.castable("v", "DECIMAL(10,2)")])
+    assert sorted(r["v"] for r in as_dec.erroneous_data.collect()) == ["", "x1"]
