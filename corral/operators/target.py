@@ -109,18 +109,31 @@ class TargetTables:
     def history_exists(self) -> bool:
         return _table_exists(self.spark, self.s.history_database, self.s.history_table)
 
+    def _epochs(self, table: str, epoch_id: int | None = None) -> list[int]:
+        """Epochs of ``table`` from the catalog's partition list: metadata
+        only, no file is read.  (Tables also written by outside writers need
+        ``refresh()`` first.)"""
+        spec = f" PARTITION (`{EPOCH}`={int(epoch_id)})" if epoch_id is not None else ""
+        rows = self.spark.sql(f"SHOW PARTITIONS {table}{spec}").collect()
+        out = []
+        for r in rows:
+            for part in r[0].split("/"):
+                k, _, v = part.partition("=")
+                if k == EPOCH and v not in ("", "__HIVE_DEFAULT_PARTITION__"):
+                    out.append(int(v))
+        return out
+
     def current_epoch(self) -> int | None:
-        """Epoch held by ``current`` (a partition-column aggregate)."""
+        """Epoch held by ``current`` (its newest partition)."""
         if not self.current_exists():
             return None
-        v = self.spark.table(self.s.current).agg(F.max(EPOCH)).first()[0]
-        return None if v is None else int(v)
+        epochs = self._epochs(self.s.current)
+        return max(epochs) if epochs else None
 
     def history_has_epoch(self, epoch_id: int) -> bool:
         if not self.history_exists():
             return False
-        # Partition pruning: only the files of that epoch are listed.
-        return bool(self.spark.table(self.s.history).where(F.col(EPOCH) == int(epoch_id)).limit(1).count())
+        return bool(self._epochs(self.s.history, epoch_id))
 
     def archive(self, previous_epoch: int) -> bool:
         """Append ``current`` to ``history`` under ``previous_epoch``; skip when
