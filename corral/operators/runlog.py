@@ -28,6 +28,7 @@ DQ_STEP = "DQ_Step"
 PROFILE_STEP = "Data_Profiling"
 LOAD_STEP = "Write_to_target"
 REPORT_STEP = "Email_report"
+RUN_START = "Run_started"
 SUCCESS = "success"
 FAILED = "Failed"
 RUNNING = "Running"
@@ -49,7 +50,7 @@ RUN_LOG_SCHEMA = StructType(
 ORDER = ("step_completion", "run_id")
 
 
-def _order_key(order: Sequence[str]) -> Column:
+def order_key(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
@@ -114,7 +115,7 @@ def latest_records(
 ) -> DataFrame:
     """The newest record per ``keys`` (an upsert resolved at read time)."""
     cols = [c for c in (columns or log.columns) if c not in keys]
-    newest = F.max_by(F.struct(*[F.col(c) for c in cols]), _order_key(order)).alias("_r")
+    newest = F.max_by(F.struct(*[F.col(c) for c in cols]), order_key(order)).alias("_r")
     return log.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 
@@ -141,7 +142,7 @@ def merge_run_metrics(
     for i, m in enumerate(metrics):
         is_step = F.col("step_name") == F.lit(m.step_name)
         aggs.append(
-            F.max_by(F.col("run_details"), F.when(is_step, _order_key(order))).alias(f"_d{i}")
+            F.max_by(F.col("run_details"), F.when(is_step, order_key(order))).alias(f"_d{i}")
         )
     wide = log.groupBy(*keys).agg(*aggs)
     return wide.select(*keys, *[json_field(F.col(f"_d{i}"), m.key, m.data_type).alias(m.alias) for i, m in enumerate(metrics)])
@@ -149,17 +150,23 @@ def merge_run_metrics(
 
 def workflow_state(log: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     """Newest record per workflow: last_step, last_run_id, last_status,
-    last_run_date."""
+    last_run_date; ``active`` while the newest record is a run start; and
+    ``last_epoch_id``, the epoch of the newest successful load.  One
+    aggregation (partial, before the shuffle)."""
     r = F.max_by(
         F.struct("step_name", "run_id", "step_completion_status", "step_completion"),
-        _order_key(order),
+        order_key(order),
     ).alias("_r")
-    return log.groupBy("workflow_id").agg(r).select(
+    loaded = (F.col("step_name") == LOAD_STEP) & (F.col("step_completion_status") == SUCCESS)
+    epoch = F.max_by(F.col("run_details"), F.when(loaded, order_key(order))).alias("_load")
+    return log.groupBy("workflow_id").agg(r, epoch).select(
         "workflow_id",
         F.col("_r.step_name").alias("last_step"),
         F.col("_r.run_id").alias("last_run_id"),
         F.col("_r.step_completion_status").alias("last_status"),
         F.col("_r.step_completion").alias("last_run_date"),
+        (F.col("_r.step_completion_status") == RUNNING).alias("active"),
+        json_field(F.col("_load"), "epoch_id", "bigint").alias("last_epoch_id"),
     )
 
 

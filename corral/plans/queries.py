@@ -14,8 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corral.functions import rules as R
+from corral.functions import scalar as S
+from corral.operators import counts as K
+from corral.operators import increments as I
+from corral.operators import profile as P
 from corral.operators import quality as Q
+from corral.operators import runlog as M
+from corral.operators import target as W
+from corral.operators.transform import apply_transformations
+from corral.plans import reports as RP
+from corral.session import fresh_database, scratch_location
+from corral.sources import delimited as CSV
+from corral.sources import discovery as D
+from corral.sources.stage import RAW, Stage
 from corral.plans.tables import table
+from corral.streaming.file_stream import stream_new_files as _stream_new_files
 
 ORDER_COLUMNS = [
     "o_orderkey",
@@ -163,19 +176,6 @@ def dq_expression(spark, sf_dir):
 # Sources and file discovery
 # --------------------------------------------------------------------------
 
-from corral.functions import scalar as S  # noqa: E402
-from corral.operators import counts as K  # noqa: E402
-from corral.operators import increments as I  # noqa: E402
-from corral.operators import profile as P  # noqa: E402
-from corral.operators import runlog as M  # noqa: E402
-from corral.operators import target as W  # noqa: E402
-from corral.operators.transform import apply_transformations  # noqa: E402
-from corral.plans import reports as RP  # noqa: E402
-from corral.session import fresh_database, scratch_location  # noqa: E402
-from corral.sources import delimited as CSV  # noqa: E402
-from corral.sources import discovery as D  # noqa: E402
-from corral.sources.stage import RAW, Stage  # noqa: E402
-from corral.streaming.file_stream import stream_new_files as _stream_new_files  # noqa: E402
 
 ORDERS_DDL = (
     "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "

@@ -271,6 +271,7 @@ class IngestionRun:
         stage = Stage(self.spark, self.s.workflow_name, run_id)
         watermark = self.last_load_details().get("last_load_file_detail")
         self.metrics = {}
+        self.log.append(self.s.workflow_id, run_id, M.RUN_START, M.RUNNING)
         self._step(run_id, M.READ_STEP, lambda: self.read_from_source(stage, watermark))
         if self.s.transformations:
             self._step(run_id, M.TRANSFORM_STEP, lambda: self.transformation_step(stage))
@@ -309,7 +310,7 @@ def run_report(log: DataFrame) -> DataFrame:
     """Source and target rows and status of each (workflow, run) in ``log``:
     counts from the load step's metrics when it succeeded, else from the read
     step's, else 0 (one aggregation, then ``report_counts``)."""
-    order = M._order_key(M.ORDER)
+    order = M.order_key(M.ORDER)
 
     def newest(col: str, step: str):
         return F.max_by(F.col(col), F.when(F.col("step_name") == step, order))

@@ -93,6 +93,9 @@ def test_runs_load_archive_and_guard(spark, tmp_dir):
     assert [r["step_name"] for r in failed] == [M.READ_STEP]
     assert "no new file" in json.loads(failed[0]["run_details"])["error_log"]
     assert [(r["id"], r["epoch_id"]) for r in spark.table(s.target.current).collect()] == [(4, 200)]
+    state = M.workflow_state(spark.table(s.run_log_table)).first()
+    assert (state["last_run_id"], state["last_status"], state["active"], state["last_epoch_id"]) == (
+        1002, M.FAILED, False, 200)
 
 
 def test_failjob_stops_load_and_keeps_quarantine(spark, tmp_dir):
