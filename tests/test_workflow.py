@@ -174,3 +174,51 @@ def test_control_file_check(spark, tmp_dir):
         alerts = [x["check_name"] for x in r.reports["count_alerts"].collect()]
         assert alerts == ([] if expected else [K.CONTROL_FILE_COUNT])
         assert "__source_file" not in spark.table(s.target.current).columns
+
+
+def test_settings_from_stored_config(spark, tmp_dir):
+    from corral.plans.workflow import settings_from_config
+
+    land = f"{tmp_dir}/landing"
+    drop(land, "orders_1.csv", ["1|10|2024-01-01T10:00:00+0000|DE", "2|-3|2024-01-01T10:00:00+0000|FR"])
+    db = fresh_database(spark, "cfg")
+    s = settings_from_config(
+        7,
+        "cfg_feed",
+        json.dumps({"connection_id": 3, "Container_Name": "c", "file_location": "c/landing/orders_*.csv",
+                    "first_row_is_header": "true", "file_encoding": "UTF-8", "is_collation": True}),
+        json.dumps({"current_database": db, "history_database": db, "current_table": "o", "history_table": "o_h"}),
+        SCHEMA,
+        f"{db}.run_log",
+        root=tmp_dir,
+        source_load_type="increment",
+        source_load_details=json.dumps({"increment_data": [{"key_column": "id", "consider_max_val": True, "value": None}]}),
+        dq_rules=[{"check": "range", "column": "amount", "min": 0, "action": "quarantine"}],
+        dq_detail=[{"failJob": False, "ticket": True}],
+    )
+    r = IngestionRun(spark, s).run(epoch_id=100)
+    assert r.metrics["target_row_count"] == 1 and r.dq_status == Q.STATUS_PASSED_QUARANTINE
+    assert r.metrics["increment_data"][0]["value"] == "1"
+    assert Q.ticket_flag(s.rule_settings) == "Yes"
+
+
+def test_streaming_runs_one_load_per_micro_batch(spark, tmp_dir):
+    land = f"{tmp_dir}/landing"
+    drop(land, "orders_1.csv", ["1|10|2024-01-01T10:00:00+0000|DE", "2|-1|2024-01-01T10:00:00+0000|FR"])
+    drop(land, "orders_2.csv", ["3|5|2024-01-01T10:00:00+0000|DE"])
+    drop(land, "notes.csv", ["9|9|2024-01-01T10:00:00+0000|DE"])
+    s = settings(spark, tmp_dir, table_checks=[])
+    wf = IngestionRun(spark, s)
+    ck = f"{tmp_dir}/ck"
+    first = wf.run_stream(ck, max_files_per_trigger=1)
+    assert [r.metrics["source_file_count"] for r in first] == [1, 1]
+    assert sum(r.metrics["source_row_count"] for r in first) == 3
+    # every micro-batch replaced current; the earlier batch went to history
+    assert spark.table(s.target.current).count() + spark.table(s.target.history).count() == 2
+    assert [x["id"] for x in spark.table(s.target.quarantine).collect()] in ([], [2])
+    # a restart reads only files not read before
+    assert wf.run_stream(ck) == []
+    drop(land, "orders_3.csv", ["4|1|2024-01-02T10:00:00+0000|FR"])
+    again = wf.run_stream(ck)
+    assert len(again) == 1 and again[0].metrics["source_row_count"] == 1
+    assert [x["id"] for x in spark.table(s.target.current).collect()] == [4]
