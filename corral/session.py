@@ -56,7 +56,13 @@ def scratch_root(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` (or a dir set with ``setCheckpointDir``);
     sets a local one only for local-mode sessions where it is unset.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a SparkContext (Spark Connect)
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
