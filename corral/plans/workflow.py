@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from corral.functions.rules import Rule
-from corral.functions.scalar import audit_time_text, table_name_from_location
+from corral.functions.scalar import audit_time_text, local_clock, table_name_from_location
 from corral.operators import counts as K
 from corral.operators import quality as Q
 from corral.operators import runlog as M
@@ -73,6 +73,7 @@ class WorkflowSettings:
     source_load_type: str = "full"  # "increment" tracks high-water marks
     quarantine_mode: str = "overwrite"  # or "append" to keep earlier runs
     report_zone: str = "UTC"
+    schedule_start_time: datetime | None = None  # UTC; shown in the job report
     keep_stage: bool = False
 
     @property
@@ -248,12 +249,37 @@ class IngestionRun:
         log = self.log.frame().where(
             (F.col("workflow_id") == int(self.s.workflow_id)) & (F.col("run_id") == int(run_id))
         )
-        reports["job_status"] = run_report(log)
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        sched = self.s.schedule_start_time
+        reports["job_status"] = run_report(log).select(
+            "workflow_id",
+            "run_id",
+            F.lit(self.s.workflow_name).alias("job_name"),
+            local_clock(F.lit(sched).cast("timestamp_ntz"), self.s.report_zone).alias("schedule_time")
+            if sched is not None
+            else F.lit(None).cast("string").alias("schedule_time"),
+            local_clock(F.lit(now).cast("timestamp_ntz"), self.s.report_zone).alias("current_time"),
+            "w_status",
+            "source_row_count",
+            "target_row_count",
+            "empty",
+        )
         if mv is not None:
             reports["dq_counts"] = self.spark.createDataFrame(
                 [(mv.row_count, mv.good_count, mv.quarantined_count)],
                 "source_count bigint, target_count bigint, quarantined_count bigint",
             )
+            reports["dq_status"] = self.spark.createDataFrame(
+                [
+                    (
+                        self.s.table_name,
+                        _status_text(mv),
+                        Q.ticket_flag(self.s.rule_settings),
+                        "Yes" if mv.failjob_count else "No",
+                    )
+                ],
+                "table_name string, dq_status string, ticket string, fail_job string",
+            )
             reports["dq_summary"] = stage.load(DQ_VALIDATION).limit(10)
         if stage.exists(DATA_PROFILE) and not stage.load(DATA_PROFILE).isEmpty():
             reports["profile"] = profile_report(stage.load(DATA_PROFILE))
@@ -287,16 +313,7 @@ class IngestionRun:
             self._step(run_id, M.PROFILE_STEP, lambda: self.data_profiling(stage))
         self._step(run_id, M.LOAD_STEP, lambda: self.write_to_target(stage, mv, epoch_id, etl_time))
         reports = self._step(run_id, M.REPORT_STEP, lambda: self.email_step(stage, run_id, mv))
-        status = None
-        if mv is not None:
-            failed = mv.failjob_count > 0
-            q = mv.quarantined_count
-            status = (
-                Q.STATUS_PASSED_QUARANTINE if q > 0 and not failed
-                else Q.STATUS_FAILED_QUARANTINE if q > 0
-                else Q.STATUS_FAILED_NO_QUARANTINE if failed
-                else Q.STATUS_PASSED_NO_QUARANTINE
-            )
+        status = _status_text(mv) if mv is not None else None
         if not self.s.keep_stage:
             # Report tables are small by construction (one row per run, rule,
             # column or check), so they are detached from the stage before
@@ -375,6 +392,24 @@ class IngestionRun:
         return results
 
 
+def _status_text(mv: Q.MaterializedValidation) -> str:
+    """The DQ status text from the observed quarantine and fail-job counts."""
+    failed, q = mv.failjob_count > 0, mv.quarantined_count
+    if q > 0:
+        return Q.STATUS_FAILED_QUARANTINE if failed else Q.STATUS_PASSED_QUARANTINE
+    return Q.STATUS_FAILED_NO_QUARANTINE if failed else Q.STATUS_PASSED_NO_QUARANTINE
+
+
+def report_table_name(source_details: dict) -> str:
+    """Table name shown in reports: from the file location for file sources,
+    the object name for Salesforce, else the configured source table."""
+    if source_details.get("file_location"):
+        return table_name_from_location(source_details["file_location"])
+    if source_details.get("connection_type") == "Salesforce":
+        return source_details["object_name"]
+    return source_details["source_table"]
+
+
 def _detach(df: DataFrame) -> DataFrame:
     """Copy a report table whose size is bounded by the configuration."""
     return df.sparkSession.createDataFrame(df.collect(), df.schema)

@@ -3,6 +3,7 @@
 import json
 import os
 import time
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ def drop(folder, name, rows, age=0.0):
 def settings(spark, root, **kw):
     db = fresh_database(spark, "wf")
     base = dict(
+        schedule_start_time=datetime(2024, 1, 1, 4, 0),
+        report_zone="Asia/Kolkata",
         workflow_id=42,
         workflow_name="orders_feed",
         source=SourceSettings(root=root, file_location="landing/orders_*.csv", schema=SCHEMA, is_collation=True),
@@ -71,6 +74,9 @@ def test_runs_load_archive_and_guard(spark, tmp_dir):
     # reports
     js = r1.reports["job_status"].first()
     assert (js["source_row_count"], js["target_row_count"], js["w_status"]) == (3, 2, "Success")
+    assert js["job_name"] == "orders_feed" and js["schedule_time"] == "09:30 AM"
+    st = r1.reports["dq_status"].first()
+    assert tuple(st) == ("orders_*", Q.STATUS_PASSED_QUARANTINE, "No", "No")
     assert tuple(r1.reports["dq_counts"].first()) == (3, 2, 1)
     assert r1.reports["dq_summary"].count() == 2
     assert {r["column_name"] for r in r1.reports["profile"].collect()} == {"id", "amount", "ts", "country"}
