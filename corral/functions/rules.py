@@ -188,6 +188,12 @@ def castable(column: str, data_type: str, action: str | None = QUARANTINE) -> Ru
     )
 
 
+def parsed(corrupt_column: str, action: str | None = QUARANTINE) -> Rule:
+    """Violated when the source reader could not parse the row (its raw text
+    is in ``corrupt_column``, see ``read_delimited(corrupt_column=...)``)."""
+    return RowRule("Validity", "parsed", corrupt_column, action, F.col(corrupt_column).isNotNull())
+
+
 def unique(*keys: str, action: str | None = QUARANTINE) -> Rule:
     return UniqueRule("Uniqueness", "unique", ",".join(keys), action, tuple(keys))
 
@@ -221,6 +227,7 @@ _BUILDERS = {
         d["column"], d.get("min"), d.get("max"), d.get("action")
     ),
     "type": lambda d, p: castable(d["column"], d["data_type"], d.get("action")),
+    "parsed": lambda d, p: parsed(d["column"], d.get("action")),
     "unique": lambda d, p: unique(*_as_list(d["column"]), action=d.get("action")),
     "foreign_key": lambda d, p: foreign_key(
         d["column"], p[d["parent"]], d["parent_key"], d.get("action")

@@ -55,6 +55,9 @@ class SourceSettings:
     allow_empty_file: bool = False
     delimiter: str = CSV.DELIMITER
     timestamp_format: str = CSV.TIMESTAMP_FORMAT
+    # keep the raw text of rows that do not parse (check it with rules.parsed);
+    # the column goes to quarantine but never to the target
+    corrupt_column: str | None = None
 
 
 @dataclass
@@ -102,17 +105,29 @@ class IngestionRun:
     def _workflow_log(self) -> DataFrame:
         return self.log.frame().where(F.col("workflow_id") == int(self.s.workflow_id))
 
+    def state(self) -> tuple[int, dict]:
+        """Next run id and the run details of the newest successful load, from
+        one aggregation over this workflow's log records."""
+        loaded = (F.col("step_name") == M.LOAD_STEP) & (F.col("step_completion_status") == M.SUCCESS)
+        row = (
+            self._workflow_log()
+            .groupBy("workflow_id")
+            .agg(
+                (F.max("run_id") + 1).alias("next_run_id"),
+                F.max_by(F.col("run_details"), F.when(loaded, M.order_key(M.ORDER))).alias("load"),
+            )
+            .first()
+        )
+        if row is None:
+            return M.FIRST_RUN_ID, {}
+        return int(row["next_run_id"]), (json.loads(row["load"]) if row["load"] else {})
+
     def next_run_id(self) -> int:
-        row = M.next_run_id(self._workflow_log()).first()
-        return int(row["current_run_id"]) if row else M.FIRST_RUN_ID
+        return self.state()[0]
 
     def last_load_details(self) -> dict:
         """Run details of the newest successful load of this workflow."""
-        loads = self._workflow_log().where(
-            (F.col("step_name") == M.LOAD_STEP) & (F.col("step_completion_status") == M.SUCCESS)
-        )
-        row = M.latest_records(loads, keys=("workflow_id",), columns=["run_details"]).first()
-        return json.loads(row["run_details"]) if row and row["run_details"] else {}
+        return self.state()[1]
 
     # -- step bookkeeping ----------------------------------------------------
     def _step(self, run_id: int, name: str, fn):
@@ -139,8 +154,11 @@ class IngestionRun:
             delimiter=src.delimiter,
             encoding=src.file_encoding,
             timestamp_format=src.timestamp_format,
+            corrupt_column=src.corrupt_column,
         )
-        columns = list(src.columns or df.columns)
+        columns = list(src.columns or [c for c in df.columns if c != src.corrupt_column])
+        if src.corrupt_column:
+            columns.append(src.corrupt_column)
         # the source file of each row, for control-file counts; dropped
         # before anything downstream sees the rows
         df = df.select(*columns, F.col("_metadata.file_name").alias(SOURCE_FILE))
@@ -153,7 +171,7 @@ class IngestionRun:
             source_file_path=chosen.paths,
             source_file_count=chosen.file_count,
             source_row_count=rows,
-            source_column_count=len(columns),
+            source_column_count=len([c for c in columns if c != src.corrupt_column]),
             source_file_arrival=chosen.watermark,
             last_load_file_detail=chosen.watermark,
         )
@@ -217,7 +235,8 @@ class IngestionRun:
         stage.save(DATA_PROFILE, profile_columns(self._input(stage)))
 
     def write_to_target(self, stage: Stage, mv: Q.MaterializedValidation | None, epoch_id: int, etl_time: str) -> None:
-        previous = self.last_load_details().get("epoch_id")
+        last_load = getattr(self, "_last_load", None)
+        previous = (last_load if last_load is not None else self.last_load_details()).get("epoch_id")
         if previous is None:
             previous = self.targets.current_epoch()
         if mv is not None:
@@ -231,6 +250,9 @@ class IngestionRun:
         else:
             quarantined = None
             source = self._input(stage)
+        corrupt = self.s.source.corrupt_column
+        if corrupt and corrupt in source.columns:
+            source = source.drop(corrupt)
         result = self.targets.load(source, epoch_id=epoch_id, etl_time=etl_time, previous_epoch=previous)
         if quarantined is not None:
             self.targets.write_quarantine(quarantined, epoch_id, etl_time, self.s.quarantine_mode)
@@ -293,9 +315,10 @@ class IngestionRun:
     # -- the whole run ----------------------------------------------------------
     def run(self, epoch_id: int | None = None, etl_time: str | None = None) -> RunResult:
         """One batch run over the files chosen by listing and watermark."""
-        run_id = self.next_run_id()
+        run_id, last_load = self.state()
         stage = Stage(self.spark, self.s.workflow_name, run_id)
-        watermark = self.last_load_details().get("last_load_file_detail")
+        watermark = last_load.get("last_load_file_detail")
+        self._last_load = last_load
         self.metrics = {}
         self.log.append(self.s.workflow_id, run_id, M.RUN_START, M.RUNNING)
         self._step(run_id, M.READ_STEP, lambda: self.read_from_source(stage, watermark))
@@ -358,7 +381,7 @@ class IngestionRun:
         results: list[RunResult] = []
 
         def handle(batch: DataFrame, batch_id: int) -> None:
-            run_id = self.next_run_id()
+            run_id, self._last_load = self.state()
             stage = Stage(self.spark, self.s.workflow_name, run_id)
             self.metrics = {"stream_batch_id": int(batch_id)}
             self.log.append(self.s.workflow_id, run_id, M.RUN_START, M.RUNNING)

@@ -228,3 +228,18 @@ def test_streaming_runs_one_load_per_micro_batch(spark, tmp_dir):
     again = wf.run_stream(ck)
     assert len(again) == 1 and again[0].metrics["source_row_count"] == 1
     assert [x["id"] for x in spark.table(s.target.current).collect()] == [4]
+
+
+def test_unparsable_rows_are_quarantined_with_their_text(spark, tmp_dir):
+    land = f"{tmp_dir}/landing"
+    drop(land, "orders_1.csv", ["1|10|2024-01-01T10:00:00+0000|DE", "2|ten|2024-01-01T10:00:00+0000|FR",
+                                "3|7|yesterday|DE"])
+    src = SourceSettings(root=tmp_dir, file_location="landing/orders_*.csv", schema=SCHEMA,
+                         is_collation=True, corrupt_column="_raw")
+    s = settings(spark, tmp_dir, source=src, rules=[R.parsed("_raw", action="quarantine")], table_checks=[])
+    r = IngestionRun(spark, s).run(epoch_id=100)
+    assert r.metrics["source_column_count"] == 4
+    cur = spark.table(s.target.current)
+    assert "_raw" not in cur.columns and [x["id"] for x in cur.collect()] == [1]
+    q = {x["id"]: x["_raw"] for x in spark.table(s.target.quarantine).collect()}
+    assert sorted(q) == [2, 3] and "ten" in q[2] and "yesterday" in q[3]
