@@ -162,6 +162,10 @@ class TargetTables:
         epoch_id = epoch_now() if epoch_id is None else int(epoch_id)
         stamped = stamp(staged, epoch_id, etl_time)
         prev = previous_epoch if previous_epoch is not None else self.current_epoch()
+        if prev is not None and epoch_id <= prev:
+            # history keys archived rows by epoch: a repeated epoch would make
+            # the idempotent archive skip rows
+            raise ValueError(f"epoch {epoch_id} is not above the current epoch {prev}")
         archived = None
         if prev is not None and self.current_exists():
             self.archive(prev)

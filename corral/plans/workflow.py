@@ -100,6 +100,7 @@ class IngestionRun:
         self.log = M.RunLog(spark, settings.run_log_table)
         self.targets = TargetTables(spark, settings.target)
         self.metrics: dict = {}
+        self._last_load: dict | None = None
 
     # -- state from the run log (one small aggregate row each) ---------------
     def _workflow_log(self) -> DataFrame:
@@ -235,8 +236,8 @@ class IngestionRun:
         stage.save(DATA_PROFILE, profile_columns(self._input(stage)))
 
     def write_to_target(self, stage: Stage, mv: Q.MaterializedValidation | None, epoch_id: int, etl_time: str) -> None:
-        last_load = getattr(self, "_last_load", None)
-        previous = (last_load if last_load is not None else self.last_load_details()).get("epoch_id")
+        last_load = self._last_load if self._last_load is not None else self.last_load_details()
+        previous = last_load.get("epoch_id")
         if previous is None:
             previous = self.targets.current_epoch()
         if mv is not None:
@@ -277,10 +278,10 @@ class IngestionRun:
             "workflow_id",
             "run_id",
             F.lit(self.s.workflow_name).alias("job_name"),
-            local_clock(F.lit(sched).cast("timestamp_ntz"), self.s.report_zone).alias("schedule_time")
+            local_clock(_ntz(sched), self.s.report_zone).alias("schedule_time")
             if sched is not None
             else F.lit(None).cast("string").alias("schedule_time"),
-            local_clock(F.lit(now).cast("timestamp_ntz"), self.s.report_zone).alias("current_time"),
+            local_clock(_ntz(now), self.s.report_zone).alias("current_time"),
             "w_status",
             "source_row_count",
             "target_row_count",
@@ -325,7 +326,8 @@ class IngestionRun:
         return self._after_read(run_id, stage, epoch_id, etl_time)
 
     def _after_read(self, run_id: int, stage: Stage, epoch_id: int | None, etl_time: str | None) -> RunResult:
-        epoch_id = epoch_now() if epoch_id is None else int(epoch_id)
+        previous = self._last_load.get("epoch_id") if self._last_load else None
+        epoch_id = next_epoch(previous, epoch_id)
         etl_time = etl_time or audit_time_text()
         if self.s.transformations:
             self._step(run_id, M.TRANSFORM_STEP, lambda: self.transformation_step(stage))
@@ -415,6 +417,25 @@ class IngestionRun:
         return results
 
 
+def _ntz(t: datetime):
+    """A UTC wall-clock time as a timestamp_ntz literal (via text, so neither
+    the Python process zone nor the session zone shifts it)."""
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
+def next_epoch(previous: int | None, requested: int | None = None) -> int:
+    """Epoch of a new load: the requested one, or the current UTC second;
+    always above the previous load's epoch (the archive relies on epochs
+    being unique and increasing, also when loads come faster than one per
+    second)."""
+    if requested is not None:
+        if previous is not None and int(requested) <= int(previous):
+            raise ValueError(f"epoch {requested} is not above the previous epoch {previous}")
+        return int(requested)
+    now = epoch_now()
+    return now if previous is None else max(now, int(previous) + 1)
+
+
 def _status_text(mv: Q.MaterializedValidation) -> str:
     """The DQ status text from the observed quarantine and fail-job counts."""
     failed, q = mv.failjob_count > 0, mv.quarantined_count

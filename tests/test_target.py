@@ -57,3 +57,13 @@ def test_partition_filter_reaches_scan(spark):
     t.load(spark.createDataFrame([(2,)], "k long"), epoch_id=200, etl_time=T)
     plan = t.history_frame().where(F.col("epoch_id") == 100)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(epoch_id" in plan
+
+
+def test_repeated_epoch_is_refused(spark):
+    import pytest
+
+    t = tables(spark)
+    t.load(spark.createDataFrame([(1,)], "k long"), epoch_id=100, etl_time=T)
+    with pytest.raises(ValueError):
+        t.load(spark.createDataFrame([(2,)], "k long"), epoch_id=100, etl_time=T)
+    assert keys(t.current_frame()) == [(1, 100)]

@@ -243,3 +243,14 @@ def test_unparsable_rows_are_quarantined_with_their_text(spark, tmp_dir):
     assert "_raw" not in cur.columns and [x["id"] for x in cur.collect()] == [1]
     q = {x["id"]: x["_raw"] for x in spark.table(s.target.quarantine).collect()}
     assert sorted(q) == [2, 3] and "ten" in q[2] and "yesterday" in q[3]
+
+
+def test_epochs_always_increase():
+    from corral.plans.workflow import next_epoch
+
+    assert next_epoch(None, 100) == 100
+    with pytest.raises(ValueError):
+        next_epoch(100, 100)
+    now = next_epoch(None)
+    # a load within the same second as the previous one still gets a new epoch
+    assert next_epoch(now) == now + 1 and next_epoch(now + 5) == now + 6
