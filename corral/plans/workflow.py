@@ -39,6 +39,7 @@ from corral.streaming.file_stream import file_stream
 from corral.sources.stage import DATA_PROFILE, DQ, DQ_VALIDATION, INTERMEDIATE, RAW, Stage
 
 SOURCE_FILE = "__source_file"
+STAGE_REPORTS = ("dq_summary", "profile")
 
 
 @dataclass
@@ -340,10 +341,11 @@ class IngestionRun:
         reports = self._step(run_id, M.REPORT_STEP, lambda: self.email_step(stage, run_id, mv))
         status = _status_text(mv) if mv is not None else None
         if not self.s.keep_stage:
-            # Report tables are small by construction (one row per run, rule,
-            # column or check), so they are detached from the stage before
-            # the run's staged data is deleted.
-            reports = {k: _detach(v) for k, v in reports.items()}
+            # Reports read from the stage are small by construction (one row
+            # per rule or column), so they are detached from it before the
+            # run's staged data is deleted; the others are local rows or read
+            # the run log, which stays.
+            reports = {k: _detach(v) if k in STAGE_REPORTS else v for k, v in reports.items()}
             stage.drop()
         return RunResult(run_id, epoch_id, dict(self.metrics), reports, status)
 
