@@ -23,11 +23,11 @@ from corral.functions.scalar import json_field
 
 # Step names and statuses of a run.
 READ_STEP = "Read_from_source"
-TRANSFORM_STEP = "Transformation_Step"
+TRANSFORM_STEP = "Transformation_step"
 DQ_STEP = "DQ_Step"
-PROFILE_STEP = "Data_Profiling"
+PROFILE_STEP = "data_profile_Step"
 LOAD_STEP = "Write_to_target"
-REPORT_STEP = "Email_report"
+REPORT_STEP = "DQ_Report"
 RUN_START = "Run_started"
 SUCCESS = "success"
 FAILED = "Failed"
