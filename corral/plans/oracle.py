@@ -29,7 +29,71 @@ A = (
     "CASE WHEN v_set=1 THEN 'report' END, CASE WHEN v_ref=1 THEN 'failjob' END)"
 )
 
+# RL: lineitem with one 0/1 flag per rule of the lineitem rule set.
+RL = (
+    "SELECT l.*, CASE WHEN l_quantity < 1 OR l_quantity > 45 THEN 1 ELSE 0 END AS v1, "
+    "CASE WHEN l_returnflag NOT IN ('A','N') THEN 1 ELSE 0 END AS v2, "
+    "CASE WHEN l_discount > 0.09 THEN 1 ELSE 0 END AS v3, "
+    "CASE WHEN count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 THEN 1 ELSE 0 END AS v4, "
+    "CASE WHEN l_suppkey IS NOT NULL AND s.s_suppkey IS NULL THEN 1 ELSE 0 END AS v5 "
+    "FROM lineitem l LEFT JOIN (SELECT DISTINCT s_suppkey FROM supplier WHERE s_acctbal > 0) s "
+    "ON l.l_suppkey = s.s_suppkey"
+)
+# AL: the action text of a lineitem row (the foreign-key rule has no action).
+AL = (
+    "NULLIF(concat_ws(',', CASE WHEN v1=1 THEN 'quarantine' END, CASE WHEN v2=1 THEN 'report' END, "
+    "CASE WHEN v3=1 THEN 'quarantine,failjob' END, CASE WHEN v4=1 THEN 'failjob' END), '')"
+)
+# BL: a lineitem row is erroneous when a rule other than the reported one fails.
+BL = "(v1+v3+v4+v5) > 0"
+
+
+def _summary_row(strategy, check, column, flag, action):
+    act = f"'{action}'" if action else "CAST(NULL AS VARCHAR)"
+    return (
+        f"SELECT '{strategy}' AS \"Strategy\", '{check}' AS \"Check\", '{column}' AS \"Column\", "
+        f"CASE WHEN sum({flag})=0 THEN 'Passed' ELSE 'Failed' END AS \"Status\", "
+        f"CAST(sum({flag}) AS INT) AS \"Impacted_Records\", {act} AS \"Action_Taken\" FROM ({{RL}}) r"
+    )
+
+
+def _profile_row(col):
+    return (
+        f"SELECT '{col}' AS column_name, count(*) AS row_count, count(*)-count({col}) AS null_count, "
+        f"count(DISTINCT {col}) AS distinct_count, CAST(min({col}) AS VARCHAR) AS min_value, "
+        f"CAST(max({col}) AS VARCHAR) AS max_value FROM part"
+    )
+
+
+def _numeric_row(col):
+    return (
+        f"SELECT '{col}' AS column_name, round(avg({col}),4) AS mean, round(stddev_samp({col}),4) AS stddev, "
+        f"CAST(min({col}) AS DOUBLE) AS min_value, CAST(max({col}) AS DOUBLE) AS max_value FROM lineitem"
+    )
+
+
 _SQL = {
+    "dq_lineitem_summary": " UNION ALL ".join(
+        [
+            _summary_row("Validity", "range", "l_quantity", "v1", "quarantine"),
+            _summary_row("Validity", "in_set", "l_returnflag", "v2", "report"),
+            _summary_row("Validity", "range", "l_discount", "v3", "quarantine,failjob"),
+            _summary_row("Uniqueness", "unique", "l_orderkey,l_linenumber", "v4", "failjob"),
+            _summary_row("Integrity", "foreign_key", "l_suppkey", "v5", None),
+        ]
+    ),
+    "dq_lineitem_counts": (
+        "SELECT count(*) AS source_count, count(*) FILTER (WHERE NOT {BL}) AS target_count, "
+        "count(*) FILTER (WHERE {BL} AND v1+v3>0) AS quarantined_count, "
+        "count(*) FILTER (WHERE {BL} AND v3+v4>0) AS fail_job_count FROM ({RL}) r"
+    ),
+    "dq_lineitem_erroneous": "SELECT l_orderkey, l_linenumber, l_suppkey, {AL} AS action FROM ({RL}) r WHERE {BL}",
+    "profile_part": " UNION ALL ".join(
+        _profile_row(c) for c in ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+    ),
+    "profile_lineitem_numeric": " UNION ALL ".join(
+        _numeric_row(c) for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    ),
     "list_match_glob": "SELECT path,last_modified FROM ({L}) x WHERE starts_with(path,'click/') AND ends_with(path,'.csv')",
     "latest_file": "SELECT path,last_modified FROM ({L}) x WHERE starts_with(path,'click/') ORDER BY last_modified DESC, path LIMIT 1",
     "new_files_since": "SELECT path,last_modified FROM ({L}) x WHERE starts_with(path,'click/') AND last_modified > (SELECT max(last_modified) - INTERVAL '1' DAY FROM ({L}) y)",
@@ -151,6 +215,7 @@ _SQL = {
 
 def oracle_sql() -> dict[str, str]:
     return {
-        k: v.replace("{L}", L).replace("{R}", R).replace("{A}", A).replace("{C}", C)
+        k: v.replace("{RL}", RL).replace("{AL}", AL).replace("{BL}", BL)
+        .replace("{L}", L).replace("{R}", R).replace("{A}", A).replace("{C}", C)
         for k, v in _SQL.items()
     }

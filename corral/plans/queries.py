@@ -496,3 +496,54 @@ def report_job_status(spark, sf_dir):
 def report_times(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_id", "ts")
     return RP.report_clock(ev, "ts", "Asia/Kolkata").select("event_id", "local_time")
+
+
+# --------------------------------------------------------------------------
+# Whole-table validation with row and set rules together (lineitem)
+# --------------------------------------------------------------------------
+
+LINEITEM_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+def lineitem_validation(spark, sf_dir) -> Q.Validation:
+    """Five rules on lineitem in one validation: two ranges (one with the
+    compound action), a reported set rule, a unique key and a foreign key."""
+    li = table(spark, sf_dir, "lineitem")
+    suppliers = table(spark, sf_dir, "supplier").where(F.col("s_acctbal") > 0)
+    return Q.validate(
+        li,
+        [
+            R.in_range("l_quantity", 1, 45, action=R.QUARANTINE),
+            R.in_set("l_returnflag", ["A", "N"], action=R.REPORT),
+            R.in_range("l_discount", max_value=0.09, action="quarantine,failjob"),
+            R.unique(*LINEITEM_KEYS, action=R.FAILJOB),
+            R.foreign_key("l_suppkey", suppliers, "s_suppkey", action=None),
+        ],
+    )
+
+
+@query("dq_lineitem_summary")
+def dq_lineitem_summary(spark, sf_dir):
+    return lineitem_validation(spark, sf_dir).summary
+
+
+@query("dq_lineitem_counts")
+def dq_lineitem_counts(spark, sf_dir):
+    return lineitem_validation(spark, sf_dir).counts()
+
+
+@query("dq_lineitem_erroneous")
+def dq_lineitem_erroneous(spark, sf_dir):
+    return lineitem_validation(spark, sf_dir).erroneous_data.select(*LINEITEM_KEYS, "l_suppkey", Q.ACTION)
+
+
+@query("profile_part")
+def profile_part(spark, sf_dir):
+    return P.profile_columns(table(spark, sf_dir, "part"))
+
+
+@query("profile_lineitem_numeric")
+def profile_lineitem_numeric(spark, sf_dir):
+    return P.profile_numeric(
+        table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    )
