@@ -48,12 +48,27 @@ AL = (
 BL = "(v1+v3+v4+v5) > 0"
 
 
-def _summary_row(strategy, check, column, flag, action):
+# RD: documents with one 0/1 flag per rule of the documents rule set.
+RD = (
+    "SELECT d.*, CASE WHEN text IS NULL OR trim(text) = '' THEN 1 ELSE 0 END AS v1, "
+    "CASE WHEN length(text) < 20 OR length(text) > 20000 THEN 1 ELSE 0 END AS v2, "
+    "CASE WHEN lang NOT IN ('en','de','fr') THEN 1 ELSE 0 END AS v3, "
+    "CASE WHEN NOT (n_chars = length(text)) THEN 1 ELSE 0 END AS v4, "
+    "CASE WHEN count(*) OVER (PARTITION BY doc_id) > 1 THEN 1 ELSE 0 END AS v5 FROM documents d"
+)
+# AD: actions in rule order, a repeated action kept at its first place.
+AD = (
+    "NULLIF(concat_ws(',', CASE WHEN v1=1 THEN 'quarantine' END, CASE WHEN v2=1 THEN 'report' END, "
+    "CASE WHEN v1=0 AND v3=1 THEN 'quarantine' END, CASE WHEN v4+v5>0 THEN 'failjob' END), '')"
+)
+
+
+def _summary_row(strategy, check, column, flag, action, src="{RL}"):
     act = f"'{action}'" if action else "CAST(NULL AS VARCHAR)"
     return (
         f"SELECT '{strategy}' AS \"Strategy\", '{check}' AS \"Check\", '{column}' AS \"Column\", "
         f"CASE WHEN sum({flag})=0 THEN 'Passed' ELSE 'Failed' END AS \"Status\", "
-        f"CAST(sum({flag}) AS INT) AS \"Impacted_Records\", {act} AS \"Action_Taken\" FROM ({{RL}}) r"
+        f"CAST(sum({flag}) AS INT) AS \"Impacted_Records\", {act} AS \"Action_Taken\" FROM ({src}) r"
     )
 
 
@@ -88,6 +103,16 @@ _SQL = {
         "count(*) FILTER (WHERE {BL} AND v3+v4>0) AS fail_job_count FROM ({RL}) r"
     ),
     "dq_lineitem_erroneous": "SELECT l_orderkey, l_linenumber, l_suppkey, {AL} AS action FROM ({RL}) r WHERE {BL}",
+    "dq_documents_summary": " UNION ALL ".join(
+        [
+            _summary_row("Completeness", "not_blank", "text", "v1", "quarantine", "{RD}"),
+            _summary_row("Validity", "length", "text", "v2", "report", "{RD}"),
+            _summary_row("Validity", "in_set", "lang", "v3", "quarantine", "{RD}"),
+            _summary_row("Consistency", "expression", "n_chars", "v4", "failjob", "{RD}"),
+            _summary_row("Uniqueness", "unique", "doc_id", "v5", "failjob", "{RD}"),
+        ]
+    ),
+    "dq_documents_erroneous": "SELECT doc_id, lang, {AD} AS action FROM ({RD}) r WHERE v1+v3+v4+v5 > 0",
     "profile_part": " UNION ALL ".join(
         _profile_row(c) for c in ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
     ),
@@ -215,7 +240,7 @@ _SQL = {
 
 def oracle_sql() -> dict[str, str]:
     return {
-        k: v.replace("{RL}", RL).replace("{AL}", AL).replace("{BL}", BL)
+        k: v.replace("{RD}", RD).replace("{AD}", AD).replace("{RL}", RL).replace("{AL}", AL).replace("{BL}", BL)
         .replace("{L}", L).replace("{R}", R).replace("{A}", A).replace("{C}", C)
         for k, v in _SQL.items()
     }

@@ -547,3 +547,29 @@ def profile_lineitem_numeric(spark, sf_dir):
     return P.profile_numeric(
         table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     )
+
+
+def documents_validation(spark, sf_dir) -> Q.Validation:
+    """Rules over whole long texts: not blank, length bounds, a language set,
+    declared length = actual length, unique ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    return Q.validate(
+        docs,
+        [
+            R.not_blank("text", action=R.QUARANTINE),
+            R.length_between("text", 20, 20000, action=R.REPORT),
+            R.in_set("lang", ["en", "de", "fr"], action=R.QUARANTINE),
+            R.expression("n_chars = length(text)", column="n_chars", action=R.FAILJOB),
+            R.unique("doc_id", action=R.FAILJOB),
+        ],
+    )
+
+
+@query("dq_documents_summary")
+def dq_documents_summary(spark, sf_dir):
+    return documents_validation(spark, sf_dir).summary
+
+
+@query("dq_documents_erroneous")
+def dq_documents_erroneous(spark, sf_dir):
+    return documents_validation(spark, sf_dir).erroneous_data.select("doc_id", "lang", Q.ACTION)
