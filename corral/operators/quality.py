@@ -73,30 +73,40 @@ class Validation:
                 else:
                     flags.append(F.col(_flag(i)))
             df = df.select(*[F.col(c) for c in self.columns], *flags)
-            actions = F.array_distinct(
-                F.filter(
-                    F.array(
-                        *[
-                            F.when(F.col(_flag(i)), F.lit(r.action)).otherwise(F.lit(None).cast("string"))
-                            for i, r in enumerate(self.rules)
-                        ]
-                    )
-                    if self.rules
-                    else F.array().cast("array<string>"),
-                    lambda a: a.isNotNull(),
-                )
-            )
-            blocking = [F.col(_flag(i)) for i, r in enumerate(self.rules) if r.blocks]
-            bad = F.lit(False)
-            for b in blocking:
-                bad = bad | b
-            self._tagged = df.select(
-                "*",
-                F.when(F.size(actions) > 0, F.array_join(actions, ",")).alias(ACTION),
-                bad.alias(_BAD),
-            )
+            self._tagged = df.select("*", self._action_text().alias(ACTION), self._any(lambda r: r.blocks).alias(_BAD))
         return self._tagged
 
+    def _any(self, pick) -> Column:
+        """OR of the flags of the rules chosen by ``pick`` (False if none)."""
+        out = F.lit(False)
+        for i, r in enumerate(self.rules):
+            if pick(r):
+                out = out | F.col(_flag(i))
+        return out
+
+    def _action_text(self) -> Column:
+        """Actions of the violated rules joined by commas, in rule order, an
+        action repeated by a later rule kept at its first place; null when no
+        violated rule has an action.  Plain boolean logic and ``concat_ws``,
+        so it stays inside generated code."""
+        parts = []
+        for i, r in enumerate(self.rules):
+            if r.action is None:
+                continue
+            fired = F.col(_flag(i))
+            for j in range(i):
+                if self.rules[j].action == r.action:
+                    fired = fired & ~F.col(_flag(j))
+            parts.append(F.when(fired, F.lit(r.action)))
+        if not parts:
+            return F.lit(None).cast("string")
+        return F.nullif(F.concat_ws(",", *parts), F.lit(""))
+
+    def _has_action(self, word: str) -> Column:
+        """Erroneous and some violated rule's action names ``word`` — the same
+        as matching ``word`` in the action text, without building the text."""
+        return F.col(_BAD) & self._any(lambda r: r.action is not None and word in r.action)
+
     # -- derived outputs ------------------------------------------------------
     @property
     def correct_data(self) -> DataFrame:
@@ -120,13 +130,11 @@ class Validation:
 
     def counts(self) -> DataFrame:
         """source_count, target_count (good rows), quarantined_count, fail_job_count."""
-        t = self.tagged
-        action = F.coalesce(F.col(ACTION), F.lit(""))
-        return t.agg(
+        return self.tagged.agg(
             F.count(F.lit(1)).alias("source_count"),
             F.count_if(~F.col(_BAD)).alias("target_count"),
-            F.count_if(F.col(_BAD) & action.rlike(QUARANTINE)).alias("quarantined_count"),
-            F.count_if(F.col(_BAD) & action.rlike(FAILJOB)).alias("fail_job_count"),
+            F.count_if(self._has_action(QUARANTINE)).alias("quarantined_count"),
+            F.count_if(self._has_action(FAILJOB)).alias("fail_job_count"),
         )
 
     # -- write once -----------------------------------------------------------
@@ -136,12 +144,11 @@ class Validation:
         counts with ``observe`` in the same job.  Writes to a parquet
         ``location`` or to ``stage`` (a ``corral.sources.stage.Stage``)."""
         obs = Observation("dq_counts")
-        action = F.coalesce(F.col(ACTION), F.lit(""))
         exprs = self._count_exprs() + [
             F.count(F.lit(1)).alias("rows"),
             F.count_if(~F.col(_BAD)).alias("good_rows"),
-            F.count_if(F.col(_BAD) & action.rlike(QUARANTINE)).alias("quarantined_rows"),
-            F.count_if(F.col(_BAD) & action.rlike(FAILJOB)).alias("failjob_rows"),
+            F.count_if(self._has_action(QUARANTINE)).alias("quarantined_rows"),
+            F.count_if(self._has_action(FAILJOB)).alias("failjob_rows"),
         ]
         out = self.tagged.observe(obs, *exprs).select(
             *self.columns,
