@@ -54,3 +54,7 @@ def test_split_invariants(spark, rows, a1, a2, a3, a4):
     assert q == sum(1 for b in bad if b[3] and "quarantine" in b[3])
     fj = Q.failjob_gate(v.erroneous_data).first()["fail_job_count"]
     assert fj == sum(1 for b in bad if b[3] and "failjob" in b[3])
+    # counts from rule flags agree with matching the action text
+    c = v.counts().first()
+    assert (c["source_count"], c["target_count"], c["quarantined_count"], c["fail_job_count"]) == (
+        len(rows), len(good), q, fj)
