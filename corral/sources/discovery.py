@@ -12,6 +12,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
+
+from corral.functions.scalar import utc_wall_clock
 
 # Text form in which a file watermark is stored and compared.
 WATERMARK_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -75,15 +78,24 @@ def latest_file(listing: DataFrame) -> DataFrame:
     return listing.orderBy(F.col("last_modified").desc(), F.col("path").asc()).limit(1)
 
 
-def _watermark_literal(listing: DataFrame, watermark: str) -> Column:
-    return F.lit(watermark).cast(listing.schema["last_modified"].dataType)
+def _utc(listing: DataFrame, col: Column | None = None) -> Column:
+    """``last_modified`` as UTC wall-clock time (timestamp_ntz).  A zoned
+    timestamp (as file listings give) is converted from the session zone;
+    a timestamp_ntz is taken to be UTC already.  Watermarks are stored and
+    compared in this form, so a later run in another session zone reads
+    them the same way."""
+    col = F.col("last_modified") if col is None else col
+    if isinstance(listing.schema["last_modified"].dataType, TimestampType):
+        return utc_wall_clock(col, listing.sparkSession)
+    return col
 
 
 def new_files_since(listing: DataFrame, watermark: str | None) -> DataFrame:
-    """Every file strictly newer than ``watermark`` (all files when None)."""
+    """Every file strictly newer than ``watermark`` (UTC text; all files when
+    None)."""
     if watermark is None or watermark == "":
         return listing
-    return listing.where(F.col("last_modified") > _watermark_literal(listing, watermark))
+    return listing.where(_utc(listing) > F.lit(watermark).cast("timestamp_ntz"))
 
 
 def file_watermark(files: DataFrame) -> DataFrame:
@@ -117,7 +129,7 @@ def select_files(
     matched = match_glob(listing, pattern)
     chosen = new_files_since(matched, watermark) if collation else new_files_since(latest_file(matched), watermark)
     agg = chosen.agg(
-        F.date_format(F.max("last_modified"), WATERMARK_FORMAT).alias("wm"),
+        F.date_format(_utc(chosen, F.max("last_modified")), WATERMARK_FORMAT).alias("wm"),
         F.count(F.lit(1)).alias("n"),
         F.sort_array(F.collect_list("path")).alias("paths"),
     ).first()
@@ -127,6 +139,6 @@ def select_files(
 
 
 def watermark_text(files: DataFrame) -> str | None:
-    """Newest ``last_modified`` as stored text (session time zone)."""
-    row = files.agg(F.date_format(F.max("last_modified"), WATERMARK_FORMAT).alias("wm")).first()
+    """Newest ``last_modified`` as stored text (UTC wall clock)."""
+    row = files.agg(F.date_format(_utc(files, F.max("last_modified")), WATERMARK_FORMAT).alias("wm")).first()
     return row["wm"] if row else None

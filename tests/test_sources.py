@@ -168,3 +168,20 @@ def test_stream_batches_validate_each_new_batch(spark, tmp_dir):
     stream_batches(spark, src, SCHEMA, ck, handle)
     got = sorted((r["id"], r["batch_id"]) for r in spark.read.parquet(out).collect())
     assert got == [(1, 0), (3, 1)]
+
+
+def test_watermark_is_utc_whatever_the_session_zone(spark):
+    zoned = spark.createDataFrame(
+        [("a", datetime(2024, 1, 1, 10, 0)), ("b", datetime(2024, 1, 1, 11, 0))], "path string, ts timestamp_ntz"
+    ).select("path", F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC").alias("last_modified"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        wm_utc = D.watermark_text(zoned.where(F.col("path") == "a"))
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        wm_ny = D.watermark_text(zoned.where(F.col("path") == "a"))
+        assert wm_utc == wm_ny
+        # stored in one zone, compared in another: only the newer file is new
+        assert paths(D.new_files_since(zoned, wm_utc)) == ["b"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
