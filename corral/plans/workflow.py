@@ -133,13 +133,20 @@ class IngestionRun:
 
     # -- step bookkeeping ----------------------------------------------------
     def _step(self, run_id: int, name: str, fn):
+        """Run one step: its Spark jobs carry the workflow, run and step in
+        their description (event log, job listings), and its outcome is
+        appended to the run log."""
         started = datetime.now(timezone.utc)
+        sc = self.spark.sparkContext
+        sc.setJobDescription(f"{self.s.workflow_name} run {run_id}: {name}")
         try:
             out = fn()
         except Exception as e:
             details = M.error_details(self.metrics, e)
             self.log.append(self.s.workflow_id, run_id, name, M.FAILED, started, None, details)
             raise
+        finally:
+            sc.setJobDescription(None)
         self.log.append(self.s.workflow_id, run_id, name, M.SUCCESS, started, None, self.metrics)
         return out
 

@@ -86,16 +86,19 @@ def scratch_location(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def sql_text(value: str) -> str:
+    """A value as a SQL string literal (quotes and backslashes escaped)."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def fresh_database(spark: SparkSession, prefix: str) -> str:
     """Create a uniquely named database whose location is in shared scratch."""
     name = f"{prefix}_{uuid.uuid4().hex[:12]}"
-    location = f"{scratch_root(spark)}/{name}.db"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
-    return name
+    return ensure_database(spark, name)
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> str:
     """Create ``name`` if missing, by default under shared scratch."""
     location = location or f"{scratch_root(spark)}/{name}.db"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION {sql_text(location)}")
     return name

@@ -12,7 +12,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corral.session import scratch_root
+from corral.session import ensure_database, scratch_root
 
 RAW = "raw"
 INTERMEDIATE = "intermediate"
@@ -31,7 +31,7 @@ class Stage:
         self.spark = spark
         self.database = f"stage_{_ident(workflow)}_{_ident(run_id)}"
         self.location = f"{(root or scratch_root(spark)).rstrip('/')}/{self.database}.db"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.location}'")
+        ensure_database(spark, self.database, self.location)
 
     def table_name(self, kind: str) -> str:
         return f"`{self.database}`.`{_ident(kind)}`"
