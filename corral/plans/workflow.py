@@ -107,22 +107,33 @@ class IngestionRun:
     def _workflow_log(self) -> DataFrame:
         return self.log.frame().where(F.col("workflow_id") == int(self.s.workflow_id))
 
-    def state(self) -> tuple[int, dict]:
-        """Next run id and the run details of the newest successful load, from
-        one aggregation over this workflow's log records."""
+    def state(self, stream_batch: tuple[str, int] | None = None) -> tuple[int, dict, bool]:
+        """Next run id, the run details of the newest successful load, and
+        whether ``stream_batch`` (checkpoint, batch id) was already loaded,
+        from one aggregation over this workflow's log records."""
         loaded = (F.col("step_name") == M.LOAD_STEP) & (F.col("step_completion_status") == M.SUCCESS)
+        if stream_batch is None:
+            same_batch = F.lit(False)
+        else:
+            same_batch = (
+                loaded
+                & (F.get_json_object("run_details", "$.stream_checkpoint") == F.lit(stream_batch[0]))
+                & (F.get_json_object("run_details", "$.stream_batch_id").cast("bigint") == F.lit(int(stream_batch[1])))
+            )
         row = (
             self._workflow_log()
             .groupBy("workflow_id")
             .agg(
                 (F.max("run_id") + 1).alias("next_run_id"),
                 F.max_by(F.col("run_details"), F.when(loaded, M.order_key(M.ORDER))).alias("load"),
+                F.count_if(same_batch).alias("same_batch"),
             )
             .first()
         )
         if row is None:
-            return M.FIRST_RUN_ID, {}
-        return int(row["next_run_id"]), (json.loads(row["load"]) if row["load"] else {})
+            return M.FIRST_RUN_ID, {}, False
+        details = json.loads(row["load"]) if row["load"] else {}
+        return int(row["next_run_id"]), details, bool(row["same_batch"])
 
     def next_run_id(self) -> int:
         return self.state()[0]
@@ -324,7 +335,7 @@ class IngestionRun:
     # -- the whole run ----------------------------------------------------------
     def run(self, epoch_id: int | None = None, etl_time: str | None = None) -> RunResult:
         """One batch run over the files chosen by listing and watermark."""
-        run_id, last_load = self.state()
+        run_id, last_load, _ = self.state()
         stage = Stage(self.spark, self.s.workflow_name, run_id)
         watermark = last_load.get("last_load_file_detail")
         self._last_load = last_load
@@ -348,10 +359,10 @@ class IngestionRun:
         reports = self._step(run_id, M.REPORT_STEP, lambda: self.email_step(stage, run_id, mv))
         status = _status_text(mv) if mv is not None else None
         if not self.s.keep_stage:
-            # Reports read from the stage are small by construction (one row
-            # per rule or column), so they are detached from it before the
-            # run's staged data is deleted; the others are local rows or read
-            # the run log, which stays.
+            # Reports read from the stage (one row per rule or column) are
+            # checkpointed to the shared folder before the run's staged data
+            # is deleted; the others are local rows or read the run log,
+            # which stays.
             reports = {k: _detach(v) if k in STAGE_REPORTS else v for k, v in reports.items()}
             stage.drop()
         return RunResult(run_id, epoch_id, dict(self.metrics), reports, status)
@@ -392,9 +403,15 @@ class IngestionRun:
         results: list[RunResult] = []
 
         def handle(batch: DataFrame, batch_id: int) -> None:
-            run_id, self._last_load = self.state()
+            # A micro-batch whose load succeeded but whose commit to the
+            # checkpoint did not (the driver died in between) is replayed
+            # with the same id on restart; the run log says it is loaded.
+            key = (checkpoint_location.rstrip("/"), int(batch_id))
+            run_id, self._last_load, done = self.state(stream_batch=key)
+            if done:
+                return
             stage = Stage(self.spark, self.s.workflow_name, run_id)
-            self.metrics = {"stream_batch_id": int(batch_id)}
+            self.metrics = {"stream_checkpoint": key[0], "stream_batch_id": key[1]}
             self.log.append(self.s.workflow_id, run_id, M.RUN_START, M.RUNNING)
 
             def read() -> None:
@@ -464,8 +481,10 @@ def report_table_name(source_details: dict) -> str:
 
 
 def _detach(df: DataFrame) -> DataFrame:
-    """Copy a report table whose size is bounded by the configuration."""
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+    """Cut a report table loose from the run's stage before the stage is
+    dropped: an eager checkpoint into the shared checkpoint folder, so no
+    rows pass through the driver."""
+    return df.checkpoint(eager=True)
 
 
 def run_report(log: DataFrame) -> DataFrame:
