@@ -166,29 +166,33 @@ class IngestionRun:
         src = self.s.source
         listing = D.list_files(self.spark, src.root)
         chosen = D.select_files(listing, src.file_location, watermark, collation=src.is_collation)
+        # the folder is scanned with the choice as a filter on the scan's file
+        # metadata: Spark skips the other files before reading, and no list
+        # of paths is built on the driver
         df = CSV.read_delimited(
             self.spark,
-            [f"{src.root.rstrip('/')}/{p}" for p in chosen.paths],
+            src.root,
             src.schema,
             header=src.first_row_is_header,
             delimiter=src.delimiter,
             encoding=src.file_encoding,
             timestamp_format=src.timestamp_format,
             corrupt_column=src.corrupt_column,
-        )
+            recursive=True,
+        ).where(chosen.scan_condition(src.root, self.spark))
         columns = list(src.columns or [c for c in df.columns if c != src.corrupt_column])
         if src.corrupt_column:
             columns.append(src.corrupt_column)
         # the source file of each row, for control-file counts; dropped
         # before anything downstream sees the rows
-        df = df.select(*columns, F.col("_metadata.file_name").alias(SOURCE_FILE))
+        df = df.select(*columns, D.scan_file_name().alias(SOURCE_FILE))
         if self.s.source_load_type == "increment" and self.s.increments:
             df = incremental_filter(df, self.s.increments)
         obs = Observation("read")
         stage.save(RAW, df.observe(obs, F.count(F.lit(1)).alias("rows")))
         rows = int(obs.get["rows"])
         self.metrics.update(
-            source_file_path=chosen.paths,
+            source_file_path=chosen.described,
             source_file_count=chosen.file_count,
             source_row_count=rows,
             source_column_count=len([c for c in columns if c != src.corrupt_column]),
@@ -389,7 +393,7 @@ class IngestionRun:
             path_glob=name_glob or None,
         )
         columns = list(src.columns or [c for c in stream.columns])
-        return stream.select(*columns, F.col("_metadata.file_name").alias(SOURCE_FILE))
+        return stream.select(*columns, D.scan_file_name().alias(SOURCE_FILE))
 
     def run_stream(
         self,

@@ -24,13 +24,16 @@ def read_delimited(
     timestamp_format: str = TIMESTAMP_FORMAT,
     corrupt_column: str | None = None,
     columns: Sequence[str] | None = None,
+    recursive: bool = False,
 ) -> DataFrame:
     """Read delimited files with an explicit schema (no inference).
 
     ``corrupt_column`` keeps the raw text of rows whose fields do not parse
     (it is added to the schema as a string); otherwise such fields become
     null, as Spark's permissive mode does.  ``columns`` selects the wanted
-    columns, which Catalyst prunes from the scan.
+    columns, which Catalyst prunes from the scan.  ``recursive`` reads every
+    file below the given folders (narrow it with a filter on ``_metadata``,
+    which Spark applies to the file list before reading).
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
@@ -47,6 +50,8 @@ def read_delimited(
     )
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     df = reader.load(list(paths) if not isinstance(paths, str) else paths)
     if columns:
         keep = list(columns) + ([corrupt_column] if corrupt_column and corrupt_column not in columns else [])

@@ -38,10 +38,27 @@ def list_files(spark: SparkSession, root: str, relative: bool = True) -> DataFra
     )
     if not relative:
         return raw
+    return raw.select(relative_key(F.col("path"), root).alias("path"), "last_modified")
+
+
+def relative_key(path: Column, root: str) -> Column:
+    """The part of a full file URI below ``root``."""
     marker = root.split("://", 1)[-1].lstrip("/").rstrip("/") + "/"
-    marker = marker.replace("'", "\\'")
-    key = F.expr(f"substr(path, instr(path, '{marker}') + {len(marker)})")
-    return raw.select(key.alias("path"), "last_modified")
+    return F.substr(path, F.instr(path, marker) + F.lit(len(marker)))
+
+
+def scan_file_path() -> Column:
+    """A file scan's ``_metadata.file_path`` in the form a listing gives it.
+
+    The scan's path is URI-encoded (a space is ``%20``, ``%`` is ``%25``, a
+    literal ``+`` stays); ``url_decode`` would read that ``+`` as a space, so
+    it is protected first."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def scan_file_name() -> Column:
+    """``_metadata.file_name``, decoded like ``scan_file_path``."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
 def blob_key(file_location: str) -> str:
@@ -108,9 +125,44 @@ def file_watermark(files: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class FileSelection:
-    paths: list[str]
-    watermark: str  # newest last_modified among the chosen files, as text
+    """The files of one run, as a condition rather than a list of paths.
+
+    Collation: the keys matching ``pattern`` modified after ``since`` and no
+    later than ``watermark`` (the newest chosen time, the next stored
+    watermark, so a file arriving after the choice waits for the next run).
+    Latest-file mode: the one key ``latest``.  ``files`` applies the
+    condition to a listing; ``scan_condition`` applies it to the hidden
+    ``_metadata`` of a file scan, where Spark uses it to skip files before
+    reading them, so no path list passes through the driver.
+    """
+
+    pattern: str
+    since: str | None  # stored watermark (exclusive), UTC wall-clock text
+    watermark: str  # newest chosen time (inclusive), UTC wall-clock text
     file_count: int
+    latest: str | None = None  # latest-file mode: the chosen key
+
+    def _condition(self, key: Column, modified_utc: Column) -> Column:
+        if self.latest is not None:
+            return key == F.lit(self.latest)
+        cond = glob_condition(self.pattern, key) & (modified_utc <= F.lit(self.watermark).cast("timestamp_ntz"))
+        if self.since:
+            cond = cond & (modified_utc > F.lit(self.since).cast("timestamp_ntz"))
+        return cond
+
+    def files(self, listing: DataFrame) -> DataFrame:
+        """The chosen rows of a (path, last_modified) listing."""
+        return listing.where(self._condition(F.col("path"), _utc(listing)))
+
+    def scan_condition(self, root: str, spark: SparkSession) -> Column:
+        """The same choice on a file scan of ``root`` (read recursively)."""
+        modified = utc_wall_clock(F.col("_metadata.file_modification_time"), spark)
+        return self._condition(relative_key(scan_file_path(), root), modified)
+
+    @property
+    def described(self) -> str:
+        """The chosen files in words for the run log: the key, or the pattern."""
+        return self.latest if self.latest is not None else self.pattern
 
 
 def select_files(
@@ -123,19 +175,22 @@ def select_files(
 
     ``collation``: all matching files newer than ``watermark``; otherwise the
     latest matching file, which must be newer than ``watermark``.  Raises
-    ``NoNewFileError`` when nothing qualifies.  Only the chosen paths (bounded
-    by the files of one run) and one aggregate row reach the driver.
+    ``NoNewFileError`` when nothing qualifies.  One aggregate row (newest
+    time, count, and in latest-file mode the one key) reaches the driver.
     """
     matched = match_glob(listing, pattern)
     chosen = new_files_since(matched, watermark) if collation else new_files_since(latest_file(matched), watermark)
-    agg = chosen.agg(
+    aggs = [
         F.date_format(_utc(chosen, F.max("last_modified")), WATERMARK_FORMAT).alias("wm"),
         F.count(F.lit(1)).alias("n"),
-        F.sort_array(F.collect_list("path")).alias("paths"),
-    ).first()
+    ]
+    if not collation:
+        aggs.append(F.max("path").alias("latest"))
+    agg = chosen.agg(*aggs).first()
     if not agg or agg["n"] == 0:
         raise NoNewFileError("Load from source failed: no new file has arrived")
-    return FileSelection(list(agg["paths"]), agg["wm"], int(agg["n"]))
+    latest = None if collation else agg["latest"]
+    return FileSelection(pattern, watermark or None, agg["wm"], int(agg["n"]), latest)
 
 
 def watermark_text(files: DataFrame) -> str | None:

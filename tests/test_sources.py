@@ -57,21 +57,63 @@ def test_latest_breaks_ties_by_path(spark, files):
 
 def test_collation_and_guards(spark, files):
     sel = D.select_files(files, "in/a_*.csv", watermark="2024-01-01 09:59:59.999999", collation=True)
-    assert sel.paths == ["in/a_1.csv", "in/a_2.csv", "in/a_3.csv"] and sel.file_count == 3
+    assert paths(sel.files(files)) == ["in/a_1.csv", "in/a_2.csv", "in/a_3.csv"] and sel.file_count == 3
     assert sel.watermark == "2024-01-01 10:00:00.500000"
     # exact times: a file half a second newer still counts
     sel = D.select_files(files, "in/a_*.csv", watermark="2024-01-01 10:00:00", collation=True)
-    assert sel.paths == ["in/a_3.csv"]
+    assert paths(sel.files(files)) == ["in/a_3.csv"]
     with pytest.raises(D.NoNewFileError):
         D.select_files(files, "in/a_*.csv", watermark="2024-01-01 10:00:00.5", collation=True)
     with pytest.raises(D.NoNewFileError):
         D.select_files(files, "in/a_*.csv", watermark="2024-01-01 10:00:00.5", collation=False)
     first = D.select_files(files, "in/a_*.csv", watermark=None, collation=False)
-    assert first.paths == ["in/a_3.csv"]
+    assert first.latest == "in/a_3.csv" and paths(first.files(files)) == ["in/a_3.csv"]
     with pytest.raises(D.NoNewFileError):
         D.select_files(listing(spark, []), "in/*", None)
 
 
+def _scan_files_read(df) -> int:
+    """Files the scan of ``df`` opened (its ``numFiles`` metric), after a run."""
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan()
+    stack, seen = [plan], 0
+    while stack:
+        node = stack.pop()
+        metrics = node.metrics()
+        if metrics.contains("numFiles"):
+            seen += metrics.apply("numFiles").value()
+        it = node.children().iterator()
+        while it.hasNext():
+            stack.append(it.next())
+    return seen
+
+
+def test_scan_reads_only_the_chosen_files(spark, tmp_dir):
+    root = f"{tmp_dir}/bucket"
+    os.makedirs(f"{root}/land ing/old")
+    now = time.time()
+    names = {"land ing/o_1.csv": -300, "land ing/o_2 x.csv": -100, "land ing/o_3+y%.csv": -50,
+             "land ing/old/o_0.csv": -400, "land ing/notes.txt": -10}
+    for i, (name, age) in enumerate(names.items()):
+        with open(f"{root}/{name}", "w") as fh:
+            fh.write("id|v\n" + "".join(f"{i * 10 + j}|{j}\n" for j in range(3)))
+        os.utime(f"{root}/{name}", (now + age, now + age))
+    listing = D.list_files(spark, root)
+    wm = D.watermark_text(listing.where(F.col("path") == "land ing/o_1.csv"))
+    sel = D.select_files(listing, "land ing/o_*.csv", watermark=wm, collation=True)
+    assert paths(sel.files(listing)) == ["land ing/o_2 x.csv", "land ing/o_3+y%.csv"]
+    df = CSV.read_delimited(spark, root, "id long, v long", recursive=True).where(sel.scan_condition(root, spark))
+    got = df.select("id", D.scan_file_name().alias("f"))
+    assert sorted({r["f"] for r in got.collect()}) == ["o_2 x.csv", "o_3+y%.csv"]
+    assert got.count() == 6
+    # the other three files are skipped before reading
+    assert _scan_files_read(got) == 2
+    latest = D.select_files(listing, "land ing/o_", watermark=None, collation=False)
+    assert latest.latest == "land ing/o_3+y%.csv" and latest.file_count == 1
+    one = CSV.read_delimited(spark, root, "id long, v long", recursive=True).where(latest.scan_condition(root, spark))
+    assert sorted(r["id"] for r in one.collect()) == [20, 21, 22] and _scan_files_read(one) == 1
+
+
 def test_list_files_reads_a_real_folder(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/in/sub")
     for name in ["in/a_1.csv", "in/a_2.csv", "in/sub/b.csv"]:

@@ -144,7 +144,7 @@ def test_latest_file_mode_transform_and_increments(spark, tmp_dir):
     )
     wf = IngestionRun(spark, s)
     r = wf.run(epoch_id=100)
-    assert r.metrics["source_file_path"] == ["landing/orders_2.csv"]
+    assert r.metrics["source_file_path"] == "landing/orders_2.csv"
     assert r.metrics["transformation_column_count"] == 3
     assert sorted((x["id"], x["amount"]) for x in spark.table(s.target.current).collect()) == [(2, 40.0), (3, 60.0)]
     assert r.metrics["increment_data"] == [{"key_column": "id", "consider_max_val": True, "value": "3"}]
