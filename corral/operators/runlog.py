@@ -55,7 +55,14 @@ def order_key(order: Sequence[str]) -> Column:
 
 
 class RunLog:
-    """The append-only run log table."""
+    """The append-only run log table, partitioned by ``workflow_id``.
+
+    Reads of one workflow (``frame(workflow_id)``) are partition-pruned, so a
+    run lists only its own workflow's folder however many workflows and runs
+    the log holds.  Each append is one small file; ``compact`` rewrites a
+    workflow's partition into few files."""
+
+    PARTITION = "workflow_id"
 
     def __init__(self, spark: SparkSession, table: str):
         self.spark = spark
@@ -64,10 +71,21 @@ class RunLog:
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.table)
 
-    def frame(self) -> DataFrame:
+    def frame(self, workflow_id: int | None = None) -> DataFrame:
         if not self.exists():
-            return self.spark.createDataFrame([], RUN_LOG_SCHEMA)
-        return self.spark.table(self.table)
+            df = self.spark.createDataFrame([], RUN_LOG_SCHEMA)
+        else:
+            df = self.spark.table(self.table)
+        if workflow_id is not None:
+            df = df.where(F.col("workflow_id") == F.lit(int(workflow_id)).cast("bigint"))
+        return df.select(*RUN_LOG_SCHEMA.fieldNames())
+
+    def _partition_columns(self) -> list[str]:
+        """Partitioning of the existing table (an older unpartitioned log is
+        appended to as it is); a new table is partitioned by workflow."""
+        if not self.exists():
+            return [self.PARTITION]
+        return [c.name for c in self.spark.catalog.listColumns(self.table) if c.isPartition]
 
     def append(
         self,
@@ -91,7 +109,33 @@ class RunLog:
             json.dumps(details or {}, default=str),
         )
         df = self.spark.createDataFrame([row], RUN_LOG_SCHEMA)
-        df.write.mode("append").format("parquet").saveAsTable(self.table)
+        writer = df.write.mode("append").format("parquet")
+        parts = self._partition_columns()
+        if parts:
+            writer = writer.partitionBy(*parts)
+        writer.saveAsTable(self.table)
+
+    def compact(self, workflow_id: int, rows_per_file: int = 1_000_000) -> int:
+        """Rewrite one workflow's records into ``ceil(rows / rows_per_file)``
+        files; returns the number of records.  The records are checkpointed
+        to the shared folder first (the table cannot be overwritten from a
+        plan that reads it), then only that partition is replaced."""
+        if self._partition_columns() != [self.PARTITION]:
+            raise ValueError(f"{self.table} is not partitioned by {self.PARTITION}")
+        records = self.frame(workflow_id).checkpoint(eager=True)
+        n = records.count()
+        if n == 0:
+            return 0
+        files = max(1, -(-n // int(rows_per_file)))
+        view = f"__run_log_compact_{abs(int(workflow_id))}"
+        records.drop(self.PARTITION).coalesce(files).createOrReplaceTempView(view)
+        cols = ", ".join(f"`{c}`" for c in RUN_LOG_SCHEMA.fieldNames() if c != self.PARTITION)
+        self.spark.sql(
+            f"INSERT OVERWRITE TABLE {self.table} PARTITION (`{self.PARTITION}` = {int(workflow_id)}) "
+            f"SELECT {cols} FROM `{view}`"
+        )
+        self.spark.catalog.dropTempView(view)
+        return n
 
 
 def next_run_id(log: DataFrame, workflows: DataFrame | None = None) -> DataFrame:

@@ -105,7 +105,7 @@ class IngestionRun:
 
     # -- state from the run log (one small aggregate row each) ---------------
     def _workflow_log(self) -> DataFrame:
-        return self.log.frame().where(F.col("workflow_id") == int(self.s.workflow_id))
+        return self.log.frame(self.s.workflow_id)
 
     def state(self, stream_batch: tuple[str, int] | None = None) -> tuple[int, dict, bool]:
         """Next run id, the run details of the newest successful load, and
@@ -292,9 +292,7 @@ class IngestionRun:
     def email_step(self, stage: Stage, run_id: int, mv: Q.MaterializedValidation | None) -> dict[str, DataFrame]:
         """The report tables of the run (the mail itself is not built)."""
         reports: dict[str, DataFrame] = {}
-        log = self.log.frame().where(
-            (F.col("workflow_id") == int(self.s.workflow_id)) & (F.col("run_id") == int(run_id))
-        )
+        log = self.log.frame(self.s.workflow_id).where(F.col("run_id") == int(run_id))
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         sched = self.s.schedule_start_time
         reports["job_status"] = run_report(log).select(

@@ -79,6 +79,28 @@ def test_run_log_table_append(spark):
     assert json.loads(rl.frame().where(F.col("step_completion_status") == M.FAILED).first()["run_details"])["error_log"] == "a b"
 
 
+def test_run_log_partitions_by_workflow_and_compacts(spark):
+    db = fresh_database(spark, "meta")
+    rl = M.RunLog(spark, f"{db}.run_log")
+    for run in range(1000, 1004):
+        rl.append(7, run, M.READ_STEP, M.SUCCESS, details={"source_row_count": run})
+        rl.append(7, run, M.LOAD_STEP, M.SUCCESS, details={"epoch_id": run})
+    rl.append(8, 1000, M.READ_STEP, M.FAILED)
+    one = rl.frame(7)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(workflow_id" in plan and "(workflow_id" in plan
+    assert one.columns == M.RUN_LOG_SCHEMA.fieldNames()
+    before = sorted(tuple(r) for r in one.collect())
+    assert len(one.inputFiles()) == 8 and len(rl.frame(8).inputFiles()) == 1
+    assert rl.compact(7) == 8
+    spark.catalog.refreshTable(f"{db}.run_log")
+    after = rl.frame(7)
+    assert sorted(tuple(r) for r in after.collect()) == before
+    assert len(after.inputFiles()) == 1
+    assert [r["step_completion_status"] for r in rl.frame(8).collect()] == [M.FAILED]
+    assert rl.compact(9) == 0
+
+
 def test_control_file_cases(spark):
     control = spark.createDataFrame([("f1", 2), ("f2", 5), ("f3", 1)], "file string, expected_count long")
     loaded = spark.createDataFrame([("f1",), ("f1",), ("f2",)], "file string")
