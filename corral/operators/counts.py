@@ -3,7 +3,9 @@ against a control file of expected counts per file."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The stored names of the three table checks.
@@ -56,15 +58,20 @@ def control_file_check(
     loaded: DataFrame,
     key: str,
     expected_col: str = "expected_count",
+    key_of_group: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Expected count per file key against the rows loaded per key.
 
     ``control`` has (key, expected_col); ``loaded`` is the loaded rows with a
     ``key`` column (for files, ``_metadata.file_name``).  The loaded side is
     aggregated (partially, before the shuffle) to one row per key before the
-    join, so only counts move.
+    join, so only counts move.  ``key_of_group`` maps each loaded key after
+    the aggregation (one call per key, not per row), e.g. to decode file
+    names kept in their encoded form.
     """
     actual = loaded.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("actual_count"))
+    if key_of_group is not None:
+        actual = actual.select(key_of_group(F.col("_k")).alias("_k"), "actual_count")
     joined = control.join(actual, control[key] == actual["_k"], "left")
     return joined.select(
         F.col(key).alias("file_key"),

@@ -67,6 +67,7 @@ class RunLog:
     def __init__(self, spark: SparkSession, table: str):
         self.spark = spark
         self.table = table
+        self._parts: list[str] | None = None
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.table)
@@ -83,9 +84,12 @@ class RunLog:
     def _partition_columns(self) -> list[str]:
         """Partitioning of the existing table (an older unpartitioned log is
         appended to as it is); a new table is partitioned by workflow."""
-        if not self.exists():
-            return [self.PARTITION]
-        return [c.name for c in self.spark.catalog.listColumns(self.table) if c.isPartition]
+        if self._parts is None:
+            if not self.exists():
+                return [self.PARTITION]
+            # looked up once: the column listing runs small jobs
+            self._parts = [c.name for c in self.spark.catalog.listColumns(self.table) if c.isPartition]
+        return self._parts
 
     def append(
         self,

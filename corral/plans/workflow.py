@@ -183,9 +183,10 @@ class IngestionRun:
         columns = list(src.columns or [c for c in df.columns if c != src.corrupt_column])
         if src.corrupt_column:
             columns.append(src.corrupt_column)
-        # the source file of each row, for control-file counts; dropped
-        # before anything downstream sees the rows
-        df = df.select(*columns, D.scan_file_name().alias(SOURCE_FILE))
+        # the source file of each row, for control-file counts, as the scan
+        # gives it (URI-encoded; decoded per file where it is compared);
+        # dropped before anything downstream sees the rows
+        df = df.select(*columns, F.col("_metadata.file_name").alias(SOURCE_FILE))
         if self.s.source_load_type == "increment" and self.s.increments:
             df = incremental_filter(df, self.s.increments)
         obs = Observation("read")
@@ -251,7 +252,7 @@ class IngestionRun:
             self.spark, control_path, "file_name string, expected_count bigint", delimiter=self.s.source.delimiter
         )
         loaded = stage.load(RAW).select(F.col(SOURCE_FILE).alias("file_name"))
-        result = K.control_file_check(control, loaded, "file_name")
+        result = K.control_file_check(control, loaded, "file_name", key_of_group=D.decode_uri_text)
         failed = result.where(~F.col(K.CONTROL_FILE_COUNT)).agg(F.count(F.lit(1))).first()[0]
         return failed == 0
 
@@ -391,7 +392,7 @@ class IngestionRun:
             path_glob=name_glob or None,
         )
         columns = list(src.columns or [c for c in stream.columns])
-        return stream.select(*columns, D.scan_file_name().alias(SOURCE_FILE))
+        return stream.select(*columns, F.col("_metadata.file_name").alias(SOURCE_FILE))
 
     def run_stream(
         self,

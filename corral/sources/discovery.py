@@ -8,6 +8,7 @@ never read and Spark lists large folders in parallel.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,18 +48,31 @@ def relative_key(path: Column, root: str) -> Column:
     return F.substr(path, F.instr(path, marker) + F.lit(len(marker)))
 
 
-def scan_file_path() -> Column:
-    """A file scan's ``_metadata.file_path`` in the form a listing gives it.
+def decode_uri_text(text: Column) -> Column:
+    """Undo the URI encoding of a scan's file path or name (a space is
+    ``%20``, ``%`` is ``%25``, a literal ``+`` stays).  ``url_decode`` would
+    read that ``+`` as a space, so it is protected first."""
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
 
-    The scan's path is URI-encoded (a space is ``%20``, ``%`` is ``%25``, a
-    literal ``+`` stays); ``url_decode`` would read that ``+`` as a space, so
-    it is protected first."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+def scan_file_path() -> Column:
+    """A file scan's ``_metadata.file_path`` in the form a listing gives it."""
+    return decode_uri_text(F.col("_metadata.file_path"))
 
 
 def scan_file_name() -> Column:
     """``_metadata.file_name``, decoded like ``scan_file_path``."""
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return decode_uri_text(F.col("_metadata.file_name"))
+
+
+# Characters a file URI keeps as they are.  When the root and the pattern
+# use only these, matching the encoded scan path gives the same answer as
+# matching the decoded one, and the per-row decoding is skipped.
+_URI_PLAIN = re.compile(r"[A-Za-z0-9._/*-]*")
+
+
+def _plain(text: str) -> bool:
+    return _URI_PLAIN.fullmatch(text) is not None
 
 
 def blob_key(file_location: str) -> str:
@@ -155,9 +169,17 @@ class FileSelection:
         return listing.where(self._condition(F.col("path"), _utc(listing)))
 
     def scan_condition(self, root: str, spark: SparkSession) -> Column:
-        """The same choice on a file scan of ``root`` (read recursively)."""
+        """The same choice on a file scan of ``root`` (read recursively).
+
+        Spark evaluates it once per file to skip files, and again on every
+        row read, so the row-level cost is kept low: the path is decoded only
+        when the root or the pattern has characters a URI encodes."""
         modified = utc_wall_clock(F.col("_metadata.file_modification_time"), spark)
-        return self._condition(relative_key(scan_file_path(), root), modified)
+        marker = root.split("://", 1)[-1].lstrip("/").rstrip("/")
+        chosen = self.latest if self.latest is not None else self.pattern
+        plain = _plain(marker) and _plain(chosen)
+        path = F.col("_metadata.file_path") if plain else scan_file_path()
+        return self._condition(relative_key(path, root), modified)
 
     @property
     def described(self) -> str:

@@ -167,8 +167,10 @@ def test_control_file_check(spark, tmp_dir):
     land = f"{tmp_dir}/landing"
     drop(land, "orders_1.csv", ["1|10|2024-01-01T10:00:00+0000|DE", "2|11|2024-01-01T10:00:00+0000|FR"])
     drop(land, "orders_2.csv", ["3|12|2024-01-01T10:00:00+0000|DE"])
+    # a name the scan reports URI-encoded: compared in its decoded form
+    drop(land, "orders_3 b+c%.csv", ["4|13|2024-01-01T10:00:00+0000|DE"])
     os.makedirs(f"{tmp_dir}/control")
-    for name, body in [("ok.csv", "file_name|expected_count\norders_1.csv|2\norders_2.csv|1\n"),
+    for name, body in [("ok.csv", "file_name|expected_count\norders_1.csv|2\norders_2.csv|1\norders_3 b+c%.csv|1\n"),
                        ("bad.csv", "file_name|expected_count\norders_1.csv|2\norders_2.csv|5\norders_9.csv|1\n")]:
         with open(f"{tmp_dir}/control/{name}", "w") as fh:
             fh.write(body)
