@@ -164,7 +164,7 @@ class IngestionRun:
     # -- steps ----------------------------------------------------------------
     def read_from_source(self, stage: Stage, watermark: str | None) -> None:
         src = self.s.source
-        listing = D.list_files(self.spark, src.root)
+        listing = D.list_files(self.spark, src.root, with_root=True)
         chosen = D.select_files(listing, src.file_location, watermark, collation=src.is_collation)
         # the folder is scanned with the choice as a filter on the scan's file
         # metadata: Spark skips the other files before reading, and no list

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +22,15 @@ from corral.functions.scalar import utc_wall_clock
 WATERMARK_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
+# Listing column with the full URI of the listed root (``with_root=True``).
+ROOT_URI = "root_uri"
+
+
 class NoNewFileError(RuntimeError):
     """Raised when no file is newer than the stored watermark."""
 
 
-def list_files(spark: SparkSession, root: str, relative: bool = True) -> DataFrame:
+def list_files(spark: SparkSession, root: str, relative: bool = True, with_root: bool = False) -> DataFrame:
     """(path, last_modified) of every file under ``root``, recursively.
 
     With ``relative`` the path is the key below ``root`` (as object-store keys
@@ -39,15 +44,27 @@ def list_files(spark: SparkSession, root: str, relative: bool = True) -> DataFra
     )
     if not relative:
         return raw
-    return raw.select(relative_key(F.col("path"), root).alias("path"), "last_modified")
+    extra = [root_uri(F.col("path"), root).alias(ROOT_URI)] if with_root else []
+    return raw.select(relative_key(F.col("path"), root).alias("path"), "last_modified", *extra)
+
+
+def _marker(root: str) -> str:
+    return root.split("://", 1)[-1].lstrip("/").rstrip("/") + "/"
 
 
 def relative_key(path: Column, root: str) -> Column:
     """The part of a full file URI below ``root``."""
-    marker = root.split("://", 1)[-1].lstrip("/").rstrip("/") + "/"
+    marker = _marker(root)
     return F.substr(path, F.instr(path, marker) + F.lit(len(marker)))
 
 
+def root_uri(path: Column, root: str) -> Column:
+    """The part of a full file URI up to and including ``root``, as the file
+    system qualified it (scheme, authority), with a closing ``/``."""
+    marker = _marker(root)
+    return F.substr(path, F.lit(1), F.instr(path, marker) + F.lit(len(marker) - 1))
+
+
 def decode_uri_text(text: Column) -> Column:
     """Undo the URI encoding of a scan's file path or name (a space is
     ``%20``, ``%`` is ``%25``, a literal ``+`` stays).  ``url_decode`` would
@@ -65,16 +82,21 @@ def scan_file_name() -> Column:
     return decode_uri_text(F.col("_metadata.file_name"))
 
 
-# Characters a file URI keeps as they are.  When the root and the pattern
+# Characters a file URI keeps as they are (a fixed subset of the ones
+# java.net.URI leaves unquoted in a path).  When the root and the pattern
 # use only these, matching the encoded scan path gives the same answer as
 # matching the decoded one, and the per-row decoding is skipped.
-_URI_PLAIN = re.compile(r"[A-Za-z0-9._/*-]*")
+_URI_PLAIN = re.compile(r"[A-Za-z0-9._/*=@-]*")
 
 
 def _plain(text: str) -> bool:
     return _URI_PLAIN.fullmatch(text) is not None
 
 
+# A qualified root may also hold the scheme's and the port's ``:``.
+_URI_PLAIN_ROOT = re.compile(r"[A-Za-z0-9._/=@:-]*")
+
+
 def blob_key(file_location: str) -> str:
     """Drop the first segment (the container) of a configured location."""
     parts = file_location.split("/")
@@ -100,6 +122,23 @@ def glob_condition(pattern: str, path: Column | str = "path") -> Column:
     return p.rlike("^" + ".*".join(quoted) + "$")
 
 
+def _glob_below(pattern: str, prefix: str, path: Column) -> Column:
+    """``glob_condition(pattern)`` on the key below ``prefix``, evaluated on
+    the full ``path`` (which starts with ``prefix``) without cutting the key
+    out: prefix tests, suffix tests and one length test, no substring."""
+    if "*" not in pattern:
+        return path.startswith(prefix + pattern)
+    parts = pattern.split("*")
+    if len(parts) == 2:
+        head, tail = parts
+        cond = path.startswith(prefix + head)
+        if tail:
+            # the key ends with tail: so does the path, and the key is long enough
+            cond = cond & path.endswith(tail) & (F.length(path) >= F.lit(len(prefix) + len(tail)))
+        return cond
+    return glob_condition(prefix + pattern, path)
+
+
 def match_glob(listing: DataFrame, pattern: str) -> DataFrame:
     return listing.where(glob_condition(pattern))
 
@@ -155,15 +194,33 @@ class FileSelection:
     watermark: str  # newest chosen time (inclusive), UTC wall-clock text
     file_count: int
     latest: str | None = None  # latest-file mode: the chosen key
+    root_uri: str | None = None  # qualified URI of the listed root, when the listing had it
 
     def _condition(self, key: Column, modified_utc: Column) -> Column:
         if self.latest is not None:
             return key == F.lit(self.latest)
-        cond = glob_condition(self.pattern, key) & (modified_utc <= F.lit(self.watermark).cast("timestamp_ntz"))
+        return self._condition_on(glob_condition(self.pattern, key), modified_utc)
+
+    def _condition_on(self, matched: Column, modified_utc: Column) -> Column:
+        cond = matched & (modified_utc <= F.lit(self.watermark).cast("timestamp_ntz"))
         if self.since:
             cond = cond & (modified_utc > F.lit(self.since).cast("timestamp_ntz"))
         return cond
 
+    def _scan_window(self, matched: Column, spark: SparkSession) -> Column:
+        """The time window on the scan's modification time (an instant):
+        compared with the bounds as instants, parsed once here, so no row
+        goes through a zone conversion.  Bounds in a form Python cannot
+        parse fall back to converting each row's time."""
+        bounds = [_utc_instant(self.watermark)] + ([_utc_instant(self.since)] if self.since else [])
+        modified = F.col("_metadata.file_modification_time")
+        if any(b is None for b in bounds):
+            return self._condition_on(matched, utc_wall_clock(modified, spark))
+        cond = matched & (modified <= F.lit(bounds[0]))
+        if self.since:
+            cond = cond & (modified > F.lit(bounds[1]))
+        return cond
+
     def files(self, listing: DataFrame) -> DataFrame:
         """The chosen rows of a (path, last_modified) listing."""
         return listing.where(self._condition(F.col("path"), _utc(listing)))
@@ -172,14 +229,23 @@ class FileSelection:
         """The same choice on a file scan of ``root`` (read recursively).
 
         Spark evaluates it once per file to skip files, and again on every
-        row read, so the row-level cost is kept low: the path is decoded only
-        when the root or the pattern has characters a URI encodes."""
-        modified = utc_wall_clock(F.col("_metadata.file_modification_time"), spark)
-        marker = root.split("://", 1)[-1].lstrip("/").rstrip("/")
+        row read, so the row-level cost is kept low.  When the root and the
+        pattern have no character a URI encodes, the scan path is used as it
+        is; with the qualified root from the listing (``with_root=True``) the
+        key is then matched through prefix and suffix tests on the whole
+        path, with no search or substring per row.  Otherwise the path is
+        decoded and the key cut out."""
         chosen = self.latest if self.latest is not None else self.pattern
-        plain = _plain(marker) and _plain(chosen)
-        path = F.col("_metadata.file_path") if plain else scan_file_path()
-        return self._condition(relative_key(path, root), modified)
+        plain = _plain(_marker(root)) and _plain(chosen)
+        if plain and self.root_uri and _URI_PLAIN_ROOT.fullmatch(self.root_uri):
+            path = F.col("_metadata.file_path")
+            if self.latest is not None:
+                return path == F.lit(self.root_uri + self.latest)
+            return self._scan_window(_glob_below(self.pattern, self.root_uri, path), spark)
+        key = relative_key(F.col("_metadata.file_path") if plain else scan_file_path(), root)
+        if self.latest is not None:
+            return key == F.lit(self.latest)
+        return self._scan_window(glob_condition(self.pattern, key), spark)
 
     @property
     def described(self) -> str:
@@ -187,6 +253,16 @@ class FileSelection:
         return self.latest if self.latest is not None else self.pattern
 
 
+def _utc_instant(text: str) -> datetime | None:
+    """UTC wall-clock text (``WATERMARK_FORMAT`` or another ISO form) as an
+    aware datetime, which Spark takes as that exact instant."""
+    try:
+        parsed = datetime.fromisoformat(text)
+    except ValueError:
+        return None
+    return None if parsed.tzinfo is not None else parsed.replace(tzinfo=timezone.utc)
+
+
 def select_files(
     listing: DataFrame,
     pattern: str,
@@ -208,11 +284,14 @@ def select_files(
     ]
     if not collation:
         aggs.append(F.max("path").alias("latest"))
+    if ROOT_URI in listing.columns:
+        aggs.append(F.min(ROOT_URI).alias(ROOT_URI))
     agg = chosen.agg(*aggs).first()
     if not agg or agg["n"] == 0:
         raise NoNewFileError("Load from source failed: no new file has arrived")
     latest = None if collation else agg["latest"]
-    return FileSelection(pattern, watermark or None, agg["wm"], int(agg["n"]), latest)
+    root = agg[ROOT_URI] if ROOT_URI in listing.columns else None
+    return FileSelection(pattern, watermark or None, agg["wm"], int(agg["n"]), latest, root)
 
 
 def watermark_text(files: DataFrame) -> str | None:

@@ -114,6 +114,36 @@ def test_scan_reads_only_the_chosen_files(spark, tmp_dir):
     assert sorted(r["id"] for r in one.collect()) == [20, 21, 22] and _scan_files_read(one) == 1
 
 
+def test_scan_condition_with_qualified_root_matches_the_key_form(spark, tmp_dir):
+    root = f"{tmp_dir}/plain"
+    os.makedirs(f"{root}/land/sub")
+    now = time.time()
+    names = {"land/o_1.csv": -300, "land/o_2.csv": -100, "land/sub/o_3.csv": -50,
+             "land/x.csv": -10, "land/o_4.txt": -20, "land/ab.csv": -30, "x.csv": -40}
+    for i, (name, age) in enumerate(names.items()):
+        with open(f"{root}/{name}", "w") as fh:
+            fh.write("id|v\n" + "".join(f"{i * 10 + j}|{j}\n" for j in range(3)))
+        os.utime(f"{root}/{name}", (now + age, now + age))
+    listing = D.list_files(spark, root, with_root=True)
+    assert listing.columns == ["path", "last_modified", D.ROOT_URI]
+    df = CSV.read_delimited(spark, root, "id long, v long", recursive=True)
+    # "land/a*b.csv": head and tail overlap in "land/ab.csv"; "*/x.csv" needs the length test
+    for pattern, collation in [("land/o_*.csv", True), ("land/*/o_3.csv", True), ("land/o_", False),
+                               ("land/*", True), ("land/*o_*.csv", True), ("land/a*b.csv", True),
+                               ("land/*.csv", True)]:
+        sel = D.select_files(listing, pattern, None, collation=collation)
+        assert sel.root_uri and sel.root_uri.endswith("/plain/")
+        fast = sel.scan_condition(root, spark)
+        assert "instr" not in str(fast).lower()
+        key_form = D.FileSelection(sel.pattern, sel.since, sel.watermark, sel.file_count, sel.latest)
+        got = sorted(r["id"] for r in df.where(fast).collect())
+        assert got == sorted(r["id"] for r in df.where(key_form.scan_condition(root, spark)).collect())
+        assert len(got) == 3 * sel.file_count
+    # the root-level "x.csv" is shorter than the tail "/x.csv": not chosen
+    sel = D.select_files(listing, "*/x.csv", None, collation=True)
+    assert sel.file_count == 1 and sorted(r["id"] for r in df.where(sel.scan_condition(root, spark)).collect()) == [30, 31, 32]
+
+
 def test_list_files_reads_a_real_folder(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/in/sub")
     for name in ["in/a_1.csv", "in/a_2.csv", "in/sub/b.csv"]:
