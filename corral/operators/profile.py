@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import LongType, NumericType, StringType, StructField, StructType
 
 
 def profile_columns(
@@ -33,37 +33,80 @@ def profile_columns(
     very wide or very large tables.
     """
     cols = list(columns or df.columns)
-    simple = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(cols):
+    simple = _simple_rows(df.agg(*simple_metrics(cols)), cols)
+    return _merge(simple, _distinct_rows(df, cols, exact_distinct, relative_sd))
+
+
+def simple_metrics(columns: Sequence[str]) -> list[Column]:
+    """The aggregates of the first part of a profile (rows, non-null counts,
+    min and max as text).  They are plain aggregates, so they can also be
+    collected with ``Dataset.observe`` on a pass that happens anyway, such as
+    the write of the validated rows."""
+    out = [F.count(F.lit(1)).alias(_ROWS)]
+    for i, c in enumerate(columns):
         col = F.col(c)
-        simple += [
-            F.count(col).alias(f"_nn{i}"),
-            F.min(col).cast("string").alias(f"_min{i}"),
-            F.max(col).cast("string").alias(f"_max{i}"),
+        out += [
+            F.count(col).alias(f"{_P}nn{i}"),
+            F.min(col).cast("string").alias(f"{_P}min{i}"),
+            F.max(col).cast("string").alias(f"{_P}max{i}"),
         ]
-    if exact_distinct:
-        distinct = [F.count_distinct(F.col(c)).alias(f"_d{i}") for i, c in enumerate(cols)]
-    else:
-        distinct = [F.approx_count_distinct(F.col(c), relative_sd).alias(f"_d{i}") for i, c in enumerate(cols)]
-    null_long, null_str = F.lit(None).cast("bigint"), F.lit(None).cast("string")
-    a = df.agg(*simple).select(
+    return out
+
+
+def profile_with_observed(
+    df: DataFrame,
+    observed: dict,
+    columns: Sequence[str] | None = None,
+    exact_distinct: bool = True,
+    relative_sd: float = 0.01,
+) -> DataFrame:
+    """``profile_columns`` when the ``simple_metrics`` of ``df`` were already
+    observed (``observed`` holds them by name): only the distinct counts are
+    computed, in one aggregate over ``df``."""
+    cols = list(columns or df.columns)
+    fields = [StructField(_ROWS, LongType())] + [
+        StructField(f"{_P}{m}{i}", LongType() if m == "nn" else StringType())
+        for i in range(len(cols))
+        for m in ("nn", "min", "max")
+    ]
+    wide = df.sparkSession.createDataFrame([tuple(observed[f.name] for f in fields)], StructType(fields))
+    return _merge(_simple_rows(wide, cols), _distinct_rows(df, cols, exact_distinct, relative_sd))
+
+
+# Names of the observed profile aggregates (prefixed so they never clash
+# with other metrics collected in the same pass).
+_P = "_prof_"
+_ROWS = _P + "rows"
+
+
+def _simple_rows(wide: DataFrame, cols: list[str]) -> DataFrame:
+    null_long = F.lit(None).cast("bigint")
+    return wide.select(
         F.inline(
             F.array(
                 *[
                     F.struct(
                         F.lit(c).alias("column_name"),
-                        F.col("_rows").alias("row_count"),
-                        (F.col("_rows") - F.col(f"_nn{i}")).alias("null_count"),
+                        F.col(_ROWS).alias("row_count"),
+                        (F.col(_ROWS) - F.col(f"{_P}nn{i}")).alias("null_count"),
                         null_long.alias("distinct_count"),
-                        F.col(f"_min{i}").alias("min_value"),
-                        F.col(f"_max{i}").alias("max_value"),
+                        F.col(f"{_P}min{i}").alias("min_value"),
+                        F.col(f"{_P}max{i}").alias("max_value"),
                     )
                     for i, c in enumerate(cols)
                 ]
             )
         )
     )
-    b = df.agg(*distinct).select(
+
+
+def _distinct_rows(df: DataFrame, cols: list[str], exact: bool, relative_sd: float) -> DataFrame:
+    if exact:
+        distinct = [F.count_distinct(F.col(c)).alias(f"_d{i}") for i, c in enumerate(cols)]
+    else:
+        distinct = [F.approx_count_distinct(F.col(c), relative_sd).alias(f"_d{i}") for i, c in enumerate(cols)]
+    null_long, null_str = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    return df.agg(*distinct).select(
         F.inline(
             F.array(
                 *[
@@ -80,14 +123,16 @@ def profile_columns(
             )
         )
     )
-    merged = a.unionByName(b).groupBy("column_name").agg(
+
+
+def _merge(simple: DataFrame, distinct: DataFrame) -> DataFrame:
+    return simple.unionByName(distinct).groupBy("column_name").agg(
         F.max("row_count").alias("row_count"),
         F.max("null_count").alias("null_count"),
         F.max("distinct_count").alias("distinct_count"),
         F.max("min_value").alias("min_value"),
         F.max("max_value").alias("max_value"),
     )
-    return merged
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 4) -> DataFrame:

@@ -138,18 +138,27 @@ class Validation:
         )
 
     # -- write once -----------------------------------------------------------
-    def materialize(self, location: str | None = None, stage=None, kind: str = "dq") -> "MaterializedValidation":
+    def materialize(
+        self,
+        location: str | None = None,
+        stage=None,
+        kind: str = "dq",
+        extra_metrics: Sequence[Column] = (),
+    ) -> "MaterializedValidation":
         """Write the tagged rows once, partitioned by verdict, and collect the
         per-rule counts, the good-row count and the quarantine and fail-job
         counts with ``observe`` in the same job.  Writes to a parquet
-        ``location`` or to ``stage`` (a ``corral.sources.stage.Stage``)."""
+        ``location`` or to ``stage`` (a ``corral.sources.stage.Stage``).
+        ``extra_metrics`` are more named aggregates over the input rows to
+        collect in the same pass (e.g. ``profile.simple_metrics``); they are
+        in ``metrics`` by name."""
         obs = Observation("dq_counts")
         exprs = self._count_exprs() + [
             F.count(F.lit(1)).alias("rows"),
             F.count_if(~F.col(_BAD)).alias("good_rows"),
             F.count_if(self._has_action(QUARANTINE)).alias("quarantined_rows"),
             F.count_if(self._has_action(FAILJOB)).alias("failjob_rows"),
-        ]
+        ] + list(extra_metrics)
         out = self.tagged.observe(obs, *exprs).select(
             *self.columns,
             ACTION,

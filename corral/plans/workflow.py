@@ -29,7 +29,7 @@ from corral.operators import counts as K
 from corral.operators import quality as Q
 from corral.operators import runlog as M
 from corral.operators.increments import IncrementSetting, advance, incremental_filter
-from corral.operators.profile import profile_columns, profile_report
+from corral.operators.profile import profile_columns, profile_report, profile_with_observed, simple_metrics
 from corral.operators.target import TargetSettings, TargetTables, epoch_now
 from corral.operators.transform import Step, apply_transformations
 from corral.plans import reports as RP
@@ -102,6 +102,7 @@ class IngestionRun:
         self.targets = TargetTables(spark, settings.target)
         self.metrics: dict = {}
         self._last_load: dict | None = None
+        self._profile_observed: tuple[list[str], dict] | None = None
 
     # -- state from the run log (one small aggregate row each) ---------------
     def _workflow_log(self) -> DataFrame:
@@ -214,8 +215,14 @@ class IngestionRun:
         return stage.load(INTERMEDIATE) if stage.exists(INTERMEDIATE) else self._raw(stage)
 
     def dq_check(self, stage: Stage) -> Q.MaterializedValidation:
-        v = Q.validate(self._input(stage), self.s.rules)
-        mv = v.materialize(stage=stage, kind=DQ)
+        data = self._input(stage)
+        v = Q.validate(data, self.s.rules)
+        # the profile's rows, null counts, min and max are taken in this
+        # pass too, so the profile step reads the input only for distinct counts
+        extra = simple_metrics(data.columns) if self.s.profile else []
+        mv = v.materialize(stage=stage, kind=DQ, extra_metrics=extra)
+        if self.s.profile:
+            self._profile_observed = (list(data.columns), mv.metrics)
         stage.save(DQ_VALIDATION, mv.summary)
         self.metrics.update(
             dq_row_count=mv.good_count,
@@ -257,7 +264,13 @@ class IngestionRun:
         return failed == 0
 
     def data_profiling(self, stage: Stage) -> None:
-        stage.save(DATA_PROFILE, profile_columns(self._input(stage)))
+        data = self._input(stage)
+        observed = self._profile_observed
+        if observed is not None and observed[0] == list(data.columns):
+            profile = profile_with_observed(data, observed[1])
+        else:
+            profile = profile_columns(data)
+        stage.save(DATA_PROFILE, profile)
 
     def write_to_target(self, stage: Stage, mv: Q.MaterializedValidation | None, epoch_id: int, etl_time: str) -> None:
         last_load = self._last_load if self._last_load is not None else self.last_load_details()
@@ -351,6 +364,7 @@ class IngestionRun:
         previous = self._last_load.get("epoch_id") if self._last_load else None
         epoch_id = next_epoch(previous, epoch_id)
         etl_time = etl_time or audit_time_text()
+        self._profile_observed = None
         if self.s.transformations:
             self._step(run_id, M.TRANSFORM_STEP, lambda: self.transformation_step(stage))
         mv = None

@@ -125,6 +125,29 @@ def test_profile_with_nulls(spark):
     assert P.profile_report(P.profile_columns(df).withColumn("action", F.lit("x"))).columns[-1] == "max_value"
 
 
+def test_profile_from_observed_validation_pass(spark, tmp_path):
+    """Rows, nulls, min and max observed while the validated rows are written
+    give the same profile as the two-aggregate form, with one read fewer."""
+    from corral.functions import rules as R
+    from corral.operators import quality as Q
+
+    df = spark.createDataFrame(
+        [(1, "b", "2024-01-02 03:04:05"), (None, "a", None), (3, None, "2023-12-31 23:59:59"), (3, "b", None)],
+        "x int, y string, t string",
+    ).withColumn("t", F.col("t").cast("timestamp"))
+    mv = Q.validate(df, [R.not_null("x", action="quarantine")]).materialize(
+        location=str(tmp_path / "dq"), extra_metrics=P.simple_metrics(df.columns)
+    )
+    assert mv.good_count == 3
+    key = lambda rows: sorted(tuple(r) for r in rows)
+    assert key(P.profile_with_observed(df, mv.metrics).collect()) == key(P.profile_columns(df).collect())
+    empty = df.where(F.lit(False))
+    mv0 = Q.validate(empty, [R.not_null("x")]).materialize(
+        location=str(tmp_path / "dq0"), extra_metrics=P.simple_metrics(empty.columns)
+    )
+    assert key(P.profile_with_observed(empty, mv0.metrics).collect()) == key(P.profile_columns(empty).collect())
+
+
 def test_increments(spark):
     df = spark.createDataFrame([(1, 10), (5, 20)], "k long, v long")
     settings = [I.IncrementSetting("k"), I.IncrementSetting("v", consider_max_val=False, value="15")]
