@@ -144,11 +144,17 @@ class TargetTables:
         _write(cur, self.s.history, "append")
         return True
 
-    def write_current(self, stamped: DataFrame) -> int:
-        """Overwrite ``current``; returns the written row count, observed
-        during the write itself."""
+    def write_current(self, staged: DataFrame, epoch_id: int, etl_time: str | None = None) -> int:
+        """Stamp ``staged`` and overwrite ``current``; returns the written row
+        count, observed during the write itself.
+
+        The count is observed below the stamp: ``epoch_id`` is then a constant
+        right under the write, so Spark drops the per-partition sort a
+        partitioned write asks for.  An observation between the constant and
+        the write hides it, and every row would be sorted by a constant."""
         obs = Observation("target_rows")
-        _write(stamped.observe(obs, F.count(F.lit(1)).alias("rows")), self.s.current, "overwrite")
+        stamped = stamp(staged.observe(obs, F.count(F.lit(1)).alias("rows")), epoch_id, etl_time)
+        _write(stamped, self.s.current, "overwrite")
         return int(obs.get["rows"])
 
     def load(
@@ -160,7 +166,6 @@ class TargetTables:
     ) -> LoadResult:
         """Stamp ``staged`` and load it; archive the previous epoch first."""
         epoch_id = epoch_now() if epoch_id is None else int(epoch_id)
-        stamped = stamp(staged, epoch_id, etl_time)
         prev = previous_epoch if previous_epoch is not None else self.current_epoch()
         if prev is not None and epoch_id <= prev:
             # history keys archived rows by epoch: a repeated epoch would make
@@ -170,8 +175,8 @@ class TargetTables:
         if prev is not None and self.current_exists():
             self.archive(prev)
             archived = prev
-        rows = self.write_current(stamped)
-        return LoadResult(epoch_id, rows, len(stamped.columns), archived)
+        rows = self.write_current(staged, epoch_id, etl_time)
+        return LoadResult(epoch_id, rows, len(stamp(staged, epoch_id, etl_time).columns), archived)
 
     def write_quarantine(
         self,
