@@ -165,14 +165,17 @@ class IngestionRun:
     # -- steps ----------------------------------------------------------------
     def read_from_source(self, stage: Stage, watermark: str | None) -> None:
         src = self.s.source
-        listing = D.list_files(self.spark, src.root, with_root=True)
+        # only the pattern's folder is listed and scanned (keys stay relative
+        # to the root)
+        folder = D.pattern_folder(src.file_location)
+        listing = D.list_files(self.spark, src.root, with_root=True, folder=folder)
         chosen = D.select_files(listing, src.file_location, watermark, collation=src.is_collation)
         # the folder is scanned with the choice as a filter on the scan's file
         # metadata: Spark skips the other files before reading, and no list
         # of paths is built on the driver
         df = CSV.read_delimited(
             self.spark,
-            src.root,
+            D.join_key(src.root, folder),
             src.schema,
             header=src.first_row_is_header,
             delimiter=src.delimiter,

@@ -12,9 +12,10 @@ import re
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from corral.functions.scalar import utc_wall_clock
 
@@ -30,24 +31,53 @@ class NoNewFileError(RuntimeError):
     """Raised when no file is newer than the stored watermark."""
 
 
-def list_files(spark: SparkSession, root: str, relative: bool = True, with_root: bool = False) -> DataFrame:
+def list_files(
+    spark: SparkSession,
+    root: str,
+    relative: bool = True,
+    with_root: bool = False,
+    folder: str = "",
+) -> DataFrame:
     """(path, last_modified) of every file under ``root``, recursively.
 
     With ``relative`` the path is the key below ``root`` (as object-store keys
-    are below a container); otherwise the full URI.
+    are below a container); otherwise the full URI.  ``folder`` (a key
+    prefix ending at a ``/``, see ``pattern_folder``) lists only below
+    ``root/folder``; keys stay relative to ``root``, and a missing folder
+    is an empty listing.
     """
-    raw = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", F.col("modificationTime").alias("last_modified"))
-    )
+    location = join_key(root, folder)
+    try:
+        raw = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .load(location)
+            .select("path", F.col("modificationTime").alias("last_modified"))
+        )
+    except AnalysisException as e:
+        if not folder or (e.getCondition() or "") != "PATH_NOT_FOUND":
+            raise
+        raw = spark.createDataFrame(
+            [], StructType([StructField("path", StringType()), StructField("last_modified", TimestampType())])
+        )
     if not relative:
         return raw
     extra = [root_uri(F.col("path"), root).alias(ROOT_URI)] if with_root else []
     return raw.select(relative_key(F.col("path"), root).alias("path"), "last_modified", *extra)
 
 
+def pattern_folder(pattern: str) -> str:
+    """The deepest folder every key matching ``pattern`` lies in: the text
+    before the first ``*`` up to its last ``/`` (``''`` for the root).  A
+    run lists and scans only there, as a prefix listing of the pattern would,
+    instead of every feed under a shared landing root."""
+    return pattern.split("*", 1)[0].rpartition("/")[0]
+
+
+def join_key(root: str, folder: str) -> str:
+    return f"{root.rstrip('/')}/{folder}" if folder else root
+
+
 def _marker(root: str) -> str:
     return root.split("://", 1)[-1].lstrip("/").rstrip("/") + "/"
 

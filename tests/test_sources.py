@@ -144,6 +144,27 @@ def test_scan_condition_with_qualified_root_matches_the_key_form(spark, tmp_dir)
     assert sel.file_count == 1 and sorted(r["id"] for r in df.where(sel.scan_condition(root, spark)).collect()) == [30, 31, 32]
 
 
+def test_run_lists_only_the_pattern_folder(spark, tmp_dir):
+    root = f"{tmp_dir}/shared"
+    for name in ["feed_a/a_1.csv", "feed_a/old/a_0.csv", "feed_b/b_1.csv", "top.csv"]:
+        os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
+        with open(f"{root}/{name}", "w") as fh:
+            fh.write("id|v\n1|2\n")
+    assert [D.pattern_folder(p) for p in ["feed_a/a_*.csv", "feed_a/a_", "*.csv", "feed_a/*/x*.csv"]] == [
+        "feed_a", "feed_a", "", "feed_a"]
+    listing = D.list_files(spark, root, with_root=True, folder="feed_a")
+    # keys stay relative to the root; other feeds are not listed
+    assert paths(listing) == ["feed_a/a_1.csv", "feed_a/old/a_0.csv"]
+    sel = D.select_files(listing, "feed_a/a_*.csv", None, collation=True)
+    assert sel.file_count == 1 and sel.root_uri.endswith("/shared/")
+    df = CSV.read_delimited(spark, D.join_key(root, "feed_a"), "id long, v long", recursive=True)
+    assert df.where(sel.scan_condition(root, spark)).count() == 1
+    # a folder that does not exist holds no new file
+    assert D.list_files(spark, root, folder="feed_c").count() == 0
+    with pytest.raises(D.NoNewFileError):
+        D.select_files(D.list_files(spark, root, with_root=True, folder="feed_c"), "feed_c/c_*.csv", None, True)
+
+
 def test_list_files_reads_a_real_folder(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/in/sub")
     for name in ["in/a_1.csv", "in/a_2.csv", "in/sub/b.csv"]:
