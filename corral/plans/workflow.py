@@ -187,10 +187,11 @@ class IngestionRun:
         columns = list(src.columns or [c for c in df.columns if c != src.corrupt_column])
         if src.corrupt_column:
             columns.append(src.corrupt_column)
-        # the source file of each row, for control-file counts, as the scan
-        # gives it (URI-encoded; decoded per file where it is compared);
-        # dropped before anything downstream sees the rows
-        df = df.select(*columns, F.col("_metadata.file_name").alias(SOURCE_FILE))
+        # the source file of each row, only when a control-file count needs
+        # it, as the scan gives it (URI-encoded; decoded per file where it is
+        # compared); dropped before anything downstream sees the rows
+        source_file = [F.col("_metadata.file_name").alias(SOURCE_FILE)] if self._counts_per_file() else []
+        df = df.select(*columns, *source_file)
         if self.s.source_load_type == "increment" and self.s.increments:
             df = incremental_filter(df, self.s.increments)
         obs = Observation("read")
@@ -254,6 +255,13 @@ class IngestionRun:
             out[K.CONTROL_FILE_COUNT] = self._control_file_check(stage, control)
         return out
 
+    def _counts_per_file(self) -> bool:
+        """A control-file count check is configured (it needs each row's file)."""
+        return any(
+            K.CONTROL_FILE_COUNT in {n.lower() for n in c.get("subStrategy", [])} and c.get("control_file")
+            for c in self.s.table_checks or []
+        )
+
     def _control_file_check(self, stage: Stage, control_path: str) -> bool:
         """Expected rows per source file (a delimited control file of
         file_name|expected_count) against the rows read from each file; the
