@@ -79,7 +79,11 @@ def test_runs_load_archive_and_guard(spark, tmp_dir):
     assert tuple(st) == ("orders_*", Q.STATUS_PASSED_QUARANTINE, "No", "No")
     assert tuple(r1.reports["dq_counts"].first()) == (3, 2, 1)
     assert r1.reports["dq_summary"].count() == 2
-    assert {r["column_name"] for r in r1.reports["profile"].collect()} == {"id", "amount", "ts", "country"}
+    prof = {r["column_name"]: r for r in r1.reports["profile"].collect()}
+    assert set(prof) == {"id", "amount", "ts", "country"}
+    # rows, nulls, min and max come from the validation pass, distinct counts from their own aggregate
+    assert [tuple(prof[c])[1:] for c in ("id", "amount", "country")] == [
+        (3, 0, 3, "1", "3"), (3, 0, 3, "-1.0", "10.0"), (3, 0, 3, "DE", "US")]
     assert {r["check_name"] for r in r1.reports["count_alerts"].collect()} == {K.TABLE_COUNT}
     # the stage of a successful run is dropped
     assert not spark.catalog.databaseExists("stage_orders_feed_1000")
