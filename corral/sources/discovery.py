@@ -123,6 +123,16 @@ def _plain(text: str) -> bool:
     return _URI_PLAIN.fullmatch(text) is not None
 
 
+def _same_on_encoded(pattern: str) -> bool:
+    """Matching a plain ``pattern`` against encoded keys gives the decoded
+    answer.  A part after a ``*`` may match anywhere, so it could start
+    inside an escape (``%20b.csv`` ends with ``20b.csv``, while ``" b.csv"``
+    does not): that cannot happen when no such part starts with a hex
+    digit as escapes write them (``java.net.URI`` quotes with upper-case
+    hex).  The first part is anchored at the start and is safe."""
+    return all(not part or part[0] not in "0123456789ABCDEF" for part in pattern.split("*")[1:])
+
+
 # A qualified root may also hold the scheme's and the port's ``:``.
 _URI_PLAIN_ROOT = re.compile(r"[A-Za-z0-9._/=@:-]*")
 
@@ -266,7 +276,7 @@ class FileSelection:
         path, with no search or substring per row.  Otherwise the path is
         decoded and the key cut out."""
         chosen = self.latest if self.latest is not None else self.pattern
-        plain = _plain(_marker(root)) and _plain(chosen)
+        plain = _plain(_marker(root)) and _plain(chosen) and (self.latest is not None or _same_on_encoded(chosen))
         if plain and self.root_uri and _URI_PLAIN_ROOT.fullmatch(self.root_uri):
             path = F.col("_metadata.file_path")
             if self.latest is not None:

@@ -119,7 +119,8 @@ def test_scan_condition_with_qualified_root_matches_the_key_form(spark, tmp_dir)
     os.makedirs(f"{root}/land/sub")
     now = time.time()
     names = {"land/o_1.csv": -300, "land/o_2.csv": -100, "land/sub/o_3.csv": -50,
-             "land/x.csv": -10, "land/o_4.txt": -20, "land/ab.csv": -30, "x.csv": -40}
+             "land/x.csv": -10, "land/o_4.txt": -20, "land/ab.csv": -30, "x.csv": -40,
+             "land/o_120b.csv": -60, "land/o_x b.csv": -70}
     for i, (name, age) in enumerate(names.items()):
         with open(f"{root}/{name}", "w") as fh:
             fh.write("id|v\n" + "".join(f"{i * 10 + j}|{j}\n" for j in range(3)))
@@ -139,6 +140,10 @@ def test_scan_condition_with_qualified_root_matches_the_key_form(spark, tmp_dir)
         got = sorted(r["id"] for r in df.where(fast).collect())
         assert got == sorted(r["id"] for r in df.where(key_form.scan_condition(root, spark)).collect())
         assert len(got) == 3 * sel.file_count
+    # "o_x b.csv" is scanned as "o_x%20b.csv", which ends with "20b.csv"; its key does not
+    sel = D.select_files(listing, "land/o_*20b.csv", None, collation=True)
+    assert sel.file_count == 1 and sorted(r["id"] for r in df.where(sel.scan_condition(root, spark)).collect()) == [
+        70, 71, 72]
     # the root-level "x.csv" is shorter than the tail "/x.csv": not chosen
     sel = D.select_files(listing, "*/x.csv", None, collation=True)
     assert sel.file_count == 1 and sorted(r["id"] for r in df.where(sel.scan_condition(root, spark)).collect()) == [30, 31, 32]
