@@ -72,6 +72,9 @@ class WorkflowSettings:
     rules: Sequence[Rule] = ()
     rule_settings: Sequence[dict] = ()  # stored per-rule flags: failJob, ticket
     profile: bool = False
+    # exact distinct counts in the profile; False uses HyperLogLog++ (no
+    # expansion and no shuffle of every distinct value), for very large inputs
+    profile_exact_distinct: bool = True
     table_checks: Sequence[dict] = ()  # {subStrategy: [...], email, threshold_value}
     increments: Sequence[IncrementSetting] = ()
     source_load_type: str = "full"  # "increment" tracks high-water marks
@@ -277,10 +280,11 @@ class IngestionRun:
     def data_profiling(self, stage: Stage) -> None:
         data = self._input(stage)
         observed = self._profile_observed
+        exact = self.s.profile_exact_distinct
         if observed is not None and observed[0] == list(data.columns):
-            profile = profile_with_observed(data, observed[1])
+            profile = profile_with_observed(data, observed[1], exact_distinct=exact)
         else:
-            profile = profile_columns(data)
+            profile = profile_columns(data, exact_distinct=exact)
         stage.save(DATA_PROFILE, profile)
 
     def write_to_target(self, stage: Stage, mv: Q.MaterializedValidation | None, epoch_id: int, etl_time: str) -> None:

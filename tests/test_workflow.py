@@ -108,6 +108,18 @@ def test_runs_load_archive_and_guard(spark, tmp_dir):
         1002, M.FAILED, False, 200)
 
 
+def test_profile_with_approximate_distinct_counts(spark, tmp_dir):
+    land = f"{tmp_dir}/landing"
+    drop(land, "orders_1.csv", ["1|10|2024-01-01T10:00:00+0000|DE", "2|-1|2024-01-01T10:00:00+0000|DE"])
+    for rules in ([], None):
+        kw = {} if rules is None else {"rules": rules}
+        s = settings(spark, tmp_dir, profile_exact_distinct=False, table_checks=[], **kw)
+        r = IngestionRun(spark, s).run(epoch_id=100)
+        prof = {x["column_name"]: tuple(x)[1:] for x in r.reports["profile"].collect()}
+        # with rules the simple part is observed in the validation pass; without, it is its own aggregate
+        assert prof["id"] == (2, 0, 2, "1", "2") and prof["country"] == (2, 0, 1, "DE", "DE")
+
+
 def test_failjob_stops_load_and_keeps_quarantine(spark, tmp_dir):
     land = f"{tmp_dir}/landing"
     drop(land, "orders_1.csv", ["1|10|2024-01-01T10:00:00+0000|DE", "2|-1|2024-01-01T10:00:00+0000|XX"])
