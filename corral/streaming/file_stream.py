@@ -56,7 +56,12 @@ def stream_new_files(
     **read_options,
 ) -> int:
     """Read every not-yet-read file under ``source_dir`` into the parquet sink
-    at ``sink_path`` and stop.  Returns the number of rows read this run."""
+    at ``sink_path`` and stop.  Returns the number of rows read this run,
+    summed over the query's progress reports.  Spark keeps the last
+    ``spark.sql.streaming.numRecentProgressUpdates`` of them (100 by
+    default): a run of more micro-batches (a small ``max_files_per_trigger``
+    over a large backlog) needs that setting raised for an exact count; the
+    rows in the sink are exact either way."""
     stream = file_stream(spark, source_dir, schema, **read_options)
     if transform is not None:
         stream = transform(stream)
