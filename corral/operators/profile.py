@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, NumericType, StringType, StructField, StructType
 
 
+# Names of the observed profile aggregates (prefixed so they never clash
+# with other metrics collected in the same pass).
+_P = "_prof_"
+_ROWS = _P + "rows"
+
+
 def profile_columns(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -73,12 +79,6 @@ def profile_with_observed(
     return _merge(_simple_rows(wide, cols), _distinct_rows(df, cols, exact_distinct, relative_sd))
 
 
-# Names of the observed profile aggregates (prefixed so they never clash
-# with other metrics collected in the same pass).
-_P = "_prof_"
-_ROWS = _P + "rows"
-
-
 def _simple_rows(wide: DataFrame, cols: list[str]) -> DataFrame:
     null_long = F.lit(None).cast("bigint")
     return wide.select(
