@@ -67,3 +67,54 @@ def test_repeated_epoch_is_refused(spark):
     with pytest.raises(ValueError):
         t.load(spark.createDataFrame([(2,)], "k long"), epoch_id=100, etl_time=T)
     assert keys(t.current_frame()) == [(1, 100)]
+
+
+_WRITE_PLANS = '''
+import glob, json, sys
+sys.path.insert(0, sys.argv[1])
+from corral.operators import target as W
+from corral.session import build_session, fresh_database
+ev = sys.argv[2]
+spark = build_session("local[2]", shuffle_partitions=2, extra_conf={
+    "spark.eventLog.enabled": "true", "spark.eventLog.dir": ev, "spark.eventLog.compress": "false"})
+spark.sparkContext.setCheckpointDir(sys.argv[3])
+db = fresh_database(spark, "plans")
+t = W.TargetTables(spark, W.TargetSettings(db, db, "cur", "hist"))
+rows = spark.range(1000).selectExpr("id AS k")
+t.load(rows, epoch_id=100, etl_time="2024-01-01T10:00:00.000+00:00")
+t.load(rows, epoch_id=200, etl_time="2024-01-01T10:00:00.000+00:00")
+t.write_quarantine(rows, epoch_id=200)
+spark.stop()
+for f in glob.glob(ev + "/**/*", recursive=True):
+    try:
+        lines = open(f).read().splitlines()
+    except (IsADirectoryError, UnicodeDecodeError):
+        continue
+    for line in lines:
+        e = json.loads(line)
+        plan = e.get("physicalPlanDescription", "")
+        if e["Event"].endswith("SQLExecutionStart") and "InsertIntoHadoopFsRelationCommand" in plan:
+            print(json.dumps(plan[: plan.find(chr(10) + chr(10))]))
+'''
+
+
+def test_epoch_partitioned_writes_plan_no_sort(tmp_path):
+    """Loads and quarantine are partitioned by a constant epoch: Spark must
+    not sort the rows by it (a full per-task sort at scale).  Plans are read
+    from the event log of a separate session."""
+    import json
+    import os
+    import subprocess
+    import sys
+
+    script = tmp_path / "plans.py"
+    script.write_text(_WRITE_PLANS)
+    ev, ck = tmp_path / "events", tmp_path / "ck"
+    ev.mkdir()
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, str(script), repo, str(ev), str(ck)], capture_output=True, text=True,
+                         timeout=600, check=True).stdout
+    plans = [json.loads(line) for line in out.splitlines() if line.startswith('"')]
+    # first load, archive, second load, quarantine
+    assert len(plans) == 4
+    assert all("WriteFiles" in p and "Sort" not in p for p in plans), plans
