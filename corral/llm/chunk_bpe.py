@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corral.llm.common import map_batches, text_batches, texts_of
-from corral.llm.encode import PreToken, load_tokenizer
+from corral.llm.encode import byte_level_table, load_tokenizer, model_ids
 
 WINDOW = 32  # characters that decide on a cut
 # One letter run with at most one run of plain marks: two pre-tokens of this vocabulary.
@@ -60,21 +60,36 @@ class ChunkEncoder:
         self.mean_chars, self.max_chunks, self.max_words = mean_chars, max_chunks, max_words
         self.words: dict[str, bytes] = {"": b""}
         self.chunks: dict[str, tuple[str, bytes | None, str]] = {}
-        self.pre_token = PreToken(self.tok)
+        self.model, self.table = self.tok.model, byte_level_table()
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         self.reused = self.encoded = 0
 
-    def _learn(self, words: list[str]) -> None:
-        hard = []
+    def _learn(self, words) -> None:
+        hard, known, older = [], self.words, self.older
         for word in words:
+            if word in older:
+                known[word] = older[word]
+                continue
             m = _PLAIN.fullmatch(word)
-            if m:
-                letters, marks = m.groups()
-                ids = self.pre_token(letters.lower())
-                self.words[word] = ids + self.pre_token(marks) if marks else ids
-            else:
+            if m is None:
                 hard.append(word)
+                continue
+            letters, marks = m.groups()
+            ids = known.get(letters) or older.get(letters)
+            if ids is None:
+                low = letters.lower()
+                if low.isascii():
+                    ids = array("I", [t.id for t in self.model.tokenize(low)]).tobytes()
+                else:
+                    ids = model_ids(self.model, self.table, low)
+            known[letters] = ids
+            if marks:
+                if (tail := self.marks.get(marks)) is None:
+                    tail = self.marks[marks] = model_ids(self.model, self.table, marks)
+                known[word] = ids + tail
         for word, enc in zip(hard, self.tok.encode_batch(hard, add_special_tokens=False)):
-            self.words[word] = array("I", enc.ids).tobytes()
+            known[word] = array("I", enc.ids).tobytes()
 
     def _encode(self, text: str) -> bytes:
         """Ids of a text that context cannot change: white space always parts
@@ -84,7 +99,7 @@ class ChunkEncoder:
         try:
             return b"".join([known[w] for w in words])
         except KeyError:
-            self._learn([w for w in dict.fromkeys(words) if w not in known])
+            self._learn(set(words).difference(known))
             return b"".join([known[w] for w in words])
 
     def _chunk(self, chunk: str) -> tuple[str, bytes | None, str]:
@@ -104,8 +119,7 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > self.max_words:
-            self.words = {"": b""}
-            self.pre_token.known.clear()
+            self.words, self.older, self.marks = {"": b""}, self.words, {}
         if len(self.chunks) > self.max_chunks:
             self.chunks.clear()
         out = []

@@ -21,8 +21,6 @@ WORD_BPE = "word_bpe_49k.json"
 # A piece of one letter run and at most one run of plain marks: two pre-tokens.
 _PLAIN = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{|}~]*)")
 
-_ENCODERS: dict[tuple, "WordEncoder"] = {}
-
 
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
@@ -48,32 +46,27 @@ def byte_level_table() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class PreToken:
-    """Ids of single pre-tokens from the library's merge model, remembered."""
-
-    def __init__(self, tok):
-        self.model = tok.model
-        self.table = byte_level_table()
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, word: str) -> bytes:
-        got = self.known.get(word)
-        if got is None:
-            mapped = word.encode().decode("latin-1").translate(self.table)
-            got = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
-            self.known[word] = got
-        return got
+def model_ids(model, table: dict[int, str], word: str) -> bytes:
+    """Ids of one pre-token from the library's merge model."""
+    return array("I", [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(table))]).tobytes()
 
 
 class WordEncoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes; at most
-    ``max_words`` pieces are remembered between batches."""
+    """Ids of texts as little-endian unsigned 32-bit bytes.
 
-    def __init__(self, path: str, max_words: int = 450_000):
+    Pieces are remembered between batches.  A memory over ``max_words`` pieces
+    becomes the older one, from which pieces still in use are taken over, and
+    the oldest is dropped: about twice ``max_words`` are held at most, plus one
+    batch."""
+
+    def __init__(self, path: str, max_words: int = 500_000):
         self.tok = load_tokenizer(path)
         self.max_words = max_words
         self.known: dict[str, bytes] = {}
-        self.pre_token = PreToken(self.tok)
+        self.older: dict[str, bytes] = {}  # the memory before the last change of memories
+        self.model, self.table = self.tok.model, byte_level_table()
+        self.space = self.table[32]
+        self.marks: dict[str, bytes] = {}
 
     @staticmethod
     def pieces(text: str) -> list[str]:
@@ -100,35 +93,56 @@ class WordEncoder:
             keys.append("\0" + tail)
         return keys
 
-    def _learn(self, keys: list[str]) -> None:
+    def _word(self, word: str) -> bytes:
+        """Ids of a letter run after a space; its key is the run itself."""
+        got = self.known.get(word) or self.older.get(word)
+        if got is None:
+            if word.isascii():
+                got = array("I", [t.id for t in self.model.tokenize(self.space + word)]).tobytes()
+            else:
+                got = model_ids(self.model, self.table, " " + word)
+        self.known[word] = got
+        return got
+
+    def _learn(self, keys) -> None:
         """Ids of new pieces: plain ones by their two pre-tokens, others whole."""
-        hard = []
+        hard, known, older = [], self.known, self.older
         for key in keys:
+            if key in older:
+                known[key] = older[key]
+                continue
             m = _PLAIN.fullmatch(key)
-            if m:
-                newline, word, marks = m.groups()
-                ids = self.pre_token(newline) + self.pre_token(word) if newline else self.pre_token(" " + word)
-                self.known[key] = ids + self.pre_token(marks) if marks else ids
-            else:
+            if m is None:
                 hard.append(key)
+                continue
+            newline, word, marks = m.groups()
+            if newline:
+                ids = model_ids(self.model, self.table, newline) + model_ids(self.model, self.table, word)
+            else:
+                ids = self._word(word)
+            if marks:
+                if (tail := self.marks.get(marks)) is None:
+                    tail = self.marks[marks] = model_ids(self.model, self.table, marks)
+                ids += tail
+            known[key] = ids
         texts = [k[1:] if k[:1] == "\0" else k if k[:1] == "\n" else " " + k for k in hard]
         for key, enc in zip(hard, self.tok.encode_batch(texts, add_special_tokens=False)):
-            self.known[key] = array("I", enc.ids).tobytes()
+            known[key] = array("I", enc.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(t) for t in texts]
         if len(self.known) > self.max_words:
-            self.known.clear()
-            self.pre_token.known.clear()
+            self.known, self.older, self.marks = {}, self.known, {}
         known = self.known
-        missing = dict.fromkeys(k for keys in cut for k in keys if k not in known)
-        self._learn(list(missing))
+        self._learn(set().union(*cut).difference(known))
         return [b"".join(map(known.__getitem__, keys)) for keys in cut]
 
 
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
 def word_encoder(path: str) -> WordEncoder:
     """The worker's encoder for ``path`` (loaded once per Python worker)."""
-    key = (path,)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(path)
-    return _ENCODERS[key]
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]

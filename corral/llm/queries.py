@@ -65,7 +65,7 @@ def op3_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_location(spark, "token_files")
     repair.write_token_store(documents(spark, sf_dir), path, tokenizer_path(BYTE_BPE))
-    return repair.read_token_store(spark, path).drop("ids")
+    return repair.read_token_store(spark, path, with_ids=False)
 
 
 @query

@@ -41,6 +41,13 @@ def from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
 
 
+_TABLE_BITS = 20
+
+
+def _place(pairs: np.ndarray) -> np.ndarray:
+    return ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+
+
 def compress(ids: np.ndarray, base: int, min_count: int, max_rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair over ``ids``: ``(rules (n, 2), expansion lengths, body)``.
 
@@ -57,17 +64,27 @@ def compress(ids: np.ndarray, base: int, min_count: int, max_rounds: int) -> tup
         if len(x) < 2:
             break
         pair = (x[:-1] << 32) | x[1:]
-        at = np.flatnonzero((x[:-1] != END_ID) & (x[1:] != END_ID))
-        keys, inverse, counts = np.unique(pair[at], return_inverse=True, return_counts=True)
-        if not len(keys) or counts.max() < min_count:
+        able = (x[:-1] != END_ID) & (x[1:] != END_ID)
+        ranked = np.sort(pair[able])
+        firsts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else ranked
+        counts = np.diff(np.concatenate([firsts, [len(ranked)]]))
+        frequent = counts >= min_count
+        if not frequent.any():
             break
+        keys, counts = ranked[firsts[frequent]], counts[frequent]
+        # a table by hash finds the frequent pairs; of two in one place the later waits a round
+        table = np.full(1 << _TABLE_BITS, -1, dtype=np.int32)
+        table[_place(keys)] = np.arange(len(keys), dtype=np.int32)
+        which = table[_place(pair)]
+        which[(keys[which] != pair) | ~able] = -1
         weight = np.zeros(len(x) + 1, dtype=np.int64)  # 0: no frequent pair starts here
-        weight[at + 1] = np.where(counts[inverse] >= min_count, counts[inverse], 0)
+        weight[1:-1] = np.where(which >= 0, counts[which], 0)
         mine, before, after = weight[1:-1], weight[:-2], weight[2:]
-        chosen = (mine > 0) & (mine > before) & (mine >= after)
-        hits = np.flatnonzero(chosen)
-        which = np.zeros(len(x), dtype=np.int64)
-        which[at] = inverse
+        # in a stretch of equal weights (as in a a a a) every other place, from the left
+        index = np.arange(len(mine))
+        begin = np.maximum.accumulate(np.where(mine != before, index, 0))
+        late = before[begin] > mine
+        hits = np.flatnonzero((mine > 0) & (mine >= after) & (index - begin >= late) & ((index - begin - late) % 2 == 0))
         used = np.bincount(which[hits], minlength=len(keys))
         hits = hits[used[which[hits]] >= 2]
         if len(hits) * 200 < len(x):
@@ -134,8 +151,8 @@ def write_token_store(
     tokenizer: str,
     vocab_size: int = 65_536,
     shard_tokens: int = 500_000,
-    min_count: int = 12,
-    max_rounds: int = 6,
+    min_count: int = 20,
+    max_rounds: int = 3,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> None:
@@ -184,9 +201,10 @@ def write_token_store(
     map_batches(ordered, run, SHARDS).write.option("compression", "zstd").parquet(path)
 
 
-def read_token_store(spark: SparkSession, path: str) -> DataFrame:
+def read_token_store(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """One row per document, decoded from the files: ``doc_id``, ``start`` (ids of
-    all documents before it), ``n_tokens``, ``ids_crc32`` and its ``ids`` as bytes."""
+    all documents before it), ``n_tokens``, ``ids_crc32`` and (``with_ids``) its ``ids``
+    as bytes."""
     store = spark.read.parquet(path)
     sizes = store.select("part", "shard", "n_tokens")
     parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n"))
@@ -201,23 +219,25 @@ def read_token_store(spark: SparkSession, path: str) -> DataFrame:
         .select("part", "shard", (F.col("part_start") + F.col("in_part")).alias("shard_start"))
     )
 
+    ddl = "part int, shard int, doc_id long, at long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
+    keys = [f.split()[0] for f in ddl.split(", ")]
+
     def run(batches) -> Iterator[dict]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {k: c[0] for k, c in batch.slice(i, 1).to_pydict().items()}
                 shard, at = Shard(row), 0
-                keys = ("part", "shard", "doc_id", "at", "n_tokens", "ids_crc32", "ids")
+                whole = shard.ids(0, row["n_tokens"])
                 out: dict[str, list] = {k: [] for k in keys}
                 for doc_id, n in zip(row["doc_ids"], row["doc_tokens"]):
-                    data = shard.ids(at, at + n)
-                    values = (row["part"], row["shard"], doc_id, at, n, zlib.crc32(data), data)
+                    data = whole[4 * at : 4 * (at + n)]
+                    values = (row["part"], row["shard"], doc_id, at, n, zlib.crc32(data), data)[: len(keys)]
                     for k, v in zip(keys, values):
                         out[k].append(v)
                     at += n
                 yield out
 
-    ddl = "part int, shard int, doc_id long, at long, n_tokens long, ids_crc32 long, ids binary"
     rows = map_batches(store, run, ddl)
     return rows.join(bases, ["part", "shard"]).select(
-        "doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", "ids"
+        "doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids
     )
