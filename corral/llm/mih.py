@@ -196,7 +196,9 @@ def nearest(
                         out_v.append(v)
                         out_id.append(vec_id)
                         out_score.append(s)
-        return pd.DataFrame({"v": out_v, "vec_id": out_id, "score": out_score})
+        return pd.DataFrame(
+            {"v": pd.Series(out_v, dtype=object), "vec_id": pd.Series(out_id, dtype="int64"), "score": pd.Series(out_score, dtype="float64")}
+        )
 
     pairs = (
         right.groupBy("ib", "qb")
