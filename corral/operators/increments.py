@@ -46,6 +46,16 @@ def advance(df: DataFrame, settings: Sequence[IncrementSetting]) -> list[Increme
     ]
 
 
+def with_stored_marks(settings: Sequence[IncrementSetting], stored) -> list[IncrementSetting]:
+    """``settings`` with the marks that a run stored (a list of dicts, or None):
+    a stored mark replaces the configured one of a tracked key."""
+    marks = {m["key_column"]: m.get("value") for m in stored or []}
+    return [
+        replace(s, value=marks[s.key_column]) if s.consider_max_val and marks.get(s.key_column) is not None else s
+        for s in settings
+    ]
+
+
 def incremental_filter(df: DataFrame, settings: Sequence[IncrementSetting]) -> DataFrame:
     """Rows newer than every stored mark: ``key > mark`` for each setting with
     a value.  The mark is a literal of the key's type, so the filter is pushed

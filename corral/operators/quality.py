@@ -16,7 +16,7 @@ from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from corral.functions.rules import FAILJOB, QUARANTINE, Rule, RowRule
 
@@ -27,7 +27,7 @@ SUMMARY_SCHEMA = StructType(
         StructField("Check", StringType(), True),
         StructField("Column", StringType(), True),
         StructField("Status", StringType(), True),
-        StructField("Impacted_Records", IntegerType(), True),
+        StructField("Impacted_Records", LongType(), True),
         StructField("Action_Taken", StringType(), True),
     ]
 )
@@ -182,7 +182,7 @@ def _summary_struct(rule: Rule, n: Column) -> Column:
         F.lit(rule.check).alias("Check"),
         F.lit(rule.column).alias("Column"),
         F.when(n == 0, F.lit("Passed")).otherwise(F.lit("Failed")).alias("Status"),
-        n.cast("int").alias("Impacted_Records"),
+        n.cast("bigint").alias("Impacted_Records"),
         F.lit(rule.action).cast("string").alias("Action_Taken"),
     )
 

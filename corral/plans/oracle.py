@@ -68,7 +68,7 @@ def _summary_row(strategy, check, column, flag, action, src="{RL}"):
     return (
         f"SELECT '{strategy}' AS \"Strategy\", '{check}' AS \"Check\", '{column}' AS \"Column\", "
         f"CASE WHEN sum({flag})=0 THEN 'Passed' ELSE 'Failed' END AS \"Status\", "
-        f"CAST(sum({flag}) AS INT) AS \"Impacted_Records\", {act} AS \"Action_Taken\" FROM ({src}) r"
+        f"CAST(sum({flag}) AS BIGINT) AS \"Impacted_Records\", {act} AS \"Action_Taken\" FROM ({src}) r"
     )
 
 
@@ -138,11 +138,11 @@ _SQL = {
     "dq_validation_summary": (
         "SELECT 'Validity' AS \"Strategy\",'range' AS \"Check\",'o_totalprice' AS \"Column\","
         "CASE WHEN sum(v_range)=0 THEN 'Passed' ELSE 'Failed' END AS \"Status\","
-        "CAST(sum(v_range) AS INT) AS \"Impacted_Records\",'quarantine' AS \"Action_Taken\" FROM ({R}) r "
+        "CAST(sum(v_range) AS BIGINT) AS \"Impacted_Records\",'quarantine' AS \"Action_Taken\" FROM ({R}) r "
         "UNION ALL SELECT 'Validity','in_set','o_orderpriority',CASE WHEN sum(v_set)=0 THEN 'Passed' ELSE 'Failed' END,"
-        "CAST(sum(v_set) AS INT),'report' FROM ({R}) r "
+        "CAST(sum(v_set) AS BIGINT),'report' FROM ({R}) r "
         "UNION ALL SELECT 'Integrity','foreign_key','o_custkey',CASE WHEN sum(v_ref)=0 THEN 'Passed' ELSE 'Failed' END,"
-        "CAST(sum(v_ref) AS INT),'failjob' FROM ({R}) r"
+        "CAST(sum(v_ref) AS BIGINT),'failjob' FROM ({R}) r"
     ),
     "dq_not_null": "SELECT event_id, CASE WHEN event_type='error' THEN NULL ELSE value END AS value FROM events WHERE (CASE WHEN event_type='error' THEN NULL ELSE value END) IS NULL",
     "dq_unique": "SELECT l_orderkey,l_linenumber,n FROM (SELECT l_orderkey,l_linenumber,count(*) OVER (PARTITION BY l_orderkey,l_linenumber) AS n FROM lineitem) x WHERE n>1",
@@ -184,7 +184,8 @@ _SQL = {
         "round(stddev_samp(o_totalprice),4) AS stddev,min(o_totalprice) AS min_value,"
         "max(o_totalprice) AS max_value FROM orders"
     ),
-    "first_load_current": "SELECT {C},100 AS epoch_id FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01 00:00:00'",
+    "first_load_current": "SELECT {C},100 AS epoch_id FROM orders",
+    "drop_stage": "SELECT 'raw' AS kind, count(*) AS staged_rows, true AS dropped FROM orders",
     "replace_current": "SELECT {C},200 AS epoch_id FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01 00:00:00'",
     "archive_history": "SELECT {C},100 AS epoch_id FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01 00:00:00'",
     "stamp_audit": (
@@ -217,7 +218,7 @@ _SQL = {
     ),
     "schedule_step_join": (
         "SELECT c.c_custkey AS workflow_id,c.c_mktsegment AS schedule,e.event_type AS step_name,e.ts "
-        "FROM customer c JOIN events e ON e.user_id=c.c_custkey WHERE e.event_type='error'"
+        "FROM customer c JOIN events e ON e.user_id=c.c_custkey"
     ),
     "report_job_status": (
         "SELECT c.c_custkey AS workflow_id,c.c_name AS job_name,s.n_source AS source_row_count,"

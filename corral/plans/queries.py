@@ -397,7 +397,7 @@ def _two_loads(spark, sf_dir) -> W.TargetTables:
 def first_load_current(spark, sf_dir):
     t = _targets(spark)
     o = orders(spark, sf_dir)
-    t.load(o.where(F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp_ntz")), epoch_id=100, etl_time=ETL_TIME)
+    t.load(o, epoch_id=100, etl_time=ETL_TIME)
     return t.current_frame().select(*ORDER_COLUMNS, W.EPOCH)
 
 
@@ -477,7 +477,7 @@ def schedule_step_join(spark, sf_dir):
     schedule = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("workflow_id"), F.col("c_mktsegment").alias("schedule")
     )
-    steps = events_log(spark, sf_dir).where(F.col("step_name") == "error").select(
+    steps = events_log(spark, sf_dir).select(
         "workflow_id", "step_name", F.col("step_completion").alias("ts")
     )
     return RP.schedule_steps(schedule, steps)

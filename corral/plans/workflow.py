@@ -28,7 +28,7 @@ from corral.functions.scalar import audit_time_text, local_clock, table_name_fro
 from corral.operators import counts as K
 from corral.operators import quality as Q
 from corral.operators import runlog as M
-from corral.operators.increments import IncrementSetting, advance, incremental_filter
+from corral.operators.increments import IncrementSetting, advance, incremental_filter, with_stored_marks
 from corral.operators.profile import profile_columns, profile_report, profile_with_observed, simple_metrics
 from corral.operators.target import TargetSettings, TargetTables, epoch_now
 from corral.operators.transform import Step, apply_transformations
@@ -39,7 +39,7 @@ from corral.streaming.file_stream import file_stream
 from corral.sources.stage import DATA_PROFILE, DQ, DQ_VALIDATION, INTERMEDIATE, RAW, Stage
 
 SOURCE_FILE = "__source_file"
-STAGE_REPORTS = ("dq_summary", "profile")
+STAGE_REPORTS = ("profile",)
 
 
 @dataclass
@@ -196,7 +196,9 @@ class IngestionRun:
         source_file = [F.col("_metadata.file_name").alias(SOURCE_FILE)] if self._counts_per_file() else []
         df = df.select(*columns, *source_file)
         if self.s.source_load_type == "increment" and self.s.increments:
-            df = incremental_filter(df, self.s.increments)
+            increments = self._increments()
+            _check_keys(increments, df)
+            df = incremental_filter(df, increments)
         obs = Observation("read")
         stage.save(RAW, df.observe(obs, F.count(F.lit(1)).alias("rows")))
         rows = int(obs.get["rows"])
@@ -210,6 +212,11 @@ class IngestionRun:
         )
         CSV.enforce_empty_policy(rows, src.allow_empty_file)
 
+    def _increments(self) -> list:
+        """The configured keys with the marks of the last successful load."""
+        last_load = self._last_load if self._last_load is not None else self.last_load_details()
+        return with_stored_marks(self.s.increments, last_load.get("increment_data"))
+
     def _raw(self, stage: Stage) -> DataFrame:
         return stage.load(RAW).drop(SOURCE_FILE)
 
@@ -236,18 +243,16 @@ class IngestionRun:
             dq_quarantined_count=mv.quarantined_count,
             dq_failjob_count=mv.failjob_count,
         )
-        if self.s.table_checks:
-            self.metrics["table_checks"] = self._table_checks(stage, mv)
         return mv
 
-    def _table_checks(self, stage: Stage, mv: Q.MaterializedValidation) -> dict:
+    def _table_checks(self, stage: Stage, target_rows: int) -> dict:
         """Count checks from counts already observed (no extra pass): source
-        rows read against rows that passed validation."""
+        rows read against rows loaded, with or without row rules."""
         names = {n.lower() for c in self.s.table_checks for n in c.get("subStrategy", [])}
         threshold = next(
             (float(c["threshold_value"]) for c in self.s.table_checks if c.get("threshold_value") is not None), 0.0
         )
-        s, t = int(self.metrics["source_row_count"]), mv.good_count
+        s, t = int(self.metrics["source_row_count"]), int(target_rows)
         out = {}
         if K.TABLE_COUNT in names:
             out[K.TABLE_COUNT] = s == t
@@ -306,6 +311,13 @@ class IngestionRun:
         corrupt = self.s.source.corrupt_column
         if corrupt and corrupt in source.columns:
             source = source.drop(corrupt)
+        marks = None
+        if self.s.source_load_type == "increment" and self.s.increments:
+            # before the load: a key column that a transformation dropped stops
+            # the run while the target is still as it was
+            increments = self._increments()
+            _check_keys(increments, source)
+            marks = advance(source, increments)
         result = self.targets.load(source, epoch_id=epoch_id, etl_time=etl_time, previous_epoch=previous)
         if quarantined is not None:
             self.targets.write_quarantine(quarantined, epoch_id, etl_time, self.s.quarantine_mode)
@@ -314,9 +326,10 @@ class IngestionRun:
             target_row_count=result.target_row_count,
             epoch_id=epoch_id,
         )
-        if self.s.source_load_type == "increment" and self.s.increments:
-            marks = advance(source, self.s.increments)
+        if marks is not None:
             self.metrics["increment_data"] = [m.__dict__ for m in marks]
+        if self.s.table_checks:
+            self.metrics["table_checks"] = self._table_checks(stage, result.target_row_count)
 
     def email_step(self, stage: Stage, run_id: int, mv: Q.MaterializedValidation | None) -> dict[str, DataFrame]:
         """The report tables of the run (the mail itself is not built)."""
@@ -353,7 +366,7 @@ class IngestionRun:
                 ],
                 "table_name string, dq_status string, ticket string, fail_job string",
             )
-            reports["dq_summary"] = stage.load(DQ_VALIDATION).limit(10)
+            reports["dq_summary"] = mv.summary  # every rule, in rule order
         if stage.exists(DATA_PROFILE) and not stage.load(DATA_PROFILE).isEmpty():
             reports["profile"] = profile_report(stage.load(DATA_PROFILE))
         if self.s.table_checks and "table_checks" in self.metrics:
@@ -475,6 +488,12 @@ class IngestionRun:
         return results
 
 
+def _check_keys(increments, df: DataFrame) -> None:
+    missing = [s.key_column for s in increments if s.key_column not in df.columns]
+    if missing:
+        raise ValueError(f"increment key columns are not in the data: {', '.join(missing)}")
+
+
 def _ntz(t: datetime):
     """A UTC wall-clock time as a timestamp_ntz literal (via text, so neither
     the Python process zone nor the session zone shifts it)."""

@@ -300,3 +300,58 @@ def test_epochs_always_increase():
     now = next_epoch(None)
     # a load within the same second as the previous one still gets a new epoch
     assert next_epoch(now) == now + 1 and next_epoch(now + 5) == now + 6
+
+
+def test_stored_mark_filters_the_next_run(spark, tmp_dir):
+    land = f"{tmp_dir}/landing"
+    drop(land, "orders_1.csv", [f"{i}|10|2024-01-01T10:00:00+0000|DE" for i in (1, 2, 3)], age=-50)
+    s = settings(
+        spark, tmp_dir, rules=[], profile=False, table_checks=[], source_load_type="increment", increments=[IncrementSetting("id")]
+    )
+    IngestionRun(spark, s).run(epoch_id=100)
+    drop(land, "orders_2.csv", [f"{i}|10|2024-01-01T10:00:00+0000|DE" for i in (2, 3, 4)])
+    r = IngestionRun(spark, s).run(epoch_id=200)
+    assert [x["id"] for x in spark.table(s.target.current).collect()] == [4]
+    assert r.metrics["increment_data"][0]["value"] == "4"
+
+
+def test_dropped_key_column_stops_before_the_load(spark, tmp_dir):
+    drop(f"{tmp_dir}/landing", "orders_1.csv", ["1|10|2024-01-01T10:00:00+0000|DE"])
+    s = settings(
+        spark,
+        tmp_dir,
+        rules=[],
+        profile=False,
+        table_checks=[],
+        transformations=["SELECT amount FROM {src}"],
+        source_load_type="increment",
+        increments=[IncrementSetting("id")],
+    )
+    with pytest.raises(ValueError, match="id"):
+        IngestionRun(spark, s).run(epoch_id=100)
+    assert not spark.catalog.tableExists(s.target.current)
+
+
+def test_table_checks_without_rules(spark, tmp_dir):
+    drop(f"{tmp_dir}/landing", "orders_1.csv", ["1|10|2024-01-01T10:00:00+0000|DE", "2|20|2024-01-01T10:00:00+0000|FR"])
+    checks = [{"subStrategy": [K.TABLE_COUNT], "email": True}]
+    # a name of its own: stages are named by workflow and run, and a failed run keeps its stage
+    s = settings(spark, tmp_dir, workflow_name="unruled_feed", rules=[], profile=False, table_checks=checks)
+    r = IngestionRun(spark, s).run(epoch_id=100)
+    assert (r.metrics["source_row_count"], r.metrics["target_row_count"]) == (2, 2)
+    assert r.metrics["table_checks"] == {K.TABLE_COUNT: True}
+
+
+def test_summary_report_has_every_rule(spark, tmp_dir):
+    drop(f"{tmp_dir}/landing", "orders_1.csv", ["1|10|2024-01-01T10:00:00+0000|DE"])
+    rules = [R.in_range("amount", min_value=i, action="report") for i in range(12)]
+    s = settings(spark, tmp_dir, rules=rules, profile=False, table_checks=[])
+    r = IngestionRun(spark, s).run(epoch_id=100)
+    rows = r.reports["dq_summary"].collect()
+    assert [x["Impacted_Records"] for x in rows] == [0] * 11 + [1]
+
+
+def test_summary_counts_above_32_bits(spark):
+    df = spark.createDataFrame([(1,)], "id long")
+    mv = Q.MaterializedValidation(Q.validate(df, [R.not_null("id")]), lambda: df, {"n0": 3_000_000_000})
+    assert mv.summary.first()["Impacted_Records"] == 3_000_000_000
