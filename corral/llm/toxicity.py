@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from functools import partial
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -47,8 +48,8 @@ class SubwordModel:
         parts = [self._of_bucket[b] for b in subwords(word, len(self._of_bucket))]
         return sum(parts) / len(parts)
 
-    def score(self, text: str) -> float:
-        """Probability of label 1; a text without words gets the bias alone."""
+    def logit(self, text: str) -> float:
+        """Toxic logit over the other one; a text without words gets the bias alone."""
         words, known = words_of(text), self._known
         if len(known) > 400_000:
             known.clear()
@@ -58,57 +59,106 @@ class SubwordModel:
             if s is None:
                 s = known[w] = self._word(w)
             total += s
-        logit = SCALE * total / (len(words) + PRIOR_WORDS) + float(self.bias[1] - self.bias[0]) + self.shift
-        return float(1.0 / (1.0 + np.exp(-np.clip(logit, -40, 40))))
+        return self._logit(total, len(words))
+
+    def _logit(self, total: float, n_words: int) -> float:
+        return SCALE * total / (n_words + PRIOR_WORDS) + float(self.bias[1] - self.bias[0]) + self.shift
+
+    def counted_logits(self, counts: list[Counter], parts: dict[str, np.ndarray]) -> np.ndarray:
+        """``logit`` of documents as counted words, whose subwords are in ``parts``."""
+        words = sorted(set().union(*counts))
+        if not words:
+            return np.array([self._logit(0.0, 0)] * len(counts))
+        sizes = np.array([len(parts[w]) for w in words])
+        of_bucket = np.array(self._of_bucket)[np.concatenate([parts[w] for w in words])]
+        means = np.add.reduceat(of_bucket, np.cumsum(sizes) - sizes) / sizes
+        of_word = dict(zip(words, means.tolist()))
+        return np.array([self._logit(sum(n * of_word[w] for w, n in c.items()), c.total()) for c in counts])
+
+    def score(self, text: str) -> float:
+        """Probability of label 1."""
+        return float(1.0 / (1.0 + np.exp(-np.clip(self.logit(text), -40, 40))))
 
 
 def train(
     sample: list[tuple[str, int]],
-    buckets: int = 1 << 16,
+    buckets: int = 1 << 17,
     dim: int = 2,
     rounds: int = 40,
     rate: float = 0.2,
-    min_signal: float = 4.0,
+    min_signal: float = 18.0,
+    min_docs: int = 2,
+    folds: int = 3,
     seed: int = 3,
 ) -> SubwordModel:
     """Joint training of vectors and softmax by Adam over the whole sample.
 
-    Words of at least five sample documents take part; the average is over all
-    words of a document.  Classes weigh the same.  Vectors start at zero; those
-    whose first gradient, summed over documents, is under ``min_signal`` times
-    its standard error stay there, so that the many neutral subwords do not
-    learn documents by heart.  ``shift`` puts 0.5 where the sample's classes part
-    best.  A sample of one class (or none) gives the constant score of that
+    Words of at least ``min_docs`` sample documents take part; the average is over
+    all words of a document.  Classes weigh the same.  Vectors start at zero;
+    those of subwords whose documents' classes differ from the sample's by a
+    log-likelihood ratio under ``min_signal`` stay there, so that the many
+    neutral subwords do not learn documents by heart.  ``shift`` puts 0.5 where
+    the sample's classes part best, each document scored by a model of the other
+    ``folds``.  A sample of one class (or none) gives the constant score of that
     class's share.
     """
-    rng = np.random.default_rng(seed)
-    vectors = np.zeros((buckets, dim))
-    weights = rng.normal(scale=0.5, size=(dim, 2))
-    bias = np.zeros(2)
     y = np.array([label for _, label in sample], dtype=np.int64)
     if len(set(y.tolist())) < 2:
         p = (y.sum() + 0.5) / (len(y) + 1)
-        return SubwordModel(vectors, weights, np.array([0.0, np.log(p / (1 - p))]))
+        return SubwordModel(np.zeros((buckets, dim)), np.zeros((dim, 2)), np.array([0.0, np.log(p / (1 - p))]))
     counts = [Counter(words_of(text)) for text, _ in sample]
+    parts = {w: np.array(subwords(w, buckets), dtype=np.int64) for w in sorted(set().union(*counts))}
+    fit = partial(_fit, parts=parts, buckets=buckets, dim=dim, rounds=rounds, rate=rate, seed=seed)
+    fit = partial(fit, min_signal=min_signal, min_docs=min_docs)
+    scores = np.zeros(len(y))
+    for fold in range(folds):
+        others = np.arange(len(y)) % folds != fold
+        part = fit([c for c, other in zip(counts, others) if other], y[others])
+        scores[~others] = part.counted_logits([c for c, other in zip(counts, others) if not other], parts)
+    model = fit(counts, y)
+    model.shift = -_best_cut(scores, y)
+    return model
+
+
+def _fit(
+    counts: list[Counter],
+    y: np.ndarray,
+    parts: dict[str, np.ndarray],
+    buckets: int,
+    dim: int,
+    rounds: int,
+    rate: float,
+    min_signal: float,
+    min_docs: int,
+    seed: int,
+) -> SubwordModel:
+    """One training run, without the shift (``parts``: the subwords of every word)."""
+    rng = np.random.default_rng(seed)
+    vectors = np.zeros((buckets, dim))
+    weights = rng.normal(scale=0.5, size=(dim, 2))
+    bias = np.zeros(2)
     spread = Counter(w for c in counts for w in c)
-    vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in spread.items() if n >= 5))}
+    vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in spread.items() if n >= min_docs))}
+    if not vocabulary or len(set(y.tolist())) < 2:
+        return SubwordModel(vectors, weights, bias)
     doc = np.array([d for d, c in enumerate(counts) for w in c if w in vocabulary], dtype=np.int64)
     word = np.array([vocabulary[w] for c in counts for w in c if w in vocabulary], dtype=np.int64)
-    lengths = np.array([sum(c.values()) + PRIOR_WORDS for c in counts], dtype=np.float64)
+    lengths = np.array([c.total() + PRIOR_WORDS for c in counts], dtype=np.float64)
     share = np.array([c[w] for c in counts for w in c if w in vocabulary], dtype=np.float64) * SCALE / lengths[doc]
-    parts = [subwords(w, buckets) for w in vocabulary]
-    sizes = np.array([len(p) for p in parts], dtype=np.float64)
-    flat = np.array([b for p in parts for b in p], dtype=np.int64)
-    owner = np.repeat(np.arange(len(parts)), sizes.astype(np.int64))
+    own = [parts[w] for w in vocabulary]
+    sizes = np.array([len(p) for p in own], dtype=np.float64)
+    flat = np.concatenate(own)
+    owner = np.repeat(np.arange(len(own)), sizes.astype(np.int64))
     class_weight = len(y) / (2.0 * np.bincount(y, minlength=2))
     target = np.eye(2)[y]
 
     # subwords with a signal, and the words and entries that hold them
-    start = (np.where(y == 1, -0.5, 0.5) * class_weight[y])[doc] * share
-    n = len(parts)
-    pull = np.bincount(flat, weights=(np.bincount(word, start, n) / sizes)[owner], minlength=buckets)
-    noise = np.bincount(flat, weights=(np.bincount(word, start**2, n) / sizes**2)[owner], minlength=buckets)
-    keep = (np.abs(pull) > min_signal * np.sqrt(noise))[flat]
+    n = len(own)
+    with_class = np.zeros((2, buckets))
+    for d, c in enumerate(counts):
+        if held := [own[vocabulary[w]] for w in c if w in vocabulary]:
+            with_class[y[d], np.unique(np.concatenate(held))] += 1
+    keep = (_class_signal(with_class, np.bincount(y, minlength=2) / len(y)) > min_signal)[flat]
     flat, owner = flat[keep], owner[keep]
     live, owner = np.unique(owner, return_inverse=True)
     place = np.full(n, -1)
@@ -139,8 +189,14 @@ def train(
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             param -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    logits = average() @ (weights[:, 1] - weights[:, 0]) + bias[1] - bias[0]
-    return SubwordModel(vectors, weights, bias, -_best_cut(logits, y))
+    return SubwordModel(vectors, weights, bias)
+
+
+def _class_signal(seen: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """Log-likelihood ratio of each bucket's documents per class (``seen``: classes x
+    buckets) against the sample's class shares."""
+    expected = shares[:, None] * seen.sum(axis=0)
+    return 2 * np.sum(seen * np.log(np.where(seen > 0, seen, 1) / np.where(seen > 0, expected, 1)), axis=0)
 
 
 def _best_cut(scores: np.ndarray, y: np.ndarray) -> float:
