@@ -1,15 +1,24 @@
-"""Versioned target load: current table + history table, by ``epoch_id``.
-
-- First load: the stamped rows overwrite ``current`` (parquet, Snappy,
-  partitioned by ``epoch_id``).
-- Later loads: the rows of ``current`` are appended to ``history`` under
-  their own epoch, then ``current`` is overwritten with the new epoch.
-
-Archive and replace are two writes and parquet tables have no transaction,
-so the archive is idempotent: it is skipped when ``history`` already holds
-the previous epoch (a retry after a crash between the two writes neither
-loses nor doubles rows).  New rows always come from a stage, never from
-``current`` itself (overwriting a table that is also read is refused).
+"""Versioned target load: one table of loads, shown as ``current`` and ``history``.
+
+Every load is one partition (``epoch_id``) of the loads table.  ``current`` is a view of the newest
+published epoch and ``history`` a view of the earlier ones, so archiving a load
+copies no row, and readers see the old ``current`` until the new one is whole.
+
+Parquet tables have no transaction.  The steps of a load are therefore ordered,
+and each can be repeated:
+
+1. a load that did not finish is undone (its mark names the epoch),
+2. the loads table is marked with the new epoch,
+3. the partition is written,
+4. ``history`` takes in the epoch before, then ``current`` shows the new one,
+5. the mark is removed: at once, or by the caller (``finish``) after it has
+   recorded the load somewhere else.
+
+A crash at any point leaves the mark, and the next load drops that epoch's
+files, registered as a partition or not.  A load without an owner counts as
+finished once ``current`` shows it; one with an owner once the owner says so
+(``logged_epoch``).  One writer at a time; between the two views of step 4 the
+epoch before is seen in both.
 """
 
 from __future__ import annotations
@@ -19,14 +28,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from corral.functions.scalar import audit_time_text, text_to_timestamp
+from corral.session import sql_text
 
 EPOCH = "epoch_id"
 # Audit column names as the reference stores them.
 CREATE_DATE = "etl_Create_date"
 UPDATE_DATE = "etl_Update_date"
 QUARANTINE_SUFFIX = "_quarantine_data"
+LOADS_SUFFIX = "_loads"
+PENDING = "corral.pending_load"
+SHOWN = "corral.shown_epoch"
 
 
 def epoch_now() -> int:
@@ -71,6 +85,11 @@ class TargetSettings:
     def history(self) -> str:
         return f"`{self.history_database}`.`{self.history_table}`"
 
+    @property
+    def loads(self) -> str:
+        """The table behind ``current`` and ``history``."""
+        return f"`{self.current_database}`.`{self.current_table}{LOADS_SUFFIX}`"
+
     @property
     def quarantine(self) -> str:
         return f"`{self.current_database}`.`{self.current_table}{QUARANTINE_SUFFIX}`"
@@ -84,99 +103,184 @@ class LoadResult:
     archived_epoch: int | None
 
 
-def _table_exists(spark: SparkSession, db: str, table: str) -> bool:
-    return spark.catalog.tableExists(f"`{db}`.`{table}`")
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _epochs(spark: SparkSession, table: str) -> list[int]:
+    """Epochs of ``table`` from the catalog's partition list: metadata only, no
+    file is read."""
+    out = []
+    for r in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        _, _, value = r[0].partition("=")
+        if value not in ("", "__HIVE_DEFAULT_PARTITION__"):
+            out.append(int(value))
+    return out
+
 
+def _drop_epoch(spark: SparkSession, table: str, epoch_id: int) -> None:
+    """Drop one epoch with its files.  It is registered first, so that files
+    committed by a load that died before registering them go as well."""
+    spec = f"PARTITION ({EPOCH} = {int(epoch_id)})"
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec}")
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
 
-def _write(df: DataFrame, table: str, mode: str) -> None:
-    (
-        df.write.mode(mode)
-        .format("parquet")
-        .option("compression", "snappy")
-        .partitionBy(EPOCH)
-        .saveAsTable(table)
+
+def _fields(df: DataFrame) -> list[StructField]:
+    return [StructField(f.name, f.dataType) for f in df.schema.fields]
+
+
+def _create(df: DataFrame, table: str) -> None:
+    """The empty table for the rows of ``df`` (without the epoch column)."""
+    df.sparkSession.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({StructType(_fields(df)).toDDL()}, {EPOCH} INT) USING parquet "
+        f"OPTIONS (compression 'snappy') PARTITIONED BY ({EPOCH})"
     )
 
 
+def _write_epoch(df: DataFrame, table: str, epoch_id: int) -> None:
+    """Write ``df`` (without the epoch column) as the partition of ``epoch_id``, in
+    place of what that partition holds.
+
+    The table is created before any file is written, so a crash never leaves
+    files that block the next creation.  Columns match by name: a new column is
+    added to the table (null in earlier epochs), a missing one is null.  The
+    epoch is a constant right under the write, so no row is sorted by it.
+    """
+    spark = df.sparkSession
+    _create(df, table)
+    fields = _fields(df)
+    have = {f.name.lower() for f in spark.table(table).schema.fields}
+    if new := [f for f in fields if f.name.lower() not in have]:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({StructType(new).toDDL()})")
+    _drop_epoch(spark, table, epoch_id)
+    given = {f.name.lower(): f.name for f in fields}
+    columns = [
+        F.col(_quoted(given[f.name.lower()])) if f.name.lower() in given else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in spark.table(table).schema.fields
+        if f.name != EPOCH
+    ]
+    df.select(*columns, F.lit(int(epoch_id)).cast("int").alias(EPOCH)).write.insertInto(table)
+    # an empty load is a partition too
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({EPOCH} = {int(epoch_id)})")
+
+
 class TargetTables:
     def __init__(self, spark: SparkSession, settings: TargetSettings):
         self.spark = spark
         self.s = settings
 
+    def _exists(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(name)
+
+    def _property(self, name: str, key: str) -> str | None:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+        return next((r["value"] for r in rows if r["key"] == key), None)
+
     def current_exists(self) -> bool:
-        return _table_exists(self.spark, self.s.current_database, self.s.current_table)
+        return self._exists(self.s.current)
 
     def history_exists(self) -> bool:
-        return _table_exists(self.spark, self.s.history_database, self.s.history_table)
-
-    def _epochs(self, table: str, epoch_id: int | None = None) -> list[int]:
-        """Epochs of ``table`` from the catalog's partition list: metadata
-        only, no file is read.  (Tables also written by outside writers need
-        ``refresh()`` first.)"""
-        spec = f" PARTITION (`{EPOCH}`={int(epoch_id)})" if epoch_id is not None else ""
-        rows = self.spark.sql(f"SHOW PARTITIONS {table}{spec}").collect()
-        out = []
-        for r in rows:
-            for part in r[0].split("/"):
-                k, _, v = part.partition("=")
-                if k == EPOCH and v not in ("", "__HIVE_DEFAULT_PARTITION__"):
-                    out.append(int(v))
-        return out
+        return self._exists(self.s.history)
 
     def current_epoch(self) -> int | None:
-        """Epoch held by ``current`` (its newest partition)."""
-        if not self.current_exists():
-            return None
-        epochs = self._epochs(self.s.current)
-        return max(epochs) if epochs else None
+        """Epoch that ``current`` shows."""
+        shown = self._property(self.s.current, SHOWN) if self.current_exists() else None
+        return int(shown) if shown is not None else None
 
     def history_has_epoch(self, epoch_id: int) -> bool:
         if not self.history_exists():
             return False
-        return bool(self._epochs(self.s.history, epoch_id))
+        shown = self._property(self.s.history, SHOWN)
+        return shown is not None and int(epoch_id) <= int(shown) and int(epoch_id) in _epochs(self.spark, self.s.loads)
+
+    def _show(self, view: str, condition: str, epoch_id: int) -> None:
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ({sql_text(SHOWN)} = '{int(epoch_id)}') "
+            f"AS SELECT * FROM {self.s.loads} WHERE {EPOCH} {condition} {int(epoch_id)}"
+        )
 
     def archive(self, previous_epoch: int) -> bool:
-        """Append ``current`` to ``history`` under ``previous_epoch``; skip when
-        already archived.  Returns True when rows were written."""
+        """Let ``history`` show everything up to ``previous_epoch``; no row is
+        copied.  Returns False when it already does."""
         if self.history_has_epoch(previous_epoch):
             return False
-        cur = self.spark.table(self.s.current).withColumn(EPOCH, F.lit(int(previous_epoch)).cast("int"))
-        _write(cur, self.s.history, "append")
+        self._show(self.s.history, "<=", previous_epoch)
         return True
 
-    def write_current(self, staged: DataFrame, epoch_id: int, etl_time: str | None = None) -> int:
-        """Stamp ``staged`` and overwrite ``current``; returns the written row
-        count, observed during the write itself.
-
-        The count is observed below the stamp: ``epoch_id`` is then a constant
-        right under the write, so Spark drops the per-partition sort a
-        partitioned write asks for.  An observation between the constant and
-        the write hides it, and every row would be sorted by a constant."""
-        obs = Observation("target_rows")
-        stamped = stamp(staged.observe(obs, F.count(F.lit(1)).alias("rows")), epoch_id, etl_time)
-        _write(stamped, self.s.current, "overwrite")
+    def _write_load(self, staged: DataFrame, epoch_id: int, etl_time: str | None) -> int:
+        """Stamp ``staged`` and write it as the partition of ``epoch_id``; returns
+        the written row count, observed during the write itself."""
+        obs = Observation()  # a name of its own: a retry may observe the same frame again
+        counted = staged.observe(obs, F.count(F.lit(1)).alias("rows"))
+        _write_epoch(stamp_audit(counted, etl_time), self.s.loads, epoch_id)
         return int(obs.get["rows"])
 
+    def recover(self, owner: str = "", logged_epoch: int | None = None) -> int | None:
+        """Undo a load that did not finish: its partition, its quarantine rows
+        and, where it was already shown, the views.  Returns the epoch undone."""
+        if not self._exists(self.s.loads):
+            return None
+        mark = self._property(self.s.loads, PENDING)
+        if mark is None:
+            return None
+        epoch, _, by = mark.partition(":")
+        pending = int(epoch)
+        if by and by != owner:
+            raise RuntimeError(f"load {pending} of workflow {by} into {self.s.current} is not finished; run that first")
+        done = (logged_epoch is not None and pending <= logged_epoch) if by else self.current_epoch() == pending
+        if not done:
+            earlier = sorted(e for e in _epochs(self.spark, self.s.loads) if e != pending)
+            if self.current_epoch() == pending:
+                if earlier:
+                    self._show(self.s.current, "=", earlier[-1])
+                else:
+                    self.spark.sql(f"DROP VIEW {self.s.current}")
+            if self.history_exists():
+                if len(earlier) > 1:
+                    self._show(self.s.history, "<=", earlier[-2])
+                else:
+                    self.spark.sql(f"DROP VIEW {self.s.history}")
+            _drop_epoch(self.spark, self.s.loads, pending)
+            if self._exists(self.s.quarantine):
+                _drop_epoch(self.spark, self.s.quarantine, pending)
+        self.finish()
+        return None if done else pending
+
+    def finish(self) -> None:
+        """Remove the mark of the load: it is recorded, and stays."""
+        self.spark.sql(f"ALTER TABLE {self.s.loads} UNSET TBLPROPERTIES IF EXISTS ({sql_text(PENDING)})")
+
     def load(
         self,
         staged: DataFrame,
         epoch_id: int | None = None,
         etl_time: str | None = None,
         previous_epoch: int | None = None,
+        owner: str = "",
     ) -> LoadResult:
-        """Stamp ``staged`` and load it; archive the previous epoch first."""
+        """Load ``staged`` as the new ``current``; the load before moves to
+        ``history``.  ``previous_epoch`` is the last load its caller has
+        recorded.  With an ``owner`` the load is undone by the owner's next one
+        unless ``finish`` follows."""
         epoch_id = epoch_now() if epoch_id is None else int(epoch_id)
-        prev = previous_epoch if previous_epoch is not None else self.current_epoch()
-        if prev is not None and epoch_id <= prev:
-            # history keys archived rows by epoch: a repeated epoch would make
-            # the idempotent archive skip rows
-            raise ValueError(f"epoch {epoch_id} is not above the current epoch {prev}")
-        archived = None
-        if prev is not None and self.current_exists():
+        self.recover(owner, previous_epoch)
+        prev = self.current_epoch()
+        newest = max((e for e in (prev, previous_epoch) if e is not None), default=None)
+        if newest is not None and epoch_id <= newest:
+            raise ValueError(f"epoch {epoch_id} is not above the current epoch {newest}")
+        stamped = stamp_audit(staged, etl_time)
+        _create(stamped, self.s.loads)
+        self.spark.sql(
+            f"ALTER TABLE {self.s.loads} SET TBLPROPERTIES ({sql_text(PENDING)} = {sql_text(f'{epoch_id}:{owner}')})"
+        )
+        rows = self._write_load(staged, epoch_id, etl_time)
+        if prev is not None:
             self.archive(prev)
-            archived = prev
-        rows = self.write_current(staged, epoch_id, etl_time)
-        return LoadResult(epoch_id, rows, len(stamp(staged, epoch_id, etl_time).columns), archived)
+        self._show(self.s.current, "=", epoch_id)
+        if not owner:
+            self.finish()
+        return LoadResult(epoch_id, rows, len(stamped.columns) + 1, prev)
 
     def write_quarantine(
         self,
@@ -186,8 +290,13 @@ class TargetTables:
         mode: str = "overwrite",
     ) -> None:
         """Stamped quarantine rows, partitioned by epoch; written even when
-        empty.  ``mode='append'`` keeps earlier runs' quarantine."""
-        _write(stamp(quarantined, epoch_id, etl_time), self.s.quarantine, mode)
+        empty.  ``mode='append'`` keeps earlier runs' quarantine; otherwise
+        earlier epochs are dropped after the write."""
+        _write_epoch(stamp_audit(quarantined, etl_time), self.s.quarantine, epoch_id)
+        if mode == "overwrite":
+            for epoch in _epochs(self.spark, self.s.quarantine):
+                if epoch != int(epoch_id):
+                    _drop_epoch(self.spark, self.s.quarantine, epoch)
 
     def current_frame(self) -> DataFrame:
         return self.spark.table(self.s.current)
@@ -198,7 +307,6 @@ class TargetTables:
     def refresh(self) -> None:
         """Refresh cached metadata and re-discover partitions, for tables
         also written by outside writers."""
-        for name, exists in ((self.s.current, self.current_exists()), (self.s.history, self.history_exists())):
-            if exists:
-                self.spark.sql(f"REFRESH TABLE {name}")
-                self.spark.sql(f"MSCK REPAIR TABLE {name}")
+        if self._exists(self.s.loads):
+            self.spark.sql(f"REFRESH TABLE {self.s.loads}")
+            self.spark.sql(f"MSCK REPAIR TABLE {self.s.loads}")

@@ -294,9 +294,8 @@ class IngestionRun:
 
     def write_to_target(self, stage: Stage, mv: Q.MaterializedValidation | None, epoch_id: int, etl_time: str) -> None:
         last_load = self._last_load if self._last_load is not None else self.last_load_details()
-        previous = last_load.get("epoch_id")
-        if previous is None:
-            previous = self.targets.current_epoch()
+        previous, owner = last_load.get("epoch_id"), str(self.s.workflow_id)
+        self.targets.recover(owner, previous)
         if mv is not None:
             quarantined = Q.quarantine_rows(mv.erroneous_data)
             if mv.failjob_count:
@@ -318,7 +317,7 @@ class IngestionRun:
             increments = self._increments()
             _check_keys(increments, source)
             marks = advance(source, increments)
-        result = self.targets.load(source, epoch_id=epoch_id, etl_time=etl_time, previous_epoch=previous)
+        result = self.targets.load(source, epoch_id=epoch_id, etl_time=etl_time, previous_epoch=previous, owner=owner)
         if quarantined is not None:
             self.targets.write_quarantine(quarantined, epoch_id, etl_time, self.s.quarantine_mode)
         self.metrics.update(
@@ -401,6 +400,7 @@ class IngestionRun:
         if self.s.profile:
             self._step(run_id, M.PROFILE_STEP, lambda: self.data_profiling(stage))
         self._step(run_id, M.LOAD_STEP, lambda: self.write_to_target(stage, mv, epoch_id, etl_time))
+        self.targets.finish()  # the load is in the run log now
         reports = self._step(run_id, M.REPORT_STEP, lambda: self.email_step(stage, run_id, mv))
         status = _status_text(mv) if mv is not None else None
         if not self.s.keep_stage:

@@ -1,5 +1,8 @@
 """Versioned loads: three epochs, idempotent archive, quarantine."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from corral.operators import target as W
@@ -60,8 +63,6 @@ def test_partition_filter_reaches_scan(spark):
 
 
 def test_repeated_epoch_is_refused(spark):
-    import pytest
-
     t = tables(spark)
     t.load(spark.createDataFrame([(1,)], "k long"), epoch_id=100, etl_time=T)
     with pytest.raises(ValueError):
@@ -69,6 +70,89 @@ def test_repeated_epoch_is_refused(spark):
     assert keys(t.current_frame()) == [(1, 100)]
 
 
+STOPS = ["after the mark", "after the partition", "after the archive"]
+
+
+@pytest.mark.parametrize("first", [True, False])
+@pytest.mark.parametrize("stop", STOPS)
+def test_retry_after_a_stopped_load_is_exact(spark, monkeypatch, stop, first):
+    t = tables(spark)
+    if not first:
+        t.load(spark.createDataFrame([(1,), (2,)], "k long"), epoch_id=100, etl_time=T)
+        t.load(spark.createDataFrame([(3,)], "k long"), epoch_id=200, etl_time=T)
+    rows = spark.createDataFrame([(4,), (5,)], "k long")
+
+    def stopped(*a, **kw):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        if stop == "after the mark":
+            m.setattr(W, "_write_epoch", stopped)
+        elif stop == "after the archive":
+            m.setattr(t, "_show" if first else "finish", stopped)
+        else:
+            real = W._write_epoch
+
+            def write(df, table, epoch_id):
+                real(df, table, epoch_id)
+                stopped()
+
+            m.setattr(W, "_write_epoch", write)
+        with pytest.raises(RuntimeError):
+            t.load(rows, epoch_id=300, etl_time=T)
+    if not first and stop != "after the archive":
+        assert keys(t.current_frame()) == [(3, 200)]  # readers still see the load before
+    if stop == "after the archive" and not first:
+        # everything was shown, only the mark was left: the load counts
+        t.recover()
+        assert keys(t.current_frame()) == [(4, 300), (5, 300)]
+        assert keys(t.history_frame()) == [(1, 100), (2, 100), (3, 200)]
+        return
+    t.load(rows, epoch_id=301, etl_time=T)
+    assert keys(t.current_frame()) == [(4, 301), (5, 301)]
+    assert first or keys(t.history_frame()) == [(1, 100), (2, 100), (3, 200)]
+    assert W._epochs(spark, t.s.loads) == ([301] if first else [100, 200, 301])
+
+
+def test_files_without_a_partition_are_dropped(spark):
+    """Files committed by a load that died before registering its partition."""
+    t = tables(spark)
+    t.load(spark.createDataFrame([(1,)], "k long"), epoch_id=100, etl_time=T)
+    base = spark.sql(f"DESCRIBE TABLE EXTENDED {t.s.loads}").where("col_name = 'Location'").first()["data_type"]
+    spark.createDataFrame([(9,)], "k long").write.parquet(f"{base}/epoch_id=200")
+    spark.sql(f"ALTER TABLE {t.s.loads} SET TBLPROPERTIES ('{W.PENDING}' = '200:')")
+    assert t.recover() == 200
+    assert not os.path.exists(f"{base.removeprefix('file:')}/epoch_id=200")
+    t.load(spark.createDataFrame([(2,)], "k long"), epoch_id=200, etl_time=T)
+    assert keys(t.current_frame()) == [(2, 200)] and keys(t.history_frame()) == [(1, 100)]
+
+
+def test_load_shown_but_not_recorded_is_undone(spark):
+    t = tables(spark)
+    t.load(spark.createDataFrame([(1,)], "k long"), epoch_id=100, etl_time=T, owner="7")
+    # first load shown, never recorded: the owner's retry reads the same rows again
+    t.load(spark.createDataFrame([(1,)], "k long"), epoch_id=101, etl_time=T, owner="7")
+    assert keys(t.current_frame()) == [(1, 101)] and not t.history_exists()
+    t.write_quarantine(spark.createDataFrame([(8,)], "k long"), 101, T, mode="append")
+    # recorded, but the mark was not removed: the load stays
+    t.load(spark.createDataFrame([(2,)], "k long"), epoch_id=200, etl_time=T, owner="7", previous_epoch=101)
+    assert keys(t.history_frame()) == [(1, 101)]
+    with pytest.raises(RuntimeError):
+        t.load(spark.createDataFrame([(3,)], "k long"), epoch_id=300, etl_time=T, owner="8")
+    t.write_quarantine(spark.createDataFrame([(9,)], "k long"), 200, T, mode="append")
+    assert t.recover("7", logged_epoch=101) == 200
+    assert keys(t.current_frame()) == [(1, 101)]
+    assert [r["k"] for r in spark.table(t.s.quarantine).collect()] == [8]
+
+
+def test_new_and_missing_columns(spark):
+    t = tables(spark)
+    t.load(spark.createDataFrame([(1, "a")], "k long, v string"), epoch_id=100, etl_time=T)
+    t.load(spark.createDataFrame([(2, 0.5)], "k long, w double"), epoch_id=200, etl_time=T)
+    assert tuple(t.current_frame().select("k", "v", "w").first()) == (2, None, 0.5)
+    assert [r["v"] for r in t.history_frame().collect()] == ["a"]
+
+
 _WRITE_PLANS = '''
 import glob, json, sys
 sys.path.insert(0, sys.argv[1])
@@ -103,7 +187,6 @@ def test_epoch_partitioned_writes_plan_no_sort(tmp_path):
     not sort the rows by it (a full per-task sort at scale).  Plans are read
     from the event log of a separate session."""
     import json
-    import os
     import subprocess
     import sys
 
@@ -115,6 +198,6 @@ def test_epoch_partitioned_writes_plan_no_sort(tmp_path):
     out = subprocess.run([sys.executable, str(script), repo, str(ev), str(ck)], capture_output=True, text=True,
                          timeout=600, check=True).stdout
     plans = [json.loads(line) for line in out.splitlines() if line.startswith('"')]
-    # first load, archive, second load, quarantine
-    assert len(plans) == 4
+    # first load, second load, quarantine: archiving copies nothing
+    assert len(plans) == 3
     assert all("WriteFiles" in p and "Sort" not in p for p in plans), plans
