@@ -19,9 +19,10 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from corral.functions.rules import Rule
 from corral.functions.scalar import audit_time_text, local_clock, table_name_from_location
@@ -35,7 +36,7 @@ from corral.operators.transform import Step, apply_transformations
 from corral.plans import reports as RP
 from corral.sources import delimited as CSV
 from corral.sources import discovery as D
-from corral.streaming.file_stream import file_stream
+from corral.streaming.file_stream import NO_DATA_YET, file_stream
 from corral.sources.stage import DATA_PROFILE, DQ, DQ_VALIDATION, INTERMEDIATE, RAW, Stage
 
 SOURCE_FILE = "__source_file"
@@ -111,33 +112,27 @@ class IngestionRun:
     def _workflow_log(self) -> DataFrame:
         return self.log.frame(self.s.workflow_id)
 
-    def state(self, stream_batch: tuple[str, int] | None = None) -> tuple[int, dict, bool]:
-        """Next run id, the run details of the newest successful load, and
-        whether ``stream_batch`` (checkpoint, batch id) was already loaded,
+    def state(self, stream_checkpoint: str | None = None) -> tuple[int, dict, int]:
+        """Next run id, the run details of the newest successful load, and the
+        last micro-batch of ``stream_checkpoint`` that was loaded (-1: none),
         from one aggregation over this workflow's log records."""
         loaded = (F.col("step_name") == M.LOAD_STEP) & (F.col("step_completion_status") == M.SUCCESS)
-        if stream_batch is None:
-            same_batch = F.lit(False)
-        else:
-            same_batch = (
-                loaded
-                & (F.get_json_object("run_details", "$.stream_checkpoint") == F.lit(stream_batch[0]))
-                & (F.get_json_object("run_details", "$.stream_batch_id").cast("bigint") == F.lit(int(stream_batch[1])))
-            )
+        same_stream = loaded & (F.get_json_object("run_details", "$.stream_checkpoint") == F.lit(stream_checkpoint))
+        batch_id = F.get_json_object("run_details", "$.stream_batch_id").cast("bigint")
         row = (
             self._workflow_log()
             .groupBy("workflow_id")
             .agg(
                 (F.max("run_id") + 1).alias("next_run_id"),
                 F.max_by(F.col("run_details"), F.when(loaded, M.order_key(M.ORDER))).alias("load"),
-                F.count_if(same_batch).alias("same_batch"),
+                F.max(F.when(same_stream, batch_id)).alias("last_batch"),
             )
             .first()
         )
         if row is None:
-            return M.FIRST_RUN_ID, {}, False
+            return M.FIRST_RUN_ID, {}, -1
         details = json.loads(row["load"]) if row["load"] else {}
-        return int(row["next_run_id"]), details, bool(row["same_batch"])
+        return int(row["next_run_id"]), details, -1 if row["last_batch"] is None else int(row["last_batch"])
 
     def next_run_id(self) -> int:
         return self.state()[0]
@@ -442,42 +437,25 @@ class IngestionRun:
         max_files_per_trigger: int | None = None,
         etl_time: str | None = None,
     ) -> list[RunResult]:
-        """Run the whole workflow once per micro-batch of new files, until no
-        new file is left (``availableNow``).  Each micro-batch is one run and
-        one load (epoch)."""
-        results: list[RunResult] = []
-
-        def handle(batch: DataFrame, batch_id: int) -> None:
-            # A micro-batch whose load succeeded but whose commit to the
-            # checkpoint did not (the driver died in between) is replayed
-            # with the same id on restart; the run log says it is loaded.
-            key = (checkpoint_location.rstrip("/"), int(batch_id))
-            run_id, self._last_load, done = self.state(stream_batch=key)
-            if done:
-                return
-            stage = Stage(self.spark, self.s.workflow_name, run_id)
-            self.metrics = {"stream_checkpoint": key[0], "stream_batch_id": key[1]}
-            self.log.append(self.s.workflow_id, run_id, M.RUN_START, M.RUNNING)
-
-            def read() -> None:
-                obs = Observation(f"batch_{batch_id}")
-                stage.save(RAW, batch.observe(obs, F.count(F.lit(1)).alias("rows")))
-                # distinct aggregates cannot be observed: count files on the
-                # staged file-name column (one column of parquet)
-                files = stage.load(RAW).agg(F.count_distinct(SOURCE_FILE)).first()[0]
-                self.metrics.update(
-                    source_row_count=int(obs.get["rows"]),
-                    source_file_count=int(files),
-                    source_column_count=len(batch.columns) - 1,
-                )
-                CSV.enforce_empty_policy(int(obs.get["rows"]), self.s.source.allow_empty_file)
-
-            self._step(run_id, M.READ_STEP, read)
-            results.append(self._after_read(run_id, stage, None, etl_time))
+        """Land every new file through the stream (``availableNow``), then
+        transform, validate and load all landed rows once: one run and one
+        epoch, whatever ``max_files_per_trigger`` is.
+
+        Micro-batch ``n`` is written to ``<checkpoint>_batches/batch_id=n`` and
+        overwritten when Spark replays it.  The run log keeps the last batch of
+        each load, so batches of a run that failed (also by ``failjob``) are
+        loaded with the next run, and loaded ones are never read again; their
+        folders may be removed.  Returns the run, or nothing when no batch is
+        left to load."""
+        checkpoint = checkpoint_location.rstrip("/")
+        landed = f"{checkpoint}_batches"
+        stream = self.stream_source(max_files_per_trigger)
+
+        def land(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{landed}/batch_id={int(batch_id)}")
 
         q = (
-            self.stream_source(max_files_per_trigger)
-            .writeStream.foreachBatch(handle)
+            stream.writeStream.foreachBatch(land)
             .option("checkpointLocation", checkpoint_location)
             .trigger(availableNow=True)
             .start()
@@ -485,7 +463,39 @@ class IngestionRun:
         q.awaitTermination()
         if q.exception():
             raise q.exception()
-        return results
+
+        run_id, self._last_load, loaded = self.state(stream_checkpoint=checkpoint)
+        schema = StructType([*stream.schema.fields, StructField("batch_id", LongType())])
+        try:
+            rows = self.spark.read.schema(schema).parquet(landed).where(F.col("batch_id") > loaded)
+        except AnalysisException as e:
+            if e.getCondition() not in NO_DATA_YET:
+                raise
+            return []
+        found = rows.agg(F.max("batch_id").alias("last"), F.count_distinct(SOURCE_FILE).alias("files")).first()
+        if found["last"] is None:
+            return []
+        stage = Stage(self.spark, self.s.workflow_name, run_id)
+        self.metrics = {"stream_checkpoint": checkpoint, "stream_batch_id": int(found["last"])}
+        self.log.append(self.s.workflow_id, run_id, M.RUN_START, M.RUNNING)
+
+        def read() -> None:
+            df = rows.drop("batch_id")
+            if self.s.source_load_type == "increment" and self.s.increments:
+                increments = self._increments()
+                _check_keys(increments, df)
+                df = incremental_filter(df, increments)
+            obs = Observation()
+            stage.save(RAW, df.observe(obs, F.count(F.lit(1)).alias("rows")))
+            self.metrics.update(
+                source_row_count=int(obs.get["rows"]),
+                source_file_count=int(found["files"]),
+                source_column_count=len(df.columns) - 1,
+            )
+            CSV.enforce_empty_policy(int(obs.get["rows"]), self.s.source.allow_empty_file)
+
+        self._step(run_id, M.READ_STEP, read)
+        return [self._after_read(run_id, stage, None, etl_time)]
 
 
 def _check_keys(increments, df: DataFrame) -> None:

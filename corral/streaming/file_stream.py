@@ -12,11 +12,14 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from corral.sources.delimited import DELIMITER, TIMESTAMP_FORMAT
 
+NO_DATA_YET = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 
 def file_stream(
     spark: SparkSession,
@@ -56,12 +59,10 @@ def stream_new_files(
     **read_options,
 ) -> int:
     """Read every not-yet-read file under ``source_dir`` into the parquet sink
-    at ``sink_path`` and stop.  Returns the number of rows read this run,
-    summed over the query's progress reports.  Spark keeps the last
-    ``spark.sql.streaming.numRecentProgressUpdates`` of them (100 by
-    default): a run of more micro-batches (a small ``max_files_per_trigger``
-    over a large backlog) needs that setting raised for an exact count; the
-    rows in the sink are exact either way."""
+    at ``sink_path`` and stop.  Returns the number of rows this run added to
+    the sink, counted there (from parquet footers), so it is exact for any
+    number of micro-batches."""
+    before = _rows_in(spark, sink_path)
     stream = file_stream(spark, source_dir, schema, **read_options)
     if transform is not None:
         stream = transform(stream)
@@ -75,7 +76,17 @@ def stream_new_files(
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    return _rows_in(spark, sink_path) - before
+
+
+def _rows_in(spark: SparkSession, path: str) -> int:
+    """Rows of a parquet folder; 0 where there is none yet."""
+    try:
+        return spark.read.parquet(path).count()
+    except AnalysisException as e:
+        if e.getCondition() not in NO_DATA_YET:
+            raise
+        return 0
 
 
 def stream_batches(

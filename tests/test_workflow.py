@@ -226,54 +226,79 @@ def test_settings_from_stored_config(spark, tmp_dir):
     assert Q.ticket_flag(s.rule_settings) == "Yes"
 
 
-def test_streaming_runs_one_load_per_micro_batch(spark, tmp_dir):
+@pytest.mark.parametrize("per_trigger", [1, 2, None])
+def test_streamed_run_equals_the_batch_run(spark, tmp_dir, per_trigger):
+    """The files of a trigger only change speed: current, history and quarantine
+    are those of the batch run, also for a key that repeats across files."""
     land = f"{tmp_dir}/landing"
-    drop(land, "orders_1.csv", ["1|10|2024-01-01T10:00:00+0000|DE", "2|-1|2024-01-01T10:00:00+0000|FR"])
-    drop(land, "orders_2.csv", ["3|5|2024-01-01T10:00:00+0000|DE"])
-    drop(land, "notes.csv", ["9|9|2024-01-01T10:00:00+0000|DE"])
-    s = settings(spark, tmp_dir, table_checks=[])
-    wf = IngestionRun(spark, s)
-    ck = f"{tmp_dir}/ck"
-    first = wf.run_stream(ck, max_files_per_trigger=1)
-    assert [r.metrics["source_file_count"] for r in first] == [1, 1]
-    assert sum(r.metrics["source_row_count"] for r in first) == 3
-    # every micro-batch replaced current; the earlier batch went to history
-    assert spark.table(s.target.current).count() + spark.table(s.target.history).count() == 2
-    assert [x["id"] for x in spark.table(s.target.quarantine).collect()] in ([], [2])
+    drop(land, "orders_1.csv", ["1|10|2024-01-01T10:00:00+0000|DE", "2|-1|2024-01-01T10:00:00+0000|FR",
+                                "9|1|2024-01-01T10:00:00+0000|DE"])
+    drop(land, "orders_2.csv", ["3|5|2024-01-01T10:00:00+0000|DE", "9|2|2024-01-01T10:00:00+0000|DE"])
+    drop(land, "orders_3.csv", ["4|5|2024-01-01T10:00:00+0000|DE"])
+    drop(land, "notes.csv", ["8|9|2024-01-01T10:00:00+0000|DE"])
+    rules = [R.in_range("amount", min_value=0, action="quarantine"), R.unique("id", action="quarantine")]
+    s = settings(spark, tmp_dir, table_checks=[], profile=False, rules=rules)
+    wf, ck = IngestionRun(spark, s), f"{tmp_dir}/ck"
+    batch = settings(spark, tmp_dir, table_checks=[], profile=False, rules=rules)
+    IngestionRun(spark, batch).run()
+
+    def ids(table):
+        return sorted(x["id"] for x in spark.table(table).collect())
+
+    first = wf.run_stream(ck, max_files_per_trigger=per_trigger)
+    assert [(r.metrics["source_file_count"], r.metrics["source_row_count"]) for r in first] == [(3, 6)]
+    assert ids(s.target.current) == ids(batch.target.current) == [1, 3, 4]
+    assert ids(s.target.quarantine) == ids(batch.target.quarantine) == [2, 9, 9]
     # a restart reads only files not read before
-    assert wf.run_stream(ck) == []
-    drop(land, "orders_3.csv", ["4|1|2024-01-02T10:00:00+0000|FR"])
-    again = wf.run_stream(ck)
+    assert wf.run_stream(ck, max_files_per_trigger=per_trigger) == []
+    drop(land, "orders_4.csv", ["5|1|2024-01-02T10:00:00+0000|FR"])
+    again = wf.run_stream(ck, max_files_per_trigger=per_trigger)
     assert len(again) == 1 and again[0].metrics["source_row_count"] == 1
-    assert [x["id"] for x in spark.table(s.target.current).collect()] == [4]
+    assert ids(s.target.current) == [5] and ids(s.target.history) == [1, 3, 4]
 
 
-def test_replayed_micro_batch_is_not_loaded_twice(spark, tmp_dir, monkeypatch):
-    """The driver dies after a micro-batch's load but before the batch is
-    committed: the restart replays that batch id, which the run log shows
-    as loaded, so its rows reach current and history once."""
+def test_stopped_streamed_run_is_loaded_once(spark, tmp_dir, monkeypatch):
+    """The driver dies after the files were landed and the load was shown, before
+    the load is logged: the next run loads the same batches, once."""
     land = f"{tmp_dir}/landing"
     drop(land, "orders_1.csv", ["1|10|2024-01-01T10:00:00+0000|DE", "2|20|2024-01-01T10:00:00+0000|FR"])
     drop(land, "orders_2.csv", ["3|5|2024-01-01T10:00:00+0000|DE"])
     s = settings(spark, tmp_dir, table_checks=[], profile=False)
+    wf, ck = IngestionRun(spark, s), f"{tmp_dir}/ck"
+    real = IngestionRun.write_to_target
+
+    def stopped(self, *a):
+        real(self, *a)
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(IngestionRun, "write_to_target", stopped)
+        with pytest.raises(RuntimeError):
+            wf.run_stream(ck, max_files_per_trigger=1)
+    assert spark.table(s.target.current).count() == 3  # shown, not logged
+    assert len(wf.run_stream(ck, max_files_per_trigger=1)) == 1
+    assert sorted(x["id"] for x in spark.table(s.target.current).collect()) == [1, 2, 3]
+    assert not spark.catalog.tableExists(s.target.history)
+
+
+def test_first_load_shown_but_not_logged_is_repeated_once(spark, tmp_dir, monkeypatch):
+    drop(f"{tmp_dir}/landing", "orders_1.csv", ["1|10|2024-01-01T10:00:00+0000|DE", "2|20|2024-01-01T10:00:00+0000|FR"])
+    s = settings(spark, tmp_dir, table_checks=[], profile=False)
     wf = IngestionRun(spark, s)
-    ck = f"{tmp_dir}/ck"
-    real_report = IngestionRun.email_step
-
-    def failing_report(self, *a, **kw):
-        raise RuntimeError("driver lost after the load")
-
-    monkeypatch.setattr(IngestionRun, "email_step", failing_report)
-    with pytest.raises(Exception):
-        wf.run_stream(ck, max_files_per_trigger=1)
-    assert spark.table(s.target.current).count() == 2  # batch 0 was loaded
-    monkeypatch.setattr(IngestionRun, "email_step", real_report)
-    done = wf.run_stream(ck, max_files_per_trigger=1)
-    # batch 0 is skipped on replay; only batch 1 runs
-    assert [r.metrics["stream_batch_id"] for r in done] == [1]
-    ids = [x["id"] for x in spark.table(s.target.current).collect()]
-    ids += [x["id"] for x in spark.table(s.target.history).collect()]
-    assert sorted(ids) == [1, 2, 3]
+    real = M.RunLog.append
+
+    def append(self, workflow_id, run_id, step, *a, **kw):
+        if step == M.LOAD_STEP:
+            raise RuntimeError("driver lost")
+        return real(self, workflow_id, run_id, step, *a, **kw)
+
+    with monkeypatch.context() as m:
+        m.setattr(M.RunLog, "append", append)
+        with pytest.raises(RuntimeError):
+            wf.run(epoch_id=100)
+    wf.run(epoch_id=101)
+    assert sorted((x["id"], x["epoch_id"]) for x in spark.table(s.target.current).collect()) == [(1, 101), (2, 101)]
+    assert not spark.catalog.tableExists(s.target.history)
 
 
 def test_unparsable_rows_are_quarantined_with_their_text(spark, tmp_dir):
