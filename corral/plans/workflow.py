@@ -15,6 +15,7 @@ to the run log.  Differences from a straight re-run of the original steps:
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Sequence
@@ -417,6 +418,10 @@ class IngestionRun:
         folder, _, name_glob = src.file_location.rpartition("/")
         if "*" in folder:
             raise ValueError("streaming needs a fixed folder; '*' is allowed in the file name only")
+        if src.corrupt_column:
+            raise ValueError("a streamed run does not keep unparsable rows: leave corrupt_column unset")
+        # as in the batch run, only '*' is a wildcard and a pattern without one is a prefix
+        name_glob = re.sub(r"([?\[\]{}\\])", r"\\\1", name_glob) + ("" if "*" in name_glob else "*")
         stream = file_stream(
             self.spark,
             f"{src.root.rstrip('/')}/{folder}" if folder else src.root,

@@ -257,6 +257,16 @@ def test_streamed_run_equals_the_batch_run(spark, tmp_dir, per_trigger):
     assert ids(s.target.current) == [5] and ids(s.target.history) == [1, 3, 4]
 
 
+def test_streamed_run_reads_a_prefix_pattern(spark, tmp_dir):
+    land = f"{tmp_dir}/landing"
+    drop(land, "o_[1].csv", ["1|10|2024-01-01T10:00:00+0000|DE"])
+    drop(land, "x_2.csv", ["2|10|2024-01-01T10:00:00+0000|DE"])
+    src = SourceSettings(root=tmp_dir, file_location="landing/o_[1]", schema=SCHEMA, is_collation=True)
+    s = settings(spark, tmp_dir, source=src, rules=[], profile=False, table_checks=[])
+    IngestionRun(spark, s).run_stream(f"{tmp_dir}/ck")
+    assert [x["id"] for x in spark.table(s.target.current).collect()] == [1]
+
+
 def test_stopped_streamed_run_is_loaded_once(spark, tmp_dir, monkeypatch):
     """The driver dies after the files were landed and the load was shown, before
     the load is logged: the next run loads the same batches, once."""
