@@ -94,8 +94,8 @@ def signatures(hashes: list[np.ndarray], count: int, seed: int) -> np.ndarray:
 
 
 def sketch(rows: DataFrame, n: int, trees: int, depth: int, seed: int) -> DataFrame:
-    """Per row: a 128-bit digest of the shingle set, its size, and the prefix key of
-    every tree."""
+    """Per row: a hash of the text (Spark's ``xxhash64``), a 128-bit digest of the
+    shingle set, its size, and the prefix key of every tree."""
 
     def run(batches) -> Iterator[dict]:
         for ids, texts in text_batches(batches, max_chars=1_500_000):
@@ -106,12 +106,18 @@ def sketch(rows: DataFrame, n: int, trees: int, depth: int, seed: int) -> DataFr
                 keys.append([xxhash.xxh64_intdigest(p.tobytes(), t) - (1 << 63) for t, p in enumerate(sig)])
             yield {
                 "doc_id": ids,
+                "text_key": [_text_key(t) for t in texts],
                 "set_key": [xxhash.xxh128_digest(s.tobytes()) for s in sets],
                 "n": [len(s) for s in sets],
                 "prefixes": keys,
             }
 
-    return map_batches(rows, run, "doc_id long, set_key binary, n long, prefixes array<long>")
+    return map_batches(rows, run, "doc_id long, text_key long, set_key binary, n long, prefixes array<long>")
+
+
+def _text_key(text: str) -> int:
+    h = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), 42)
+    return h - (1 << 64) if h >> 63 else h
 
 
 def _candidates(leaves: DataFrame, hot: int, threshold: float) -> DataFrame:
@@ -315,8 +321,25 @@ def jaccard_join(
     told apart by their digest and named by the id only in the result.  Empty
     table: no rows.
     """
-    depth = forest_depth(threshold, trees, longest, target_recall)
     rows = texts_of(docs, id_col, text_col)
+    members, links = _joined(rows, threshold, shingle_words, trees, longest, target_recall, hot, block, seed)
+    return members.select("doc_id", "copy_id", "class_id", "n_links"), links
+
+
+def _joined(
+    rows: DataFrame,
+    threshold: float = 0.8,
+    shingle_words: int = 5,
+    trees: int = 40,
+    longest: int = 8,
+    target_recall: float = 0.99999,
+    hot: int = 64,
+    block: int = 192,
+    seed: int = 11,
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`jaccard_join` of ``(doc_id, text)``; the membership also has ``text_key``
+    and ``root``, which names a component whatever ids its rows have."""
+    depth = forest_depth(threshold, trees, longest, target_recall)
     sketched = staged(sketch(rows, shingle_words, trees, depth, seed), "forest_sketch")
 
     # one number per shingle set: half of its 128-bit digest
@@ -347,7 +370,7 @@ def jaccard_join(
 
     wanted = pairs.select(F.col("a").alias("class_id")).unionAll(pairs.select("b")).unionAll(groups.select("class_id")).distinct()
     # the text of one document stands for its class
-    one = named.groupBy("class_id").agg(F.min("doc_id").alias("doc_id"))
+    one = named.groupBy("class_id").agg(F.min(F.struct("doc_id", "text_key")).alias("one")).select("class_id", "one.*")
     keyed = _class_texts(rows, wanted.join(one, "class_id"), shingle_words)
     texts = staged(keyed, "forest_texts")
     links = staged(_verify_pairs(pairs, texts, shingle_words, threshold), "forest_links")
@@ -369,10 +392,10 @@ def jaccard_join(
     per_class = (
         grouped.join(names, "root")
         .join(degree, "class_id", "left")
-        .select("class_id", "copy_id", "group_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        .select("class_id", "root", "copy_id", "group_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
-    membership = named.select("doc_id", "class_id").join(per_class, "class_id").select(
-        "doc_id", "copy_id", F.col("group_id").alias("class_id"), "n_links"
+    membership = named.select("doc_id", "text_key", "class_id").join(per_class, "class_id").select(
+        "doc_id", "text_key", "root", "copy_id", F.col("group_id").alias("class_id"), "n_links"
     )
     link_names = per_class.select("class_id", "copy_id")
     named_links = links.join(link_names.select(F.col("class_id").alias("a"), F.col("copy_id").alias("ca")), "a").join(
@@ -384,9 +407,10 @@ def jaccard_join(
 
 
 def _class_texts(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """``(class_id, text)`` of the wanted classes: texts of rows with the class's
-    smallest id, checked against the class's digest (an id may be repeated)."""
-    picked = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"])).select("class_id", "text")
+    """``(class_id, text)`` of the wanted classes: texts of rows with the class's id
+    and text hash (ids may be null or repeated), checked against the class's digest."""
+    same = rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (F.xxhash64(rows["text"]) == wanted["text_key"])
+    picked = rows.join(wanted, same).select("class_id", "text")
 
     def run(batches) -> Iterator[dict]:
         for batch in batches:
@@ -404,13 +428,14 @@ def _class_texts(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of every group of near copies: the one with the
-    group's smallest id.  Texts that share an id are taken for one document only
-    where they are equal."""
-    membership = staged(jaccard_join(docs)[0], "forest_membership")
-    keep = membership.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
-    left = docs.withColumn("__id", F.col("doc_id").cast("long"))
-    same_id = left["__id"].eqNullSafe(keep["doc_id"])
-    kept = left.join(keep, same_id, "left_semi").drop("__id")
-    if membership.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.dropDuplicates(["doc_id", "text"])
-    return kept
+    group's smallest id (of texts that share it: with the smallest hash).  A null id
+    comes after all others, so a group of null ids keeps one document, too."""
+    members = staged(_joined(texts_of(docs))[0].select("doc_id", "text_key", "root"), "forest_membership")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    keep = members.groupBy("root").agg(F.min_by(F.struct("doc_id", "text_key"), first).alias("one")).select("one.*")
+    left = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__key": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    same = left["__id"].eqNullSafe(keep["doc_id"]) & (left["__key"] == keep["text_key"])
+    kept = left.join(keep, same, "left_semi")
+    if members.groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates(["__id", "__key"])
+    return kept.drop("__id", "__key")

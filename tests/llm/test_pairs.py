@@ -90,6 +90,22 @@ def test_keep_one_of_each(spark):
     assert twice.count() == kept.count()
 
 
+def test_keep_one_with_null_and_repeated_ids(spark):
+    words = lambda name: " ".join(f"{name}{i}" for i in range(60))
+    rows = [(None, words("a")), (None, words("a") + " end"), (5, words("b")), (5, words("b") + " end"), (5, words("b"))]
+    rows += [(None, words("c")), (2, words("c") + " end"), (2, words("d")), (1, words("d") + " end"), (None, None), (None, " ")]
+    kept = forest.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    groups = [(r.text or "").strip()[:1] for r in kept]
+    assert sorted(groups) == ["", "a", "b", "c", "d"]
+    assert {g: r.doc_id for g, r in zip(groups, kept)} == {"": None, "a": None, "b": 5, "c": 2, "d": 1}
+
+
+def test_text_key_is_sparks_hash(spark):
+    texts = ["", "a", "é漢😀" * 5, "x" * 31, "x" * 32, "y" * 1001]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").select("text", F.xxhash64("text").alias("h"))
+    assert all(forest._text_key(r.text) == r.h for r in df.collect())
+
+
 def test_depth_reaches_the_recall():
     d = forest.forest_depth(0.8, 40, 8, 0.99999)
     assert 1 - (1 - 0.8**d) ** 40 >= 0.99999 > 1 - (1 - 0.8 ** (d + 1)) ** 40
