@@ -99,12 +99,13 @@ def train(
     log-likelihood ratio under ``min_signal`` stay there, so that the many
     neutral subwords do not learn documents by heart.  ``shift`` puts 0.5 where
     the sample's classes part best, each document scored by a model of the other
-    ``folds``.  A sample of one class (or none) gives the constant score of that
-    class's share.
+    ``folds``.  A sample of one class gives the constant score of that class's
+    share.  An empty sample gives the constant score 0.25: without evidence no
+    text is called toxic.
     """
     y = np.array([label for _, label in sample], dtype=np.int64)
     if len(set(y.tolist())) < 2:
-        p = (y.sum() + 0.5) / (len(y) + 1)
+        p = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.25
         return SubwordModel(np.zeros((buckets, dim)), np.zeros((dim, 2)), np.array([0.0, np.log(p / (1 - p))]))
     counts = [Counter(words_of(text)) for text, _ in sample]
     parts = {w: np.array(subwords(w, buckets), dtype=np.int64) for w in sorted(set().union(*counts))}

@@ -140,6 +140,18 @@ def test_scores_of_odd_input(spark, module, score):
     assert score(df.limit(0), module.train([])).collect() == []
 
 
+def test_no_usable_labels_reject_nothing(spark, monkeypatch):
+    import corpus_pipeline as P
+
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (None, "c d e")], "doc_id long, text string")
+    for rows in ([], [(1, None), (7, 1), (None, 1)]):
+        labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+        monkeypatch.setattr(P, "table", lambda *_, found=labels: found)
+        assert P.reject_toxic(spark, docs, "").count() == 3
+        scored = toxicity.score_toxicity(docs, toxicity.toxicity_model(docs, labels)).collect()
+        assert [r.predicted for r in scored] == [0, 0, 0]
+
+
 def test_labelled_sample(spark):
     docs = spark.createDataFrame([(1, "one"), (1, "uno"), (2, None), (3, "three"), (None, "no")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (3, None), (None, 1), (9, 1)], "doc_id long, toxic int")
