@@ -25,7 +25,8 @@ KINDS = ("assign", "access", "hex", "random")
 #: Characters of the Markov models; candidates are runs of them.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
-_IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z0-9_-]{3,}(?![A-Za-z0-9+/_=-])"
+#: Shortest run that the ordinary class is trained on: words as well as long runs.
+_LEAST_RUN = 4
 
 
 def spans_of(text: Column, pattern: str, rank: int, keep=None) -> Column:
@@ -67,10 +68,11 @@ def train_markov(docs: DataFrame, sample_docs: int = 20_000, smoothing: float =
     """Log-likelihood ratio (random over ordinary) of every character pair.
 
     Labelled samples from about ``sample_docs`` documents chosen by a hash of
-    their id: strings that the base patterns catch are the random ones,
-    identifiers of documents without a catch the ordinary ones.  Transitions
-    are counted in Spark; at most two counts for each pair of the alphabet reach
-    the driver.  Returns a square table, row by row; all zero for no sample.
+    their id: strings that the base patterns catch are the random ones; every run
+    of alphabet characters (words, rules, paths, links) of documents without a
+    catch is an ordinary one.  Transitions are counted in Spark; at most two
+    counts for each pair of the alphabet reach the driver.  Returns a square
+    table, row by row; all zero for no sample.
     """
     total = docs.count()
     share = min(1.0, sample_docs / max(total, 1))
@@ -84,7 +86,7 @@ def train_markov(docs: DataFrame, sample_docs: int = 20_000, smoothing: float =
     marked = picked.select("text", caught.alias("caught"))
     random = marked.select(F.explode("caught").alias("s")).where(F.length("s") >= 8)
     plain = marked.where(F.size("caught") == 0)
-    ordinary = plain.select(F.explode(F.regexp_extract_all(text, F.lit(_IDENTIFIER), F.lit(0))).alias("s"))
+    ordinary = plain.select(F.explode(F.regexp_extract_all(text, F.lit(_RUN % _LEAST_RUN), F.lit(0))).alias("s"))
     counts = (
         _pairs(random, 1).unionAll(_pairs(ordinary, 0)).groupBy("label", "a", "b").agg(F.count(F.lit(1)).alias("n"))
     )
@@ -100,20 +102,25 @@ def train_markov(docs: DataFrame, sample_docs: int = 20_000, smoothing: float =
     return [log(p(1, a, b) / p(0, a, b)) for a in range(k) for b in range(k)]
 
 
-def log_ratio(s: Column, table: list[float]) -> Column:
-    """Sum of the table's log ratios over the neighbouring characters of ``s``."""
+def looks_random(s: Column, table: list[float], min_ratio: float, min_mean: float) -> Column:
+    """Whether the table's log ratios of the distinct transitions of ``s`` (a rule has
+    one) sum up to ``min_ratio`` and are ``min_mean`` on average."""
     k = len(ALPHABET)
-    codes = F.transform(F.split(s, ""), lambda c: F.instr(F.lit(ALPHABET), c))
     ratios = F.from_json(F.lit(json.dumps([round(x, 6) for x in table])), "array<double>")
-    start = F.struct(F.lit(0).alias("before"), F.lit(0.0).alias("sum"))
+    codes = F.transform(F.split(s, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    start = F.struct(F.lit(0).alias("before"), F.array().cast("array<int>").alias("places"))
 
     def step(acc, code):
-        ratio = F.when(
-            (acc["before"] > 0) & (code > 0), F.element_at(ratios, (acc["before"] - 1) * k + code)
-        ).otherwise(0.0)
-        return F.struct(code.alias("before"), (acc["sum"] + ratio).alias("sum"))
+        place = F.when((acc["before"] > 0) & (code > 0), (acc["before"] - 1) * k + code)
+        return F.struct(code.alias("before"), F.concat(acc["places"], F.array(place)).alias("places"))
 
-    return F.aggregate(codes, start, step)["sum"]
+    places = F.array_distinct(F.array_compact(F.aggregate(codes, start, step)["places"]))
+    begin = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
+    total = F.aggregate(
+        places, begin, lambda acc, p: F.struct((acc["sum"] + F.element_at(ratios, p)).alias("sum"), (acc["n"] + 1).alias("n"))
+    )
+    decide = lambda t: (t["sum"] >= min_ratio) & (t["sum"] >= t["n"] * F.lit(min_mean))
+    return F.exists(F.array(total), decide)
 
 
 def scan_secrets(
@@ -121,6 +128,7 @@ def scan_secrets(
     table: list[float] | None = None,
     min_run: int = 20,
     min_ratio: float = 12.0,
+    min_mean: float = 0.75,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -128,18 +136,21 @@ def scan_secrets(
     ``(start, end, rank, hit)`` by start and kind.
 
     ``base`` holds the fixed patterns' spans (whole matches).  ``added`` holds
-    runs of at least ``min_run`` alphabet characters whose log-likelihood ratio
-    is at least ``min_ratio`` and which touch no base span.  ``table`` is
+    runs of at least ``min_run`` alphabet characters whose log-likelihood ratio,
+    every distinct transition counted once, is at least ``min_ratio`` in all and
+    ``min_mean`` for each transition, and which touch no base span.  ``table`` is
     :func:`train_markov`'s; it is trained on ``docs`` if not given.  Native
     expressions, no shuffle.  Null text: empty, so no spans.  Null or repeated
     ids and repeated rows are kept.  Empty table: no rows.
     """
     rows = texts_of(docs, id_col, text_col)
     table = train_markov(rows) if table is None else table
-    return with_spans(rows, table, min_run, min_ratio)
+    return with_spans(rows, table, min_run, min_ratio, min_mean)
 
 
-def with_spans(rows: DataFrame, table: list[float], min_run: int = 20, min_ratio: float = 12.0) -> DataFrame:
+def with_spans(
+    rows: DataFrame, table: list[float], min_run: int = 20, min_ratio: float = 12.0, min_mean: float = 0.75
+) -> DataFrame:
     """``rows`` (column ``text``, never null) with the arrays ``base`` and ``added``."""
     text = F.col("text")
     base = F.array_sort(
@@ -150,7 +161,7 @@ def with_spans(rows: DataFrame, table: list[float], min_run: int = 20, min_ratio
         ),
         _by_start,
     )
-    runs = spans_of(text, _RUN % min_run, 3, lambda m: log_ratio(m, table) >= min_ratio)
+    runs = spans_of(text, _RUN % min_run, 3, lambda m: looks_random(m, table, min_ratio, min_mean))
     clear = F.filter(
         "added", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
     )

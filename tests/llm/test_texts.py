@@ -96,6 +96,23 @@ def test_markov_finds_random_strings(spark):
     assert clean == {1: "see [secret] there", 2: f"see {word} there"}
 
 
+def test_rules_and_paths_are_not_secrets(spark):
+    from random import Random
+
+    rng = Random(6)
+    key = lambda n: "".join(rng.choice(secrets.ALPHABET[:62]) for _ in range(n))
+    names = ["connection", "management", "well-known", "handler_factory", "up-to-date", "the", "ordinary", "resolution"]
+    paths = ["/usr/lib/jvm/bin/ls", "/a/b/c/d/e/f/g/h/i/j/k/l", "https://www.example.org/wiki/main/page"]
+    plain = [(i, " ".join(rng.choices(names, k=200) + rng.choices(paths, k=3))) for i in range(500)]
+    marked = [(1000 + i, f"token={key(38)}==") for i in range(100)]
+    table = secrets.train_markov(spark.createDataFrame(plain + marked, "doc_id long, text string"))
+    lines = ["-" * 20, "-" * 400, "=" * 20, "=" * 64, "_" * 30, "-=" * 20, "/c/d/e/f/g/h/a/b/i/j/k/l", "/usr/lib/jvm/lib/bin/main/page"]
+    bare = key(44)
+    df = spark.createDataFrame([(i, f"see {t} there") for i, t in enumerate([*lines, bare])], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.summary(secrets.scan_secrets(df, table)).collect()}
+    assert got == {**{i: "" for i in range(len(lines))}, len(lines): "random:4:48"}
+
+
 def test_redaction_keeps_columns(spark):
     rows = [(1, "token=abcdefgh12 x", "en", 18), (2, None, None, None), (None, "plain", "de", 5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, row string, n_chars long")
