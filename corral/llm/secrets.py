@@ -67,33 +67,31 @@ def _pairs(strings: DataFrame, label: int) -> DataFrame:
 def train_markov(docs: DataFrame, sample_docs: int = 20_000, smoothing: float = 0.5) -> list[float]:
     """Log-likelihood ratio (random over ordinary) of every character pair.
 
-    Labelled samples from about ``sample_docs`` documents chosen by a hash of
-    their id: strings that the base patterns catch are the random ones; every run
-    of alphabet characters (words, rules, paths, links) of documents without a
-    catch is an ordinary one.  Transitions are counted in Spark; at most two
-    counts for each pair of the alphabet reach the driver.  Returns a square
-    table, row by row; all zero for no sample.
+    The strings that the base patterns catch, in all documents, are the random
+    class; with none of them every next character is equally likely there.  The
+    ordinary class is every run of alphabet characters (words, rules, paths,
+    links) in the documents without a catch among about ``sample_docs`` chosen by
+    a hash of id and text.  Transitions are counted in Spark; at most two counts
+    for each pair of the alphabet reach the driver.  Returns a square table, row
+    by row; all zero if both classes are empty.
     """
     total = docs.count()
     share = min(1.0, sample_docs / max(total, 1))
-    picked = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("markov")), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    picked = F.pmod(F.xxhash64("doc_id", "text", F.lit("markov")), F.lit(1_000_000)) < int(share * 1_000_000) + 1
     text = F.col("text")
     caught = F.concat(
         F.regexp_extract_all(text, F.lit(ACCESS), F.lit(0)),
         F.regexp_extract_all(text, F.lit(HEX), F.lit(0)),
         F.transform(F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(0)), lambda m: F.regexp_extract(m, ASSIGN_VALUE, 1)),
     )
-    marked = picked.select("text", caught.alias("caught"))
-    random = marked.select(F.explode("caught").alias("s")).where(F.length("s") >= 8)
-    plain = marked.where(F.size("caught") == 0)
+    random = docs.select(F.explode(caught).alias("s")).where(F.length("s") >= 8)
+    plain = docs.where(picked).select("text", caught.alias("caught")).where(F.size("caught") == 0)
     ordinary = plain.select(F.explode(F.regexp_extract_all(text, F.lit(_RUN % _LEAST_RUN), F.lit(0))).alias("s"))
     counts = (
         _pairs(random, 1).unionAll(_pairs(ordinary, 0)).groupBy("label", "a", "b").agg(F.count(F.lit(1)).alias("n"))
     )
     k = len(ALPHABET)
     seen = {(r["label"], r["a"] - 1, r["b"] - 1): r["n"] for r in counts.collect()}
-    if not any(label == 1 for label, _, _ in seen):
-        return [0.0] * (k * k)
     rows = {(label, a): sum(seen.get((label, a, b), 0) for b in range(k)) for label in (0, 1) for a in range(k)}
 
     def p(label: int, a: int, b: int) -> float:

@@ -113,6 +113,23 @@ def test_rules_and_paths_are_not_secrets(spark):
     assert got == {**{i: "" for i in range(len(lines))}, len(lines): "random:4:48"}
 
 
+def test_markov_works_without_and_with_rare_catches(spark):
+    from random import Random
+
+    rng = Random(9)
+    key = lambda n: "".join(rng.choice(secrets.ALPHABET[:62]) for _ in range(n))
+    names = "connection management handler_factory The quick brown foxes jump over LAZY DOGS while packing JUMP QUIET WAXED VIEW BACK FORTY ZEBRA HTTP 2019 1987 3456 0340".split()
+    plain = [(i, " ".join(rng.choices(names, k=60))) for i in range(300)]
+    bare = key(44)
+    df = spark.createDataFrame([(1, f"see {bare} there"), (2, "see connection_management_configuration there")], "doc_id long, text string")
+    for caught in ([], [(None, f"token={key(40)}") for _ in range(5)]):
+        docs = spark.createDataFrame(plain + caught, "doc_id long, text string")
+        table = secrets.train_markov(docs, sample_docs=60)  # the few catches are outside the sample
+        assert any(table)
+        got = {r.doc_id: r.spans for r in secrets.summary(secrets.scan_secrets(df, table)).collect()}
+        assert got == {1: "random:4:48", 2: ""}
+
+
 def test_redaction_keeps_columns(spark):
     rows = [(1, "token=abcdefgh12 x", "en", 18), (2, None, None, None), (None, "plain", "de", 5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, row string, n_chars long")
