@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corral.llm.common import staged
+
 SUBSTRING_BITS = 8
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 #: The substring values within 0, 1, ... 8 bits of zero.
@@ -125,8 +127,11 @@ def nearest(
     Index blocks and query blocks meet in pairs; inside a pair the multi-index
     retrieves every code within the radius and ranks it by cosine in double
     precision on the original vectors.  Each pair returns at most ``k + 1`` rows
-    per query vector, so what is gathered per query is small.  A vector found by
-    no code within the radius is missed; recall is set by ``coverage``.
+    per query vector, so what is gathered per query is small.  Query vectors with
+    fewer than ``k + 1`` rows in reach (their own is one) are searched again with
+    the radius doubled, at last with all bits, which compares all vectors: a query
+    gets fewer than ``k`` rows only if there are no more.  Of the others a vector
+    whose code is not within the radius is missed; recall is set by ``coverage``.
 
     Result: ``query_id, rank, vec_id, score``.  Rows of null id and null, zero or
     non-finite vectors take no part; a vector of another length than the
@@ -153,22 +158,10 @@ def nearest(
 
     count = entries.count()
     queries = rows.where(is_query)
-    query_vectors = queries.select("v").distinct()
-    n_queries = queries.count()
     index_blocks = max(24, -(-count // block_rows))
-    query_blocks = max(1, -(-n_queries // query_block_rows))
     block = lambda n: F.pmod(F.xxhash64("v"), F.lit(n)).cast("int")
-    left = entries.select(
-        block(index_blocks).alias("ib"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"), "v", "ids"
-    )
-    right = query_vectors.select(
-        F.explode(F.sequence(F.lit(0), F.lit(index_blocks - 1))).alias("ib"),
-        block(query_blocks).alias("qb"),
-        "v",
-        F.xxhash64("v").alias("h"),
-    )
 
-    def search(index: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+    def search(index: pd.DataFrame, wanted: pd.DataFrame, radius: int) -> pd.DataFrame:
         out_v, out_id, out_score = [], [], []
         for d, ask in wanted.groupby(wanted["v"].map(len)) if len(wanted) and len(index) else ():
             have = index[index["v"].map(len) == d]
@@ -177,8 +170,9 @@ def nearest(
             x = np.array(have["v"].tolist(), dtype=np.float64)
             norms = np.sqrt(np.einsum("ij,ij->i", x, x))
             ids = have["ids"].tolist()
-            # vectors of an uncommon length have no learned code: all are candidates
-            index_of = BlockIndex(codes_of(x, projection)) if d == common else None
+            # vectors of an uncommon length have no learned code: all are candidates, as
+            # they are when the radius holds all bits
+            index_of = BlockIndex(codes_of(x, projection)) if d == common and radius < bits else None
             for v in ask["v"]:
                 q = np.asarray(v, dtype=np.float64)
                 if index_of is None:
@@ -200,13 +194,39 @@ def nearest(
             {"v": pd.Series(out_v, dtype=object), "vec_id": pd.Series(out_id, dtype="int64"), "score": pd.Series(out_score, dtype="float64")}
         )
 
-    pairs = (
-        right.groupBy("ib", "qb")
-        .cogroup(left.groupBy("ib", "qb"))
-        .applyInPandas(lambda a, b: search(b, a), "v array<double>, vec_id long, score double")
-    )
     best = Window.partitionBy("v").orderBy(F.col("score").desc(), "vec_id")
-    found = pairs.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n")
+
+    def within(wanted: DataFrame, radius: int) -> DataFrame:
+        """The best k + 1 rows in reach of each wanted vector."""
+        query_blocks = max(1, -(-wanted.count() // query_block_rows))
+        left = entries.select(
+            block(index_blocks).alias("ib"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"), "v", "ids"
+        )
+        right = wanted.select(
+            F.explode(F.sequence(F.lit(0), F.lit(index_blocks - 1))).alias("ib"), block(query_blocks).alias("qb"), "v"
+        )
+        pairs = (
+            right.groupBy("ib", "qb")
+            .cogroup(left.groupBy("ib", "qb"))
+            .applyInPandas(lambda a, b: search(b, a, radius), "v array<double>, vec_id long, score double")
+        )
+        return pairs.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n")
+
+    wanted = queries.select("v").distinct()
+    parts = []
+    while True:
+        rows_in_reach = staged(within(wanted, radius), "mih_found")
+        if radius >= bits:
+            parts.append(rows_in_reach)
+            break
+        # the query's own row takes a place; vectors of uncommon length were compared with all
+        enough = rows_in_reach.groupBy("v").count().where((F.col("count") > k) | (dims != common)).select("v")
+        parts.append(rows_in_reach.join(enough, "v", "left_semi"))
+        wanted = staged(wanted.where(dims == common).join(enough, "v", "left_anti"), "mih_short")
+        if not wanted.limit(1).count():
+            break
+        radius = min(bits, max(1, 2 * radius))
+    found = reduce(DataFrame.unionAll, parts)
     answers = found.groupBy("v").agg(
         F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))).alias("near")
     )

@@ -156,6 +156,25 @@ def test_nearest_against_brute_force(spark):
     assert [i for _, i, _ in sorted(got[100])] == [50, 101, 102, 103, 104]  # ties to smaller ids
 
 
+def test_outliers_of_tight_clusters_get_their_places(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(12, 32))
+    x = np.concatenate([np.repeat(centres, 100, axis=0) + rng.normal(scale=1e-4, size=(1200, 32)), rng.normal(size=(8, 32))])
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in mih.nearest(df, (F.col("vec_id") >= 1200) | (F.col("vec_id") % 300 == 0)).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.score))
+    assert set(got) == {0, 300, 600, 900, *range(1200, 1208)}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for q, near in got.items():
+        best = np.sort(np.delete(unit @ unit[q], q))[::-1][:5]
+        assert [r for r, _ in sorted(near)] == [1, 2, 3, 4, 5]
+        if q < 1200:
+            assert np.allclose([s for _, s in sorted(near)], best)
+    few = df.where("vec_id in (0, 300, 1200, 1201)")
+    assert mih.nearest(few, F.col("vec_id") >= 0).count() == 12  # no more than three others
+
+
 def test_nearest_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert mih.nearest(df, F.col("vec_id") % 50 == 0).collect() == []
