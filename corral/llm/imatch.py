@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corral.llm.common import texts_of
+from corral.llm.common import staged, texts_of
 
 #: Randomised lexicon subsets: ``REPEATS`` of each scale; a subset of scale j
 #: keeps a lexicon term with probability 2 ** -j, decided by the term's hash.
@@ -21,26 +21,36 @@ def terms_of(text: Column) -> Column:
 
 
 def lexicon_of(docs: DataFrame, min_idf: float = 2.3, max_idf: float = 6.9) -> DataFrame:
-    """Terms whose inverse document frequency ``ln(N / df)`` lies in the band, with
-    a 64-bit hash ``h`` and ``mask``: bit k set if subset k keeps the term.
-
-    A term needs df >= N * exp(-max_idf), so the lexicon holds at most
-    (mean distinct terms per document) * exp(max_idf) terms however large the
-    table is: it is safe to broadcast.  Terms of one document only are never
-    in the band.
+    """Terms ``lex`` whose inverse document frequency ``ln(N / df)`` lies in the band,
+    with their ``mask`` of subsets.
+
+    Documents with the same terms in the same order of first use (copies) count
+    once, in ``df`` and in ``N``, so that a group of copies does not push its
+    terms out of the band.  A term needs df >= N * exp(-max_idf), so the lexicon
+    holds at most (mean distinct terms per document) * exp(max_idf) terms however
+    large the table is: it is safe to broadcast.  Terms of one document only are
+    never in the band.
     """
-    n = docs.count()
-    df = docs.select(F.explode(terms_of(F.col("text"))).alias("term")).where("term <> ''").groupBy("term").count()
+    # every document has the empty term once: its count is N
+    distinct = docs.select(F.array_union(terms_of(F.col("text")), F.array(F.lit(""))).alias("terms")).distinct()
+    counts = distinct.select(F.explode("terms").alias("term")).groupBy("term").count()
+    df = staged(counts.where("count > 1 or term = ''"), "imatch_terms")
+    n = sum(r["count"] for r in df.where("term = ''").collect())
     least, most = max(2, math.ceil(n * math.exp(-max_idf))), max(2, math.floor(n * math.exp(-min_idf)))
+    return df.where((F.col("term") != "") & F.col("count").between(least, most)).select(
+        F.col("term").alias("lex"), _mask("term").alias("mask")
+    )
+
+
+def _mask(term: str) -> Column:
+    """Bit k set if subset k keeps the term."""
     mask = F.lit(0).cast("long")
     for i, scale in enumerate(SCALES):
         for r in range(REPEATS):
-            bits = F.xxhash64("term", F.lit(scale * 4 + r // 4))  # four fields of 16 bits
+            bits = F.xxhash64(term, F.lit(scale * 4 + r // 4))  # four fields of 16 bits
             field = F.shiftrightunsigned(bits, 16 * (r % 4)).bitwiseAND(F.lit((1 << scale) - 1))
             mask = mask.bitwiseOR(F.when(field == 0, _bit(i * REPEATS + r)).otherwise(F.lit(0).cast("long")))
-    return df.where(F.col("count").between(least, most)).select(
-        F.col("term").alias("lex"), _value("term").alias("h"), mask.alias("mask")
-    )
+    return mask
 
 
 def _bit(k: int) -> Column:
@@ -92,15 +102,38 @@ def fingerprint_text(fp: Column) -> Column:
     return F.array_join(F.transform(fp, lambda x: F.when(x == 0, F.lit("-")).otherwise(F.lower(F.hex(x)))), ".")
 
 
+def _prints(inside: Column, outside: Column) -> Column:
+    """The sums of the lexicon terms' subsets (null if none has a term; no set of all
+    terms) and the sums of all terms; null if there is no text."""
+    both = F.zip_with(inside, outside, lambda x, y: x + y)
+    subsets = F.slice(inside, 1, SUBSETS)
+    lexicon = F.when(F.exists(subsets, lambda x: x != 0), F.concat(subsets, F.array(F.lit(0).cast("long"))))
+    one = F.struct(lexicon.alias("lexicon"), F.coalesce(both, inside, outside).alias("all"))
+    return F.when(F.coalesce(inside, outside).isNotNull(), one)
+
+
+def _own(fp: Column) -> Column:
+    return F.coalesce(fp["lexicon"], fp["all"])
+
+
+def _compared(a: Column, b: Column) -> Column:
+    """Likeness on lexicon terms if both texts have them, otherwise on all terms."""
+    alike = a["lexicon"].isNotNull() & b["lexicon"].isNotNull()
+    pick = lambda x: F.when(alike, x["lexicon"]).otherwise(x["all"])
+    return likeness(pick(a), pick(b))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_idf: float = 2.3, max_idf: float = 6.9) -> DataFrame:
     """Fingerprint every text and its edited text, and their likeness.
 
     The edited text replaces the last floor(n/2) code points by the first as
     many (or all) of the next document in ascending id order; after the last
     comes the first.  Rows with equal ids are ordered by text; null ids come
-    first; null text is empty.  A text without lexicon terms is fingerprinted
-    by all its terms; a text without terms has the empty fingerprint.  Empty
-    table: no rows.
+    first; null text is empty.  A text that no
+    lexicon subset has a term of is fingerprinted by the same subsets of all its
+    terms and by the set of them, and is compared on these with any text (so with
+    one that has lexicon terms, too); a text without terms has the empty
+    fingerprint.  Empty table: no rows.
 
     Texts are shuffled once, by ranges of the id; the last row of a range takes
     its next text from a small table with the first row of every range.  Terms
@@ -155,27 +188,31 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select(*keys, "v.version", F.explode(terms_of(F.col("v.t"))).alias("term"))
         .join(F.broadcast(lexicon), F.col("term") == F.col("lex"), "left")
     )
-    whole = F.coalesce(F.sum(F.when(F.col("term") != "", _value("term"))), F.lit(0).cast("long"))
-    hashed = terms.groupBy(*keys, "version").agg(
-        *[c.alias(f"s{k}") for k, c in enumerate(_subset_hashes())], whole.alias("whole")
+    # terms in and out of the lexicon are summed apart; both sums together are those of all terms
+    in_lexicon = F.col("lex").isNotNull()
+    some = F.col("term") != ""
+    none = F.lit(0).cast("long")
+    hashed = (
+        terms.withColumn("mask", F.when(in_lexicon, F.col("mask")).when(some, _mask("term")).otherwise(none))
+        .withColumn("h", F.when(some, _value("term")).otherwise(none))
+        .groupBy(*keys, "version", in_lexicon.alias("in_lexicon"))
+        .agg(*[c.alias(f"s{k}") for k, c in enumerate(_subset_hashes())], F.sum("h").alias("whole"))
     )
-    subsets = [F.col(f"s{k}") for k in range(SUBSETS)]
-    found = F.lit(False)
-    for s in subsets:
-        found = found | (s != 0)
-    fp = F.array(*subsets, F.when(found, F.lit(0).cast("long")).otherwise(F.col("whole")))
+    sums = F.array(*[F.col(f"s{k}") for k in range(SUBSETS)], F.col("whole"))
+    part = lambda i, inside: F.max(F.when((F.col("version") == i) & (F.col("in_lexicon") == inside), F.col("sums")))
     per_row = (
-        hashed.select(*keys, "version", fp.alias("fp"))
+        hashed.select(*keys, "version", "in_lexicon", sums.alias("sums"))
         .groupBy(*keys)
-        .agg(*[F.max(F.when(F.col("version") == i, F.col("fp"))).alias(f"fp{i}") for i in range(3)])
+        .agg(*[part(i, inside).alias(f"p{i}{int(inside)}") for i in range(3) for inside in (True, False)])
+        .select(*keys, *[_prints(F.col(f"p{i}1"), F.col(f"p{i}0")).alias(f"fp{i}") for i in range(3)])
     )
     following = F.coalesce(F.lead("fp0").over(Window.partitionBy("bucket").orderBy("rn")), F.col("fp2"))
     return per_row.withColumn("following", following).select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        fingerprint_text(F.col("fp0")).alias("fingerprint"),
-        fingerprint_text(F.col("fp1")).alias("edited_fingerprint"),
-        likeness(F.col("fp0"), F.col("fp1")).alias("near_edited"),
-        likeness(F.col("fp0"), F.col("following")).alias("near_next"),
+        fingerprint_text(_own(F.col("fp0"))).alias("fingerprint"),
+        fingerprint_text(_own(F.col("fp1"))).alias("edited_fingerprint"),
+        _compared(F.col("fp0"), F.col("fp1")).alias("near_edited"),
+        _compared(F.col("fp0"), F.col("following")).alias("near_next"),
     )

@@ -44,6 +44,31 @@ def test_equal_neighbours_are_alike(spark):
     assert got[1].fingerprint == got[2].fingerprint == got[4].fingerprint != got[3].fingerprint
 
 
+def test_likeness_in_a_large_group_of_copies(spark):
+    from random import Random
+
+    rng = Random(5)
+    vocab = [f"v{i}" for i in range(400)]
+    hot = [f"hot{i}" for i in range(120)]
+    other = lambda: " ".join(rng.choices(vocab, k=60))
+    copies = [(i, " ".join(hot)) for i in range(60)]
+    near = [(100 + i, " ".join(w if rng.random() > 0.02 else f"n{rng.random()}" for w in hot)) for i in range(60)]
+    mixed = copies + near + [(1000 + i, other()) for i in range(180)]
+    # every text of the group is followed by another text
+    rows = [(3 * i, t) for i, (_, t) in enumerate(mixed[:120])] + [(3 * i + 1, t) for i, (_, t) in enumerate(mixed[120:])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    counted = spark.createDataFrame(copies + mixed[120:], "doc_id long, text string")
+    plain = spark.createDataFrame(copies[:1] + mixed[120:], "doc_id long, text string")
+    terms = lambda d: {r.lex for r in imatch.lexicon_of(d).collect()}
+    assert terms(counted) == terms(plain) != set()  # copies count once
+    got = {r.doc_id: r for r in imatch.fingerprints(df).collect()}
+    hot_rows = [got[3 * i] for i in range(120)]
+    assert all(0 < r.near_edited < 1 and r.near_next < r.near_edited for r in hot_rows)
+    assert len({r.fingerprint for r in hot_rows[:60]}) == 1
+    parts = [set(enumerate(r.fingerprint.split("."))) for r in (hot_rows[0], hot_rows[60])]
+    assert len(parts[0] & parts[1]) > 10  # near copies share subsets
+
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
