@@ -1,6 +1,7 @@
 """Registered queries of the operators, with their production parameters, over
-whole tables.  None of the results can be expressed in SQL (encoders, trained
-models, compressed files), so none has oracle SQL; ``tests/llm`` checks each
+whole tables.  Archives, the filter audit and centroid clustering have oracle SQL;
+the results of the others cannot be expressed in SQL (encoders, trained
+models, compressed files), so ``tests/llm`` checks each of them
 against a brute-force version, a round trip or held-out labels."""
 
 from __future__ import annotations
@@ -11,7 +12,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corral.llm import chunk_bpe, forest, imatch, lengths, mih, packing, quality, repair, secrets, toxicity
+from corral.llm import (
+    chunk_bpe,
+    filter_audit,
+    forest,
+    imatch,
+    lengths,
+    mih,
+    packing,
+    pivot_clusters,
+    quality,
+    repair,
+    secrets,
+    toxicity,
+    warc,
+)
 from corral.llm.common import documents, staged
 from corral.llm.encode import BYTE_BPE, WORD_BPE, tokenizer_path
 from corral.plans.tables import table
@@ -41,7 +56,11 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op11_boundary_chain_warc": warc.PAGES_SQL,
+        "op12_packed_filter_audit": filter_audit.AUDIT_SQL,
+        "op13_laesa_clusters": pivot_clusters.CLUSTERS_SQL,
+    }
 
 
 @query
@@ -100,3 +119,20 @@ def op9_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mih.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op11_boundary_chain_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_location(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.page_digests(warc.read_archives(spark, path))
+
+
+@query
+def op12_packed_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_laesa_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_clusters.clusters(table(spark, sf_dir, "embeddings"))
