@@ -1,25 +1,29 @@
-"""Per-run staging: one database per (workflow, run) in shared scratch.
-
-Each kind of staged data (``raw``, ``intermediate``, ``dq``, ``dq_validation``,
-``data_profile``, ``increment_details``) is a parquet table of that database.
-Dropping the run's stage drops the database, which removes all its files.
+"""Per-run staging: one database per run in shared scratch.
+
+Each kind of staged data (``raw``, ``files``, ``intermediate``, ``dq``,
+``dq_validation``, ``data_profile``) is a parquet table of that database.
+A stage begins empty and is nobody else's: its name ends in a random token, so
+workflows whose names fold to the same text, runs with the same number and
+stages left behind never meet.  Dropping the run's stage drops the database,
+which removes all its files.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corral.session import ensure_database, scratch_root
+from corral.session import scratch_root, sql_text
 
 RAW = "raw"
+FILES = "files"
 INTERMEDIATE = "intermediate"
 DQ = "dq"
 DQ_VALIDATION = "dq_validation"
 DATA_PROFILE = "data_profile"
-INCREMENT_DETAILS = "increment_details"
 
 
 def _ident(text: str) -> str:
@@ -29,9 +33,9 @@ def _ident(text: str) -> str:
 class Stage:
     def __init__(self, spark: SparkSession, workflow: str, run_id: int | str, root: str | None = None):
         self.spark = spark
-        self.database = f"stage_{_ident(workflow)}_{_ident(run_id)}"
+        self.database = f"stage_{_ident(workflow)}_{_ident(run_id)}_{uuid.uuid4().hex[:12]}"
         self.location = f"{(root or scratch_root(spark)).rstrip('/')}/{self.database}.db"
-        ensure_database(spark, self.database, self.location)
+        spark.sql(f"CREATE DATABASE `{self.database}` LOCATION {sql_text(self.location)}")
 
     def table_name(self, kind: str) -> str:
         return f"`{self.database}`.`{_ident(kind)}`"
