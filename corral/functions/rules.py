@@ -10,8 +10,8 @@ with a violating row (``action``).  Actions:
 - ``None``: the row is erroneous with no further action.
 
 Row rules are plain Spark expressions (all evaluated in one ``select``).
-Set rules (``unique``, ``foreign_key``) need other rows; each attaches a
-boolean flag column with one aggregate and one join.
+Set rules (``unique``, ``foreign_key``) need other rows; each says which keys
+violate it, and ``operators.key_sets`` flags the rows that hold them.
 """
 
 from __future__ import annotations
@@ -50,10 +50,6 @@ class Rule:
         """Row-level violation expression (True = violated); None for set rules."""
         return None
 
-    def attach(self, df: DataFrame, flag: str) -> DataFrame:
-        """Add boolean column ``flag`` (set rules only)."""
-        raise NotImplementedError
-
 
 @dataclass(frozen=True)
 class RowRule(Rule):
@@ -66,56 +62,39 @@ class RowRule(Rule):
 
 
 @dataclass(frozen=True)
-class UniqueRule(Rule):
-    """Rows whose key occurs more than once violate (nulls group together)."""
+class SetRule(Rule):
+    """A rule decided by all rows that hold a key (see ``operators.key_sets``)."""
 
     keys: tuple[str, ...] = ()
 
-    def attach(self, df: DataFrame, flag: str) -> DataFrame:
-        dup = duplicate_keys(df, self.keys).select(
-            *[F.col(k).alias(f"{flag}_k{i}") for i, k in enumerate(self.keys)],
-            F.lit(True).alias(flag),
-        )
-        cond = [F.col(k).eqNullSafe(F.col(f"{flag}_k{i}")) for i, k in enumerate(self.keys)]
-        out = df.join(dup, on=cond, how="left")
-        return out.drop(*[f"{flag}_k{i}" for i in range(len(self.keys))]).withColumn(
-            flag, F.coalesce(F.col(flag), F.lit(False))
-        )
+    def flag_keys(self, counts: DataFrame, names: Sequence[str], count: str, flag: str) -> DataFrame:
+        """``counts`` (distinct keys in the columns ``names`` and their row ``count``)
+        with boolean column ``flag``: the key violates the rule."""
+        raise NotImplementedError
+
+
+@dataclass(frozen=True)
+class UniqueRule(SetRule):
+    """Rows whose key occurs more than once violate (nulls group together)."""
+
+    def flag_keys(self, counts: DataFrame, names: Sequence[str], count: str, flag: str) -> DataFrame:
+        return counts.withColumn(flag, F.col(count) > 1)
 
 
 @dataclass(frozen=True)
-class ForeignKeyRule(Rule):
+class ForeignKeyRule(SetRule):
     """Non-null child keys with no parent key violate."""
 
-    child: str = ""
     parent: DataFrame | None = field(default=None, compare=False)
     parent_key: str = ""
 
-    def attach(self, df: DataFrame, flag: str) -> DataFrame:
-        # distinct() is a partial aggregate: duplicates of the parent key never
-        # multiply child rows, and the shuffle carries one row per key.
-        keys = (
-            self.parent.select(F.col(self.parent_key).alias(f"{flag}_pk"))
-            .where(F.col(f"{flag}_pk").isNotNull())
-            .distinct()
-        )
-        out = df.join(keys, F.col(self.child) == F.col(f"{flag}_pk"), "left")
-        return out.withColumn(
-            flag, F.col(self.child).isNotNull() & F.col(f"{flag}_pk").isNull()
-        ).drop(f"{flag}_pk")
-
-
-def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "n") -> DataFrame:
-    """Keys that occur more than once, with their count.
-
-    ``groupBy`` aggregates partially before the shuffle, so a key holding a
-    large share of the rows costs one row per map partition, not all its rows.
-    """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(count_col))
-        .where(F.col(count_col) > 1)
-    )
+    def flag_keys(self, counts: DataFrame, names: Sequence[str], count: str, flag: str) -> DataFrame:
+        # both sides have one row per key: neither a hot child key nor repeated
+        # parent keys reach the join
+        parent = f"{flag}_pk"
+        known = self.parent.select(F.col(self.parent_key).alias(parent)).where(F.col(parent).isNotNull()).distinct()
+        found = counts.join(known, F.col(names[0]) == F.col(parent), "left")
+        return found.withColumn(flag, F.col(names[0]).isNotNull() & F.col(parent).isNull()).drop(parent)
 
 
 # --------------------------------------------------------------------------
@@ -204,7 +183,7 @@ def foreign_key(
     parent_key: str,
     action: str | None = QUARANTINE,
 ) -> Rule:
-    return ForeignKeyRule("Integrity", "foreign_key", column, action, column, parent, parent_key)
+    return ForeignKeyRule("Integrity", "foreign_key", column, action, (column,), parent, parent_key)
 
 
 def expression(

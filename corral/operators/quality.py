@@ -1,7 +1,8 @@
 """Row validation, good/bad split, summary, quarantine, fail-job gate, status.
 
-One validation is one plan: set rules (``unique``, ``foreign_key``) each add a
-flag through one aggregate + one join; all row rules, the action text and the
+One validation is one plan: set rules (``unique``, ``foreign_key``) find their
+violating keys in a pass over the key columns alone and add a flag through one
+join per column set (see ``key_sets``); all row rules, the action text and the
 verdict are then computed in a single ``select``.  Every derived output
 (good rows, bad rows, summary, counts) is a filter or aggregate of that one
 tagged frame.  ``Validation.materialize`` writes the tagged rows once, with
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from corral.functions.rules import FAILJOB, QUARANTINE, Rule, RowRule
+from corral.operators.key_sets import Keep, attach_flags, keep_in_scratch
 
 # Fixed schema of the validation summary (as stored by the reference).
 SUMMARY_SCHEMA = StructType(
@@ -51,8 +53,9 @@ def _flag(i: int) -> str:
 class Validation:
     """Lazy result of checking ``df`` against ``rules``."""
 
-    def __init__(self, df: DataFrame, rules: Sequence[Rule]):
+    def __init__(self, df: DataFrame, rules: Sequence[Rule], keep: Keep = keep_in_scratch):
         self.source = df
+        self.keep = keep  # where the violating keys of set rules are staged
         self.rules = list(rules)
         self.columns = list(df.columns)
         self._tagged: DataFrame | None = None
@@ -62,10 +65,8 @@ class Validation:
     def tagged(self) -> DataFrame:
         """Input columns + one boolean per rule + ``action`` + verdict flag."""
         if self._tagged is None:
-            df = self.source
-            for i, rule in enumerate(self.rules):
-                if not isinstance(rule, RowRule):
-                    df = rule.attach(df, _flag(i))
+            set_rules = [(_flag(i), r) for i, r in enumerate(self.rules) if not isinstance(r, RowRule)]
+            df = attach_flags(self.source, set_rules, self.keep)
             flags = []
             for i, rule in enumerate(self.rules):
                 if isinstance(rule, RowRule):
@@ -243,8 +244,8 @@ class MaterializedValidation:
         return self._spark.createDataFrame(rows, SUMMARY_SCHEMA)
 
 
-def validate(df: DataFrame, rules: Sequence[Rule]) -> Validation:
-    return Validation(df, rules)
+def validate(df: DataFrame, rules: Sequence[Rule], keep: Keep = keep_in_scratch) -> Validation:
+    return Validation(df, rules, keep)
 
 
 # --------------------------------------------------------------------------

@@ -17,6 +17,7 @@ from corral.functions import rules as R
 from corral.functions import scalar as S
 from corral.operators import counts as K
 from corral.operators import increments as I
+from corral.operators import key_sets as KS
 from corral.operators import profile as P
 from corral.operators import quality as Q
 from corral.operators import runlog as M
@@ -131,12 +132,7 @@ def dq_not_null(spark, sf_dir):
 @query("dq_unique")
 def dq_unique(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    keys = ["l_orderkey", "l_linenumber"]
-    dup = R.duplicate_keys(li, keys, "n").select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "n"
-    )
-    cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    return li.join(dup, cond, "inner").select(*keys, "n")
+    return KS.duplicate_rows(li, ["l_orderkey", "l_linenumber"], "n")
 
 
 @query("dq_regex")
