@@ -66,13 +66,15 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
         F.octet_length(payload).cast("long").alias("n_bytes"),
         F.sha2(payload, 256).alias("digest"),
     )
-    # one row per repeated payload, aggregated before it is shuffled
-    repeated = (
+    # one row per repeated payload, aggregated before it is shuffled; written out, so
+    # that its size is known before the payloads are joined with it
+    repeated = staged(
         rows.where(F.col("n_bytes") >= LEAST_REVISIT_BYTES)
         .groupBy(F.col("digest").alias("same"))
         .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
         .where((F.col("n") > 1) & F.col("first_id").isNotNull())
-        .select("same", "first_id")
+        .select("same", "first_id"),
+        "warc_repeated",
     )
     joined = rows.join(repeated, F.col("digest") == F.col("same"), "left")
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
