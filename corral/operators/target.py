@@ -1,32 +1,38 @@
 """Versioned target load: one table of loads, shown as ``current`` and ``history``.
 
-Every load is one partition (``epoch_id``) of the loads table.  ``current`` is a view of the newest
-published epoch and ``history`` a view of the earlier ones, so archiving a load
-copies no row, and readers see the old ``current`` until the new one is whole.
+Every load is one partition (``epoch_id``) of the loads table.  One published
+pointer holds the epoch that is shown: ``current`` is the view of that epoch and
+``history`` the view of the earlier ones, both derived from the pointer.  So
+archiving a load copies no row, publishing one is a single swap, and no reader
+ever finds an epoch in both views or in neither.
 
 Parquet tables have no transaction.  The steps of a load are therefore ordered,
 and each can be repeated:
 
 1. a load that did not finish is undone (its mark names the epoch),
 2. the loads table is marked with the new epoch,
-3. the partition is written,
-4. ``history`` takes in the epoch before, then ``current`` shows the new one,
-5. the mark is removed: at once, or by the caller (``finish``) after it has
+3. the partition is written (above the pointer, so no view shows it),
+4. the views are derived, if they are missing or the columns changed,
+5. the pointer is swapped to the new epoch,
+6. the mark is removed: at once, or by the caller (``finish``) after it has
    recorded the load somewhere else.
 
 A crash at any point leaves the mark, and the next load drops that epoch's
 files, registered as a partition or not.  A load without an owner counts as
-finished once ``current`` shows it; one with an owner once the owner says so
-(``logged_epoch``).  One writer at a time; between the two views of step 4 the
-epoch before is seen in both.
+finished once it is published; one with an owner once the owner says so
+(``logged_epoch``).  One writer at a time.
+
+The ledger beside the target holds the files of every load: which file made
+which epoch, its time, size and rows.
 """
 
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from typing import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -39,8 +45,12 @@ CREATE_DATE = "etl_Create_date"
 UPDATE_DATE = "etl_Update_date"
 QUARANTINE_SUFFIX = "_quarantine_data"
 LOADS_SUFFIX = "_loads"
+PUBLISHED_SUFFIX = "_published"
+FILES_SUFFIX = "_loaded_files"
 PENDING = "corral.pending_load"
 SHOWN = "corral.shown_epoch"
+DERIVED = "corral.derived_columns"
+LEDGER_DDL = "workflow_id bigint, file_key string, last_modified timestamp_ntz, file_size bigint, row_count bigint"
 
 
 def epoch_now() -> int:
@@ -90,6 +100,16 @@ class TargetSettings:
         """The table behind ``current`` and ``history``."""
         return f"`{self.current_database}`.`{self.current_table}{LOADS_SUFFIX}`"
 
+    @property
+    def published(self) -> str:
+        """The pointer: a view of one literal, the epoch that is shown."""
+        return f"`{self.current_database}`.`{self.current_table}{PUBLISHED_SUFFIX}`"
+
+    @property
+    def files(self) -> str:
+        """The ledger of loaded files."""
+        return f"`{self.current_database}`.`{self.current_table}{FILES_SUFFIX}`"
+
     @property
     def quarantine(self) -> str:
         return f"`{self.current_database}`.`{self.current_table}{QUARANTINE_SUFFIX}`"
@@ -101,6 +121,7 @@ class LoadResult:
     target_row_count: int
     target_column_count: int
     archived_epoch: int | None
+    observed: dict = field(default_factory=dict)  # metrics asked for, taken in the write
 
 
 def _quoted(name: str) -> str:
@@ -185,40 +206,56 @@ class TargetTables:
 
     def current_epoch(self) -> int | None:
         """Epoch that ``current`` shows."""
-        shown = self._property(self.s.current, SHOWN) if self.current_exists() else None
-        return int(shown) if shown is not None else None
+        for name in (self.s.published, self.s.current):  # the second: a target of an earlier layout
+            if self._exists(name):
+                shown = self._property(name, SHOWN)
+                return int(shown) if shown else None
+        return None
 
     def history_has_epoch(self, epoch_id: int) -> bool:
-        if not self.history_exists():
-            return False
-        shown = self._property(self.s.history, SHOWN)
-        return shown is not None and int(epoch_id) <= int(shown) and int(epoch_id) in _epochs(self.spark, self.s.loads)
+        shown = self.current_epoch()
+        return (
+            self.history_exists()
+            and shown is not None
+            and int(epoch_id) < shown
+            and int(epoch_id) in _epochs(self.spark, self.s.loads)
+        )
 
-    def _show(self, view: str, condition: str, epoch_id: int) -> None:
+    def publish(self, epoch_id: int | None) -> None:
+        """Swap the pointer: one metadata change moves both views."""
+        literal = "CAST(NULL AS INT)" if epoch_id is None else str(int(epoch_id))
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ({sql_text(SHOWN)} = '{int(epoch_id)}') "
-            f"AS SELECT * FROM {self.s.loads} WHERE {EPOCH} {condition} {int(epoch_id)}"
+            f"CREATE OR REPLACE VIEW {self.s.published} "
+            f"TBLPROPERTIES ({sql_text(SHOWN)} = {sql_text('' if epoch_id is None else literal)}) AS SELECT {literal} AS {EPOCH}"
         )
 
-    def archive(self, previous_epoch: int) -> bool:
-        """Let ``history`` show everything up to ``previous_epoch``; no row is
-        copied.  Returns False when it already does."""
-        if self.history_has_epoch(previous_epoch):
-            return False
-        self._show(self.s.history, "<=", previous_epoch)
-        return True
-
-    def _write_load(self, staged: DataFrame, epoch_id: int, etl_time: str | None) -> int:
+    def derive_views(self, history: bool = True) -> None:
+        """Define ``current`` and ``history`` by the pointer, where they are missing
+        or the loads table has other columns than they show."""
+        if not self._exists(self.s.published):
+            self.publish(self.current_epoch())
+        columns = [f.name for f in self.spark.table(self.s.loads).schema.fields]
+        listed, mark = ", ".join(map(_quoted, columns)), ",".join(columns)
+        for view, compare, wanted in ((self.s.current, "=", True), (self.s.history, "<", history)):
+            exists = self._exists(view)
+            if (wanted or exists) and not (exists and self._property(view, DERIVED) == mark):
+                self.spark.sql(
+                    f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ({sql_text(DERIVED)} = {sql_text(mark)}) AS SELECT {listed} "
+                    f"FROM {self.s.loads} WHERE {EPOCH} {compare} (SELECT {EPOCH} FROM {self.s.published})"
+                )
+
+    def _write_load(self, staged: DataFrame, epoch_id: int, etl_time: str | None, metrics: Sequence[Column]) -> dict:
         """Stamp ``staged`` and write it as the partition of ``epoch_id``; returns
-        the written row count, observed during the write itself."""
+        the written ``rows`` and ``metrics``, observed during the write itself."""
         obs = Observation()  # a name of its own: a retry may observe the same frame again
-        counted = staged.observe(obs, F.count(F.lit(1)).alias("rows"))
+        counted = staged.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics)
         _write_epoch(stamp_audit(counted, etl_time), self.s.loads, epoch_id)
-        return int(obs.get["rows"])
+        return obs.get
 
     def recover(self, owner: str = "", logged_epoch: int | None = None) -> int | None:
-        """Undo a load that did not finish: its partition, its quarantine rows
-        and, where it was already shown, the views.  Returns the epoch undone."""
+        """Undo a load that did not finish: where it was already shown, the pointer,
+        then its partition, its quarantine rows and its files' records.  Returns the
+        epoch undone."""
         if not self._exists(self.s.loads):
             return None
         mark = self._property(self.s.loads, PENDING)
@@ -230,20 +267,16 @@ class TargetTables:
             raise RuntimeError(f"load {pending} of workflow {by} into {self.s.current} is not finished; run that first")
         done = (logged_epoch is not None and pending <= logged_epoch) if by else self.current_epoch() == pending
         if not done:
-            earlier = sorted(e for e in _epochs(self.spark, self.s.loads) if e != pending)
             if self.current_epoch() == pending:
+                earlier = sorted(e for e in _epochs(self.spark, self.s.loads) if e != pending)
                 if earlier:
-                    self._show(self.s.current, "=", earlier[-1])
-                else:
-                    self.spark.sql(f"DROP VIEW {self.s.current}")
-            if self.history_exists():
-                if len(earlier) > 1:
-                    self._show(self.s.history, "<=", earlier[-2])
+                    self.publish(earlier[-1])
                 else:
-                    self.spark.sql(f"DROP VIEW {self.s.history}")
-            _drop_epoch(self.spark, self.s.loads, pending)
-            if self._exists(self.s.quarantine):
-                _drop_epoch(self.spark, self.s.quarantine, pending)
+                    self.spark.sql(f"DROP VIEW IF EXISTS {self.s.current}")
+                    self.spark.sql(f"DROP VIEW IF EXISTS {self.s.published}")
+            for table in (self.s.loads, self.s.quarantine, self.s.files):
+                if self._exists(table):
+                    _drop_epoch(self.spark, table, pending)
         self.finish()
         return None if done else pending
 
@@ -258,11 +291,14 @@ class TargetTables:
         etl_time: str | None = None,
         previous_epoch: int | None = None,
         owner: str = "",
+        files: DataFrame | None = None,
+        metrics: Sequence[Column] = (),
     ) -> LoadResult:
         """Load ``staged`` as the new ``current``; the load before moves to
         ``history``.  ``previous_epoch`` is the last load its caller has
         recorded.  With an ``owner`` the load is undone by the owner's next one
-        unless ``finish`` follows."""
+        unless ``finish`` follows.  ``files`` (``LEDGER_DDL``) are recorded with the
+        load; ``metrics`` are more named aggregates to observe in the write."""
         epoch_id = epoch_now() if epoch_id is None else int(epoch_id)
         self.recover(owner, previous_epoch)
         prev = self.current_epoch()
@@ -274,13 +310,14 @@ class TargetTables:
         self.spark.sql(
             f"ALTER TABLE {self.s.loads} SET TBLPROPERTIES ({sql_text(PENDING)} = {sql_text(f'{epoch_id}:{owner}')})"
         )
-        rows = self._write_load(staged, epoch_id, etl_time)
-        if prev is not None:
-            self.archive(prev)
-        self._show(self.s.current, "=", epoch_id)
+        observed = self._write_load(staged, epoch_id, etl_time, metrics)
+        if files is not None:
+            _write_epoch(files, self.s.files, epoch_id)
+        self.derive_views(history=prev is not None)
+        self.publish(epoch_id)
         if not owner:
             self.finish()
-        return LoadResult(epoch_id, rows, len(stamped.columns) + 1, prev)
+        return LoadResult(epoch_id, int(observed["rows"]), len(stamped.columns) + 1, prev, observed)
 
     def write_quarantine(
         self,
@@ -298,6 +335,17 @@ class TargetTables:
                 if epoch != int(epoch_id):
                     _drop_epoch(self.spark, self.s.quarantine, epoch)
 
+    def loaded_files(self) -> DataFrame:
+        """The ledger: (workflow_id, file_key, last_modified in UTC, file_size, row_count,
+        epoch_id); empty before the first load with files."""
+        if not self._exists(self.s.files):
+            return self.spark.createDataFrame([], f"{LEDGER_DDL}, {EPOCH} int")
+        return self.spark.table(self.s.files)
+
+    def files_of(self, epoch_id: int) -> DataFrame:
+        """The files that made an epoch; reads that partition only."""
+        return self.loaded_files().where(F.col(EPOCH) == F.lit(int(epoch_id)))
+
     def current_frame(self) -> DataFrame:
         return self.spark.table(self.s.current)
 

@@ -32,15 +32,66 @@ def test_three_loads(spark):
     assert str(row["etl_Create_date"]) == "2024-01-01 10:00:00" and row["etl_Create_date"] == row["etl_Update_date"]
 
 
-def test_archive_is_idempotent_on_retry(spark):
+def test_no_step_of_a_load_shows_an_epoch_in_both_views_or_in_neither(spark, monkeypatch):
+    """Every SQL statement of a load (each metadata change is one) is followed by a reader."""
     t = tables(spark)
     t.load(spark.createDataFrame([(1,), (2,)], "k long"), epoch_id=100, etl_time=T)
-    # crash after archiving, before replacing current: the retry must not double rows
-    assert t.archive(100) is True
-    assert t.archive(100) is False
-    t.load(spark.createDataFrame([(3,)], "k long"), epoch_id=200, etl_time=T, previous_epoch=100)
-    assert keys(t.history_frame()) == [(1, 100), (2, 100)]
-    assert keys(t.current_frame()) == [(3, 200)]
+    seen, real = [], spark.sql
+
+    def watched(text, *a, **kw):
+        out = real(text, *a, **kw)
+        history = keys(t.history_frame()) if spark.catalog.tableExists(t.s.history) else []
+        seen.append((history, keys(t.current_frame())))
+        return out
+
+    with monkeypatch.context() as m:
+        m.setattr(spark, "sql", watched)
+        t.load(spark.createDataFrame([(3, "x")], "k long, v string"), epoch_id=200, etl_time=T)
+        t.load(spark.createDataFrame([(4, "y")], "k long, v string"), epoch_id=300, etl_time=T)
+    states = [s for i, s in enumerate(seen) if i == 0 or s != seen[i - 1]]
+    one, two = [(1, 100), (2, 100)], [(3, 200)]
+    assert states == [([], one), (one, two), (one + two, [(4, 300)])]
+    assert len(seen) > 15 and t.current_frame().select("v").first()["v"] == "y"
+
+
+def test_views_of_the_earlier_layout_are_taken_over(spark):
+    t = tables(spark)
+    t.load(spark.createDataFrame([(1,)], "k long"), epoch_id=100, etl_time=T)
+    t.load(spark.createDataFrame([(2,)], "k long"), epoch_id=200, etl_time=T)
+    spark.sql(f"DROP VIEW {t.s.published}")
+    for view, condition in ((t.s.current, "= 200"), (t.s.history, "<= 100")):
+        spark.sql(f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{W.SHOWN}' = '{condition.split()[1]}') "
+                  f"AS SELECT * FROM {t.s.loads} WHERE epoch_id {condition}")
+    t.load(spark.createDataFrame([(3,)], "k long"), epoch_id=300, etl_time=T)
+    assert keys(t.current_frame()) == [(3, 300)] and keys(t.history_frame()) == [(1, 100), (2, 200)]
+
+
+def test_ledger_rows_come_and_go_with_their_load(spark):
+    t = tables(spark)
+    files = lambda *ks: spark.createDataFrame(
+        [(7, k, None, 5, 1) for k in ks], "workflow_id long, file_key string, last_modified timestamp_ntz, file_size long, row_count long")
+    rows = spark.createDataFrame([(1,)], "k long")
+    assert t.loaded_files().collect() == []
+    t.load(rows, epoch_id=100, etl_time=T, files=files("a", "b"), metrics=[F.max("k").alias("top")])
+    r = t.load(rows, epoch_id=200, etl_time=T, files=files("c"), owner="7", metrics=[F.max("k").alias("top")])
+    assert r.observed["top"] == 1
+    assert sorted(x["file_key"] for x in t.files_of(100).collect()) == ["a", "b"]
+    plan = t.files_of(100)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(epoch_id" in plan
+    t.recover("7", logged_epoch=100)
+    assert sorted(x["file_key"] for x in t.loaded_files().collect()) == ["a", "b"]
+
+
+def test_refresh_finds_partitions_of_outside_writers(spark):
+    t = tables(spark)
+    t.refresh()  # nothing there yet
+    t.load(spark.createDataFrame([(1,)], "k long"), epoch_id=100, etl_time=T)
+    t.load(spark.createDataFrame([(2,)], "k long"), epoch_id=200, etl_time=T)
+    base = spark.sql(f"DESCRIBE TABLE EXTENDED {t.s.loads}").where("col_name = 'Location'").first()["data_type"]
+    spark.createDataFrame([(9,)], "k long").write.parquet(f"{base}/epoch_id=150")
+    assert keys(t.history_frame()) == [(1, 100)]
+    t.refresh()
+    assert keys(t.history_frame()) == [(1, 100), (9, 150)]
 
 
 def test_quarantine_overwrite_and_append(spark):
@@ -70,7 +121,7 @@ def test_repeated_epoch_is_refused(spark):
     assert keys(t.current_frame()) == [(1, 100)]
 
 
-STOPS = ["after the mark", "after the partition", "after the archive"]
+STOPS = ["after the mark", "after the partition", "after the views"]
 
 
 @pytest.mark.parametrize("first", [True, False])
@@ -88,8 +139,8 @@ def test_retry_after_a_stopped_load_is_exact(spark, monkeypatch, stop, first):
     with monkeypatch.context() as m:
         if stop == "after the mark":
             m.setattr(W, "_write_epoch", stopped)
-        elif stop == "after the archive":
-            m.setattr(t, "_show" if first else "finish", stopped)
+        elif stop == "after the views":
+            m.setattr(t, "publish" if first else "finish", stopped)
         else:
             real = W._write_epoch
 
@@ -100,9 +151,9 @@ def test_retry_after_a_stopped_load_is_exact(spark, monkeypatch, stop, first):
             m.setattr(W, "_write_epoch", write)
         with pytest.raises(RuntimeError):
             t.load(rows, epoch_id=300, etl_time=T)
-    if not first and stop != "after the archive":
+    if not first and stop != "after the views":
         assert keys(t.current_frame()) == [(3, 200)]  # readers still see the load before
-    if stop == "after the archive" and not first:
+    if stop == "after the views" and not first:
         # everything was shown, only the mark was left: the load counts
         t.recover()
         assert keys(t.current_frame()) == [(4, 300), (5, 300)]
