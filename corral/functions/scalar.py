@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 # Text form of the load time, and the report clock format.
 AUDIT_TIME_FORMAT = "%Y-%m-%dT%H:%M:%S.000+00:00"
 REPORT_CLOCK = "hh:mm a"
+CLOCK_WITH_ZONE = "%I:%M %p %Z"
 
 
 def _c(c: str | Column) -> Column:
@@ -43,6 +45,14 @@ def local_clock(ts: str | Column, zone: str, fmt: str = REPORT_CLOCK) -> Column:
     return F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(zone), _c(ts)), fmt)
 
 
+def clock_text(t: datetime | None, zone: str) -> str | None:
+    """A UTC time of the driver as local clock text with the zone's short name at that time."""
+    if t is None:
+        return None
+    utc = t.replace(tzinfo=timezone.utc) if t.tzinfo is None else t
+    return utc.astimezone(ZoneInfo(zone)).strftime(CLOCK_WITH_ZONE)
+
+
 def json_field(doc: str | Column, key: str, data_type: str = "string") -> Column:
     """One field of a JSON text column, cast to ``data_type`` (null if absent)."""
     v = F.get_json_object(_c(doc), f"$.{key}")

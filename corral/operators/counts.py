@@ -3,9 +3,7 @@ against a control file of expected counts per file."""
 
 from __future__ import annotations
 
-from typing import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The stored names of the three table checks.
@@ -58,24 +56,28 @@ def control_file_check(
     loaded: DataFrame,
     key: str,
     expected_col: str = "expected_count",
-    key_of_group: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Expected count per file key against the rows loaded per key.
 
     ``control`` has (key, expected_col); ``loaded`` is the loaded rows with a
-    ``key`` column (for files, ``_metadata.file_name``).  The loaded side is
-    aggregated (partially, before the shuffle) to one row per key before the
-    join, so only counts move.  ``key_of_group`` maps each loaded key after
-    the aggregation (one call per key, not per row), e.g. to decode file
-    names kept in their encoded form.
+    ``key`` column.  The loaded side is aggregated (partially, before the
+    shuffle) to one row per key before the join, so only counts move.
     """
-    actual = loaded.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("actual_count"))
-    if key_of_group is not None:
-        actual = actual.select(key_of_group(F.col("_k")).alias("_k"), "actual_count")
-    joined = control.join(actual, control[key] == actual["_k"], "left")
+    actual = loaded.groupBy(F.col(key).alias("file_key")).agg(F.count(F.lit(1)).alias("actual_count"))
+    return reconcile_files(control.select(F.col(key).alias("file_key"), F.col(expected_col).alias("expected_count")), actual)
+
+
+def reconcile_files(control: DataFrame, actual: DataFrame) -> DataFrame:
+    """The control table (file_key, expected_count) against the counted files
+    (file_key, actual_count), in both directions: a listed file that did not come
+    counts 0 rows, and a file that is not listed fails.  A null or repeated key is
+    matched like any other value."""
+    a = actual.select(F.col("file_key").alias("_k"), "actual_count")
+    joined = control.select("file_key", "expected_count").join(a, F.col("file_key").eqNullSafe(F.col("_k")), "full_outer")
+    listed = F.col("expected_count").isNotNull()
     return joined.select(
-        F.col(key).alias("file_key"),
-        F.col(expected_col).alias("expected_count"),
-        F.col("actual_count"),
-        (F.col(expected_col) == F.coalesce(F.col("actual_count"), F.lit(0))).alias(CONTROL_FILE_COUNT),
+        F.coalesce("file_key", "_k").alias("file_key"),
+        "expected_count",
+        "actual_count",
+        (listed & (F.col("expected_count") == F.coalesce(F.col("actual_count"), F.lit(0)))).alias(CONTROL_FILE_COUNT),
     )

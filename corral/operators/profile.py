@@ -3,11 +3,22 @@ per column."""
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, NumericType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    BinaryType,
+    ByteType,
+    DataType,
+    IntegerType,
+    LongType,
+    NumericType,
+    ShortType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 
 # Names of the observed profile aggregates (prefixed so they never clash
@@ -165,3 +176,93 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None, digits:
 def profile_report(profile: DataFrame) -> DataFrame:
     """The profile as shown in the report: without an ``action`` column."""
     return profile.drop("action") if "action" in profile.columns else profile
+
+
+# --------------------------------------------------------------------------
+# Mergeable profiles: one small row per column and load, merged without the rows
+# --------------------------------------------------------------------------
+
+SKETCH_SCHEMA = StructType(
+    [
+        StructField("column_name", StringType()),
+        StructField("data_type", StringType()),
+        StructField("row_count", LongType()),
+        StructField("null_count", LongType()),
+        StructField("min_value", StringType()),
+        StructField("max_value", StringType()),
+        StructField("distinct_sketch", BinaryType()),
+    ]
+)
+#: 2 ** 12 registers: a relative standard error of about 1.6 %, 4 KB a sketch at most.
+LG_REGISTERS = 12
+_S = "_sketch_"
+
+
+def _sketched(column: str, dtype: DataType) -> Column:
+    """The column in a type that the sketch takes; equal values stay equal, others differ."""
+    col = F.col("`" + column.replace("`", "``") + "`")
+    if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
+        return col.cast("bigint")
+    return col if isinstance(dtype, (StringType, BinaryType)) else col.cast("string")
+
+
+def sketch_metrics(schema: StructType) -> list[Column]:
+    """Aggregates of a mergeable profile: rows, non-null counts, min, max and one
+    distinct-count sketch per column, to be observed on a write or aggregated; no
+    row is expanded and nothing but the sketches is shuffled."""
+    out = [F.count(F.lit(1)).alias(f"{_S}rows")]
+    for i, f in enumerate(schema.fields):
+        col = F.col("`" + f.name.replace("`", "``") + "`")
+        out += [
+            F.count(col).alias(f"{_S}nn{i}"),
+            F.min(col).cast("string").alias(f"{_S}min{i}"),
+            F.max(col).cast("string").alias(f"{_S}max{i}"),
+            F.hll_sketch_agg(_sketched(f.name, f.dataType), F.lit(LG_REGISTERS)).alias(f"{_S}hll{i}"),
+        ]
+    return out
+
+
+def sketch_rows(spark: SparkSession, schema: StructType, observed: Mapping) -> DataFrame:
+    """One row per column (``SKETCH_SCHEMA``) from the values of ``sketch_metrics``."""
+    n = observed[f"{_S}rows"]
+    rows = [
+        (
+            f.name,
+            f.dataType.simpleString(),
+            n,
+            n - observed[f"{_S}nn{i}"],
+            observed[f"{_S}min{i}"],
+            observed[f"{_S}max{i}"],
+            bytearray(observed[f"{_S}hll{i}"]) if observed[f"{_S}hll{i}"] is not None else None,
+        )
+        for i, f in enumerate(schema.fields)
+    ]
+    return spark.createDataFrame(rows, SKETCH_SCHEMA)
+
+
+def sketch_profile(df: DataFrame) -> DataFrame:
+    """The mergeable profile of ``df`` in one aggregate."""
+    return sketch_rows(df.sparkSession, df.schema, df.agg(*sketch_metrics(df.schema)).first().asDict())
+
+
+def merge_profiles(sketches: DataFrame) -> DataFrame:
+    """column_name, data_type, row_count, null_count, distinct_count, min_value,
+    max_value over all rows behind ``sketches`` (``SKETCH_SCHEMA``, any number of
+    loads), without reading them.  Distinct counts are estimates (see
+    ``LG_REGISTERS``), the rest is exact; min and max compare as the column's
+    type does.  A column that changed its type has a row per type."""
+    number = F.col("data_type").rlike("^(tinyint|smallint|int|bigint|float|double|decimal.*)$")
+
+    def order(value: str) -> Column:
+        # numbers by size (doubles first: decimals settle what a double cannot tell apart), the rest as text
+        as_number = lambda t: F.when(number, F.expr(f"try_cast({value} AS {t})"))
+        known = F.struct(as_number("double"), as_number("decimal(38,10)"), F.when(~number, F.col(value)))
+        return F.when(F.col(value).isNotNull(), known)
+
+    return sketches.groupBy("column_name", "data_type").agg(
+        F.sum("row_count").alias("row_count"),
+        F.sum("null_count").alias("null_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct_sketch", F.lit(True))).alias("distinct_count"),
+        F.min_by("min_value", order("min_value")).alias("min_value"),
+        F.max_by("max_value", order("max_value")).alias("max_value"),
+    )

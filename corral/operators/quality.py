@@ -39,6 +39,13 @@ STATUS_PASSED_QUARANTINE = "Passed with Quarantine Data"
 STATUS_FAILED_QUARANTINE = "Failed with Quarantine Data"
 STATUS_FAILED_NO_QUARANTINE = "Failed with No Quarantine Data"
 STATUS_PASSED_NO_QUARANTINE = "Passed with No Quarantine Data"
+#: By (rows were quarantined, the job failed).
+STATUSES = {
+    (True, False): STATUS_PASSED_QUARANTINE,
+    (True, True): STATUS_FAILED_QUARANTINE,
+    (False, True): STATUS_FAILED_NO_QUARANTINE,
+    (False, False): STATUS_PASSED_NO_QUARANTINE,
+}
 
 ACTION = "action"
 VERDICT = "dq_verdict"  # 'good' / 'bad' partition value of a materialized validation
@@ -227,6 +234,11 @@ class MaterializedValidation:
     def failjob_count(self) -> int:
         return int(self.metrics["failjob_rows"])
 
+    @property
+    def status(self) -> str:
+        """The DQ status text from the observed quarantine and fail-job counts."""
+        return STATUSES[self.quarantined_count > 0, self.failjob_count > 0]
+
     @property
     def summary(self) -> DataFrame:
         """Built from the observed counts: one small row per rule."""
@@ -262,10 +274,6 @@ def quarantine_rows(erroneous: DataFrame) -> DataFrame:
     return erroneous.where(F.col(ACTION).rlike(QUARANTINE)).drop(ACTION)
 
 
-def failjob_rows(erroneous: DataFrame) -> DataFrame:
-    return erroneous.where(F.col(ACTION).rlike(FAILJOB))
-
-
 def failjob_gate(erroneous: DataFrame) -> DataFrame:
     """One row: fail_job_count and blocked (count > 0)."""
     n = F.count_if(F.coalesce(F.col(ACTION).rlike(FAILJOB), F.lit(False)))
@@ -284,12 +292,8 @@ def enforce_failjob_gate(erroneous: DataFrame) -> int:
 
 def status_text(quarantined: Column, failed: Column) -> Column:
     """The four DQ status texts from (quarantined > 0) x (job failed)."""
-    return (
-        F.when((quarantined > 0) & ~failed, F.lit(STATUS_PASSED_QUARANTINE))
-        .when(quarantined > 0, F.lit(STATUS_FAILED_QUARANTINE))
-        .when(failed, F.lit(STATUS_FAILED_NO_QUARANTINE))
-        .otherwise(F.lit(STATUS_PASSED_NO_QUARANTINE))
-    )
+    cases = [F.when(((quarantined > 0) == q) & (failed == f), F.lit(text)) for (q, f), text in STATUSES.items()]
+    return F.coalesce(*cases)
 
 
 def execution_status(validation: Validation, configured_failjob: bool | None = None) -> DataFrame:

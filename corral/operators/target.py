@@ -47,6 +47,7 @@ QUARANTINE_SUFFIX = "_quarantine_data"
 LOADS_SUFFIX = "_loads"
 PUBLISHED_SUFFIX = "_published"
 FILES_SUFFIX = "_loaded_files"
+PROFILES_SUFFIX = "_profiles"
 PENDING = "corral.pending_load"
 SHOWN = "corral.shown_epoch"
 DERIVED = "corral.derived_columns"
@@ -110,6 +111,11 @@ class TargetSettings:
         """The ledger of loaded files."""
         return f"`{self.current_database}`.`{self.current_table}{FILES_SUFFIX}`"
 
+    @property
+    def profiles(self) -> str:
+        """Mergeable profiles, one per load."""
+        return f"`{self.current_database}`.`{self.current_table}{PROFILES_SUFFIX}`"
+
     @property
     def quarantine(self) -> str:
         return f"`{self.current_database}`.`{self.current_table}{QUARANTINE_SUFFIX}`"
@@ -128,7 +134,7 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _epochs(spark: SparkSession, table: str) -> list[int]:
+def epochs(spark: SparkSession, table: str) -> list[int]:
     """Epochs of ``table`` from the catalog's partition list: metadata only, no
     file is read."""
     out = []
@@ -139,10 +145,10 @@ def _epochs(spark: SparkSession, table: str) -> list[int]:
     return out
 
 
-def _drop_epoch(spark: SparkSession, table: str, epoch_id: int) -> None:
+def drop_epoch(spark: SparkSession, table: str, epoch_id: int, column: str = EPOCH) -> None:
     """Drop one epoch with its files.  It is registered first, so that files
     committed by a load that died before registering them go as well."""
-    spec = f"PARTITION ({EPOCH} = {int(epoch_id)})"
+    spec = f"PARTITION ({column} = {int(epoch_id)})"
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec}")
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
 
@@ -151,16 +157,16 @@ def _fields(df: DataFrame) -> list[StructField]:
     return [StructField(f.name, f.dataType) for f in df.schema.fields]
 
 
-def _create(df: DataFrame, table: str) -> None:
+def _create(df: DataFrame, table: str, column: str = EPOCH) -> None:
     """The empty table for the rows of ``df`` (without the epoch column)."""
     df.sparkSession.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({StructType(_fields(df)).toDDL()}, {EPOCH} INT) USING parquet "
-        f"OPTIONS (compression 'snappy') PARTITIONED BY ({EPOCH})"
+        f"CREATE TABLE IF NOT EXISTS {table} ({StructType(_fields(df)).toDDL()}, {column} INT) USING parquet "
+        f"OPTIONS (compression 'snappy') PARTITIONED BY ({column})"
     )
 
 
-def _write_epoch(df: DataFrame, table: str, epoch_id: int) -> None:
-    """Write ``df`` (without the epoch column) as the partition of ``epoch_id``, in
+def write_epoch(df: DataFrame, table: str, epoch_id: int, column: str = EPOCH) -> None:
+    """Write ``df`` (without the epoch ``column``) as the partition of ``epoch_id``, in
     place of what that partition holds.
 
     The table is created before any file is written, so a crash never leaves
@@ -169,21 +175,21 @@ def _write_epoch(df: DataFrame, table: str, epoch_id: int) -> None:
     epoch is a constant right under the write, so no row is sorted by it.
     """
     spark = df.sparkSession
-    _create(df, table)
+    _create(df, table, column)
     fields = _fields(df)
     have = {f.name.lower() for f in spark.table(table).schema.fields}
     if new := [f for f in fields if f.name.lower() not in have]:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({StructType(new).toDDL()})")
-    _drop_epoch(spark, table, epoch_id)
+    drop_epoch(spark, table, epoch_id, column)
     given = {f.name.lower(): f.name for f in fields}
     columns = [
         F.col(_quoted(given[f.name.lower()])) if f.name.lower() in given else F.lit(None).cast(f.dataType).alias(f.name)
         for f in spark.table(table).schema.fields
-        if f.name != EPOCH
+        if f.name != column
     ]
-    df.select(*columns, F.lit(int(epoch_id)).cast("int").alias(EPOCH)).write.insertInto(table)
+    df.select(*columns, F.lit(int(epoch_id)).cast("int").alias(column)).write.insertInto(table)
     # an empty load is a partition too
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({EPOCH} = {int(epoch_id)})")
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({column} = {int(epoch_id)})")
 
 
 class TargetTables:
@@ -218,7 +224,7 @@ class TargetTables:
             self.history_exists()
             and shown is not None
             and int(epoch_id) < shown
-            and int(epoch_id) in _epochs(self.spark, self.s.loads)
+            and int(epoch_id) in epochs(self.spark, self.s.loads)
         )
 
     def publish(self, epoch_id: int | None) -> None:
@@ -249,7 +255,7 @@ class TargetTables:
         the written ``rows`` and ``metrics``, observed during the write itself."""
         obs = Observation()  # a name of its own: a retry may observe the same frame again
         counted = staged.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics)
-        _write_epoch(stamp_audit(counted, etl_time), self.s.loads, epoch_id)
+        write_epoch(stamp_audit(counted, etl_time), self.s.loads, epoch_id)
         return obs.get
 
     def recover(self, owner: str = "", logged_epoch: int | None = None) -> int | None:
@@ -268,15 +274,15 @@ class TargetTables:
         done = (logged_epoch is not None and pending <= logged_epoch) if by else self.current_epoch() == pending
         if not done:
             if self.current_epoch() == pending:
-                earlier = sorted(e for e in _epochs(self.spark, self.s.loads) if e != pending)
+                earlier = sorted(e for e in epochs(self.spark, self.s.loads) if e != pending)
                 if earlier:
                     self.publish(earlier[-1])
                 else:
                     self.spark.sql(f"DROP VIEW IF EXISTS {self.s.current}")
                     self.spark.sql(f"DROP VIEW IF EXISTS {self.s.published}")
-            for table in (self.s.loads, self.s.quarantine, self.s.files):
+            for table in (self.s.loads, self.s.quarantine, self.s.files, self.s.profiles):
                 if self._exists(table):
-                    _drop_epoch(self.spark, table, pending)
+                    drop_epoch(self.spark, table, pending)
         self.finish()
         return None if done else pending
 
@@ -312,7 +318,7 @@ class TargetTables:
         )
         observed = self._write_load(staged, epoch_id, etl_time, metrics)
         if files is not None:
-            _write_epoch(files, self.s.files, epoch_id)
+            write_epoch(files, self.s.files, epoch_id)
         self.derive_views(history=prev is not None)
         self.publish(epoch_id)
         if not owner:
@@ -329,11 +335,11 @@ class TargetTables:
         """Stamped quarantine rows, partitioned by epoch; written even when
         empty.  ``mode='append'`` keeps earlier runs' quarantine; otherwise
         earlier epochs are dropped after the write."""
-        _write_epoch(stamp_audit(quarantined, etl_time), self.s.quarantine, epoch_id)
+        write_epoch(stamp_audit(quarantined, etl_time), self.s.quarantine, epoch_id)
         if mode == "overwrite":
-            for epoch in _epochs(self.spark, self.s.quarantine):
+            for epoch in epochs(self.spark, self.s.quarantine):
                 if epoch != int(epoch_id):
-                    _drop_epoch(self.spark, self.s.quarantine, epoch)
+                    drop_epoch(self.spark, self.s.quarantine, epoch)
 
     def loaded_files(self) -> DataFrame:
         """The ledger: (workflow_id, file_key, last_modified in UTC, file_size, row_count,
@@ -342,6 +348,13 @@ class TargetTables:
             return self.spark.createDataFrame([], f"{LEDGER_DDL}, {EPOCH} int")
         return self.spark.table(self.s.files)
 
+    def write_profile(self, sketches: DataFrame, epoch_id: int) -> None:
+        """Keep the mergeable profile of a load (``profile.SKETCH_SCHEMA``)."""
+        write_epoch(sketches, self.s.profiles, epoch_id)
+
+    def profiles_frame(self) -> DataFrame:
+        return self.spark.table(self.s.profiles)
+
     def files_of(self, epoch_id: int) -> DataFrame:
         """The files that made an epoch; reads that partition only."""
         return self.loaded_files().where(F.col(EPOCH) == F.lit(int(epoch_id)))

@@ -15,7 +15,7 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from corral.functions.scalar import utc_wall_clock
 
@@ -25,6 +25,7 @@ WATERMARK_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 # Listing column with the full URI of the listed root (``with_root=True``).
 ROOT_URI = "root_uri"
+SIZE = "file_size"
 
 
 class NoNewFileError(RuntimeError):
@@ -37,8 +38,10 @@ def list_files(
     relative: bool = True,
     with_root: bool = False,
     folder: str = "",
+    with_size: bool = False,
 ) -> DataFrame:
-    """(path, last_modified) of every file under ``root``, recursively.
+    """(path, last_modified) of every file under ``root``, recursively, with
+    ``with_size`` also ``file_size`` in bytes.
 
     With ``relative`` the path is the key below ``root`` (as object-store keys
     are below a container); otherwise the full URI.  ``folder`` (a key
@@ -52,18 +55,22 @@ def list_files(
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .load(location)
-            .select("path", F.col("modificationTime").alias("last_modified"))
+            .select("path", F.col("modificationTime").alias("last_modified"), F.col("length").alias(SIZE))
         )
     except AnalysisException as e:
         if not folder or (e.getCondition() or "") != "PATH_NOT_FOUND":
             raise
         raw = spark.createDataFrame(
-            [], StructType([StructField("path", StringType()), StructField("last_modified", TimestampType())])
+            [],
+            StructType(
+                [StructField("path", StringType()), StructField("last_modified", TimestampType()), StructField(SIZE, LongType())]
+            ),
         )
+    size = [SIZE] if with_size else []
     if not relative:
-        return raw
+        return raw.select("path", "last_modified", *size)
     extra = [root_uri(F.col("path"), root).alias(ROOT_URI)] if with_root else []
-    return raw.select(relative_key(F.col("path"), root).alias("path"), "last_modified", *extra)
+    return raw.select(relative_key(F.col("path"), root).alias("path"), "last_modified", *extra, *size)
 
 
 def pattern_folder(pattern: str) -> str:
@@ -208,6 +215,28 @@ def new_files_since(listing: DataFrame, watermark: str | None) -> DataFrame:
     return listing.where(_utc(listing) > F.lit(watermark).cast("timestamp_ntz"))
 
 
+def unseen_files(listing: DataFrame, ledger: DataFrame, since: str | None) -> DataFrame:
+    """Files at or above ``since`` (UTC text; all when None) that the ledger of
+    loaded files (file_key, last_modified in UTC, file_size) does not hold.
+
+    A store with whole-second times gives many files one time, so the watermark's
+    own second is not done when its first files are loaded.  A file written anew
+    under its old name has another time or size, and is a new file.
+    """
+    at = _utc(listing)
+    if since:
+        bound = F.lit(since).cast("timestamp_ntz")
+        listing, ledger = listing.where(at >= bound), ledger.where(F.col("last_modified") >= bound)
+    seen = ledger.select(F.col("file_key").alias("_k"), F.col("last_modified").alias("_t"), F.col(SIZE).alias("_s"))
+    same = F.col("path").eqNullSafe(F.col("_k")) & at.eqNullSafe(F.col("_t")) & F.col(SIZE).eqNullSafe(F.col("_s"))
+    return listing.join(seen, same, "left_anti")
+
+
+def in_utc(listing: DataFrame) -> DataFrame:
+    """The listing with ``last_modified`` as UTC wall-clock time, as the ledger holds it."""
+    return listing.withColumn("last_modified", _utc(listing))
+
+
 def file_watermark(files: DataFrame) -> DataFrame:
     """One row: newest time (the next watermark) and the number of files."""
     return files.agg(
@@ -222,7 +251,8 @@ class FileSelection:
 
     Collation: the keys matching ``pattern`` modified after ``since`` and no
     later than ``watermark`` (the newest chosen time, the next stored
-    watermark, so a file arriving after the choice waits for the next run).
+    watermark, so a file arriving after the choice waits for the next run),
+    and ``late`` files that came at ``since`` itself after the run before.
     Latest-file mode: the one key ``latest``.  ``files`` applies the
     condition to a listing; ``scan_condition`` applies it to the hidden
     ``_metadata`` of a file scan, where Spark uses it to skip files before
@@ -235,6 +265,7 @@ class FileSelection:
     file_count: int
     latest: str | None = None  # latest-file mode: the chosen key
     root_uri: str | None = None  # qualified URI of the listed root, when the listing had it
+    late: int = 0  # chosen files whose time is ``since`` itself (chosen by a ledger)
 
     def _condition(self, key: Column, modified_utc: Column) -> Column:
         if self.latest is not None:
@@ -287,6 +318,13 @@ class FileSelection:
             return key == F.lit(self.latest)
         return self._scan_window(glob_condition(self.pattern, key), spark)
 
+    def at_mark(self, spark: SparkSession) -> Column:
+        """Condition on a file scan: the file's time is ``since`` itself."""
+        modified, instant = F.col("_metadata.file_modification_time"), _utc_instant(self.since)
+        if instant is not None:
+            return modified == F.lit(instant)
+        return utc_wall_clock(modified, spark) == F.lit(self.since).cast("timestamp_ntz")
+
     @property
     def described(self) -> str:
         """The chosen files in words for the run log: the key, or the pattern."""
@@ -303,35 +341,58 @@ def _utc_instant(text: str) -> datetime | None:
     return None if parsed.tzinfo is not None else parsed.replace(tzinfo=timezone.utc)
 
 
-def select_files(
+def choose_files(
     listing: DataFrame,
     pattern: str,
     watermark: str | None = None,
     collation: bool = False,
-) -> FileSelection:
-    """Choose the files of one run.
+    ledger: DataFrame | None = None,
+) -> DataFrame:
+    """Rows of the listing that one run reads.
 
     ``collation``: all matching files newer than ``watermark``; otherwise the
-    latest matching file, which must be newer than ``watermark``.  Raises
-    ``NoNewFileError`` when nothing qualifies.  One aggregate row (newest
-    time, count, and in latest-file mode the one key) reaches the driver.
+    latest matching file, which must be newer than ``watermark``.  With a
+    ``ledger`` of loaded files (and ``file_size`` in the listing) a file counts as
+    new when the ledger does not hold it, at the watermark's own time as well.
     """
     matched = match_glob(listing, pattern)
-    chosen = new_files_since(matched, watermark) if collation else new_files_since(latest_file(matched), watermark)
+    if ledger is not None:
+        unseen = unseen_files(matched, ledger, watermark)
+        return unseen if collation else latest_file(unseen)
+    return new_files_since(matched, watermark) if collation else new_files_since(latest_file(matched), watermark)
+
+
+def selection_of(chosen: DataFrame, pattern: str, watermark: str | None = None, collation: bool = False) -> FileSelection:
+    """The condition that stands for ``chosen``; raises ``NoNewFileError`` when it has
+    no file.  One aggregate row (newest time, counts, and in latest-file mode the
+    one key) reaches the driver."""
+    late = _utc(chosen) == F.lit(watermark).cast("timestamp_ntz") if watermark else F.lit(False)
     aggs = [
         F.date_format(_utc(chosen, F.max("last_modified")), WATERMARK_FORMAT).alias("wm"),
         F.count(F.lit(1)).alias("n"),
+        F.count_if(late).alias("late"),
     ]
     if not collation:
         aggs.append(F.max("path").alias("latest"))
-    if ROOT_URI in listing.columns:
+    if ROOT_URI in chosen.columns:
         aggs.append(F.min(ROOT_URI).alias(ROOT_URI))
     agg = chosen.agg(*aggs).first()
     if not agg or agg["n"] == 0:
         raise NoNewFileError("Load from source failed: no new file has arrived")
     latest = None if collation else agg["latest"]
-    root = agg[ROOT_URI] if ROOT_URI in listing.columns else None
-    return FileSelection(pattern, watermark or None, agg["wm"], int(agg["n"]), latest, root)
+    root = agg[ROOT_URI] if ROOT_URI in chosen.columns else None
+    return FileSelection(pattern, watermark or None, agg["wm"], int(agg["n"]), latest, root, int(agg["late"]))
+
+
+def select_files(
+    listing: DataFrame,
+    pattern: str,
+    watermark: str | None = None,
+    collation: bool = False,
+    ledger: DataFrame | None = None,
+) -> FileSelection:
+    """Choose the files of one run (``choose_files``), as a condition."""
+    return selection_of(choose_files(listing, pattern, watermark, collation, ledger), pattern, watermark, collation)
 
 
 def watermark_text(files: DataFrame) -> str | None:

@@ -31,9 +31,16 @@ def file_stream(
     timestamp_format: str = TIMESTAMP_FORMAT,
     max_files_per_trigger: int | None = None,
     path_glob: str | None = None,
+    corrupt_column: str | None = None,
+    archive_dir: str | None = None,
 ) -> DataFrame:
+    """New files of ``source_dir`` as a stream.  ``corrupt_column`` keeps the raw text
+    of rows that do not parse; ``archive_dir`` moves files there once the batch
+    that read them is done, so a listing stays as short as what is new."""
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
+    if corrupt_column and corrupt_column not in schema.fieldNames():
+        schema = StructType(schema.fields).add(corrupt_column, "string")
     reader = (
         spark.readStream.format("csv")
         .schema(schema)
@@ -46,6 +53,10 @@ def file_stream(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
+    if corrupt_column:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.load(source_dir)
 
 

@@ -138,17 +138,17 @@ def test_retry_after_a_stopped_load_is_exact(spark, monkeypatch, stop, first):
 
     with monkeypatch.context() as m:
         if stop == "after the mark":
-            m.setattr(W, "_write_epoch", stopped)
+            m.setattr(W, "write_epoch", stopped)
         elif stop == "after the views":
             m.setattr(t, "publish" if first else "finish", stopped)
         else:
-            real = W._write_epoch
+            real = W.write_epoch
 
             def write(df, table, epoch_id):
                 real(df, table, epoch_id)
                 stopped()
 
-            m.setattr(W, "_write_epoch", write)
+            m.setattr(W, "write_epoch", write)
         with pytest.raises(RuntimeError):
             t.load(rows, epoch_id=300, etl_time=T)
     if not first and stop != "after the views":
@@ -162,7 +162,7 @@ def test_retry_after_a_stopped_load_is_exact(spark, monkeypatch, stop, first):
     t.load(rows, epoch_id=301, etl_time=T)
     assert keys(t.current_frame()) == [(4, 301), (5, 301)]
     assert first or keys(t.history_frame()) == [(1, 100), (2, 100), (3, 200)]
-    assert W._epochs(spark, t.s.loads) == ([301] if first else [100, 200, 301])
+    assert W.epochs(spark, t.s.loads) == ([301] if first else [100, 200, 301])
 
 
 def test_files_without_a_partition_are_dropped(spark):
