@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,9 +11,13 @@ from pyspark.sql import functions as F
 from corral.llm.common import staged, texts_of
 
 #: Randomised lexicon subsets: ``REPEATS`` of each scale; a subset of scale j
-#: keeps a lexicon term with probability 2 ** -j, decided by the term's hash.
+#: keeps a lexicon term with probability 2 ** -j, decided by the term's hash.  A term
+#: is in one subset of a scale at most, and always in one of the first scale.
 SCALES, REPEATS = range(3, 11), 8
 SUBSETS = len(SCALES) * REPEATS
+#: Up to so many terms the lexicon is sent to every executor (some 100 MB); a larger
+#: one is joined as Spark plans it.
+BROADCAST_TERMS = 2_000_000
 
 
 def terms_of(text: Column) -> Column:
@@ -21,15 +26,13 @@ def terms_of(text: Column) -> Column:
 
 
 def lexicon_of(docs: DataFrame, min_idf: float = 2.3, max_idf: float = 6.9) -> DataFrame:
-    """Terms ``lex`` whose inverse document frequency ``ln(N / df)`` lies in the band,
-    with their ``mask`` of subsets.
+    """Terms ``lex`` whose inverse document frequency ``ln(N / df)`` lies in the band.
 
     Documents with the same terms in the same order of first use (copies) count
     once, in ``df`` and in ``N``, so that a group of copies does not push its
     terms out of the band.  A term needs df >= N * exp(-max_idf), so the lexicon
     holds at most (mean distinct terms per document) * exp(max_idf) terms however
-    large the table is: it is safe to broadcast.  Terms of one document only are
-    never in the band.
+    large the table is.  Terms of one document only are never in the band.
     """
     # every document has the empty term once: its count is N
     distinct = docs.select(F.array_union(terms_of(F.col("text")), F.array(F.lit(""))).alias("terms")).distinct()
@@ -37,38 +40,18 @@ def lexicon_of(docs: DataFrame, min_idf: float = 2.3, max_idf: float = 6.9) -> D
     df = staged(counts.where("count > 1 or term = ''"), "imatch_terms")
     n = sum(r["count"] for r in df.where("term = ''").collect())
     least, most = max(2, math.ceil(n * math.exp(-max_idf))), max(2, math.floor(n * math.exp(-min_idf)))
-    return df.where((F.col("term") != "") & F.col("count").between(least, most)).select(
-        F.col("term").alias("lex"), _mask("term").alias("mask")
-    )
+    return df.where((F.col("term") != "") & F.col("count").between(least, most)).select(F.col("term").alias("lex"))
 
 
-def _mask(term: str) -> Column:
-    """Bit k set if subset k keeps the term."""
-    mask = F.lit(0).cast("long")
+def subsets_of(term: Column) -> Column:
+    """Numbers of the subsets that keep a term: about two of them.  One hash has a
+    field of j bits for each scale j; below ``REPEATS`` it names the subset."""
+    bits, found, at = F.xxhash64(term, F.lit(1)), [], 0
     for i, scale in enumerate(SCALES):
-        for r in range(REPEATS):
-            bits = F.xxhash64(term, F.lit(scale * 4 + r // 4))  # four fields of 16 bits
-            field = F.shiftrightunsigned(bits, 16 * (r % 4)).bitwiseAND(F.lit((1 << scale) - 1))
-            mask = mask.bitwiseOR(F.when(field == 0, _bit(i * REPEATS + r)).otherwise(F.lit(0).cast("long")))
-    return mask
-
-
-def _bit(k: int) -> Column:
-    return F.lit((1 << k) - (1 << 64) if k == 63 else 1 << k).cast("long")
-
-
-def _value(term: str) -> Column:
-    """28 hash bits of a term above a 16-bit counter of one: a sum of these is a
-    hash of the set of terms and tells how many there are."""
-    return F.shiftleft(F.xxhash64(term).bitwiseAND(F.lit((1 << 28) - 1)), 16) + 1
-
-
-def _subset_hashes() -> list[Column]:
-    """Per subset: the hash of the set of its terms.  A sum of the term hashes is
-    what hashing the sorted distinct terms is for: equal sets, equal values, in
-    whatever order the terms come.  0: no term."""
-    has = lambda k: F.col("mask").bitwiseAND(_bit(k)) != 0
-    return [F.coalesce(F.sum(F.when(has(k), F.col("h"))), F.lit(0).cast("long")) for k in range(SUBSETS)]
+        field = F.shiftrightunsigned(bits, at).bitwiseAND(F.lit((1 << scale) - 1))
+        found.append(F.when(field < REPEATS, (field + i * REPEATS).cast("int")))
+        at += scale
+    return F.array_compact(F.array(*found))
 
 
 def _bucket(splits: list[int]) -> Column:
@@ -90,26 +73,41 @@ def likeness(a: Column, b: Column) -> Column:
     """Weighted share of equal hashes among the subsets that either text has terms
     in; 1 if neither has any.  A subset with many terms hardly ever agrees after
     an edit, so its weight falls by four with each term over one."""
-    count = lambda x: x.bitwiseAND(F.lit(0xFFFF))
+    count = lambda e: F.coalesce(e["n"], F.lit(0))
     weight = lambda x, y: F.pow(F.lit(0.25), F.least(F.greatest(count(x), count(y)), F.lit(40)) - 1)
     total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda acc, w: acc + w)
-    used = total(F.zip_with(a, b, lambda x, y: F.when((x != 0) | (y != 0), weight(x, y)).otherwise(0.0)))
-    same = total(F.zip_with(a, b, lambda x, y: F.when((x != 0) & (x == y), weight(x, y)).otherwise(0.0)))
+    used = total(F.zip_with(a, b, lambda x, y: F.when(x.isNotNull() | y.isNotNull(), weight(x, y)).otherwise(0.0)))
+    same = total(F.zip_with(a, b, lambda x, y: F.when(x["x"] == y["x"], weight(x, y)).otherwise(0.0)))
     return F.when(used == 0, F.lit(1.0)).otherwise(same / used)
 
 
 def fingerprint_text(fp: Column) -> Column:
-    return F.array_join(F.transform(fp, lambda x: F.when(x == 0, F.lit("-")).otherwise(F.lower(F.hex(x)))), ".")
+    return F.array_join(F.transform(fp, lambda e: F.when(e.isNull(), F.lit("-")).otherwise(F.lower(F.hex(e["x"])))), ".")
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
 
 
-def _prints(inside: Column, outside: Column) -> Column:
-    """The sums of the lexicon terms' subsets (null if none has a term; no set of all
-    terms) and the sums of all terms; null if there is no text."""
-    both = F.zip_with(inside, outside, lambda x, y: x + y)
-    subsets = F.slice(inside, 1, SUBSETS)
-    lexicon = F.when(F.exists(subsets, lambda x: x != 0), F.concat(subsets, F.array(F.lit(0).cast("long"))))
-    one = F.struct(lexicon.alias("lexicon"), F.coalesce(both, inside, outside).alias("all"))
-    return F.when(F.coalesce(inside, outside).isNotNull(), one)
+def _print(entries: Column, x: str, n: str) -> Column:
+    """The hash ``x`` and count ``n`` of every subset, null where it has no term."""
+    some = F.filter(entries, lambda e: e[n] > 0)
+    by_subset = F.map_from_entries(F.transform(some, lambda e: F.struct(e["subset"], F.struct(e[x].alias("x"), e[n].alias("n")))))
+    return _let(by_subset, lambda m: F.transform(F.lit(list(range(SUBSETS))), lambda k: F.element_at(m, k)))
+
+
+def _prints(entries: Column) -> Column:
+    """The subsets of the lexicon terms (null if there is none) and of all terms."""
+
+    def both(own: Column) -> Column:
+        has_lexicon = F.exists(own, lambda e: e["n_lexicon"] > 0)
+        return F.struct(
+            F.when(has_lexicon, _print(own, "x_lexicon", "n_lexicon")).alias("lexicon"),
+            _print(own, "x_all", "n_all").alias("all"),
+        )
+
+    return _let(entries, both)
 
 
 def _own(fp: Column) -> Column:
@@ -130,15 +128,19 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     many (or all) of the next document in ascending id order; after the last
     comes the first.  Rows with equal ids are ordered by text; null ids come
     first; null text is empty.  A text that no
-    lexicon subset has a term of is fingerprinted by the same subsets of all its
-    terms and by the set of them, and is compared on these with any text (so with
+    lexicon term is in is fingerprinted by the same subsets of all its
+    terms, and is compared on these with any text (so with
     one that has lexicon terms, too); a text without terms has the empty
     fingerprint.  Empty table: no rows.
 
+    The hash of a subset's terms is the exclusive or of their 64-bit hashes: what
+    hashing the sorted distinct terms is for (equal sets, equal values), in
+    whatever order the terms come, beside their number.
+
     Texts are shuffled once, by ranges of the id; the last row of a range takes
     its next text from a small table with the first row of every range.  Terms
-    are exploded, joined with the broadcast lexicon (bounded, see
-    :func:`lexicon_of`) and aggregated where they are, without a second shuffle.
+    are exploded, joined with the lexicon, dealt to their few subsets
+    and aggregated where they are, without a second shuffle.
     """
     spark = docs.sparkSession
     rows = texts_of(docs, id_col, text_col)
@@ -182,29 +184,39 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     versions = F.array(version(0, "text"), version(1, "edited"))
     # the last row of a range also fingerprints its next text: the next row is elsewhere
     versions = F.when(F.col("inner_next").isNull(), F.concat(versions, F.array(version(2, "next")))).otherwise(versions)
-    keys = ["bucket", "rn", "doc_id", "n_chars", "edited_sha256"]
     terms = (
-        placed.select("bucket", "rn", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.explode(versions).alias("v"))
-        .select(*keys, "v.version", F.explode(terms_of(F.col("v.t"))).alias("term"))
-        .join(F.broadcast(lexicon), F.col("term") == F.col("lex"), "left")
+        placed.select("bucket", "rn", F.explode(versions).alias("v"))
+        .select("bucket", "rn", "v.version", F.explode(terms_of(F.col("v.t"))).alias("term"))
+        .where("term != ''")
     )
-    # terms in and out of the lexicon are summed apart; both sums together are those of all terms
+    small = lexicon.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
     in_lexicon = F.col("lex").isNotNull()
-    some = F.col("term") != ""
-    none = F.lit(0).cast("long")
-    hashed = (
-        terms.withColumn("mask", F.when(in_lexicon, F.col("mask")).when(some, _mask("term")).otherwise(none))
-        .withColumn("h", F.when(some, _value("term")).otherwise(none))
-        .groupBy(*keys, "version", in_lexicon.alias("in_lexicon"))
-        .agg(*[c.alias(f"s{k}") for k, c in enumerate(_subset_hashes())], F.sum("h").alias("whole"))
+    per_subset = (
+        terms.join(F.broadcast(lexicon) if small else lexicon, F.col("term") == F.col("lex"), "left")
+        .select("bucket", "rn", "version", in_lexicon.alias("inside"), F.xxhash64("term").alias("h"), F.explode(subsets_of(F.col("term"))).alias("subset"))
+        .groupBy("bucket", "rn", "version", "subset")
+        .agg(
+            F.bit_xor(F.when(F.col("inside"), F.col("h")).otherwise(F.lit(0).cast("long"))).alias("x_lexicon"),
+            F.sum(F.col("inside").cast("int")).alias("n_lexicon"),
+            F.bit_xor("h").alias("x_all"),
+            F.count(F.lit(1)).alias("n_all"),
+        )
     )
-    sums = F.array(*[F.col(f"s{k}") for k in range(SUBSETS)], F.col("whole"))
-    part = lambda i, inside: F.max(F.when((F.col("version") == i) & (F.col("in_lexicon") == inside), F.col("sums")))
+    entry = F.struct("version", "subset", "x_lexicon", "n_lexicon", "x_all", "n_all")
+    per_text = per_subset.groupBy("bucket", "rn").agg(F.collect_list(entry).alias("entries"))
+    of_version = lambda i: F.filter(F.coalesce("entries", F.array().cast(per_text.schema["entries"].dataType)), lambda e: e["version"] == i)
     per_row = (
-        hashed.select(*keys, "version", "in_lexicon", sums.alias("sums"))
-        .groupBy(*keys)
-        .agg(*[part(i, inside).alias(f"p{i}{int(inside)}") for i in range(3) for inside in (True, False)])
-        .select(*keys, *[_prints(F.col(f"p{i}1"), F.col(f"p{i}0")).alias(f"fp{i}") for i in range(3)])
+        placed.select("bucket", "rn", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.col("inner_next").isNull().alias("last"))
+        .join(per_text, ["bucket", "rn"], "left")
+        .select(
+            "bucket",
+            "rn",
+            "doc_id",
+            "n_chars",
+            "edited_sha256",
+            *[_prints(of_version(i)).alias(f"fp{i}") for i in range(2)],
+            F.when(F.col("last"), _prints(of_version(2))).alias("fp2"),
+        )
     )
     following = F.coalesce(F.lead("fp0").over(Window.partitionBy("bucket").orderBy("rn")), F.col("fp2"))
     return per_row.withColumn("following", following).select(

@@ -253,3 +253,57 @@ def test_registered_queries():
     names = set(entry.queries())
     assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
     assert set(entry.oracle_sql()) <= names
+
+
+def brute_fingerprint(text, lexicon, subset_of, hash_of):
+    """I-Match in plain Python: sorted distinct terms of each subset, in and out of the lexicon."""
+    terms = sorted({t for t in re.split(r"[\W_]+", text.lower()) if t})
+    def prints(kept):  # noqa: E306
+        out = {}
+        for t in kept:
+            for k in subset_of[t]:
+                n, x = out.get(k, (0, 0))
+                out[k] = (n + 1, x ^ hash_of[t])
+        return out
+    inside = prints([t for t in terms if t in lexicon])
+    return inside or None, prints(terms)
+
+
+def brute_likeness(a, b):
+    x, y = (a[0], b[0]) if a[0] and b[0] else (a[1] if not (a[0] and b[0]) else a[0], b[1])
+    used = same = 0.0
+    for k in x.keys() | y.keys():
+        w = 0.25 ** (min(40, max(x.get(k, (0, 0))[0], y.get(k, (0, 0))[0])) - 1)
+        used += w
+        same += w * (x.get(k) is not None and y.get(k) is not None and x[k][1] == y[k][1])
+    return same / used if used else 1.0
+
+
+def test_fingerprints_and_likeness_against_plain_python(spark):
+    from random import Random
+
+    rng = Random(8)
+    real = common.documents(spark, "/root/testdata/sf0.001").orderBy("doc_id").limit(60).collect()
+    base = " ".join(f"hot{i}" for i in range(90))
+    rows = [(r.doc_id, r.text) for r in real]
+    rows += [(10_000 + i, " ".join(w if rng.random() > 0.03 else f"x{rng.random()}" for w in base.split())) for i in range(80)]
+    rows += [(20_000, "solo"), (20_001, ""), (20_002, " ".join(f"w{i}" for i in range(70_000))), (20_003, "ÉTÉ été Ünï_x 1x")]
+    docs = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in rows], "doc_id long, text string, bucket int, rn int, version int")
+    lexicon = {r.lex for r in imatch.lexicon_of(docs.select("doc_id", "text")).collect()}
+    edited = []
+    for i, (_, t) in enumerate(rows):
+        after, half = rows[(i + 1) % len(rows)][1], len(t) // 2
+        edited.append(t[: len(t) - half] + after[:half])
+    words = {w for t in [*edited, *(t for _, t in rows)] for w in re.split(r"[\W_]+", t.lower()) if w}
+    hashed = spark.createDataFrame([(w,) for w in words], "term string").select(
+        "term", F.xxhash64("term").alias("h"), imatch.subsets_of(F.col("term")).alias("subsets")).collect()
+    of = {r.term: r.h for r in hashed}, {r.term: r.subsets for r in hashed}
+    assert all(s for s in of[1].values())
+    own = [brute_fingerprint(t, lexicon, of[1], of[0]) for _, t in rows]
+    other = [brute_fingerprint(t, lexicon, of[1], of[0]) for t in edited]
+    got = sorted(imatch.fingerprints(docs).collect(), key=lambda r: r.doc_id)
+    text = lambda p: ".".join(f"{(p[0] or p[1])[k][1] & (2**64 - 1):x}" if k in (p[0] or p[1]) else "-" for k in range(imatch.SUBSETS))
+    for i, r in enumerate(got):
+        assert r.fingerprint == text(own[i]) and r.edited_fingerprint == text(other[i]), r.doc_id
+        assert r.near_edited == pytest.approx(brute_likeness(own[i], other[i]))
+        assert r.near_next == pytest.approx(brute_likeness(own[i], own[(i + 1) % len(rows)]))
