@@ -11,13 +11,14 @@ updating rows in place.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from corral.functions.scalar import json_field
 
@@ -55,14 +56,22 @@ def order_key(order: Sequence[str]) -> Column:
 
 
 class RunLog:
-    """The append-only run log table, partitioned by ``workflow_id``.
+    """The append-only run log table, partitioned by workflow and generation.
 
     Reads of one workflow (``frame(workflow_id)``) are partition-pruned, so a
     run lists only its own workflow's folder however many workflows and runs
-    the log holds.  Each append is one small file; ``compact`` rewrites a
-    workflow's partition into few files."""
+    the log holds.  Each append is one small file in the workflow's open
+    generation (an even number).
 
-    PARTITION = "workflow_id"
+    ``compact`` never overwrites a record.  It opens the next generation for
+    appends, writes the records up to now into an odd generation beside them,
+    and that generation counts from the moment its partition is registered.
+    The generations that it replaces go with the next ``compact`` (or
+    ``purge``), after records that a slow writer still put there were carried
+    over.  While both are there, readers count each record once, by its id.
+    """
+
+    PARTITION, GENERATION, RECORD = "workflow_id", "generation", "record_id"
 
     def __init__(self, spark: SparkSession, table: str):
         self.spark = spark
@@ -72,24 +81,63 @@ class RunLog:
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.table)
 
+    def _by_generation(self) -> bool:
+        """The table has this layout (an older one is read and appended to as it is)."""
+        return self.GENERATION in self._partition_columns()
+
+    def _partition_columns(self) -> list[str]:
+        if self._parts is None:
+            if not self.exists():
+                return [self.PARTITION, self.GENERATION]
+            # looked up once: the column listing runs small jobs
+            self._parts = [c.name for c in self.spark.catalog.listColumns(self.table) if c.isPartition]
+        return self._parts
+
+    def generations(self, workflow_id: int | None = None) -> dict[int, list[int]]:
+        """Registered generations by workflow, from the catalog alone."""
+        spec = "" if workflow_id is None else f" PARTITION ({self.PARTITION} = {int(workflow_id)})"
+        out: dict[int, list[int]] = {}
+        for r in self.spark.sql(f"SHOW PARTITIONS {self.table}{spec}").collect():
+            workflow, generation = (int(part.partition("=")[2]) for part in r[0].split("/"))
+            out.setdefault(workflow, []).append(generation)
+        return {w: sorted(g) for w, g in out.items()}
+
+    @staticmethod
+    def _replaced(generations: Sequence[int]) -> list[int]:
+        """Generations below the newest compacted one."""
+        base = max((g for g in generations if g % 2), default=None)
+        return [g for g in generations if base is not None and g < base]
+
     def frame(self, workflow_id: int | None = None) -> DataFrame:
         if not self.exists():
             df = self.spark.createDataFrame([], RUN_LOG_SCHEMA)
         else:
             df = self.spark.table(self.table)
         if workflow_id is not None:
-            df = df.where(F.col("workflow_id") == F.lit(int(workflow_id)).cast("bigint"))
+            df = df.where(F.col(self.PARTITION) == F.lit(int(workflow_id)).cast("bigint"))
+        if self.RECORD in df.columns and any(self._replaced(g) for g in self.generations(workflow_id).values()):
+            df = df.dropDuplicates([self.PARTITION, self.RECORD])
         return df.select(*RUN_LOG_SCHEMA.fieldNames())
 
-    def _partition_columns(self) -> list[str]:
-        """Partitioning of the existing table (an older unpartitioned log is
-        appended to as it is); a new table is partitioned by workflow."""
-        if self._parts is None:
-            if not self.exists():
-                return [self.PARTITION]
-            # looked up once: the column listing runs small jobs
-            self._parts = [c.name for c in self.spark.catalog.listColumns(self.table) if c.isPartition]
-        return self._parts
+    def _stored(self, df: DataFrame, generation: int) -> DataFrame:
+        """Columns in the order of the table."""
+        names = [c for c in RUN_LOG_SCHEMA.fieldNames() if c != self.PARTITION]
+        return df.select(*names, self.RECORD, self.PARTITION, F.lit(int(generation)).cast("int").alias(self.GENERATION))
+
+    def _create(self) -> None:
+        fields = [f for f in RUN_LOG_SCHEMA.fields if f.name != self.PARTITION] + [
+            StructField(self.RECORD, StringType()),
+            StructField(self.PARTITION, LongType()),
+            StructField(self.GENERATION, IntegerType()),
+        ]
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.table} ({StructType(fields).toDDL()}) USING parquet "
+            f"PARTITIONED BY ({self.PARTITION}, {self.GENERATION})"
+        )
+
+    def open_generation(self, workflow_id: int) -> int:
+        """Where appends of a workflow go: its newest even generation."""
+        return max((g for g in self.generations(workflow_id).get(int(workflow_id), []) if g % 2 == 0), default=0)
 
     def append(
         self,
@@ -113,32 +161,65 @@ class RunLog:
             json.dumps(details or {}, default=str),
         )
         df = self.spark.createDataFrame([row], RUN_LOG_SCHEMA)
-        writer = df.write.mode("append").format("parquet")
-        parts = self._partition_columns()
-        if parts:
-            writer = writer.partitionBy(*parts)
-        writer.saveAsTable(self.table)
+        if not self._by_generation():
+            writer = df.write.mode("append").format("parquet")
+            parts = self._partition_columns()
+            (writer.partitionBy(*parts) if parts else writer).saveAsTable(self.table)
+            return
+        self._create()
+        df = df.withColumn(self.RECORD, F.lit(uuid.uuid4().hex))
+        self._stored(df, self.open_generation(workflow_id)).write.insertInto(self.table)
+
+    def _alter(self, action: str, workflow_id: int, generation: int) -> None:
+        spec = f"PARTITION ({self.PARTITION} = {int(workflow_id)}, {self.GENERATION} = {int(generation)})"
+        self.spark.sql(f"ALTER TABLE {self.table} {action} {spec}")
+
+    def _drop(self, workflow_id: int, generation: int) -> None:
+        """Drop a generation with its files, registered or left by a writer that died."""
+        self._alter("ADD IF NOT EXISTS", workflow_id, generation)
+        self._alter("DROP IF EXISTS", workflow_id, generation)
+
+    def _records(self, workflow_id: int, condition: Column) -> DataFrame:
+        mine = F.col(self.PARTITION) == F.lit(int(workflow_id)).cast("bigint")
+        return self.spark.table(self.table).where(mine & condition)
 
     def compact(self, workflow_id: int, rows_per_file: int = 1_000_000) -> int:
-        """Rewrite one workflow's records into ``ceil(rows / rows_per_file)``
-        files; returns the number of records.  The records are checkpointed
-        to the shared folder first (the table cannot be overwritten from a
-        plan that reads it), then only that partition is replaced."""
-        if self._partition_columns() != [self.PARTITION]:
-            raise ValueError(f"{self.table} is not partitioned by {self.PARTITION}")
-        records = self.frame(workflow_id).checkpoint(eager=True)
-        n = records.count()
-        if n == 0:
+        """Write one workflow's records into ``ceil(rows / rows_per_file)`` files of a
+        new generation; returns the number of records.  Stopped at any step,
+        it loses nothing and can be run again; appends go on meanwhile."""
+        if not self._by_generation():
+            raise ValueError(f"{self.table} is not partitioned by {self.PARTITION} and {self.GENERATION}")
+        if not self.exists():
             return 0
+        self.purge(workflow_id)
+        known = self.generations(workflow_id).get(int(workflow_id), [])
+        if not known:
+            return 0
+        newest = known[-1]
+        target = newest + 1 + newest % 2
+        self._alter("ADD IF NOT EXISTS", workflow_id, target + 1)  # appends go there from now on
+        records = self._records(workflow_id, F.col(self.GENERATION) <= F.lit(newest)).dropDuplicates([self.RECORD])
+        n = records.count()
+        self._drop(workflow_id, target)
         files = max(1, -(-n // int(rows_per_file)))
-        view = f"__run_log_compact_{abs(int(workflow_id))}"
-        records.drop(self.PARTITION).coalesce(files).createOrReplaceTempView(view)
-        cols = ", ".join(f"`{c}`" for c in RUN_LOG_SCHEMA.fieldNames() if c != self.PARTITION)
-        self.spark.sql(
-            f"INSERT OVERWRITE TABLE {self.table} PARTITION (`{self.PARTITION}` = {int(workflow_id)}) "
-            f"SELECT {cols} FROM `{view}`"
-        )
-        self.spark.catalog.dropTempView(view)
+        self._stored(records, target).coalesce(files).write.insertInto(self.table)
+        return n
+
+    def purge(self, workflow_id: int) -> int:
+        """Drop the generations that a compaction replaced; records that are only
+        there are carried to the open generation first.  Returns how many were."""
+        known = self.generations(workflow_id).get(int(workflow_id), [])
+        old = self._replaced(known)
+        if not old:
+            return 0
+        base = max(g for g in known if g % 2)
+        kept = self._records(workflow_id, F.col(self.GENERATION) >= F.lit(base)).select(self.RECORD)
+        late = self._records(workflow_id, F.col(self.GENERATION) < F.lit(base)).join(kept, self.RECORD, "left_anti")
+        n = late.count()
+        if n:
+            self._stored(late, self.open_generation(workflow_id)).write.insertInto(self.table)
+        for generation in range(old[0], base):
+            self._drop(workflow_id, generation)
         return n
 
 
