@@ -170,6 +170,14 @@ class RunLog:
         df = df.withColumn(self.RECORD, F.lit(uuid.uuid4().hex))
         self._stored(df, self.open_generation(workflow_id)).write.insertInto(self.table)
 
+    def append_frame(self, records: DataFrame) -> None:
+        """Append many records (``RUN_LOG_SCHEMA``) at once, as first records of their
+        workflows or beside others in generation 0."""
+        if not self._by_generation():
+            raise ValueError(f"{self.table} is not partitioned by {self.PARTITION} and {self.GENERATION}")
+        self._create()
+        self._stored(records.withColumn(self.RECORD, F.uuid()), 0).write.insertInto(self.table)
+
     def _alter(self, action: str, workflow_id: int, generation: int) -> None:
         spec = f"PARTITION ({self.PARTITION} = {int(workflow_id)}, {self.GENERATION} = {int(generation)})"
         self.spark.sql(f"ALTER TABLE {self.table} {action} {spec}")

@@ -185,6 +185,96 @@ _SQL = {
         "max(o_totalprice) AS max_value FROM orders"
     ),
     "first_load_current": "SELECT {C},100 AS epoch_id FROM orders",
+    "list_files_of_a_folder": (
+        "SELECT concat('landing/status=', o_orderstatus) AS folder, CAST(1 AS BIGINT) AS files FROM orders GROUP BY o_orderstatus"
+    ),
+    "file_metrics": (
+        "SELECT count(*) AS source_row_count, count(DISTINCT o_orderstatus) AS source_file_count, true AS arrival_known FROM orders"
+    ),
+    "control_file_reconciliation": (
+        "WITH a AS (SELECT concat('landing/status=', o_orderstatus) AS k, o_orderstatus AS s, count(*) AS n FROM orders GROUP BY o_orderstatus), "
+        "c AS (SELECT k, n + CASE WHEN s='O' THEN 1 ELSE 0 END AS e FROM a WHERE s IN ('F','O') UNION ALL SELECT 'landing/status=X', 7) "
+        "SELECT coalesce(c.k, a.k) AS file_key, e AS expected_count, n AS actual_count, "
+        "e IS NOT NULL AND e = coalesce(n, 0) AS source_target_control_file_based_count_validation "
+        "FROM c FULL OUTER JOIN a ON c.k = a.k"
+    ),
+    "new_files_ledger": (
+        "SELECT path, day AS last_modified FROM (SELECT path, date_trunc('day', last_modified) AS day, "
+        "max(date_trunc('day', last_modified)) OVER () - INTERVAL '1' DAY AS mark, "
+        "CAST(regexp_extract(path, 'part_([0-9]+)', 1) AS BIGINT) AS id FROM ({L}) x) y "
+        "WHERE day > mark OR (day = mark AND id % 2 = 1)"
+    ),
+    "files_of_epoch": (
+        "SELECT path AS file_key, day AS last_modified, CAST(1 AS BIGINT) AS row_count, 200 AS epoch_id FROM ("
+        "SELECT path, date_trunc('day', last_modified) AS day, "
+        "max(date_trunc('day', last_modified)) OVER () - INTERVAL '1' DAY AS mark, "
+        "CAST(regexp_extract(path, 'part_([0-9]+)', 1) AS BIGINT) AS id FROM ({L}) x) y WHERE day = mark AND id % 2 = 0"
+    ),
+    "stored_watermark": (
+        "SELECT CAST(7 AS BIGINT) AS workflow_id, CAST(1001 AS BIGINT) AS last_run_id, 'Failed' AS last_status, false AS active, "
+        "CAST(100 AS BIGINT) AS last_epoch_id, strftime(max(last_modified), '%Y-%m-%d %H:%M:%S.%f') AS watermark "
+        "FROM ({L}) x WHERE starts_with(path, 'click/')"
+    ),
+    "run_current": "SELECT {C},100 AS epoch_id FROM orders WHERE o_totalprice >= 100000",
+    "run_stream_current": "SELECT {C} FROM orders WHERE o_totalprice >= 100000 AND o_orderstatus = 'F'",
+    "quarantine_table": "SELECT {C},200 AS epoch_id FROM ({R}) r WHERE v_range=1",
+    "run_reports": (
+        "SELECT CAST(7 AS BIGINT) AS workflow_id, CAST(1000 AS BIGINT) AS run_id, count(*) AS source_row_count, "
+        "count(CASE WHEN o_totalprice >= 100000 THEN 1 END) AS target_row_count, false AS empty, 'Success' AS w_status FROM orders "
+        "UNION ALL SELECT 7, 1001, 0, 0, false, 'Failed'"
+    ),
+    "run_job_status_report": (
+        "SELECT 'orders_feed' AS job_name, 'Success' AS w_status, count(*) AS source_row_count, "
+        "count(CASE WHEN o_totalprice >= 100000 THEN 1 END) AS target_row_count, true AS has_zone FROM orders"
+    ),
+    "run_error_record": (
+        "SELECT 'Read_from_source' AS step_name, 'success' AS step_completion_status, CAST(NULL AS VARCHAR) AS error_log "
+        "UNION ALL SELECT 'DQ_Step', 'success', NULL UNION ALL SELECT 'Write_to_target', 'Failed', "
+        "concat('Data not loaded to target: ', CAST(count(*) AS VARCHAR), ' rows have action failjob') FROM orders WHERE o_totalprice < 100000"
+    ),
+    "run_profile_report": (
+        "SELECT 'o_orderkey' AS column_name,count(*) AS row_count,count(*)-count(o_orderkey) AS null_count,"
+        "count(DISTINCT o_orderkey) AS distinct_count,CAST(min(o_orderkey) AS VARCHAR(100)) AS min_value,"
+        "CAST(max(o_orderkey) AS VARCHAR(100)) AS max_value FROM orders UNION ALL SELECT 'o_orderpriority',count(*),"
+        "count(*)-count(o_orderpriority),count(DISTINCT o_orderpriority),min(o_orderpriority),max(o_orderpriority) FROM orders"
+    ),
+    "run_table_source": (
+        "SELECT {C}, CAST(year(o_orderdate) AS INT) AS o_year, 200 AS epoch_id FROM orders WHERE year(o_orderdate) >= 1996"
+    ),
+    "incremental_two_keys": (
+        "SELECT k AS o_orderkey, o_custkey, o_orderdate FROM (SELECT *, floor(max(k) OVER () / 2) AS a, floor(max(o_custkey) OVER () * 0.9) AS b "
+        "FROM (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS k, o_custkey, o_orderdate FROM orders) x) y "
+        "WHERE k > a OR o_custkey > b OR k IS NULL"
+    ),
+    "increment_marks_of_load": (
+        "SELECT 'o_orderkey' AS key_column, CAST(max(o_orderkey) AS VARCHAR) AS value, 'bigint' AS data_type FROM orders "
+        "UNION ALL SELECT 'o_orderdate', CAST(max(o_orderdate) AS VARCHAR), 'timestamp_ntz' FROM orders"
+    ),
+    "target_metrics": (
+        "SELECT 100 AS epoch_id, count(*) AS target_row_count, 9 AS target_column_count, CAST(NULL AS INT) AS archived_epoch "
+        "FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01 00:00:00' "
+        "UNION ALL SELECT 200, count(*), 9, 100 FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01 00:00:00'"
+    ),
+    "refresh_outside_partition": (
+        "SELECT 100 AS epoch_id, count(*) AS rows FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01 00:00:00' "
+        "UNION ALL SELECT 150, count(*) FROM orders WHERE o_orderstatus = 'P'"
+    ),
+    "dq_materialized": (
+        "SELECT count(CASE WHEN v_range+v_ref=0 THEN 1 END) AS good_read, count(CASE WHEN v_range+v_ref>0 THEN 1 END) AS bad_read, "
+        "count(*) AS row_count, count(CASE WHEN v_range+v_ref=0 THEN 1 END) AS good_count, "
+        "CAST(sum(v_range) AS BIGINT) AS quarantined_count, CAST(sum(v_ref) AS BIGINT) AS failjob_count, "
+        "CASE WHEN sum(v_range)>0 AND sum(v_ref)=0 THEN 'Passed with Quarantine Data' WHEN sum(v_range)>0 THEN 'Failed with Quarantine Data' "
+        "WHEN sum(v_ref)>0 THEN 'Failed with No Quarantine Data' ELSE 'Passed with No Quarantine Data' END AS dq_status FROM ({R}) r"
+    ),
+    "run_log_compacted": (
+        "SELECT user_id % 8 AS workflow_id, event_type AS step_name, count(*) AS records, max(event_id) AS newest_run, max(ts) AS newest "
+        "FROM events GROUP BY user_id % 8, event_type"
+    ),
+    "profile_merged": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*)-count({c}) AS null_count, count(DISTINCT {c}) AS distinct_count, "
+        f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM lineitem"
+        for c in ("l_linenumber", "l_returnflag", "l_quantity", "l_discount")
+    ),
     "drop_stage": "SELECT 'raw' AS kind, count(*) AS staged_rows, true AS dropped FROM orders",
     "replace_current": "SELECT {C},200 AS epoch_id FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01 00:00:00'",
     "archive_history": "SELECT {C},100 AS epoch_id FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01 00:00:00'",

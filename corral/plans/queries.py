@@ -24,9 +24,11 @@ from corral.operators import runlog as M
 from corral.operators import target as W
 from corral.operators.transform import apply_transformations
 from corral.plans import reports as RP
+from corral.plans.workflow import IngestionRun, SourceSettings, WorkflowSettings, run_report
 from corral.session import fresh_database, scratch_location
 from corral.sources import delimited as CSV
 from corral.sources import discovery as D
+from corral.sources.database import TableSource
 from corral.sources.stage import RAW, Stage
 from corral.plans.tables import table
 from corral.streaming.file_stream import stream_new_files as _stream_new_files
@@ -569,3 +571,290 @@ def dq_documents_summary(spark, sf_dir):
 @query("dq_documents_erroneous")
 def dq_documents_erroneous(spark, sf_dir):
     return documents_validation(spark, sf_dir).erroneous_data.select("doc_id", "lang", Q.ACTION)
+
+
+# --------------------------------------------------------------------------
+# Files, ledger and whole runs: every query writes, runs the operator, reads back
+# --------------------------------------------------------------------------
+
+
+def _orders_by_status(spark, sf_dir) -> str:
+    """orders as pipe-delimited text, one file per status folder below the returned
+    root's ``landing``; all files have the same base name."""
+    root = scratch_location(spark, "by_status")
+    text = orders(spark, sf_dir).withColumn(
+        "o_orderdate", F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+0000"))
+    )
+    writer = text.withColumn("status", F.col("o_orderstatus")).coalesce(1).write.partitionBy("status")
+    writer.option("header", "true").option("delimiter", CSV.DELIMITER).csv(f"{root}/landing")
+    return root
+
+
+def _folder(key: str):
+    return F.regexp_extract(key, "^(.*)/[^/]*$", 1)
+
+
+@query("list_files_of_a_folder")
+def list_files_of_a_folder(spark, sf_dir):
+    root = _orders_by_status(spark, sf_dir)
+    found = D.match_glob(D.list_files(spark, root, folder="landing", with_size=True), "landing/*.csv")
+    return found.where("file_size > 0").groupBy(_folder("path").alias("folder")).agg(F.count(F.lit(1)).alias("files"))
+
+
+@query("file_metrics")
+def file_metrics(spark, sf_dir):
+    root = _orders_by_status(spark, sf_dir)
+    df = CSV.read_delimited(spark, f"{root}/landing", ORDERS_DDL, recursive=True)
+    return CSV.file_metrics(df).select(
+        "source_row_count", "source_file_count", F.col("source_file_arrival").isNotNull().alias("arrival_known")
+    )
+
+
+@query("control_file_reconciliation")
+def control_file_reconciliation(spark, sf_dir):
+    # of the statuses F and O are listed (O with one row too many), P is not, and X did not come
+    root = _orders_by_status(spark, sf_dir)
+    df = CSV.read_delimited(spark, f"{root}/landing", ORDERS_DDL, recursive=True)
+    key = D.relative_key(D.scan_file_path(), root)
+    counted = df.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("actual_count"))
+    listed = orders(spark, sf_dir).where("o_orderstatus IN ('F', 'O')").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    control = listed.select(
+        F.concat(F.lit("landing/status="), "o_orderstatus").alias("file_key"),
+        (F.col("n") + (F.col("o_orderstatus") == "O").cast("int")).alias("expected_count"),
+    ).union(spark.createDataFrame([("landing/status=X", 7)], "k string, n bigint"))
+    return K.reconcile_files(control, counted.select(_folder("key").alias("file_key"), "actual_count"))
+
+
+def _event_files(spark, sf_dir) -> DataFrame:
+    """events as files whose times are whole days, so that many share the watermark's time."""
+    return events_listing(spark, sf_dir).select(
+        "path",
+        F.date_trunc("DAY", F.col("last_modified").cast("timestamp")).cast("timestamp_ntz").alias("last_modified"),
+        F.length("path").cast("bigint").alias(D.SIZE),
+        F.regexp_extract("path", "part_([0-9]+)", 1).cast("bigint").alias("event_id"),
+    )
+
+
+def _recorded_files(spark, sf_dir) -> tuple[W.TargetTables, DataFrame, str]:
+    """Two loads whose files are in the ledger: epoch 100 took the files below the mark
+    (the day before the newest), epoch 200 those of even number at the mark itself."""
+    files = _event_files(spark, sf_dir)
+    mark = D.watermark_text(files.withColumn("last_modified", F.col("last_modified") - F.expr("INTERVAL 1 DAY")))
+    bound = F.lit(mark).cast("timestamp_ntz")
+    t = _targets(spark)
+    for epoch, chosen in (
+        (100, F.col("last_modified") < bound),
+        (200, (F.col("last_modified") == bound) & (F.col("event_id") % 2 == 0)),
+    ):
+        part = files.where(chosen)
+        ledger = part.select(
+            F.lit(7).cast("bigint").alias("workflow_id"),
+            F.col("path").alias("file_key"),
+            "last_modified",
+            D.SIZE,
+            F.lit(1).cast("bigint").alias("row_count"),
+        )
+        t.load(part.select("event_id"), epoch_id=epoch, etl_time=ETL_TIME, files=ledger)
+    return t, files, mark
+
+
+@query("new_files_ledger")
+def new_files_ledger(spark, sf_dir):
+    t, files, mark = _recorded_files(spark, sf_dir)
+    return D.unseen_files(files, t.loaded_files(), mark).select("path", "last_modified")
+
+
+@query("files_of_epoch")
+def files_of_epoch(spark, sf_dir):
+    return _recorded_files(spark, sf_dir)[0].files_of(200).select("file_key", "last_modified", "row_count", "epoch_id")
+
+
+@query("stored_watermark")
+def stored_watermark(spark, sf_dir):
+    log = M.RunLog(spark, f"{fresh_database(spark, 'meta')}.run_log")
+    clicks = D.match_glob(events_listing(spark, sf_dir), "click/")
+    log.append(7, 1000, M.LOAD_STEP, M.SUCCESS, details={"last_load_file_detail": D.watermark_text(clicks), "epoch_id": 100})
+    log.append(7, 1001, M.LOAD_STEP, M.FAILED, details={"last_load_file_detail": "9999-01-01 00:00:00.000000"})
+    state = M.workflow_state(log.frame(7)).select("workflow_id", "last_run_id", "last_status", "active", "last_epoch_id")
+    loaded = log.frame(7).where(RP.load_succeeded())
+    mark = M.merge_run_metrics(loaded, [M.Metric(M.LOAD_STEP, "last_load_file_detail", "watermark", "string")], ("workflow_id",))
+    return state.join(mark, "workflow_id")
+
+
+def _run_settings(spark, root: str, location: str, **kw) -> WorkflowSettings:
+    db = fresh_database(spark, "run")
+    given = {
+        "workflow_id": 7,
+        "workflow_name": "orders_feed",
+        "source": SourceSettings(root=root, file_location=location, schema=ORDERS_DDL, is_collation=True),
+        "target": W.TargetSettings(db, db, "orders", "orders_history"),
+        "run_log_table": f"{db}.run_log",
+        "rules": [R.in_range("o_totalprice", min_value=100000, action=R.QUARANTINE)],
+    }
+    return WorkflowSettings(**(given | kw))
+
+
+def _utc_dates(df: DataFrame) -> DataFrame:
+    return df.withColumn("o_orderdate", S.utc_wall_clock("o_orderdate", df.sparkSession))
+
+
+@query("run_current")
+def run_current(spark, sf_dir):
+    s = _run_settings(spark, _orders_by_status(spark, sf_dir), "landing/*.csv")
+    IngestionRun(spark, s).run(epoch_id=100, etl_time=ETL_TIME)
+    return _utc_dates(spark.table(s.target.current).select(*ORDER_COLUMNS, W.EPOCH))
+
+
+@query("run_stream_current")
+def run_stream_current(spark, sf_dir):
+    s = _run_settings(spark, _orders_by_status(spark, sf_dir), "landing/status=F/*.csv")
+    IngestionRun(spark, s).run_stream(scratch_location(spark, "run_ckpt"), max_files_per_trigger=1, etl_time=ETL_TIME)
+    return _utc_dates(spark.table(s.target.current).select(*ORDER_COLUMNS))
+
+
+@query("quarantine_table")
+def quarantine_table(spark, sf_dir):
+    t = _targets(spark)
+    rows = Q.quarantine_rows(orders_validation(spark, sf_dir).erroneous_data)
+    t.write_quarantine(rows.limit(0), 100, ETL_TIME)
+    t.write_quarantine(rows, 200, ETL_TIME)
+    return spark.table(t.s.quarantine).select(*ORDER_COLUMNS, W.EPOCH)
+
+
+@query("run_reports")
+def run_reports(spark, sf_dir):
+    """The first run loads; the second finds no new file and fails."""
+    s = _run_settings(spark, _orders_by_status(spark, sf_dir), "landing/*.csv")
+    run = IngestionRun(spark, s)
+    run.run(epoch_id=100, etl_time=ETL_TIME)
+    try:
+        run.run(epoch_id=200, etl_time=ETL_TIME)
+    except D.NoNewFileError:
+        return run_report(run.log.frame(7))
+    raise RuntimeError("a second run found new files")
+
+
+@query("run_job_status_report")
+def run_job_status_report(spark, sf_dir):
+    s = _run_settings(spark, _orders_by_status(spark, sf_dir), "landing/*.csv")
+    report = IngestionRun(spark, s).run(epoch_id=100, etl_time=ETL_TIME).reports["job_status"]
+    return report.select(
+        "job_name", "w_status", "source_row_count", "target_row_count", F.col("current_time").endswith("M UTC").alias("has_zone")
+    )
+
+
+@query("run_error_record")
+def run_error_record(spark, sf_dir):
+    rules = [R.in_range("o_totalprice", min_value=100000, action="quarantine,failjob")]
+    s = _run_settings(spark, _orders_by_status(spark, sf_dir), "landing/*.csv", rules=rules)
+    run = IngestionRun(spark, s)
+    try:
+        run.run(epoch_id=100, etl_time=ETL_TIME)
+    except Q.DataQualityStop:
+        error = S.json_field("run_details", "error_log")
+        steps = run.log.frame(7).where(F.col("step_name") != M.RUN_START)
+        return steps.select("step_name", "step_completion_status", error.alias("error_log"))
+    raise RuntimeError("rows with action failjob did not stop the load")
+
+
+@query("run_profile_report")
+def run_profile_report(spark, sf_dir):
+    root = _orders_by_status(spark, sf_dir)
+    source = SourceSettings(
+        root=root, file_location="landing/*.csv", schema=ORDERS_DDL, is_collation=True, columns=["o_orderkey", "o_orderpriority"]
+    )
+    s = _run_settings(spark, root, "", source=source, rules=[R.not_null("o_orderkey")], profile=True)
+    return IngestionRun(spark, s).run(epoch_id=100, etl_time=ETL_TIME).reports["profile"]
+
+
+@query("run_table_source")
+def run_table_source(spark, sf_dir):
+    """A partitioned table as the source: the second run reads the newer partitions only."""
+    feed = f"{fresh_database(spark, 'feed')}.orders"
+    o = orders(spark, sf_dir).withColumn("o_year", F.year("o_orderdate"))
+    o.where("o_year < 1996").write.partitionBy("o_year").saveAsTable(feed)
+    s = _run_settings(
+        spark, "", "", source=TableSource(feed), rules=(), source_load_type="increment", increments=[I.IncrementSetting("o_year")]
+    )
+    IngestionRun(spark, s).run(epoch_id=100, etl_time=ETL_TIME)
+    o.where("o_year >= 1996").write.insertInto(feed)
+    IngestionRun(spark, s).run(epoch_id=200, etl_time=ETL_TIME)
+    return spark.table(s.target.current).select(*ORDER_COLUMNS, "o_year", W.EPOCH)
+
+
+@query("incremental_two_keys")
+def incremental_two_keys(spark, sf_dir):
+    """Rows above the mark of either key; status P has no order key."""
+    o = orders(spark, sf_dir).select(
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("o_orderkey"), "o_custkey", "o_orderdate"
+    )
+    half = o.agg(F.floor(F.max("o_orderkey") / 2).alias("a"), F.floor(F.max("o_custkey") * 0.9).alias("b")).first()
+    marks = [I.IncrementSetting("o_orderkey", True, str(half["a"])), I.IncrementSetting("o_custkey", True, str(half["b"]))]
+    return I.incremental_filter(o, marks)
+
+
+@query("increment_marks_of_load")
+def increment_marks_of_load(spark, sf_dir):
+    o = orders(spark, sf_dir)
+    keys = [I.IncrementSetting("o_orderkey"), I.IncrementSetting("o_orderdate")]
+    result = _targets(spark).load(o, epoch_id=100, etl_time=ETL_TIME, metrics=I.mark_metrics(keys, o.schema))
+    marks = I.observed_marks(keys, o.schema, result.observed)
+    return spark.createDataFrame([(m.key_column, m.value, m.data_type) for m in marks], "key_column string, value string, data_type string")
+
+
+@query("target_metrics")
+def target_metrics(spark, sf_dir):
+    t, o = _targets(spark), orders(spark, sf_dir)
+    before = F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp_ntz")
+    results = [t.load(o.where(c), epoch_id=e, etl_time=ETL_TIME) for e, c in ((100, before), (200, ~before))]
+    return spark.createDataFrame(
+        [(r.epoch_id, r.target_row_count, r.target_column_count, r.archived_epoch) for r in results],
+        "epoch_id int, target_row_count bigint, target_column_count int, archived_epoch int",
+    )
+
+
+@query("refresh_outside_partition")
+def refresh_outside_partition(spark, sf_dir):
+    """Another writer puts a partition beside the loads; ``refresh`` finds it."""
+    t = _two_loads(spark, sf_dir)
+    where = spark.sql(f"DESCRIBE TABLE EXTENDED {t.s.loads}").where("col_name = 'Location'").first()["data_type"]
+    orders(spark, sf_dir).where("o_orderstatus = 'P'").write.parquet(f"{where}/epoch_id=150")
+    t.refresh()
+    return t.history_frame().groupBy(W.EPOCH).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("dq_materialized")
+def dq_materialized(spark, sf_dir):
+    """Counts observed while the validated rows are written, and those rows read back."""
+    mv = orders_validation(spark, sf_dir).materialize(location=scratch_location(spark, "dq"))
+    read = mv.correct_data.select(F.lit(1).alias("good")).unionAll(mv.erroneous_data.select(F.lit(0).alias("good")))
+    return read.agg(F.sum("good").alias("good_read"), F.count_if(F.col("good") == 0).alias("bad_read")).select(
+        "*",
+        F.lit(mv.row_count).cast("bigint").alias("row_count"),
+        F.lit(mv.good_count).cast("bigint").alias("good_count"),
+        F.lit(mv.quarantined_count).cast("bigint").alias("quarantined_count"),
+        F.lit(mv.failjob_count).cast("bigint").alias("failjob_count"),
+        F.lit(mv.status).alias("dq_status"),
+    )
+
+
+@query("run_log_compacted")
+def run_log_compacted(spark, sf_dir):
+    """Records of eight workflows, appended, compacted and read back."""
+    log = M.RunLog(spark, f"{fresh_database(spark, 'meta')}.run_log")
+    records = events_log(spark, sf_dir).withColumn("workflow_id", F.col("workflow_id") % 8)
+    log.append_frame(records.select(*M.RUN_LOG_SCHEMA.fieldNames()))
+    for workflow in range(4):
+        log.compact(workflow)
+    log.purge(0)
+    return log.frame().groupBy("workflow_id", "step_name").agg(
+        F.count(F.lit(1)).alias("records"), F.max("run_id").alias("newest_run"), F.max("step_completion").alias("newest")
+    )
+
+
+@query("profile_merged")
+def profile_merged(spark, sf_dir):
+    """Profiles of lineitem by return flag, merged without reading the rows again."""
+    li = table(spark, sf_dir, "lineitem").select("l_linenumber", "l_returnflag", "l_quantity", "l_discount")
+    parts = [P.sketch_profile(li.where(F.col("l_returnflag") == flag)) for flag in ("A", "N", "R")]
+    return P.merge_profiles(parts[0].unionAll(parts[1]).unionAll(parts[2])).drop("data_type")
