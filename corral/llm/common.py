@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corral.plans.tables import table
@@ -39,6 +39,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def blocks_of(items: Column, size: int = 256) -> Column:
+    """An array cut into arrays of ``size``: what grows inside a block is copied a
+    bounded number of times, and a long array costs its length times ``size``."""
+    count = F.floor((F.size(items) + size - 1) / size).cast("int")
+    cut = lambda xs: F.transform(F.sequence(F.lit(1), count), lambda b: F.slice(xs, (b - 1) * size + 1, size))
+    return F.when(F.size(items) > 0, let(items, cut)).otherwise(F.slice(F.array(items), 1, 0))
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     """The Arrow schema of a DDL string with the types used here."""
     kinds = {

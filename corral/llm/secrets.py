@@ -12,7 +12,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corral.llm.common import texts_of
+from corral.llm.common import blocks_of, let, texts_of
 
 # The base patterns, and the least length of the part that counts.
 _KEYWORD = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -29,13 +29,29 @@ _RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
 _LEAST_RUN = 4
 
 
+def _running(items: Column, step, kind: str, inside=None) -> Column:
+    """Walk ``items`` with ``step(acc, item)`` over ``(at, found)``, ``found`` an array of type
+    ``kind``; returns ``at`` and the ``found`` of every block.  ``inside(acc, block)`` gives what
+    the step of a block is told (once per block)."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("found"))
+
+    def walk(acc, block):
+        begin = F.struct(acc["at"].alias("at"), F.array().cast(kind).alias("found"))
+        if inside is None:
+            done = F.aggregate(block, begin, step)
+        else:
+            done = let(inside(acc, block), lambda told: F.aggregate(block, begin, lambda a, x: step(a, x, acc, told)))
+        return let(done, lambda r: F.struct(r["at"].alias("at"), F.concat(acc["found"], F.array(r["found"])).alias("found")))
+
+    return F.aggregate(blocks_of(items), start, walk)
+
+
 def spans_of(text: Column, pattern: str, rank: int, keep=None) -> Column:
     """Array of ``(start, end, rank, match)`` of the leftmost non-overlapping
     matches (never empty ones).  The text between the matches gives the places."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("hit"))
     kind = "array<struct<start:int,end:int,rank:int,hit:string>>"
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
 
     def step(acc, x):
         start = acc["at"] + F.length(x["gap"])
@@ -44,23 +60,27 @@ def spans_of(text: Column, pattern: str, rank: int, keep=None) -> Column:
         found = F.when(x["hit"].isNotNull(), F.concat(acc["found"], F.array(one))).otherwise(acc["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
-    found = F.aggregate(parts, begin, step)["found"]
+    found = let(_running(parts, step, kind), lambda r: F.flatten(r["found"]))
     if keep is not None:
         found = F.filter(found, lambda s: keep(s["hit"]))
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(kind))
 
 
-def _pairs(strings: DataFrame, label: int) -> DataFrame:
-    """Neighbouring character codes (places in the alphabet) of column ``s``."""
+def _pairs(strings: DataFrame) -> DataFrame:
+    """Neighbouring character codes (places in the alphabet) of the distinct strings
+    ``s`` of each ``label``, and how often they stand there."""
     codes = F.filter(
         F.transform(F.split("s", ""), lambda c: F.instr(F.lit(ALPHABET), c)), lambda c: c > 0
     )
     pair = F.transform(F.sequence(F.lit(1), F.size("c") - 1), lambda i: F.struct(F.get("c", i - 1).alias("a"), F.get("c", i).alias("b")))
     return (
-        strings.select(codes.alias("c"))
+        strings.groupBy("label", "s")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("label", "n", codes.alias("c"))
         .where(F.size("c") > 1)
-        .select(F.explode(pair).alias("p"))
-        .select(F.lit(label).alias("label"), "p.a", "p.b")
+        .select("label", "n", F.explode(pair).alias("p"))
+        .groupBy("label", "p.a", "p.b")
+        .agg(F.sum("n").alias("n"))
     )
 
 
@@ -84,12 +104,10 @@ def train_markov(docs: DataFrame, sample_docs: int = 20_000, smoothing: float =
         F.regexp_extract_all(text, F.lit(HEX), F.lit(0)),
         F.transform(F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(0)), lambda m: F.regexp_extract(m, ASSIGN_VALUE, 1)),
     )
-    random = docs.select(F.explode(caught).alias("s")).where(F.length("s") >= 8)
+    random = docs.select(F.lit(1).alias("label"), F.explode(caught).alias("s")).where(F.length("s") >= 8)
     plain = docs.where(picked).select("text", caught.alias("caught")).where(F.size("caught") == 0)
-    ordinary = plain.select(F.explode(F.regexp_extract_all(text, F.lit(_RUN % _LEAST_RUN), F.lit(0))).alias("s"))
-    counts = (
-        _pairs(random, 1).unionAll(_pairs(ordinary, 0)).groupBy("label", "a", "b").agg(F.count(F.lit(1)).alias("n"))
-    )
+    ordinary = plain.select(F.lit(0).alias("label"), F.explode(F.regexp_extract_all(text, F.lit(_RUN % _LEAST_RUN), F.lit(0))).alias("s"))
+    counts = _pairs(random.unionAll(ordinary))
     k = len(ALPHABET)
     seen = {(r["label"], r["a"] - 1, r["b"] - 1): r["n"] for r in counts.collect()}
     rows = {(label, a): sum(seen.get((label, a, b), 0) for b in range(k)) for label in (0, 1) for a in range(k)}
@@ -106,13 +124,12 @@ def looks_random(s: Column, table: list[float], min_ratio: float, min_mean: floa
     k = len(ALPHABET)
     ratios = F.from_json(F.lit(json.dumps([round(x, 6) for x in table])), "array<double>")
     codes = F.transform(F.split(s, ""), lambda c: F.instr(F.lit(ALPHABET), c))
-    start = F.struct(F.lit(0).alias("before"), F.array().cast("array<int>").alias("places"))
 
-    def step(acc, code):
-        place = F.when((acc["before"] > 0) & (code > 0), (acc["before"] - 1) * k + code)
-        return F.struct(code.alias("before"), F.concat(acc["places"], F.array(place)).alias("places"))
+    def transitions(c):
+        place = lambda i: F.when((F.get(c, i - 1) > 0) & (F.get(c, i) > 0), (F.get(c, i - 1) - 1) * k + F.get(c, i))
+        return F.array_distinct(F.array_compact(F.transform(F.sequence(F.lit(1), F.size(c) - 1), place)))
 
-    places = F.array_distinct(F.array_compact(F.aggregate(codes, start, step)["places"]))
+    places = F.when(F.length(s) > 1, let(codes, transitions)).otherwise(F.array().cast("array<int>"))
     begin = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
     total = F.aggregate(
         places, begin, lambda acc, p: F.struct((acc["sum"] + F.element_at(ratios, p)).alias("sum"), (acc["n"] + 1).alias("n"))
@@ -160,12 +177,24 @@ def with_spans(
         _by_start,
     )
     runs = spans_of(text, _RUN % min_run, 3, lambda m: looks_random(m, table, min_ratio, min_mean))
-    clear = F.filter(
-        "added", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-    )
+    clear = F.when(F.size("added") == 0, F.col("added")).otherwise(let(_reaches(F.col("base")), lambda base: _clear_of(F.col("added"), base)))
     return rows.withColumns({"base": base, "added": runs}).withColumn("added", clear)
 
 
+def _reaches(spans: Column) -> Column:
+    """Blocks of the spans with their first start and last end."""
+    first = lambda b: F.array_min(F.transform(b, lambda s: s["start"]))
+    last = lambda b: F.array_max(F.transform(b, lambda s: s["end"]))
+    return F.transform(blocks_of(spans), lambda b: F.struct(first(b).alias("start"), last(b).alias("end"), b.alias("spans")))
+
+
+def _clear_of(runs: Column, reaches: Column) -> Column:
+    """The runs that touch no span; only blocks whose reach meets a run are looked into."""
+    meets = lambda r, s: (s["start"] < r["end"]) & (r["start"] < s["end"])
+    touched = lambda r: F.exists(reaches, lambda b: meets(r, b) & F.exists(b["spans"], lambda s: meets(r, s)))
+    return F.filter(runs, lambda r: ~touched(r))
+
+
 def redact_secrets(docs: DataFrame, table: list[float] | None = None) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced and ``n_chars`` (if there)
     counted anew; the other columns are as before.  A null text stays null."""
@@ -208,13 +237,18 @@ def summary(scanned: DataFrame) -> DataFrame:
 
 def redact(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """``text`` with every span replaced by ``mark``; overlapping spans are one."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
 
-    def step(acc, s):
-        before = F.substr(text, acc["at"] + 1, s["start"] - acc["at"])
-        done = F.when(s["start"] >= acc["at"], F.concat(acc["done"], before, F.lit(mark))).otherwise(acc["done"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), done.alias("done"))
+    def chunk(acc, block):
+        stop = F.array_max(F.transform(block, lambda s: s["end"]))
+        return F.substr(text, acc["at"] + 1, F.greatest(stop - acc["at"], F.lit(0)))
+
+    def step(a, s, acc, part):
+        before = F.substr(part, a["at"] - acc["at"] + 1, s["start"] - a["at"])
+        piece = F.array(F.concat(before, F.lit(mark)))
+        found = F.when(s["start"] >= a["at"], F.concat(a["found"], piece)).otherwise(a["found"])
+        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), found.alias("found"))
+
+    def whole(r):
+        return F.concat(F.array_join(F.flatten(r["found"]), ""), F.substr(text, r["at"] + 1, F.length(text)))
 
-    end = F.aggregate(spans, begin, step)
-    rest = F.substr(text, end["at"] + 1, F.length(text))
-    return F.when(F.size(spans) == 0, text).otherwise(F.concat(end["done"], rest))
+    return F.when(F.size(spans) == 0, text).otherwise(let(_running(spans, step, "array<string>", chunk), whole))
