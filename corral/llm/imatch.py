@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corral.llm.common import staged, texts_of
+from corral.llm.common import let, staged, texts_of
 
 #: Randomised lexicon subsets: ``REPEATS`` of each scale; a subset of scale j
 #: keeps a lexicon term with probability 2 ** -j, decided by the term's hash.  A term
@@ -85,16 +84,11 @@ def fingerprint_text(fp: Column) -> Column:
     return F.array_join(F.transform(fp, lambda e: F.when(e.isNull(), F.lit("-")).otherwise(F.lower(F.hex(e["x"])))), ".")
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often the body uses it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _print(entries: Column, x: str, n: str) -> Column:
     """The hash ``x`` and count ``n`` of every subset, null where it has no term."""
     some = F.filter(entries, lambda e: e[n] > 0)
     by_subset = F.map_from_entries(F.transform(some, lambda e: F.struct(e["subset"], F.struct(e[x].alias("x"), e[n].alias("n")))))
-    return _let(by_subset, lambda m: F.transform(F.lit(list(range(SUBSETS))), lambda k: F.element_at(m, k)))
+    return let(by_subset, lambda m: F.transform(F.lit(list(range(SUBSETS))), lambda k: F.element_at(m, k)))
 
 
 def _prints(entries: Column) -> Column:
@@ -107,7 +101,7 @@ def _prints(entries: Column) -> Column:
             _print(own, "x_all", "n_all").alias("all"),
         )
 
-    return _let(entries, both)
+    return let(entries, both)
 
 
 def _own(fp: Column) -> Column:
@@ -184,17 +178,21 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     versions = F.array(version(0, "text"), version(1, "edited"))
     # the last row of a range also fingerprints its next text: the next row is elsewhere
     versions = F.when(F.col("inner_next").isNull(), F.concat(versions, F.array(version(2, "next")))).otherwise(versions)
+    keys = ["bucket", "rn", "doc_id", "n_chars", "edited_sha256"]
+    # the empty term stands for the text itself, so that a text without terms is not lost
+    marked = F.col("version") != 1
     terms = (
-        placed.select("bucket", "rn", F.explode(versions).alias("v"))
-        .select("bucket", "rn", "v.version", F.explode(terms_of(F.col("v.t"))).alias("term"))
-        .where("term != ''")
+        placed.select("bucket", "rn", "doc_id", "n_chars", F.unhex(F.sha2("edited", 256)).alias("edited_sha256"), F.explode(versions).alias("v"))
+        .select(*keys, "v.version", F.explode(F.array_union(terms_of(F.col("v.t")), F.array(F.lit("")))).alias("term"))
+        .where(marked | (F.col("term") != ""))
     )
     small = lexicon.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
     in_lexicon = F.col("lex").isNotNull()
+    subsets = F.when(F.col("term") == "", F.array(F.lit(-1))).otherwise(subsets_of(F.col("term")))
     per_subset = (
         terms.join(F.broadcast(lexicon) if small else lexicon, F.col("term") == F.col("lex"), "left")
-        .select("bucket", "rn", "version", in_lexicon.alias("inside"), F.xxhash64("term").alias("h"), F.explode(subsets_of(F.col("term"))).alias("subset"))
-        .groupBy("bucket", "rn", "version", "subset")
+        .select(*keys, "version", in_lexicon.alias("inside"), F.xxhash64("term").alias("h"), F.explode(subsets).alias("subset"))
+        .groupBy(*keys, "version", "subset")
         .agg(
             F.bit_xor(F.when(F.col("inside"), F.col("h")).otherwise(F.lit(0).cast("long"))).alias("x_lexicon"),
             F.sum(F.col("inside").cast("int")).alias("n_lexicon"),
@@ -203,26 +201,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         )
     )
     entry = F.struct("version", "subset", "x_lexicon", "n_lexicon", "x_all", "n_all")
-    per_text = per_subset.groupBy("bucket", "rn").agg(F.collect_list(entry).alias("entries"))
-    of_version = lambda i: F.filter(F.coalesce("entries", F.array().cast(per_text.schema["entries"].dataType)), lambda e: e["version"] == i)
+    of_version = lambda i: F.filter("entries", lambda e: e["version"] == i)
     per_row = (
-        placed.select("bucket", "rn", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.col("inner_next").isNull().alias("last"))
-        .join(per_text, ["bucket", "rn"], "left")
-        .select(
-            "bucket",
-            "rn",
-            "doc_id",
-            "n_chars",
-            "edited_sha256",
-            *[_prints(of_version(i)).alias(f"fp{i}") for i in range(2)],
-            F.when(F.col("last"), _prints(of_version(2))).alias("fp2"),
-        )
+        per_subset.groupBy(*keys)
+        .agg(F.collect_list(entry).alias("entries"))
+        .select(*keys, *[_prints(of_version(i)).alias(f"fp{i}") for i in range(3)])
     )
     following = F.coalesce(F.lead("fp0").over(Window.partitionBy("bucket").orderBy("rn")), F.col("fp2"))
     return per_row.withColumn("following", following).select(
         "doc_id",
         "n_chars",
-        "edited_sha256",
+        F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
         fingerprint_text(_own(F.col("fp0"))).alias("fingerprint"),
         fingerprint_text(_own(F.col("fp1"))).alias("edited_fingerprint"),
         _compared(F.col("fp0"), F.col("fp1")).alias("near_edited"),
