@@ -63,6 +63,7 @@ def arrow_schema(ddl: str) -> pa.Schema:
         "boolean": pa.bool_(),
         "array<int>": pa.list_(pa.int32()),
         "array<long>": pa.list_(pa.int64()),
+        "array<binary>": pa.list_(pa.binary()),
     }
     fields = [f.strip().split(" ", 1) for f in ddl.split(",")]
     return pa.schema([(name, kinds[kind]) for name, kind in fields])

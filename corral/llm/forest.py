@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from math import log1p
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corral.llm.common import map_batches, staged, text_batches, texts_of
@@ -56,14 +56,35 @@ def shingle_hashes(texts: list[str], n: int) -> list[np.ndarray]:
     return out
 
 
-def forest_depth(threshold: float, trees: int, longest: int, target: float) -> int:
-    """Length of the matched prefix: from the longest, shortened until a pair at the
-    threshold shares a prefix of that length in some tree with the target
-    probability, ``1 - (1 - t ** depth) ** trees``."""
-    depth = longest
-    while depth > 1 and 1 - (1 - threshold**depth) ** trees < target:
-        depth -= 1
-    return depth
+def recall(threshold: float, depths: Iterable[int]) -> float:
+    """Probability that a pair at the threshold shares its prefix of the tree's depth in some tree."""
+    miss = 1.0
+    for depth in depths:
+        miss *= 1 - threshold**depth
+    return 1 - miss
+
+
+def forest_depths(pairs: dict[tuple[int, int], int], threshold: float, trees: int, longest: int, target: float) -> list[int]:
+    """Matched prefix length of every tree.
+
+    All trees start at ``longest`` hashes.  The prefix of one tree after the other
+    is shortened by a hash, always where that brings the most recall for the
+    candidate pairs that it adds (``pairs``: by tree and depth), until a pair at
+    the threshold meets with the target probability (or all prefixes are one hash).
+    """
+    depths = [longest] * trees
+
+    def price(tree: int) -> float:
+        d = depths[tree]
+        more = pairs.get((tree, d - 1), 0) - pairs.get((tree, d), 0)
+        return (1 + max(more, 0)) / (log1p(-(threshold**d)) - log1p(-(threshold ** (d - 1))))
+
+    while recall(threshold, depths) < target:
+        open_trees = [t for t in range(trees) if depths[t] > 1]
+        if not open_trees:
+            break
+        depths[min(open_trees, key=price)] -= 1
+    return depths
 
 
 def _permutations(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,26 +114,25 @@ def signatures(hashes: list[np.ndarray], count: int, seed: int) -> np.ndarray:
     return out
 
 
-def sketch(rows: DataFrame, n: int, trees: int, depth: int, seed: int) -> DataFrame:
+def sketch(rows: DataFrame, n: int, trees: int, longest: int, seed: int) -> DataFrame:
     """Per row: a hash of the text (Spark's ``xxhash64``), a 128-bit digest of the
-    shingle set, its size, and the prefix key of every tree."""
+    shingle set, its size, and its path in every tree: ``longest`` MinHash values of
+    four bytes each, high byte first, so that paths sort as tries do."""
 
     def run(batches) -> Iterator[dict]:
         for ids, texts in text_batches(batches, max_chars=1_500_000):
             sets = shingle_hashes(texts, n)
-            sigs = signatures(sets, trees * depth, seed)
-            keys = []
-            for sig in sigs.reshape(len(texts), trees, depth):
-                keys.append([xxhash.xxh64_intdigest(p.tobytes(), t) - (1 << 63) for t, p in enumerate(sig)])
+            sigs = signatures(sets, trees * longest, seed).astype(">u4")
+            paths = [[path.tobytes() for path in sig] for sig in sigs.reshape(len(texts), trees, longest)]
             yield {
                 "doc_id": ids,
                 "text_key": [_text_key(t) for t in texts],
                 "set_key": [xxhash.xxh128_digest(s.tobytes()) for s in sets],
                 "n": [len(s) for s in sets],
-                "prefixes": keys,
+                "paths": paths,
             }
 
-    return map_batches(rows, run, "doc_id long, text_key long, set_key binary, n long, prefixes array<long>")
+    return map_batches(rows, run, "doc_id long, text_key long, set_key binary, n long, paths array<binary>")
 
 
 def _text_key(text: str) -> int:
@@ -120,8 +140,31 @@ def _text_key(text: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _candidates(leaves: DataFrame, hot: int, threshold: float) -> DataFrame:
-    """Walk every tree's sorted prefixes; classes under one prefix are candidates.
+def _prefix(depth: Column | int) -> Column:
+    return F.substring("path", F.lit(1), F.lit(4) * depth)
+
+
+def prefix_pairs(leaves: DataFrame, shortest: int, longest: int, counters: int = 256) -> dict[tuple[int, int], int]:
+    """About how many pairs of classes share a prefix, by tree and prefix length.
+
+    All leaves are counted, in a few counters per tree and length that prefixes
+    are dealt to with a random sign: the squares of the counters add up to the
+    squares of the group sizes, to about a tenth.  The numbers only say which
+    tree is cheap to shorten; what is found does not depend on them.
+    """
+    lengths = F.explode(F.sequence(F.lit(shortest), F.lit(longest))).alias("depth")
+    hashed = leaves.select("tree", lengths, "path").select("tree", "depth", F.xxhash64(_prefix(F.col("depth")), "depth").alias("h"))
+    sign = F.when(F.shiftrightunsigned("h", 32).bitwiseAND(F.lit(1)) == 0, F.lit(1)).otherwise(F.lit(-1))
+    sums = hashed.groupBy("tree", "depth", F.pmod("h", F.lit(counters)).alias("counter")).agg(
+        F.sum(sign).cast("decimal(19,0)").alias("s"), F.count(F.lit(1)).alias("n")
+    )
+    counts = sums.groupBy("tree", "depth").agg(F.sum(F.col("s") * F.col("s")).alias("squares"), F.sum("n").alias("n"))
+    return {(r["tree"], r["depth"]): max(0, int(r["squares"] - r["n"]) // 2) for r in counts.collect()}
+
+
+def _candidates(leaves: DataFrame, depths: list[int], hot: int, threshold: float) -> DataFrame:
+    """Walk every tree's sorted paths; classes under one prefix of the tree's depth are
+    candidates.
 
     Groups of at most ``hot`` classes give their pairs whose sizes allow the
     threshold.  A larger group gives one row per member, tied to its first:
@@ -148,8 +191,9 @@ def _candidates(leaves: DataFrame, hot: int, threshold: float) -> DataFrame:
                         out["hot"].append(False)
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("prefix", "class_id", "n"))
-            for p, c, n in zip(*columns):
+            columns = (batch.column(c).to_pylist() for c in ("tree", "path", "class_id", "n"))
+            for tree, path, c, n in zip(*columns):
+                p = (tree, path[: 4 * depths[tree]])
                 if p != prefix:
                     close()
                     prefix, members, head = p, [], None
@@ -168,9 +212,10 @@ def _candidates(leaves: DataFrame, hot: int, threshold: float) -> DataFrame:
         close()
         yield out
 
-    # equal leaves come together: the prefix key stands for the sorted trie path
-    order = leaves.repartition("prefix").sortWithinPartitions("prefix", "class_id")
-    return map_batches(order, run, "a long, b long, hot boolean")
+    # a subtree of a trie lies in one task, its leaves in the order of their paths
+    depth = F.get(F.lit(depths), F.col("tree"))
+    order = leaves.withColumn("prefix", _prefix(depth)).repartition("tree", "prefix").drop("prefix")
+    return map_batches(order.sortWithinPartitions("tree", "path", "class_id"), run, "a binary, b binary, hot boolean")
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -212,7 +257,7 @@ def _verify_pairs(pairs: DataFrame, texts: DataFrame, n: int, threshold: float)
     def run(batches) -> Iterator[dict]:
         for batch in batches:
             out = {"a": [], "b": [], "jaccard": []}
-            kept: dict[int, frozenset] = {}
+            kept: dict[bytes, frozenset] = {}
             for i in range(batch.num_rows):
                 sets = []
                 for c, t in (("a", "ta"), ("b", "tb")):
@@ -229,7 +274,7 @@ def _verify_pairs(pairs: DataFrame, texts: DataFrame, n: int, threshold: float)
                     out["jaccard"].append(j)
             yield out
 
-    return map_batches(joined, run, "a long, b long, jaccard double")
+    return map_batches(joined, run, "a binary, b binary, jaccard double")
 
 
 def _verify_blocks(members: DataFrame, texts: DataFrame, n: int, threshold: float, block: int) -> DataFrame:
@@ -271,17 +316,19 @@ def _verify_blocks(members: DataFrame, texts: DataFrame, n: int, threshold: floa
         np.fill_diagonal(linked, False)
         if i != j:  # pairs inside one block belong to that block's own task
             linked &= own[:, None] != own[None, :]
-        rank = np.argsort(np.argsort(ids))
+        by_rank = np.empty(len(ids), dtype=object)  # digests, not numpy's strings: those drop zero bytes
+        by_rank[:] = sorted(ids)
+        place = {c: k for k, c in enumerate(by_rank)}
+        rank = np.array([place[c] for c in ids])
         low = rank.copy()
         while True:  # smallest class reached over links
             new = np.minimum(low, np.where(linked, low[None, :], len(ids)).min(axis=1, initial=len(ids)))
             if (new == low).all():
                 break
             low = new
-        by_rank = np.array(sorted(ids))
         return pd.DataFrame({"class_id": ids, "reach": by_rank[low], "links": linked.sum(axis=1)})[linked.any(axis=1)]
 
-    return placed.groupBy("grp", "i", "j").applyInPandas(run, "class_id long, reach long, links long")
+    return placed.groupBy("grp", "i", "j").applyInPandas(run, "class_id binary, reach binary, links long")
 
 
 def jaccard_join(
@@ -306,9 +353,10 @@ def jaccard_join(
     pairs of copy classes that were found as pairs: ``a, b, jaccard``.
 
     Copies become one class first, by a digest of their shingle set, so a group
-    of copies costs one class.  MinHash signatures of the classes go to ``trees``
-    prefix trees; the matched prefix is shortened from ``longest`` hashes until a
-    pair at the threshold meets with probability ``target_recall``.  Candidates
+    of copies costs one class.  MinHash signatures of the classes are paths of ``trees``
+    sorted prefix tries; the matched prefixes are shortened from ``longest`` hashes,
+    tree by tree where it adds the fewest candidates, until a pair at the
+    threshold meets with probability ``target_recall`` (:func:`forest_depths`).  Candidates
     are verified exactly on their texts.  Under a prefix with more than ``hot``
     classes no pairs are listed: such classes are joined to groups, and all
     pairs of a group are verified in blocks of ``block`` classes that return
@@ -339,20 +387,20 @@ def _joined(
 ) -> tuple[DataFrame, DataFrame]:
     """:func:`jaccard_join` of ``(doc_id, text)``; the membership also has ``text_key``
     and ``root``, which names a component whatever ids its rows have."""
-    depth = forest_depth(threshold, trees, longest, target_recall)
-    sketched = staged(sketch(rows, shingle_words, trees, depth, seed), "forest_sketch")
+    sketched = staged(sketch(rows, shingle_words, trees, longest, seed), "forest_sketch")
 
-    # one number per shingle set: half of its 128-bit digest
-    number = F.conv(F.substring(F.hex("set_key"), 1, 15), 16, 10).cast("long")
-    named = sketched.withColumn("class_id", number)
+    # a class is named by the 128-bit digest of its shingle set
+    named = sketched.withColumnRenamed("set_key", "class_id")
     classes = named.groupBy("class_id").agg(F.min("doc_id").alias("copy_id"), F.min("n").alias("n"))
     empty = F.col("n") == 0
     leaves = (
         named.dropDuplicates(["class_id"])
         .where(~empty)
-        .select("class_id", "n", F.explode("prefixes").alias("prefix"))
+        .select("class_id", "n", F.posexplode("paths").alias("tree", "path"))
     )
-    found = staged(_candidates(leaves, hot, threshold).distinct(), "forest_candidates")
+    pairs_at = prefix_pairs(leaves, max(1, longest - 3), longest)
+    depths = forest_depths(pairs_at, threshold, trees, longest, target_recall)
+    found = staged(_candidates(leaves, depths, hot, threshold).distinct(), "forest_candidates")
 
     large = found.where("hot").select("a", "b")
     groups = components(large, "forest_groups").select(F.col("node").alias("class_id"), F.col("root").alias("grp"))
@@ -417,13 +465,12 @@ def _class_texts(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
             out = {"class_id": [], "text": []}
             for c, t in zip(batch.column("class_id").to_pylist(), batch.column("text")):
                 text = t.as_py()
-                digest = xxhash.xxh128_digest(shingle_hashes([text], n)[0].tobytes())
-                if int(digest.hex()[:15], 16) == c:
+                if xxhash.xxh128_digest(shingle_hashes([text], n)[0].tobytes()) == c:
                     out["class_id"].append(c)
                     out["text"].append(text)
             yield out
 
-    return map_batches(picked, run, "class_id long, text string").dropDuplicates(["class_id"])
+    return map_batches(picked, run, "class_id binary, text string").dropDuplicates(["class_id"])
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
@@ -433,9 +480,12 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     members = staged(_joined(texts_of(docs))[0].select("doc_id", "text_key", "root"), "forest_membership")
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
     keep = members.groupBy("root").agg(F.min_by(F.struct("doc_id", "text_key"), first).alias("one")).select("one.*")
-    left = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__key": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    same = left["__id"].eqNullSafe(keep["doc_id"]) & (left["__key"] == keep["text_key"])
+    # the row travels whole, so columns of any name stay as they are
+    row = F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("row")
+    own_id = F.col("doc_id").cast("long").alias("own_id")
+    left = docs.select(row, own_id, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("own_key"))
+    same = left["own_id"].eqNullSafe(keep["doc_id"]) & (left["own_key"] == keep["text_key"])
     kept = left.join(keep, same, "left_semi")
     if members.groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count():
-        kept = kept.dropDuplicates(["__id", "__key"])
-    return kept.drop("__id", "__key")
+        kept = kept.dropDuplicates(["own_id", "own_key"])
+    return kept.select("row.*")

@@ -106,9 +106,47 @@ def test_text_key_is_sparks_hash(spark):
     assert all(forest._text_key(r.text) == r.h for r in df.collect())
 
 
-def test_depth_reaches_the_recall():
-    d = forest.forest_depth(0.8, 40, 8, 0.99999)
-    assert 1 - (1 - 0.8**d) ** 40 >= 0.99999 > 1 - (1 - 0.8 ** (d + 1)) ** 40
+def test_depths_reach_the_recall_at_the_cheapest_trees():
+    even = {(t, d): 1000 * 4 ** (8 - d) for t in range(40) for d in range(1, 9)}
+    depths = forest.forest_depths(even, 0.8, 40, 8, 0.99999)
+    assert forest.recall(0.8, depths) >= 0.99999
+    # one hash more in any tree that was shortened, and the target is missed
+    assert all(forest.recall(0.8, depths[:t] + [depths[t] + 1] + depths[t + 1 :]) < 0.99999 for t in range(40) if depths[t] == min(depths))
+    dear = even | {(0, d): 10**9 * 4 ** (8 - d) for d in range(1, 9)}
+    skewed = forest.forest_depths(dear, 0.8, 40, 8, 0.99999)
+    assert skewed[0] == 8 and forest.recall(0.8, skewed) >= 0.99999  # the others make up for it
+    assert forest.forest_depths({}, 0.8, 2, 8, 0.99999) == [1, 1]  # the target is out of reach
+
+
+def test_prefix_pairs_are_about_right(spark):
+    rows = [(t, bytes([i % (3 if t else 50), i % 7, 0, 0]) * 8) for t in range(2) for i in range(2000)]
+    leaves = spark.createDataFrame(rows, "tree int, path binary")
+    got = forest.prefix_pairs(leaves, 1, 2)
+    for t in range(2):
+        for d in (1, 2):
+            sizes = {}
+            for tree, path in rows:
+                if tree == t:
+                    sizes[path[: 4 * d]] = sizes.get(path[: 4 * d], 0) + 1
+            exact = sum(n * (n - 1) // 2 for n in sizes.values())
+            assert abs(got[t, d] - exact) < 0.5 * exact
+
+
+def test_kept_rows_keep_columns_of_any_name(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, 7, "x", 1.5), (2, text + " end", 8, "y", 2.5), (3, None, 9, "z", 3.5), (3, None, 9, "z", 3.5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id int, `__key` string, `row.text` double")
+    kept = forest.keep_one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(tuple(r) for r in kept.collect()) == sorted([rows[0], rows[2]], key=lambda r: r[0])
+    assert forest.keep_one_of_each(docs.limit(0)).collect() == []
+
+
+def test_one_very_long_text_and_its_near_copy(spark):
+    long = [f"w{i}" for i in range(60_000)]
+    near = [*long[:30_000], "changed", *long[30_001:]]
+    docs = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(near)), (3, "short text")], "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in forest.jaccard_join(docs)[0].collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (3, 0)}
 
 
 def test_components(spark):
