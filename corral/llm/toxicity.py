@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Callable
 from functools import partial
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corral.llm.common import map_batches, text_batches, texts_of
@@ -80,44 +81,88 @@ class SubwordModel:
         return float(1.0 / (1.0 + np.exp(-np.clip(self.logit(text), -40, 40))))
 
 
+#: Thresholds that the folds choose from: quantiles of the chi-square distribution
+#: with one degree of freedom, at 1 in 1,000, at 1 in 50,000, and at 1 in 20 over all
+#: buckets together (0.05 / 2 ** 17).
+SIGNALS = (10.83, 16.45, 25.84)
+
+#: Runs jobs (threshold, fold) and returns the out-of-fold scores of each.
+FoldRunner = Callable[[Callable[[float, int], np.ndarray], list[tuple[float, int]]], list[np.ndarray]]
+
+
+def here(score: Callable[[float, int], np.ndarray], jobs: list[tuple[float, int]]) -> list[np.ndarray]:
+    return [score(*job) for job in jobs]
+
+
+def as_tasks(spark: SparkSession) -> FoldRunner:
+    """Every job is a Spark task: folds are trained side by side, off the driver."""
+
+    def run(score: Callable[[float, int], np.ndarray], jobs: list[tuple[float, int]]) -> list[np.ndarray]:
+        def one(batches):
+            for batch in batches:
+                done = batch.column("id").to_pylist()
+                yield {"job": done, "scores": [score(*jobs[i]).astype("<f8").tobytes() for i in done]}
+
+        rows = map_batches(spark.range(0, len(jobs), 1, len(jobs)), one, "job long, scores binary").collect()
+        by_job = {r["job"]: np.frombuffer(bytes(r["scores"]), dtype="<f8") for r in rows}
+        return [by_job[i] for i in range(len(jobs))]
+
+    return run
+
+
+def _counted(sample: list[tuple[str, int]], buckets: int) -> tuple[list[Counter], dict[str, np.ndarray]]:
+    """Words of every document, and the subwords of every word."""
+    counts = [Counter(words_of(text)) for text, _ in sample]
+    return counts, {w: np.array(subwords(w, buckets), dtype=np.int64) for w in sorted(set().union(*counts))}
+
+
 def train(
     sample: list[tuple[str, int]],
     buckets: int = 1 << 17,
     dim: int = 2,
     rounds: int = 40,
     rate: float = 0.2,
-    min_signal: float = 18.0,
+    signals: tuple[float, ...] = SIGNALS,
     min_docs: int = 2,
     folds: int = 3,
     seed: int = 3,
+    run: FoldRunner = here,
 ) -> SubwordModel:
     """Joint training of vectors and softmax by Adam over the whole sample.
 
-    Words of at least ``min_docs`` sample documents take part; the average is over
+    Words of at least ``min_docs`` sample documents take part (two: a word of one
+    document says nothing of others); the average is over
     all words of a document.  Classes weigh the same.  Vectors start at zero;
     those of subwords whose documents' classes differ from the sample's by a
-    log-likelihood ratio under ``min_signal`` stay there, so that the many
-    neutral subwords do not learn documents by heart.  ``shift`` puts 0.5 where
-    the sample's classes part best, each document scored by a model of the other
-    ``folds``.  A sample of one class gives the constant score of that class's
-    share.  An empty sample gives the constant score 0.25: without evidence no
-    text is called toxic.
+    log-likelihood ratio under a threshold stay there, so that the many
+    neutral subwords do not learn documents by heart.  The threshold is the one
+    of ``signals`` (the highest, if equal) by which the fewest sample documents are
+    on the wrong side, each scored by a model of the other ``folds``; ``shift`` puts
+    0.5 where those scores part the classes best.  A sample of one class gives
+    the constant score of that class's share.  An empty sample gives the constant
+    score 0.25: without evidence no text is called toxic.
     """
     y = np.array([label for _, label in sample], dtype=np.int64)
     if len(set(y.tolist())) < 2:
         p = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.25
         return SubwordModel(np.zeros((buckets, dim)), np.zeros((dim, 2)), np.array([0.0, np.log(p / (1 - p))]))
-    counts = [Counter(words_of(text)) for text, _ in sample]
-    parts = {w: np.array(subwords(w, buckets), dtype=np.int64) for w in sorted(set().union(*counts))}
-    fit = partial(_fit, parts=parts, buckets=buckets, dim=dim, rounds=rounds, rate=rate, seed=seed)
-    fit = partial(fit, min_signal=min_signal, min_docs=min_docs)
-    scores = np.zeros(len(y))
-    for fold in range(folds):
+    fit = partial(_fit, buckets=buckets, dim=dim, rounds=rounds, rate=rate, min_docs=min_docs, seed=seed)
+
+    def out_of_fold(signal: float, fold: int) -> np.ndarray:
+        counts, parts = _counted(sample, buckets)
         others = np.arange(len(y)) % folds != fold
-        part = fit([c for c, other in zip(counts, others) if other], y[others])
+        part = fit([c for c, other in zip(counts, others) if other], y[others], parts, min_signal=signal)
+        scores = np.zeros(len(y))
         scores[~others] = part.counted_logits([c for c, other in zip(counts, others) if not other], parts)
-    model = fit(counts, y)
-    model.shift = -_best_cut(scores, y)
+        return scores
+
+    jobs = [(signal, fold) for signal in signals for fold in range(folds)]
+    done = run(out_of_fold, jobs)
+    scores = {signal: sum(s for (own, _), s in zip(jobs, done) if own == signal) for signal in signals}
+    best = min(signals, key=lambda signal: (_best_cut(scores[signal], y)[1], -signal))
+    counts, parts = _counted(sample, buckets)
+    model = fit(counts, y, parts, min_signal=best)
+    model.shift = -_best_cut(scores[best], y)[0]
     return model
 
 
@@ -129,9 +174,9 @@ def _fit(
     dim: int,
     rounds: int,
     rate: float,
-    min_signal: float,
     min_docs: int,
     seed: int,
+    min_signal: float,
 ) -> SubwordModel:
     """One training run, without the shift (``parts``: the subwords of every word)."""
     rng = np.random.default_rng(seed)
@@ -200,9 +245,9 @@ def _class_signal(seen: np.ndarray, shares: np.ndarray) -> np.ndarray:
     return 2 * np.sum(seen * np.log(np.where(seen > 0, seen, 1) / np.where(seen > 0, expected, 1)), axis=0)
 
 
-def _best_cut(scores: np.ndarray, y: np.ndarray) -> float:
+def _best_cut(scores: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Middle of the gap between neighbouring scores with the fewest wrong sides (the
-    highest such gap)."""
+    highest such gap), and how many are wrong there."""
     order = np.argsort(scores, kind="stable")
     s, t = scores[order], y[order]
     wrong = np.concatenate([[0], np.cumsum(t)]) + np.concatenate([np.cumsum((1 - t)[::-1])[::-1], [0]])
@@ -211,13 +256,13 @@ def _best_cut(scores: np.ndarray, y: np.ndarray) -> float:
     best = len(wrong) - 1 - int(np.argmin(wrong[::-1]))
     low = s[best - 1] if best else s[0] - 1
     high = s[best] if best < len(s) else s[-1] + 1
-    return float((low + high) / 2)
+    return float((low + high) / 2), float(wrong[best])
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame, max_rows: int = 5000) -> SubwordModel:
     """Train on at most ``max_rows`` labelled documents whose id remainder mod 5 is
-    not 0."""
-    return train(labelled_sample(docs, labels, "toxic", id_remainder(5) != 0, max_rows))
+    not 0; the folds are tasks."""
+    return train(labelled_sample(docs, labels, "toxic", id_remainder(5) != 0, max_rows), run=as_tasks(docs.sparkSession))
 
 
 def score_toxicity(docs: DataFrame, model: SubwordModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
