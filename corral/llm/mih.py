@@ -144,7 +144,7 @@ def nearest(
     # k + 1 smallest ids of every distinct vector; ranked before the shuffle too
     near_ids = Window.partitionBy("v").orderBy("vec_id")
     kept = rows.withColumn("n", F.row_number().over(near_ids)).where(F.col("n") <= k + 1)
-    entries = kept.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    entries = staged(kept.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "mih_entries")
     picked = (
         entries.select("v", F.xxhash64("v").alias("h")).orderBy("h", "v").limit(sample_rows).select("v").collect()
     )

@@ -247,11 +247,41 @@ def test_pipeline_stage_by_stage(spark):
     assert {r.doc_id for r in rows} == set(texts) and check_pieces(rows, texts) > 0.9
 
 
+def test_pipeline_on_odd_documents(spark, tmp_dir):
+    """Nulls, ties, repeated rows, clashing column names, a very long text, an empty table."""
+    import corpus_pipeline as P
+
+    good = "The committee met in spring and agreed on a plan for the harbour, which was built over the following two years."
+    labels = [(i, 1, 0) for i in range(20)] + [(20 + i, 0, 0) for i in range(10)] + [(None, 1, 1), (5, None, None)]
+    rows = [(i, f"{good} Part {i} was about item {i} of the list and its {i + 3} details in the year {1900 + i}.") for i in range(20)]
+    rows += [(20 + i, "$$ ## !! %% " * (5 + i)) for i in range(10)]
+    rows += [(None, None), (None, ""), (7, rows[7][1]), (40, None), (41, " ".join(f"{good} {i}" for i in range(3000)) + " password: Zx81Kq93Lm"), (None, good)]
+    full = [(i, t, "en", "src", None if t is None else len(t), 1, "c", 2.5, "b") for i, t in rows]
+    docs = spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long, row int, clean string, `__id` double, base string")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    for start in (docs, docs.limit(0)):
+        kept = common.staged(start, "odd")
+        for name, stage in P.STAGES:
+            before, kept = kept, common.staged(stage(spark, kept, tmp_dir), "odd")
+            if name == "packing":
+                assert kept.count() == 0 if start is not docs else {r.doc_id for r in kept.collect()} == {r.doc_id for r in before.collect()}
+                break
+            assert kept.columns == docs.columns and kept.count() <= before.count()
+            if name in ("quality", "toxicity"):
+                assert kept.exceptAll(before).count() == 0
+            if name == "jaccard_join":
+                assert kept.exceptAll(before.distinct()).count() == 0
+            if name == "secrets" and start is docs:
+                assert kept.count() == before.count()
+                text = {r.doc_id: r for r in kept.collect()}[41]
+                assert "Zx81Kq93Lm" not in text.text and text.n_chars == len(text.text) > 300_000
+
+
 def test_registered_queries():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
     assert set(entry.oracle_sql()) <= names
 
 
