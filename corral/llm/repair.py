@@ -16,6 +16,7 @@ import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from corral.llm.common import map_batches, text_batches, texts_of
 from corral.llm.encode import word_encoder
@@ -48,57 +49,86 @@ def _place(pairs: np.ndarray) -> np.ndarray:
     return ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
 
 
-def compress(ids: np.ndarray, base: int, min_count: int, max_rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _frequent(pair: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that occur at least ``min_count`` times, in order, and how often."""
+    ranked = np.sort(pair)
+    firsts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    counts = np.diff(np.concatenate([firsts, [len(ranked)]]))
+    enough = counts >= min_count
+    return ranked[firsts[enough]], counts[enough]
+
+
+def _chosen(at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Of neighbouring places the heavier; in a stretch of equal weights (as in a a a a)
+    every other place, from the left."""
+    k = np.arange(len(at))
+    follows = np.concatenate([[False], at[1:] == at[:-1] + 1])
+    before = np.where(follows, np.concatenate([[0], weight[:-1]]), 0)
+    after = np.where(np.concatenate([follows[1:], [False]]), np.concatenate([weight[1:], [0]]), 0)
+    begin = np.maximum.accumulate(np.where(before != weight, k, 0))
+    late = before[begin] > weight
+    return (weight >= after) & (k - begin >= late) & ((k - begin - late) % 2 == 0)
+
+
+def compress(ids: np.ndarray, base: int, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair over ``ids``: ``(rules (n, 2), expansion lengths, body)``.
 
-    Each round counts all pairs of neighbours, takes those that occur at least
+    Each round counts pairs of neighbours, takes those that occur at least
     ``min_count`` times, and replaces their occurrences, a more frequent pair
     first where two overlap and else the left one.  It ends when no pair is
-    that frequent, after ``max_rounds``, or when a round shortens the body by
-    less than one in 200.  ``END_ID`` takes part in no pair.
+    that frequent.  A pair can only become frequent where a symbol was replaced,
+    so after the first round only those places, and the frequent ones that were
+    passed over, are counted: a round costs what the one before replaced.
+    ``END_ID`` takes part in no pair.
     """
     x = ids.astype(np.int64)
+    if len(x) and int(x.max()) >= base:
+        raise ValueError(f"id {int(x.max())} is not below the first nonterminal {base}")
     rules, lengths, top = [], [], base
     size = np.ones(base, dtype=np.int64)
-    for _ in range(max_rounds):
-        if len(x) < 2:
-            break
-        pair = (x[:-1] << 32) | x[1:]
-        able = (x[:-1] != END_ID) & (x[1:] != END_ID)
-        ranked = np.sort(pair[able])
-        firsts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else ranked
-        counts = np.diff(np.concatenate([firsts, [len(ranked)]]))
-        frequent = counts >= min_count
-        if not frequent.any():
+    at = np.arange(max(0, len(x) - 1))
+    while len(at):
+        left, right = x[at], x[at + 1]
+        able = (left != END_ID) & (right != END_ID)
+        at, pair = at[able], ((left << 32) | right)[able]
+        keys, counts = _frequent(pair, min_count) if len(at) else (at, at)
+        if not len(keys):
             break
-        keys, counts = ranked[firsts[frequent]], counts[frequent]
-        # a table by hash finds the frequent pairs; of two in one place the later waits a round
-        table = np.full(1 << _TABLE_BITS, -1, dtype=np.int32)
-        table[_place(keys)] = np.arange(len(keys), dtype=np.int32)
-        which = table[_place(pair)]
-        which[(keys[which] != pair) | ~able] = -1
-        weight = np.zeros(len(x) + 1, dtype=np.int64)  # 0: no frequent pair starts here
-        weight[1:-1] = np.where(which >= 0, counts[which], 0)
-        mine, before, after = weight[1:-1], weight[:-2], weight[2:]
-        # in a stretch of equal weights (as in a a a a) every other place, from the left
-        index = np.arange(len(mine))
-        begin = np.maximum.accumulate(np.where(mine != before, index, 0))
-        late = before[begin] > mine
-        hits = np.flatnonzero((mine > 0) & (mine >= after) & (index - begin >= late) & ((index - begin - late) % 2 == 0))
-        used = np.bincount(which[hits], minlength=len(keys))
-        hits = hits[used[which[hits]] >= 2]
-        if len(hits) * 200 < len(x):
+        # many places find their pair in a table by hash; of two pairs in one place of
+        # it the earlier waits a round
+        waiting = at[:0]
+        if len(at) > 1 << 14:
+            table = np.full(1 << _TABLE_BITS, -1, dtype=np.int32)
+            table[_place(keys)] = np.arange(len(keys), dtype=np.int32)
+            which = table[_place(pair)]
+            exact = (which >= 0) & (keys[which] == pair)
+            waiting = at[(which >= 0) & ~exact]
+        else:
+            which = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+            exact = keys[which] == pair
+        at, which = at[exact], which[exact]
+        taken = _chosen(at, counts[which])
+        used = np.bincount(which[taken], minlength=len(keys))
+        taken &= used[which] >= 2
+        hits = at[taken]
+        if not len(hits):
             break
-        live = np.flatnonzero(np.bincount(which[hits], minlength=len(keys)))
+        live = np.flatnonzero(np.bincount(which[taken], minlength=len(keys)))
         symbol = np.zeros(len(keys), dtype=np.int64)
         symbol[live] = top + np.arange(len(live))
-        left, right = keys[live] >> 32, keys[live] & 0xFFFFFFFF
-        rules.append(np.stack([left, right], axis=1))
-        lengths.append(size[left] + size[right])
+        first, second = keys[live] >> 32, keys[live] & 0xFFFFFFFF
+        rules.append(np.stack([first, second], axis=1))
+        lengths.append(size[first] + size[second])
         size = np.concatenate([size, lengths[-1]])
         top += len(live)
-        x[hits] = symbol[which[hits]]
-        x = np.delete(x, hits + 1)
+        x[hits] = symbol[which[taken]]
+        stays = np.ones(len(x), dtype=bool)
+        stays[hits + 1] = False
+        again = np.zeros(len(x), dtype=bool)  # places to count: passed over, or beside a new symbol
+        again[at[~taken]] = again[waiting] = again[hits] = True
+        again[hits[hits > 0] - 1] = True
+        x, again = x[stays], again[stays]
+        at = np.flatnonzero(again[:-1])
     none = np.zeros((0, 2), dtype=np.int64)
     return (
         np.concatenate(rules) if rules else none,
@@ -149,10 +179,9 @@ def write_token_store(
     docs: DataFrame,
     path: str,
     tokenizer: str,
-    vocab_size: int = 65_536,
+    vocab_size: int | None = None,
     shard_tokens: int = 500_000,
     min_count: int = 12,
-    max_rounds: int = 6,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> None:
@@ -161,21 +190,23 @@ def write_token_store(
     Rows are range-partitioned by (id, text hash) and sorted, so files follow
     ascending ids (null ids first; rows with equal ids by text); each task
     writes shards of about ``shard_tokens`` ids, holding one at a time.
-    ``vocab_size`` is the first nonterminal, above every id.  Null text: empty,
+    ``vocab_size`` is the first nonterminal, above every id (the tokenizer's own size,
+    if not given).  Null text: empty,
     so only the end id.  Empty table: no shards.
     """
+    first = vocab_size or max(END_ID, *Tokenizer.from_file(tokenizer).get_vocab().values()) + 1
     ordered = texts_of(docs, id_col, text_col).withColumn("h", F.xxhash64("text"))
     ordered = ordered.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").drop("h")
 
     def shard_row(part: int, number: int, doc_ids: list, datas: list[bytes]) -> dict:
         ids = np.frombuffer(b"".join(datas), dtype="<u4")
-        rules, lengths, body = compress(ids, vocab_size, min_count, max_rounds)
+        rules, lengths, body = compress(ids, first, min_count)
         row = {
             "part": part,
             "shard": number,
             "n_docs": len(doc_ids),
             "n_tokens": len(ids),
-            "base": vocab_size,
+            "base": first,
             "doc_ids": doc_ids,
             "doc_tokens": [len(d) // 4 for d in datas],
             "rules": to_planes(rules.reshape(-1)),

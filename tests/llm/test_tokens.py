@@ -168,7 +168,7 @@ def test_length_histogram(spark, byte_tok):
 @given(st.lists(st.integers(0, 5), max_size=400), st.integers(0, 400), st.integers(0, 400))
 def test_repair_round_trip_and_random_access(ids, a, b):
     x = np.array(ids, dtype="<u4")
-    rules, sizes, body = repair.compress(x, 8, min_count=2, max_rounds=20)
+    rules, sizes, body = repair.compress(x, 8, min_count=2)
     row = {
         "base": 8,
         "rules": repair.to_planes(rules.reshape(-1)),
@@ -183,10 +183,34 @@ def test_repair_round_trip_and_random_access(ids, a, b):
 
 def test_repair_shortens_repeats():
     x = np.array([1, 2, 3, 4] * 500, dtype="<u4")
-    rules, sizes, body = repair.compress(x, 8, min_count=2, max_rounds=30)
+    rules, sizes, body = repair.compress(x, 8, min_count=2)
     assert len(body) < 20 and sizes.max() >= 256 and len(rules) < 20
 
 
+def test_repair_ends_when_no_pair_is_frequent():
+    from collections import Counter
+    from random import Random
+
+    rng = Random(2)
+    for trial in range(60):
+        k = rng.choice([2, 3, 5, 30])
+        ids = [rng.randrange(k) for _ in range(rng.randrange(3000))]
+        if trial % 5 == 0:
+            ids = [1] * rng.randrange(1, 40_000) + [0] + [2, 3] * 400 + [0] + [1, 1, 2] * 300
+        if trial % 7 == 0:
+            ids = ([rng.randrange(1, 50) for _ in range(40)] * 20 + [0]) * 5
+        rules, lengths, body = repair.compress(np.array(ids, dtype=np.int64), 64, 12)
+        table = [(i,) for i in range(64)]
+        for left, right in rules.tolist():
+            table.append(table[left] + table[right])
+        assert [i for s in body.tolist() for i in table[s]] == ids
+        assert lengths.tolist() == [len(t) for t in table[64:]]
+        pairs = Counter(p for p in zip(body.tolist(), body.tolist()[1:]) if 0 not in p)
+        assert max(pairs.values(), default=0) < 12
+    with pytest.raises(ValueError, match="first nonterminal"):
+        repair.compress(np.array([70]), 64, 2)
+
+
 def test_token_store(spark, tmp_dir, byte_tok):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     path = encode.tokenizer_path(encode.BYTE_BPE)
