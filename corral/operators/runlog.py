@@ -294,8 +294,7 @@ def workflow_state(log: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
         F.struct("step_name", "run_id", "step_completion_status", "step_completion"),
         order_key(order),
     ).alias("_r")
-    loaded = (F.col("step_name") == LOAD_STEP) & (F.col("step_completion_status") == SUCCESS)
-    epoch = F.max_by(F.col("run_details"), F.when(loaded, order_key(order))).alias("_load")
+    epoch = F.max_by(F.col("run_details"), F.when(load_succeeded(), order_key(order))).alias("_load")
     return log.groupBy("workflow_id").agg(r, epoch).select(
         "workflow_id",
         F.col("_r.step_name").alias("last_step"),
@@ -307,16 +306,23 @@ def workflow_state(log: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     )
 
 
+def load_succeeded(load_step: str = LOAD_STEP) -> Column:
+    """Per-record flag: the record is a successful load step."""
+    return (F.col("step_name") == load_step) & (F.col("step_completion_status") == SUCCESS)
+
+
+def status_from_flags(flag: Column) -> Column:
+    """Aggregate: 'Success' when any record has ``flag``."""
+    return F.when(F.max(flag.cast("int")) == 1, F.lit("Success")).otherwise(F.lit("Failed"))
+
+
 def job_status(
     log: DataFrame,
     keys: Sequence[str] = ("workflow_id", "run_id"),
     load_step: str = LOAD_STEP,
 ) -> DataFrame:
     """w_status: 'Success' when the load step succeeded, else 'Failed'."""
-    ok = (F.col("step_name") == load_step) & (F.col("step_completion_status") == SUCCESS)
-    return log.groupBy(*keys).agg(
-        F.when(F.max(ok.cast("int")) == 1, F.lit("Success")).otherwise(F.lit("Failed")).alias("w_status")
-    )
+    return log.groupBy(*keys).agg(status_from_flags(load_succeeded(load_step)).alias("w_status"))
 
 
 def report_counts(

@@ -676,7 +676,7 @@ def stored_watermark(spark, sf_dir):
     log.append(7, 1000, M.LOAD_STEP, M.SUCCESS, details={"last_load_file_detail": D.watermark_text(clicks), "epoch_id": 100})
     log.append(7, 1001, M.LOAD_STEP, M.FAILED, details={"last_load_file_detail": "9999-01-01 00:00:00.000000"})
     state = M.workflow_state(log.frame(7)).select("workflow_id", "last_run_id", "last_status", "active", "last_epoch_id")
-    loaded = log.frame(7).where(RP.load_succeeded())
+    loaded = log.frame(7).where(M.load_succeeded())
     mark = M.merge_run_metrics(loaded, [M.Metric(M.LOAD_STEP, "last_load_file_detail", "watermark", "string")], ("workflow_id",))
     return state.join(mark, "workflow_id")
 

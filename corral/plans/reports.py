@@ -7,22 +7,12 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corral.functions.scalar import local_clock
 from corral.operators.profile import profile_report  # noqa: F401  (R3)
-from corral.operators.runlog import LOAD_STEP, SUCCESS
-
-
-def load_succeeded(load_step: str = LOAD_STEP) -> Column:
-    """Per-record flag: the record is a successful load step."""
-    return (F.col("step_name") == load_step) & (F.col("step_completion_status") == SUCCESS)
-
-
-def status_from_flags(flag: Column) -> Column:
-    """Aggregate: 'Success' when any record has ``flag``."""
-    return F.when(F.max(flag.cast("int")) == 1, F.lit("Success")).otherwise(F.lit("Failed"))
+from corral.operators.runlog import LOAD_STEP, load_succeeded, status_from_flags
 
 
 def run_counts(log: DataFrame, keys: Sequence[str] = ("workflow_id",), load_step: str = LOAD_STEP) -> DataFrame:

@@ -143,7 +143,7 @@ class IngestionRun:
         """Next run id, the run details of the newest successful load, and the
         last micro-batch of ``stream_checkpoint`` that was loaded (-1: none),
         from one aggregation over this workflow's log records."""
-        loaded = (F.col("step_name") == M.LOAD_STEP) & (F.col("step_completion_status") == M.SUCCESS)
+        loaded = M.load_succeeded()
         same_stream = loaded & (F.get_json_object("run_details", "$.stream_checkpoint") == F.lit(stream_checkpoint))
         batch_id = F.get_json_object("run_details", "$.stream_batch_id").cast("bigint")
         row = (
