@@ -285,6 +285,21 @@ def test_streamed_run_equals_the_batch_run(spark, tmp_dir, per_trigger):
     assert ids(spark, s.target.current) == [5] and ids(spark, s.target.history) == [1, 3, 4]
 
 
+def test_streamed_run_moves_finished_files_away(spark, tmp_dir):
+    """Spark moves the files of a batch once a later one is done."""
+    land, gone = f"{tmp_dir}/landing", f"{tmp_dir}/archive"
+    s = settings(spark, tmp_dir, table_checks=[], profile=False, rules=[])
+    wf, ck = IngestionRun(spark, s), f"{tmp_dir}/ck"
+    for i in range(3):
+        drop(land, f"orders_{i}.csv", [f"{i}|10|2024-01-01T10:00:00+0000|DE"])
+        assert len(wf.run_stream(ck, archive_dir=gone)) == 1
+        assert ids(spark, s.target.current) == [i]
+    kept = {f for f in os.listdir(land) if f.endswith(".csv")}
+    moved = {f for _, _, names in os.walk(gone) for f in names if f.endswith(".csv")}
+    assert kept | moved == {f"orders_{i}.csv" for i in range(3)} and not kept & moved
+    assert "orders_0.csv" in moved
+
+
 def test_streamed_run_reads_a_prefix_pattern(spark, tmp_dir):
     land = f"{tmp_dir}/landing"
     drop(land, "o_[1].csv", ["1|10|2024-01-01T10:00:00+0000|DE"])
