@@ -70,9 +70,12 @@ def forest_depths(pairs: dict[tuple[int, int], int], threshold: float, trees: in
     All trees start at ``longest`` hashes.  The prefix of one tree after the other
     is shortened by a hash, always where that brings the most recall for the
     candidate pairs that it adds (``pairs``: by tree and depth), until a pair at
-    the threshold meets with the target probability (or all prefixes are one hash).
+    the threshold meets with the target probability.  No prefix gets shorter than
+    all would have to be if they were alike: a very short one gathers large
+    subtrees, which cost more than the pairs tell.
     """
     depths = [longest] * trees
+    least = next((d for d in range(longest, 1, -1) if recall(threshold, [d] * trees) >= target), 1)
 
     def price(tree: int) -> float:
         d = depths[tree]
@@ -80,7 +83,7 @@ def forest_depths(pairs: dict[tuple[int, int], int], threshold: float, trees: in
         return (1 + max(more, 0)) / (log1p(-(threshold**d)) - log1p(-(threshold ** (d - 1))))
 
     while recall(threshold, depths) < target:
-        open_trees = [t for t in range(trees) if depths[t] > 1]
+        open_trees = [t for t in range(trees) if depths[t] > least]
         if not open_trees:
             break
         depths[min(open_trees, key=price)] -= 1

@@ -112,9 +112,10 @@ def test_depths_reach_the_recall_at_the_cheapest_trees():
     assert forest.recall(0.8, depths) >= 0.99999
     # one hash more in any tree that was shortened, and the target is missed
     assert all(forest.recall(0.8, depths[:t] + [depths[t] + 1] + depths[t + 1 :]) < 0.99999 for t in range(40) if depths[t] == min(depths))
-    dear = even | {(0, d): 10**9 * 4 ** (8 - d) for d in range(1, 9)}
+    assert min(depths) == 6 and forest.recall(0.8, [6] * 40) >= 0.99999 > forest.recall(0.8, [7] * 40)
+    dear = even | {(5, d): 10**9 * 4 ** (8 - d) for d in range(1, 9)}
     skewed = forest.forest_depths(dear, 0.8, 40, 8, 0.99999)
-    assert skewed[0] == 8 and forest.recall(0.8, skewed) >= 0.99999  # the others make up for it
+    assert skewed[5] == max(skewed) > 6 and forest.recall(0.8, skewed) >= 0.99999  # the others make up for it
     assert forest.forest_depths({}, 0.8, 2, 8, 0.99999) == [1, 1]  # the target is out of reach
 
 
