@@ -194,9 +194,9 @@ def _candidates(leaves: DataFrame, depths: list[int], hot: int, threshold: float
                         out["hot"].append(False)
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("tree", "path", "class_id", "n"))
+            columns = (batch.column(c).to_pylist() for c in ("tree", "prefix", "class_id", "n"))
             for tree, path, c, n in zip(*columns):
-                p = (tree, path[: 4 * depths[tree]])
+                p = (tree, path)
                 if p != prefix:
                     close()
                     prefix, members, head = p, [], None
@@ -215,10 +215,12 @@ def _candidates(leaves: DataFrame, depths: list[int], hot: int, threshold: float
         close()
         yield out
 
-    # a subtree of a trie lies in one task, its leaves in the order of their paths
+    # a subtree of a trie lies in one task, subtrees in the order of their prefixes; in
+    # each the smallest class comes first, so a large group has one head in every tree
     depth = F.get(F.lit(depths), F.col("tree"))
-    order = leaves.withColumn("prefix", _prefix(depth)).repartition("tree", "prefix").drop("prefix")
-    return map_batches(order.sortWithinPartitions("tree", "path", "class_id"), run, "a binary, b binary, hot boolean")
+    short = leaves.select("tree", _prefix(depth).alias("prefix"), "class_id", "n")
+    order = short.repartition("tree", "prefix").sortWithinPartitions("tree", "prefix", "class_id")
+    return map_batches(order, run, "a binary, b binary, hot boolean")
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
