@@ -247,11 +247,17 @@ class IngestionRun:
         columns = list(self.s.source.columns or [c for c in scan.columns if c != corrupt])
         return columns + [corrupt] if corrupt and corrupt not in columns else columns
 
-    def _ledger(self) -> DataFrame:
-        """Files of this workflow's recorded loads."""
+    def _ledger(self) -> DataFrame | None:
+        """Files of this workflow's recorded loads; None if the last one is not in the
+        ledger (there is none yet, or it was made without): then only times above
+        the watermark are new."""
         last = (self._last_load or {}).get("epoch_id")
-        mine = F.col("workflow_id") == F.lit(int(self.s.workflow_id)).cast("bigint")
-        return self.targets.loaded_files().where(mine & (F.col("epoch_id") <= F.lit(-1 if last is None else int(last))))
+        if last is None:
+            return None
+        mine = self.targets.loaded_files().where(F.col("workflow_id") == F.lit(int(self.s.workflow_id)).cast("bigint"))
+        if mine.where(F.col("epoch_id") == F.lit(int(last))).isEmpty():
+            return None
+        return mine.where(F.col("epoch_id") <= F.lit(int(last)))
 
     def _file_key(self, path: Column) -> Column:
         """A file's key below the root, from its path as a scan gives it."""

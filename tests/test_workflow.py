@@ -462,6 +462,10 @@ def test_files_of_the_watermarks_second_are_read_once(spark, tmp_dir):
         (400, "landing/orders_1.csv"): 2, (400, "landing/orders_3.csv"): 1, (400, "landing/orders_4.csv"): 1}
     with pytest.raises(NoNewFileError):
         wf.run(epoch_id=500)
+    # a load recorded without a ledger: its files are not read again
+    spark.sql(f"DROP TABLE {s.target.files}")
+    with pytest.raises(NoNewFileError):
+        wf.run(epoch_id=600)
 
 
 def test_files_of_a_load_that_was_not_recorded_stay_new(spark, tmp_dir, monkeypatch):
