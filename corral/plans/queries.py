@@ -25,7 +25,7 @@ from corral.operators import target as W
 from corral.operators.transform import apply_transformations
 from corral.plans import reports as RP
 from corral.plans.workflow import IngestionRun, SourceSettings, WorkflowSettings, run_report
-from corral.session import fresh_database, scratch_location
+from corral.session import fresh_database, scratch_location, session_setting
 from corral.sources import delimited as CSV
 from corral.sources import discovery as D
 from corral.sources.database import TableSource
@@ -578,15 +578,23 @@ def dq_documents_erroneous(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 
+#: Files that one writing task keeps open side by side; beyond it Spark sorts the rest.
+OPEN_FILES = 100
+
+
 def _orders_by_status(spark, sf_dir) -> str:
     """orders as pipe-delimited text, one file per status folder below the returned
-    root's ``landing``; all files have the same base name."""
+    root's ``landing``; all files have the same base name.
+
+    One task writes all files side by side, each row as it comes: a sort by status
+    before the write would hold more memory with every row."""
     root = scratch_location(spark, "by_status")
     text = orders(spark, sf_dir).withColumn(
         "o_orderdate", F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+0000"))
     )
     writer = text.withColumn("status", F.col("o_orderstatus")).coalesce(1).write.partitionBy("status")
-    writer.option("header", "true").option("delimiter", CSV.DELIMITER).csv(f"{root}/landing")
+    with session_setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES)):
+        writer.option("header", "true").option("delimiter", CSV.DELIMITER).csv(f"{root}/landing")
     return root
 
 

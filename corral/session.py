@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -86,6 +88,20 @@ def scratch_location(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """The session's setting ``name`` is ``value`` inside the block, and as before after it."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def sql_text(value: str) -> str:
     """A value as a SQL string literal (quotes and backslashes escaped)."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -2,6 +2,8 @@
 
 import json
 import os
+import subprocess
+import sys
 import time
 from datetime import datetime
 
@@ -614,3 +616,47 @@ def test_profiles_of_loads_merge_without_their_rows(spark, tmp_dir):
     assert got["id"][0] == 200 and abs(got["id"][2] - 150) <= 5 and got["id"][3:] == ("0", "149")
     assert got["amount"] == (200, 0, 7, "0.5", "6.5")
     assert got["country"][:2] == (200, 67) and got["country"][2:] == (2, "D", "DD")
+
+
+ONE_TASK_WRITES = """
+import glob, json, sys
+sys.path.insert(0, sys.argv[1])
+from corral.plans import queries
+from corral.session import build_session
+from pyspark.sql import functions as F
+w = sys.argv[2]
+conf = {"spark.eventLog.enabled": "true", "spark.eventLog.rolling.enabled": "false", "spark.eventLog.compress": "false"}
+spark = build_session("local[2]", extra_conf=conf | {"spark.eventLog.dir": f"{w}/log", "spark.sql.warehouse.dir": f"{w}/wh"})
+i = F.col("id")
+status = F.when(i % 5 == 4, None).otherwise(F.substring(F.lit("FOPF"), (i % 5 + 1).cast("int"), 1))
+rows = spark.range(3000).select(
+    i.alias("o_orderkey"), i.alias("o_custkey"), status.alias("o_orderstatus"), (i * 1.0).alias("o_totalprice"),
+    F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"),
+)
+rows.write.parquet(f"{w}/sf/orders.parquet")
+root = queries._orders_by_status(spark, f"{w}/sf")
+files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/landing").select("path").collect()
+text = spark.read.option("header", "true").option("delimiter", "|").csv(f"{root}/landing")
+counts = {r["status"]: r["count"] for r in text.groupBy("status").count().collect()}
+left = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+spark.stop()
+events = [json.loads(line) for f in glob.glob(f"{w}/log/*") for line in open(f)]
+plans = [e["physicalPlanDescription"] for e in events if e["Event"].endswith("SparkListenerSQLExecutionStart")]
+written = [p for p in plans if "csv" in p.lower() and "InsertIntoHadoopFsRelationCommand" in p]
+found = {"names": [r["path"].rsplit("/", 1)[1] for r in files], "counts": [[k, n] for k, n in counts.items()]}
+print(json.dumps(found | {"writes": len(written), "sorted": sum("Sort" in p for p in written), "left": left}))
+"""
+
+
+def test_files_by_status_are_written_without_a_sort(spark, tmp_dir):
+    """One task writes a file for each status as rows come; the setting is only the write's."""
+    os.mkdir(f"{tmp_dir}/log")
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    own = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_GATEWAY", "_PYSPARK"))}
+    done = subprocess.run([sys.executable, "-c", ONE_TASK_WRITES, here, tmp_dir], env=own, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    got = json.loads(done.stdout.strip().splitlines()[-1])
+    assert len(got["names"]) == 4 and len(set(got["names"])) == 1
+    assert dict(map(tuple, got["counts"])) == {"F": 1200, "O": 600, "P": 600, None: 600}
+    assert got["writes"] == 1 and got["sorted"] == 0
+    assert got["left"] == "0"
