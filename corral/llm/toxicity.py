@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +35,47 @@ def subwords(word: str, buckets: int, low: int = 3, high: int = 5) -> list[int]:
     return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % buckets for g in sorted(grams | {marked})]
 
 
+class CountedWords(NamedTuple):
+    """Documents as counted words, in arrays: a sample's words as Python objects
+    would take several hundred MB."""
+
+    totals: np.ndarray  # words of each document
+    doc: np.ndarray  # of each entry, a distinct word of a document, in ascending order
+    word: np.ndarray  # of each entry: its place among the words in order
+    times: np.ndarray  # of each entry: how often the document has the word
+    sizes: np.ndarray  # of each word: how many subwords it has
+    flat: np.ndarray  # the subwords of all words
+
+    def of(self, chosen: np.ndarray) -> CountedWords:
+        """The documents that are true in ``chosen``; the words stay."""
+        held = chosen[self.doc]
+        place = np.cumsum(chosen, dtype=np.int32) - 1
+        return self._replace(
+            totals=self.totals[chosen], doc=place[self.doc[held]], word=self.word[held], times=self.times[held]
+        )
+
+
+def counted_words(texts: Iterable[str], buckets: int) -> CountedWords:
+    places: dict[str, int] = {}
+    totals, entries, word, times = array("i"), array("i"), array("i"), array("i")
+    for text in texts:
+        counts = Counter(words_of(text))
+        totals.append(counts.total())
+        entries.append(len(counts))
+        word.extend([places.setdefault(w, len(places)) for w in counts])
+        times.extend(counts.values())
+    rank = np.zeros(len(places), dtype=np.int32)
+    sizes, flat = array("i"), array("i")
+    for i, w in enumerate(sorted(places)):
+        rank[places[w]] = i
+        parts = subwords(w, buckets)
+        sizes.append(len(parts))
+        flat.extend(parts)
+    whole = lambda values: np.frombuffer(values, dtype=np.int32)
+    doc = np.repeat(np.arange(len(totals), dtype=np.int32), whole(entries))
+    return CountedWords(whole(totals), doc, rank[whole(word)], whole(times), whole(sizes), whole(flat))
+
+
 class SubwordModel:
     """Vectors of subword buckets and the softmax weights over their average."""
 
@@ -65,16 +108,17 @@ class SubwordModel:
     def _logit(self, total: float, n_words: int) -> float:
         return SCALE * total / (n_words + PRIOR_WORDS) + float(self.bias[1] - self.bias[0]) + self.shift
 
-    def counted_logits(self, counts: list[Counter], parts: dict[str, np.ndarray]) -> np.ndarray:
-        """``logit`` of documents as counted words, whose subwords are in ``parts``."""
-        words = sorted(set().union(*counts))
-        if not words:
-            return np.array([self._logit(0.0, 0)] * len(counts))
-        sizes = np.array([len(parts[w]) for w in words])
-        of_bucket = np.array(self._of_bucket)[np.concatenate([parts[w] for w in words])]
-        means = np.add.reduceat(of_bucket, np.cumsum(sizes) - sizes) / sizes
-        of_word = dict(zip(words, means.tolist()))
-        return np.array([self._logit(sum(n * of_word[w] for w, n in c.items()), c.total()) for c in counts])
+    def counted_logits(self, docs: CountedWords) -> np.ndarray:
+        """``logit`` of documents as counted words."""
+        of_word = docs.sizes.astype(np.float64)
+        if len(of_word):
+            starts = np.cumsum(docs.sizes) - docs.sizes
+            of_word = np.add.reduceat(np.array(self._of_bucket)[docs.flat], starts) / of_word
+        parts = of_word[docs.word] * docs.times
+        ends = np.cumsum(np.bincount(docs.doc, minlength=len(docs.totals))).tolist()
+        return np.array(
+            [self._logit(sum(parts[i:j].tolist()), n) for i, j, n in zip([0, *ends], ends, docs.totals.tolist())]
+        )
 
     def score(self, text: str) -> float:
         """Probability of label 1."""
@@ -110,12 +154,6 @@ def as_tasks(spark: SparkSession) -> FoldRunner:
     return run
 
 
-def _counted(sample: list[tuple[str, int]], buckets: int) -> tuple[list[Counter], dict[str, np.ndarray]]:
-    """Words of every document, and the subwords of every word."""
-    counts = [Counter(words_of(text)) for text, _ in sample]
-    return counts, {w: np.array(subwords(w, buckets), dtype=np.int64) for w in sorted(set().union(*counts))}
-
-
 def train(
     sample: list[tuple[str, int]],
     buckets: int = 1 << 17,
@@ -149,27 +187,25 @@ def train(
     fit = partial(_fit, buckets=buckets, dim=dim, rounds=rounds, rate=rate, min_docs=min_docs, seed=seed)
 
     def out_of_fold(signal: float, fold: int) -> np.ndarray:
-        counts, parts = _counted(sample, buckets)
+        docs = counted_words((text for text, _ in sample), buckets)
         others = np.arange(len(y)) % folds != fold
-        part = fit([c for c, other in zip(counts, others) if other], y[others], parts, min_signal=signal)
+        part = fit(docs.of(others), y[others], min_signal=signal)
         scores = np.zeros(len(y))
-        scores[~others] = part.counted_logits([c for c, other in zip(counts, others) if not other], parts)
+        scores[~others] = part.counted_logits(docs.of(~others))
         return scores
 
     jobs = [(signal, fold) for signal in signals for fold in range(folds)]
     done = run(out_of_fold, jobs)
     scores = {signal: sum(s for (own, _), s in zip(jobs, done) if own == signal) for signal in signals}
     best = min(signals, key=lambda signal: (_best_cut(scores[signal], y)[1], -signal))
-    counts, parts = _counted(sample, buckets)
-    model = fit(counts, y, parts, min_signal=best)
+    model = fit(counted_words((text for text, _ in sample), buckets), y, min_signal=best)
     model.shift = -_best_cut(scores[best], y)[0]
     return model
 
 
 def _fit(
-    counts: list[Counter],
+    docs: CountedWords,
     y: np.ndarray,
-    parts: dict[str, np.ndarray],
     buckets: int,
     dim: int,
     rounds: int,
@@ -178,39 +214,39 @@ def _fit(
     seed: int,
     min_signal: float,
 ) -> SubwordModel:
-    """One training run, without the shift (``parts``: the subwords of every word)."""
+    """One training run, without the shift."""
     rng = np.random.default_rng(seed)
     vectors = np.zeros((buckets, dim))
     weights = rng.normal(scale=0.5, size=(dim, 2))
     bias = np.zeros(2)
-    spread = Counter(w for c in counts for w in c)
-    vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in spread.items() if n >= min_docs))}
-    if not vocabulary or len(set(y.tolist())) < 2:
+    spread = np.bincount(docs.word, minlength=len(docs.sizes)) >= min_docs  # words that take part
+    if not spread.any() or len(set(y.tolist())) < 2:
         return SubwordModel(vectors, weights, bias)
-    doc = np.array([d for d, c in enumerate(counts) for w in c if w in vocabulary], dtype=np.int64)
-    word = np.array([vocabulary[w] for c in counts for w in c if w in vocabulary], dtype=np.int64)
-    lengths = np.array([c.total() + PRIOR_WORDS for c in counts], dtype=np.float64)
-    share = np.array([c[w] for c in counts for w in c if w in vocabulary], dtype=np.float64) * SCALE / lengths[doc]
-    own = [parts[w] for w in vocabulary]
-    sizes = np.array([len(p) for p in own], dtype=np.float64)
-    flat = np.concatenate(own)
-    owner = np.repeat(np.arange(len(own)), sizes.astype(np.int64))
+    known = spread[docs.word]
+    doc, word = docs.doc[known], (np.cumsum(spread, dtype=np.int32) - 1)[docs.word[known]]
+    share = docs.times[known] * SCALE / (docs.totals + float(PRIOR_WORDS))[doc]
+    sizes, flat = docs.sizes[spread], docs.flat[np.repeat(spread, docs.sizes)]
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     class_weight = len(y) / (2.0 * np.bincount(y, minlength=2))
     target = np.eye(2)[y]
 
     # subwords with a signal, and the words and entries that hold them
-    n = len(own)
+    n = len(sizes)
+    ends = np.cumsum(sizes)
+    own = [flat[i:j] for i, j in zip((ends - sizes).tolist(), ends.tolist())]
     with_class = np.zeros((2, buckets))
-    for d, c in enumerate(counts):
-        if held := [own[vocabulary[w]] for w in c if w in vocabulary]:
+    last = np.cumsum(np.bincount(doc, minlength=len(y))).tolist()
+    for d, (i, j) in enumerate(zip([0, *last], last)):
+        if held := [own[w] for w in word[i:j].tolist()]:
             with_class[y[d], np.unique(np.concatenate(held))] += 1
+    del own
     keep = (_class_signal(with_class, np.bincount(y, minlength=2) / len(y)) > min_signal)[flat]
     flat, owner = flat[keep], owner[keep]
     live, owner = np.unique(owner, return_inverse=True)
     place = np.full(n, -1)
     place[live] = np.arange(len(live))
     held = place[word] >= 0
-    doc, word, share, sizes = doc[held], place[word[held]], share[held], sizes[live]
+    doc, word, share, sizes = doc[held], place[word[held]], share[held], sizes[live].astype(np.float64)
 
     def add_up(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
         return np.stack([np.bincount(index, weights=values[:, k], minlength=size) for k in range(dim)], axis=1)

@@ -1,7 +1,9 @@
 """Fingerprints, secrets, scores and the pipeline."""
 
 import hashlib
+import random
 import re
+import tracemalloc
 import zlib
 
 import pytest
@@ -337,3 +339,37 @@ def test_fingerprints_and_likeness_against_plain_python(spark):
         assert r.fingerprint == text(own[i]) and r.edited_fingerprint == text(other[i]), r.doc_id
         assert r.near_edited == pytest.approx(brute_likeness(own[i], other[i]))
         assert r.near_next == pytest.approx(brute_likeness(own[i], own[(i + 1) % len(rows)]))
+
+
+def test_a_fold_holds_its_words_in_arrays():
+    """Words as Python objects would take most of a fold's memory."""
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(6000)]
+    sample = [(" ".join(rng.choices(words, k=400)), i % 2) for i in range(300)]
+    peaks = []
+
+    class Enough(Exception):
+        pass
+
+    def run(score, jobs):
+        tracemalloc.start()
+        try:
+            score(*jobs[0])
+            peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
+        finally:
+            tracemalloc.stop()
+        raise Enough
+
+    with pytest.raises(Enough):
+        toxicity.train(sample, run=run, rounds=2, buckets=1 << 12)
+    assert peaks[0] < 12
+
+
+def test_counted_words_score_as_texts_do():
+    sample = [("bad bad word here", 1), ("good word there", 0), ("", 0), ("bad thing", 1), ("good thing , .", 0), ("bad", 1)] * 4
+    model = toxicity.train(sample, buckets=1 << 10)
+    texts = ["", "bad word", "good good unseen", "!"]
+    got = model.counted_logits(toxicity.counted_words(texts, 1 << 10))
+    assert got.tolist() == pytest.approx([model.logit(t) for t in texts])
+    assert model.counted_logits(toxicity.counted_words(["", "."], 1 << 10)).tolist() == [model.logit("")] * 2
+    assert len(model.counted_logits(toxicity.counted_words([], 1 << 10))) == 0
