@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Callable
 
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -20,6 +21,7 @@ WORD_BPE = "word_bpe_49k.json"
 
 # A piece of one letter run and at most one run of plain marks: two pre-tokens.
 _PLAIN = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{|}~]*)")
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def tokenizer_path(name: str) -> str:
@@ -51,6 +53,17 @@ def model_ids(model, table: dict[int, str], word: str) -> bytes:
     return array("I", [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(table))]).tobytes()
 
 
+class _Memory(dict):
+    """Ids by piece; a piece that is not there is learned when it is asked for."""
+
+    def __init__(self, learn: Callable[[str], bytes]):
+        self.learn = learn
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self[key] = self.learn(key)
+        return ids
+
+
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
@@ -62,7 +75,7 @@ class WordEncoder:
     def __init__(self, path: str, max_words: int = 500_000):
         self.tok = load_tokenizer(path)
         self.max_words = max_words
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = _Memory(self._learn)
         self.older: dict[str, bytes] = {}  # the memory before the last change of memories
         self.model, self.table = self.tok.model, byte_level_table()
         self.space = self.table[32]
@@ -104,38 +117,34 @@ class WordEncoder:
         self.known[word] = got
         return got
 
-    def _learn(self, keys) -> None:
-        """Ids of new pieces: plain ones by their two pre-tokens, others whole."""
-        hard, known, older = [], self.known, self.older
-        for key in keys:
-            if key in older:
-                known[key] = older[key]
-                continue
-            m = _PLAIN.fullmatch(key)
-            if m is None:
-                hard.append(key)
-                continue
-            newline, word, marks = m.groups()
-            if newline:
-                ids = model_ids(self.model, self.table, newline) + model_ids(self.model, self.table, word)
-            else:
-                ids = self._word(word)
-            if marks:
-                if (tail := self.marks.get(marks)) is None:
-                    tail = self.marks[marks] = model_ids(self.model, self.table, marks)
-                ids += tail
-            known[key] = ids
-        texts = [k[1:] if k[:1] == "\0" else k if k[:1] == "\n" else " " + k for k in hard]
-        for key, enc in zip(hard, self.tok.encode_batch(texts, add_special_tokens=False)):
-            known[key] = array("I", enc.ids).tobytes()
+    def _marks(self, marks: str) -> bytes:
+        if (ids := self.marks.get(marks)) is None:
+            ids = self.marks[marks] = model_ids(self.model, self.table, marks) if marks else b""
+        return ids
+
+    def _learn(self, key: str) -> bytes:
+        """Ids of a new piece: a plain one by its two pre-tokens, others whole."""
+        if key in self.older:
+            return self.older[key]
+        word = key.rstrip(_MARKS)
+        if word.isascii() and word.isalpha():
+            return self._word(word) + self._marks(key[len(word) :])
+        m = _PLAIN.fullmatch(key)
+        if m is None:
+            text = key[1:] if key[:1] == "\0" else key if key[:1] == "\n" else " " + key
+            return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
+        newline, word, marks = m.groups()
+        if newline:
+            ids = model_ids(self.model, self.table, newline) + model_ids(self.model, self.table, word)
+        else:
+            ids = self._word(word)
+        return ids + self._marks(marks)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
         if len(self.known) > self.max_words:
-            self.known, self.older, self.marks = {}, self.known, {}
-        known = self.known
-        self._learn(set().union(*cut).difference(known))
-        return [b"".join(map(known.__getitem__, keys)) for keys in cut]
+            self.known, self.older, self.marks = _Memory(self._learn), self.known, {}
+        ids_of = self.known.__getitem__
+        return [b"".join(map(ids_of, self.pieces(t))) for t in texts]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

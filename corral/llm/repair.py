@@ -46,7 +46,7 @@ _TABLE_BITS = 20
 
 
 def _place(pairs: np.ndarray) -> np.ndarray:
-    return ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+    return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _TABLE_BITS)).view(np.int64)
 
 
 def _frequent(pair: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,19 +55,22 @@ def _frequent(pair: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray]
     firsts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
     counts = np.diff(np.concatenate([firsts, [len(ranked)]]))
     enough = counts >= min_count
-    return ranked[firsts[enough]], counts[enough]
+    return ranked[firsts[enough]], counts[enough].astype(np.int32)
 
 
 def _chosen(at: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Of neighbouring places the heavier; in a stretch of equal weights (as in a a a a)
     every other place, from the left."""
-    k = np.arange(len(at))
-    follows = np.concatenate([[False], at[1:] == at[:-1] + 1])
-    before = np.where(follows, np.concatenate([[0], weight[:-1]]), 0)
-    after = np.where(np.concatenate([follows[1:], [False]]), np.concatenate([weight[1:], [0]]), 0)
-    begin = np.maximum.accumulate(np.where(before != weight, k, 0))
-    late = before[begin] > weight
-    return (weight >= after) & (k - begin >= late) & ((k - begin - late) % 2 == 0)
+    k = np.arange(len(at), dtype=np.int32)
+    follows = at[1:] == at[:-1] + 1
+    before, after = np.zeros_like(weight), np.zeros_like(weight)
+    np.multiply(weight[:-1], follows, out=before[1:])
+    np.multiply(weight[1:], follows, out=after[:-1])
+    begin = np.maximum.accumulate(np.where(before != weight, k, np.int32(0)))
+    late = before.take(begin) > weight
+    k -= begin
+    k -= late
+    return (weight >= after) & (k & 1 == 0)
 
 
 def compress(ids: np.ndarray, base: int, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,17 +84,15 @@ def compress(ids: np.ndarray, base: int, min_count: int) -> tuple[np.ndarray, np
     passed over, are counted: a round costs what the one before replaced.
     ``END_ID`` takes part in no pair.
     """
-    x = ids.astype(np.int64)
-    if len(x) and int(x.max()) >= base:
-        raise ValueError(f"id {int(x.max())} is not below the first nonterminal {base}")
+    if len(ids) and int(ids.max()) >= base:
+        raise ValueError(f"id {int(ids.max())} is not below the first nonterminal {base}")
+    x = ids.astype(np.int32 if base + len(ids) < 1 << 31 else np.int64)
     rules, lengths, top = [], [], base
     size = np.ones(base, dtype=np.int64)
-    at = np.arange(max(0, len(x) - 1))
+    at = np.flatnonzero((x[:-1] != END_ID) & (x[1:] != END_ID))
     while len(at):
-        left, right = x[at], x[at + 1]
-        able = (left != END_ID) & (right != END_ID)
-        at, pair = at[able], ((left << 32) | right)[able]
-        keys, counts = _frequent(pair, min_count) if len(at) else (at, at)
+        pair = (x.take(at).astype(np.int64) << 32) | x.take(at + 1)
+        keys, counts = _frequent(pair, min_count)
         if not len(keys):
             break
         # many places find their pair in a table by hash; of two pairs in one place of
@@ -100,35 +101,39 @@ def compress(ids: np.ndarray, base: int, min_count: int) -> tuple[np.ndarray, np
         if len(at) > 1 << 14:
             table = np.full(1 << _TABLE_BITS, -1, dtype=np.int32)
             table[_place(keys)] = np.arange(len(keys), dtype=np.int32)
-            which = table[_place(pair)]
-            exact = (which >= 0) & (keys[which] == pair)
-            waiting = at[(which >= 0) & ~exact]
+            which = table.take(_place(pair))
+            found = np.flatnonzero(which >= 0)
+            at, which = at.take(found), which.take(found)
+            exact = keys.take(which) == pair.take(found)
+            waiting = at[~exact]
         else:
             which = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
             exact = keys[which] == pair
-        at, which = at[exact], which[exact]
-        taken = _chosen(at, counts[which])
+        exact = np.flatnonzero(exact)
+        at, which = at.take(exact), which.take(exact)
+        taken = _chosen(at, counts.take(which))
         used = np.bincount(which[taken], minlength=len(keys))
         taken &= used[which] >= 2
-        hits = at[taken]
+        hits, which = at[taken], which[taken]
         if not len(hits):
             break
-        live = np.flatnonzero(np.bincount(which[taken], minlength=len(keys)))
-        symbol = np.zeros(len(keys), dtype=np.int64)
+        live = np.flatnonzero(np.bincount(which, minlength=len(keys)))
+        symbol = np.zeros(len(keys), dtype=x.dtype)
         symbol[live] = top + np.arange(len(live))
         first, second = keys[live] >> 32, keys[live] & 0xFFFFFFFF
         rules.append(np.stack([first, second], axis=1))
         lengths.append(size[first] + size[second])
         size = np.concatenate([size, lengths[-1]])
         top += len(live)
-        x[hits] = symbol[which[taken]]
+        x[hits] = symbol.take(which)
         stays = np.ones(len(x), dtype=bool)
         stays[hits + 1] = False
         again = np.zeros(len(x), dtype=bool)  # places to count: passed over, or beside a new symbol
         again[at[~taken]] = again[waiting] = again[hits] = True
         again[hits[hits > 0] - 1] = True
-        x, again = x[stays], again[stays]
-        at = np.flatnonzero(again[:-1])
+        stays = np.flatnonzero(stays)
+        x, again = x.take(stays), again.take(stays)
+        at = np.flatnonzero(again[:-1] & (x[:-1] != END_ID) & (x[1:] != END_ID))
     none = np.zeros((0, 2), dtype=np.int64)
     return (
         np.concatenate(rules) if rules else none,
@@ -137,31 +142,24 @@ def compress(ids: np.ndarray, base: int, min_count: int) -> tuple[np.ndarray, np
     )
 
 
-_SINGLE: dict[int, list[bytes]] = {}
-
-
-def _single_ids(n: int) -> list[bytes]:
-    if n not in _SINGLE:
-        _SINGLE[n] = [i.to_bytes(4, "little") for i in range(n)]
-    return _SINGLE[n]
-
-
 class Shard:
     """Random-access reader of one shard."""
 
     def __init__(self, row: dict):
-        self.base = row["base"]
+        base = row["base"]
         self.body = from_planes(row["body"]).astype(np.int64)
-        rules = from_planes(row["rules"]).reshape(-1, 2).tolist()
-        self.lengths = from_planes(row["lengths"]).astype(np.int64)
-        table = list(_single_ids(self.base))
-        for left, right in rules:
-            table.append(table[left] + table[right])
-        self._of = table.__getitem__  # a symbol's ids
-        size = np.ones(len(self.body), dtype=np.int64)
-        rule = self.body >= self.base
-        size[rule] = self.lengths[self.body[rule] - self.base]
+        lengths = from_planes(row["lengths"]).astype(np.int64)
+        rules = from_planes(row["rules"]).reshape(-1, 2)
+        table: dict[int, bytes] = {i: i.to_bytes(4, "little") for i in rules[rules < base].tolist()}
+        for symbol, (left, right) in enumerate(rules.tolist(), base):
+            table[symbol] = table[left] + table[right]
+        grown = b"".join([table[symbol] for symbol in range(base, base + len(rules))])
+        # every id, then what each nonterminal expands to; where a symbol's ids begin there
+        self._ids = np.concatenate([np.arange(base, dtype="<u4"), np.frombuffer(grown, dtype="<u4")])
+        at = np.concatenate([np.arange(base), base + np.cumsum(lengths) - lengths])
+        size = np.concatenate([np.ones(base, dtype=np.int64), lengths])[self.body]
         self.starts = np.concatenate([[0], np.cumsum(size)])  # of each body symbol, in ids
+        self._shift = at[self.body] - self.starts[:-1]
 
     def ids(self, start: int, stop: int) -> bytes:
         """Ids ``start`` to ``stop`` of the shard (unsigned 32-bit, little-endian),
@@ -170,9 +168,8 @@ class Shard:
             return b""
         first = int(np.searchsorted(self.starts, start, side="right")) - 1
         last = int(np.searchsorted(self.starts, stop, side="left"))
-        data = b"".join(map(self._of, self.body[first:last].tolist()))
-        skip = start - int(self.starts[first])
-        return data[4 * skip : 4 * (skip + stop - start)]
+        edges = np.clip(self.starts[first : last + 1], start, stop)
+        return self._ids[np.repeat(self._shift[first:last], np.diff(edges)) + np.arange(edges[0], edges[-1])].tobytes()
 
 
 def write_token_store(

@@ -2,6 +2,7 @@
 tokenizers library and brute force."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -237,3 +238,45 @@ def test_token_store_odd_and_empty(spark, tmp_dir):
     assert ids == sorted(ids)  # null id first
     repair.write_token_store(df.limit(0), f"{tmp_dir}/empty", path)
     assert repair.read_token_store(spark, f"{tmp_dir}/empty").collect() == []
+
+
+def _peak_mb(work) -> float:
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_encoder_holds_the_pieces_of_one_text():
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(500)]
+    texts = [" ".join(rng.choices(words, k=1000)) for _ in range(100)]
+    enc = encode.WordEncoder(encode.tokenizer_path(encode.BYTE_BPE))
+    first = enc.encode(texts)
+    peak = _peak_mb(lambda: enc.encode(texts))
+    assert peak < sum(map(len, first)) / 1e6 + 1.5  # the ids, not 100,000 pieces beside them
+
+
+def test_plain_pieces_equal_the_library(byte_tok):
+    enc = encode.WordEncoder(encode.tokenizer_path(encode.BYTE_BPE))
+    texts = ["word " + "word" + marks for marks in encode._MARKS] + ["a b's isn't I'll x<|endoftext|> <|endoftext|>y Zürich. Zürich naïve,", "end...\nnext, line!?\nlast)", "ab12 cd_ ef--", "abc, abc abc,"]
+    for _ in range(2):
+        got = [np.frombuffer(ids, dtype="<u4").tolist() for ids in enc.encode(texts)]
+        assert got == [byte_tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_repair_of_ids_beyond_the_signed_range():
+    with pytest.raises(ValueError):
+        repair.compress(np.array([1, 2**31 + 5], dtype="<u4"), 100, 2)
+
+
+def test_whole_shard_is_decoded_without_a_list_of_symbols():
+    rng = np.random.default_rng(4)
+    ids = rng.integers(1, 30, 60_000).astype("<u4")
+    rules, lengths, body = repair.compress(ids, 1000, 12)
+    planes = {"rules": repair.to_planes(rules.reshape(-1)), "lengths": repair.to_planes(lengths), "body": repair.to_planes(body)}
+    shard = repair.Shard({"base": 1000, **planes})
+    assert len(rules) and shard.ids(0, len(ids)) == ids.tobytes()
+    assert shard.ids(59_990, len(ids)) == ids[59_990:].tobytes() and shard.ids(7, 7) == b""
