@@ -10,6 +10,7 @@ where the rule holds.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from array import array
@@ -155,3 +156,11 @@ def word_encoder(path: str) -> WordEncoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]
+
+
+def forget_encoders() -> None:
+    """Drop what the worker's encoders remember: a worker outlives its task, and another
+    operator needs the memory."""
+    if _ENCODERS:
+        _ENCODERS.clear()
+        gc.collect()  # an encoder and its memory know each other

@@ -6,10 +6,11 @@ import re
 import tracemalloc
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corral.llm import common, imatch, labelled, quality, secrets, toxicity
+from corral.llm import common, encode, imatch, labelled, quality, secrets, toxicity
 
 SF = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, n_chars string"
@@ -373,3 +374,19 @@ def test_counted_words_score_as_texts_do():
     assert got.tolist() == pytest.approx([model.logit(t) for t in texts])
     assert model.counted_logits(toxicity.counted_words(["", "."], 1 << 10)).tolist() == [model.logit("")] * 2
     assert len(model.counted_logits(toxicity.counted_words([], 1 << 10))) == 0
+
+
+def test_training_tasks_drop_the_encoders_of_their_worker(spark):
+    """Pieces of an earlier step would stay in the worker beside the fold's words."""
+
+    def encode_then(batches):
+        for batch in batches:
+            encode.word_encoder(encode.tokenizer_path(encode.BYTE_BPE)).encode(["some words to remember"])
+            yield {"id": batch.column("id").to_pylist()}
+
+    def score(signal, fold):
+        return np.array([float(len(encode._ENCODERS))])
+
+    common.map_batches(spark.range(0, 8, 1, 4), encode_then, "id long").collect()
+    left = toxicity.as_tasks(spark)(score, [(1.0, i) for i in range(8)])
+    assert [x.tolist() for x in left] == [[0.0]] * 8
