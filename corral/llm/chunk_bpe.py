@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corral.llm.common import map_batches, text_batches, texts_of
-from corral.llm.encode import byte_level_table, load_tokenizer, model_ids
+from corral.llm.encode import byte_level_chars, load_tokenizer, model_ids
 
 WINDOW = 32  # characters that decide on a cut
 # One letter run with at most one run of plain marks: two pre-tokens of this vocabulary.
@@ -60,7 +60,7 @@ class ChunkEncoder:
         self.mean_chars, self.max_chunks, self.max_words = mean_chars, max_chunks, max_words
         self.words: dict[str, bytes] = {"": b""}
         self.chunks: dict[str, tuple[str, bytes | None, str]] = {}
-        self.model, self.table = self.tok.model, byte_level_table()
+        self.model, self.chars = self.tok.model, byte_level_chars()
         self.older: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
         self.reused = self.encoded = 0
@@ -82,11 +82,11 @@ class ChunkEncoder:
                 if low.isascii():
                     ids = array("I", [t.id for t in self.model.tokenize(low)]).tobytes()
                 else:
-                    ids = model_ids(self.model, self.table, low)
+                    ids = model_ids(self.model, self.chars, low)
             known[letters] = ids
             if marks:
                 if (tail := self.marks.get(marks)) is None:
-                    tail = self.marks[marks] = model_ids(self.model, self.table, marks)
+                    tail = self.marks[marks] = model_ids(self.model, self.chars, marks)
                 known[word] = ids + tail
         for word, enc in zip(hard, self.tok.encode_batch(hard, add_special_tokens=False)):
             known[word] = array("I", enc.ids).tobytes()

@@ -10,11 +10,13 @@ where the rule holds.
 
 from __future__ import annotations
 
+import codecs
 import gc
 import os
 import re
 from array import array
 from collections.abc import Callable
+from operator import attrgetter
 
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -49,9 +51,23 @@ def byte_level_table() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-def model_ids(model, table: dict[int, str], word: str) -> bytes:
+def byte_level_chars() -> str:
+    """The characters of ``byte_level_table`` in the order of their bytes."""
+    table = byte_level_table()
+    return "".join([table[b] for b in range(256)])
+
+
+_ID = attrgetter("id")
+
+
+def token_ids(model, text: str) -> bytes:
+    """Ids from the library's merge model of one pre-token in byte-level characters."""
+    return array("I", map(_ID, model.tokenize(text))).tobytes()
+
+
+def model_ids(model, chars: str, word: str) -> bytes:
     """Ids of one pre-token from the library's merge model."""
-    return array("I", [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(table))]).tobytes()
+    return token_ids(model, codecs.charmap_decode(word.encode(), "strict", chars)[0])
 
 
 class _Memory(dict):
@@ -78,8 +94,8 @@ class WordEncoder:
         self.max_words = max_words
         self.known: dict[str, bytes] = _Memory(self._learn)
         self.older: dict[str, bytes] = {}  # the memory before the last change of memories
-        self.model, self.table = self.tok.model, byte_level_table()
-        self.space = self.table[32]
+        self.model, self.chars = self.tok.model, byte_level_chars()
+        self.space = self.chars[32]
         self.marks: dict[str, bytes] = {}
 
     @staticmethod
@@ -90,7 +106,9 @@ class WordEncoder:
         tail = text[len(body) :]
         # printable: no white space but plain spaces, nothing that is no character
         odd = not body.replace("\n", "").isprintable()
-        if odd or "  " in body or " \n" in body or "\n " in body or "\n\n" in body or body[:1] == "\n":
+        spaced = body.replace("\n", " \n")
+        # white space beside white space shows as two spaces, or a newline before a space
+        if odd or "  " in spaced or "\n " in spaced or body[:1] == "\n":
             cut = body.split(" ")
             whole = [cut[0]]
             for part in cut[1:]:
@@ -101,42 +119,49 @@ class WordEncoder:
             # the end of an odd text may be white space that belongs to the tail
             whole[-1] += tail
             return ["\0" + w for w in whole]
-        keys = body.replace("\n", " \n").split(" ")
+        keys = spaced.split(" ")
         keys[0] = "\0" + keys[0]
         if tail:
             keys.append("\0" + tail)
         return keys
 
+    def _run(self, word: str) -> bytes:
+        """Ids of a new letter run after a space."""
+        if word.isascii():
+            return token_ids(self.model, self.space + word)
+        return model_ids(self.model, self.chars, " " + word)
+
     def _word(self, word: str) -> bytes:
         """Ids of a letter run after a space; its key is the run itself."""
-        got = self.known.get(word) or self.older.get(word)
+        got = self.known.get(word)
         if got is None:
-            if word.isascii():
-                got = array("I", [t.id for t in self.model.tokenize(self.space + word)]).tobytes()
-            else:
-                got = model_ids(self.model, self.table, " " + word)
-        self.known[word] = got
+            got = self.known[word] = self.older.get(word) or self._run(word)
         return got
 
     def _marks(self, marks: str) -> bytes:
         if (ids := self.marks.get(marks)) is None:
-            ids = self.marks[marks] = model_ids(self.model, self.table, marks) if marks else b""
+            ids = self.marks[marks] = model_ids(self.model, self.chars, marks) if marks else b""
         return ids
 
     def _learn(self, key: str) -> bytes:
         """Ids of a new piece: a plain one by its two pre-tokens, others whole."""
-        if key in self.older:
-            return self.older[key]
-        word = key.rstrip(_MARKS)
-        if word.isascii() and word.isalpha():
-            return self._word(word) + self._marks(key[len(word) :])
+        if (ids := self.older.get(key)) is not None:
+            return ids
+        if key.isascii():
+            if key.isalpha():
+                return self._run(key)
+            word = key.rstrip(_MARKS)
+            if word.isalpha():
+                return self._word(word) + self._marks(key[len(word) :])
         m = _PLAIN.fullmatch(key)
         if m is None:
             text = key[1:] if key[:1] == "\0" else key if key[:1] == "\n" else " " + key
             return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
         newline, word, marks = m.groups()
         if newline:
-            ids = model_ids(self.model, self.table, newline) + model_ids(self.model, self.table, word)
+            ids = model_ids(self.model, self.chars, newline) + model_ids(self.model, self.chars, word)
+        elif not marks:
+            return self._run(word)
         else:
             ids = self._word(word)
         return ids + self._marks(marks)

@@ -97,27 +97,27 @@ def compress(ids: np.ndarray, base: int, min_count: int) -> tuple[np.ndarray, np
             break
         # many places find their pair in a table by hash; of two pairs in one place of
         # it the earlier waits a round
-        waiting = at[:0]
         if len(at) > 1 << 14:
             table = np.full(1 << _TABLE_BITS, -1, dtype=np.int32)
             table[_place(keys)] = np.arange(len(keys), dtype=np.int32)
             which = table.take(_place(pair))
             found = np.flatnonzero(which >= 0)
-            at, which = at.take(found), which.take(found)
-            exact = keys.take(which) == pair.take(found)
-            waiting = at[~exact]
+            seen, which = at.take(found), which.take(found)
+            exact = np.flatnonzero(keys.take(which) == pair.take(found))
+            at, which = seen.take(exact), which.take(exact)
         else:
             which = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
-            exact = keys[which] == pair
-        exact = np.flatnonzero(exact)
-        at, which = at.take(exact), which.take(exact)
-        taken = _chosen(at, counts.take(which))
-        used = np.bincount(which[taken], minlength=len(keys))
-        taken &= used[which] >= 2
-        hits, which = at[taken], which[taken]
+            exact = np.flatnonzero(keys.take(which) == pair)
+            seen = at = at.take(exact)
+            which = which.take(exact)
+        taken = np.flatnonzero(_chosen(at, counts.take(which)))
+        which = which.take(taken)
+        used = np.bincount(which, minlength=len(keys))
+        twice = np.flatnonzero(used.take(which) >= 2)
+        hits, which = at.take(taken.take(twice)), which.take(twice)
         if not len(hits):
             break
-        live = np.flatnonzero(np.bincount(which, minlength=len(keys)))
+        live = np.flatnonzero(used >= 2)
         symbol = np.zeros(len(keys), dtype=x.dtype)
         symbol[live] = top + np.arange(len(live))
         first, second = keys[live] >> 32, keys[live] & 0xFFFFFFFF
@@ -128,12 +128,18 @@ def compress(ids: np.ndarray, base: int, min_count: int) -> tuple[np.ndarray, np
         x[hits] = symbol.take(which)
         stays = np.ones(len(x), dtype=bool)
         stays[hits + 1] = False
-        again = np.zeros(len(x), dtype=bool)  # places to count: passed over, or beside a new symbol
-        again[at[~taken]] = again[waiting] = again[hits] = True
-        again[hits[hits > 0] - 1] = True
-        stays = np.flatnonzero(stays)
-        x, again = x.take(stays), again.take(stays)
-        at = np.flatnonzero(again[:-1] & (x[:-1] != END_ID) & (x[1:] != END_ID))
+        # places to count: passed over, or beside a new symbol
+        again = np.concatenate([seen, hits[hits > 0] - 1])
+        if len(again) > 1 << 14:
+            marked = np.zeros(len(x), dtype=bool)
+            marked[again] = True
+            stays = np.flatnonzero(stays)
+            x, at = x.take(stays), np.flatnonzero(marked.take(stays))
+        else:
+            again = np.unique(again[stays[again]])
+            x, at = x.take(np.flatnonzero(stays)), again - np.searchsorted(hits, again)
+        at = at[: np.searchsorted(at, len(x) - 1)]
+        at = at.take(np.flatnonzero((x.take(at) != END_ID) & (x.take(at + 1) != END_ID)))
     none = np.zeros((0, 2), dtype=np.int64)
     return (
         np.concatenate(rules) if rules else none,

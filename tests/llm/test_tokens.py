@@ -280,3 +280,23 @@ def test_whole_shard_is_decoded_without_a_list_of_symbols():
     shard = repair.Shard({"base": 1000, **planes})
     assert len(rules) and shard.ids(0, len(ids)) == ids.tobytes()
     assert shard.ids(59_990, len(ids)) == ids[59_990:].tobytes() and shard.ids(7, 7) == b""
+
+
+def test_letters_beyond_ascii_are_learned_by_one_table(byte_tok):
+    chars = encode.byte_level_chars()
+    assert {b: c for b, c in enumerate(chars)} == encode.byte_level_table()
+    for word in (" Zürich", " naïve", "ÿÀö", " 漢字", "!?"):
+        got = np.frombuffer(encode.model_ids(byte_tok.model, chars, word), dtype="<u4").tolist()
+        assert got == library_ids(byte_tok, word)
+
+
+def test_rounds_of_many_and_of_few_places_expand_to_the_ids():
+    rng = np.random.default_rng(9)
+    for n, kinds, min_count in ((40_000, 6, 2), (40_000, 40, 12), (3_000, 3, 2), (16_385, 2, 2), (5, 1, 2), (2, 2, 2)):
+        ids = rng.integers(0, kinds, n).astype("<u4")
+        rules, lengths, body = repair.compress(ids, 100, min_count)
+        grown = {i: [i] for i in range(100)}
+        for symbol, (left, right) in enumerate(rules.tolist(), 100):
+            grown[symbol] = grown[left] + grown[right]
+        assert [i for symbol in body.tolist() for i in grown[symbol]] == ids.tolist()
+        assert lengths.tolist() == [len(grown[100 + k]) for k in range(len(rules))]
