@@ -71,13 +71,17 @@ def model_ids(model, chars: str, word: str) -> bytes:
 
 
 class _Memory(dict):
-    """Ids by piece; a piece that is not there is learned when it is asked for."""
+    """Ids by piece; a piece that is not there is taken from the older memory, or
+    learned, when it is asked for."""
 
-    def __init__(self, learn: Callable[[str], bytes]):
-        self.learn = learn
+    def __init__(self, learn: Callable[[str], bytes], older: dict[str, bytes]):
+        self.learn, self.older = learn, older
 
     def __missing__(self, key: str) -> bytes:
-        ids = self[key] = self.learn(key)
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.learn(key)
+        self[key] = ids
         return ids
 
 
@@ -92,8 +96,7 @@ class WordEncoder:
     def __init__(self, path: str, max_words: int = 500_000):
         self.tok = load_tokenizer(path)
         self.max_words = max_words
-        self.known: dict[str, bytes] = _Memory(self._learn)
-        self.older: dict[str, bytes] = {}  # the memory before the last change of memories
+        self.known = _Memory(self._learn, {})  # its older one: before the last change of memories
         self.model, self.chars = self.tok.model, byte_level_chars()
         self.space = self.chars[32]
         self.marks: dict[str, bytes] = {}
@@ -135,7 +138,7 @@ class WordEncoder:
         """Ids of a letter run after a space; its key is the run itself."""
         got = self.known.get(word)
         if got is None:
-            got = self.known[word] = self.older.get(word) or self._run(word)
+            got = self.known[word] = self.known.older.get(word) or self._run(word)
         return got
 
     def _marks(self, marks: str) -> bytes:
@@ -145,8 +148,6 @@ class WordEncoder:
 
     def _learn(self, key: str) -> bytes:
         """Ids of a new piece: a plain one by its two pre-tokens, others whole."""
-        if (ids := self.older.get(key)) is not None:
-            return ids
         if key.isascii():
             if key.isalpha():
                 return self._run(key)
@@ -168,7 +169,8 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.max_words:
-            self.known, self.older, self.marks = _Memory(self._learn), self.known, {}
+            self.known, self.marks = _Memory(self._learn, self.known), {}
+            self.known.older.older = {}
         ids_of = self.known.__getitem__
         return [b"".join(map(ids_of, self.pieces(t))) for t in texts]
 

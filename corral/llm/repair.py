@@ -156,16 +156,19 @@ class Shard:
         self.body = from_planes(row["body"]).astype(np.int64)
         lengths = from_planes(row["lengths"]).astype(np.int64)
         rules = from_planes(row["rules"]).reshape(-1, 2)
-        table: dict[int, bytes] = {i: i.to_bytes(4, "little") for i in rules[rules < base].tolist()}
+        plain = np.unique(rules[rules < base])
+        data = plain.tobytes()
+        table: dict[int, bytes] = {i: data[4 * k : 4 * k + 4] for k, i in enumerate(plain.tolist())}
         for symbol, (left, right) in enumerate(rules.tolist(), base):
             table[symbol] = table[left] + table[right]
         grown = b"".join([table[symbol] for symbol in range(base, base + len(rules))])
         # every id, then what each nonterminal expands to; where a symbol's ids begin there
         self._ids = np.concatenate([np.arange(base, dtype="<u4"), np.frombuffer(grown, dtype="<u4")])
         at = np.concatenate([np.arange(base), base + np.cumsum(lengths) - lengths])
-        size = np.concatenate([np.ones(base, dtype=np.int64), lengths])[self.body]
-        self.starts = np.concatenate([[0], np.cumsum(size)])  # of each body symbol, in ids
-        self._shift = at[self.body] - self.starts[:-1]
+        size = np.concatenate([np.ones(base, dtype=np.int64), lengths]).take(self.body)
+        self.starts = np.zeros(len(size) + 1, dtype=np.int64)  # of each body symbol, in ids
+        np.cumsum(size, out=self.starts[1:])
+        self._shift = at.take(self.body) - self.starts[:-1]
 
     def ids(self, start: int, stop: int) -> bytes:
         """Ids ``start`` to ``stop`` of the shard (unsigned 32-bit, little-endian),
@@ -175,7 +178,9 @@ class Shard:
         first = int(np.searchsorted(self.starts, start, side="right")) - 1
         last = int(np.searchsorted(self.starts, stop, side="left"))
         edges = np.clip(self.starts[first : last + 1], start, stop)
-        return self._ids[np.repeat(self._shift[first:last], np.diff(edges)) + np.arange(edges[0], edges[-1])].tobytes()
+        places = np.repeat(self._shift[first:last], np.diff(edges))
+        places += np.arange(edges[0], edges[-1])
+        return self._ids.take(places).tobytes()
 
 
 def write_token_store(
