@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,11 +72,39 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in fields])
 
 
+_MEMORIES: list[dict] = []
+_last_step = ""
+
+
+def kept_between_tasks() -> dict:
+    """An empty memory that a worker keeps for the next task of the same step."""
+    _MEMORIES.append({})
+    return _MEMORIES[-1]
+
+
+def begin_task(step: str) -> None:
+    """A Python worker outlives its task.  At the first task of another step, what
+    earlier steps remember is dropped, and memory that is free goes back to the system:
+    it would stay beside what this step needs, and beside the JVM's."""
+    global _last_step
+    if step == _last_step:
+        return
+    _last_step = step
+    for memory in _MEMORIES:
+        memory.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError, TypeError):  # what only glibc has
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], ddl: str) -> DataFrame:
     """``mapInArrow`` with ``fn`` yielding one dict of column lists per output batch."""
     schema = arrow_schema(ddl)
+    step = fn.__module__
 
     def run(batches):
+        begin_task(step)
         for columns in fn(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema
@@ -102,8 +133,10 @@ def text_batches(batches: Iterator[pa.RecordBatch], max_chars: int = 4_000_000)
 def filter_texts(docs: DataFrame, keep: Callable[[list[str]], list[bool]]) -> DataFrame:
     """The rows of ``docs`` whose text (null: empty) ``keep`` accepts, all columns
     as they are; one pass, texts in bounded lists."""
+    step = keep.__module__
 
     def run(batches):
+        begin_task(step)
         for batch in batches:
             column = batch.column("text")
             mask: list[bool] = []

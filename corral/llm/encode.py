@@ -11,13 +11,13 @@ where the rule holds.
 from __future__ import annotations
 
 import codecs
-import gc
 import os
 import re
 from array import array
 from collections.abc import Callable
 from operator import attrgetter
 
+from corral.llm.common import kept_between_tasks
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -175,7 +175,7 @@ class WordEncoder:
         return [b"".join(map(ids_of, self.pieces(t))) for t in texts]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[str, WordEncoder] = kept_between_tasks()
 
 
 def word_encoder(path: str) -> WordEncoder:
@@ -183,11 +183,3 @@ def word_encoder(path: str) -> WordEncoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]
-
-
-def forget_encoders() -> None:
-    """Drop what the worker's encoders remember: a worker outlives its task, and another
-    operator needs the memory."""
-    if _ENCODERS:
-        _ENCODERS.clear()
-        gc.collect()  # an encoder and its memory know each other

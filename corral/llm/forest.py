@@ -11,10 +11,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corral.llm.common import map_batches, staged, text_batches, texts_of
+from corral.llm.common import kept_between_tasks, map_batches, staged, text_batches, texts_of
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
-_WORDS: dict[str, int] = {}
+_WORDS: dict[str, int] = kept_between_tasks()
 
 
 def words_of(text: str) -> list[str]:

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corral.llm.common import map_batches, text_batches, texts_of
-from corral.llm.encode import forget_encoders
 from corral.llm.labelled import id_remainder, labelled_sample
 
 _WORD = re.compile(r"[^\W_]+")
@@ -144,7 +143,6 @@ def as_tasks(spark: SparkSession) -> FoldRunner:
 
     def run(score: Callable[[float, int], np.ndarray], jobs: list[tuple[float, int]]) -> list[np.ndarray]:
         def one(batches):
-            forget_encoders()  # of an earlier step in this worker
             for batch in batches:
                 done = batch.column("id").to_pylist()
                 yield {"job": done, "scores": [score(*jobs[i]).astype("<f8").tobytes() for i in done]}

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corral.llm import common, encode, imatch, labelled, quality, secrets, toxicity
+from corral.llm import common, encode, forest, imatch, labelled, lengths, quality, secrets, toxicity
 
 SF = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, n_chars string"
@@ -390,3 +390,17 @@ def test_training_tasks_drop_the_encoders_of_their_worker(spark):
     common.map_batches(spark.range(0, 8, 1, 4), encode_then, "id long").collect()
     left = toxicity.as_tasks(spark)(score, [(1.0, i) for i in range(8)])
     assert [x.tolist() for x in left] == [[0.0]] * 8
+
+
+def test_a_step_finds_nothing_of_another_in_its_workers(spark):
+    """Words and pieces that earlier steps remember would stay beside its own memory."""
+    docs = spark.range(0, 8, 1, 4).select(F.col("id").alias("doc_id"), F.lit("some words to remember").alias("text"))
+
+    def left(batches):
+        for batch in batches:
+            yield {"id": batch.column("id").to_pylist(), "n": [len(forest._WORDS) + len(encode._ENCODERS)] * batch.num_rows}
+
+    forest.sketch(docs, 5, 4, 2, 11).collect()
+    lengths.token_counts(docs, encode.tokenizer_path(encode.BYTE_BPE)).collect()
+    rows = common.map_batches(spark.range(0, 8, 1, 4), left, "id long, n long").collect()
+    assert [r.n for r in rows] == [0] * 8
