@@ -14,9 +14,13 @@ import codecs
 import os
 import re
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from operator import attrgetter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from corral.llm.common import kept_between_tasks
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -102,16 +106,25 @@ class WordEncoder:
         self.marks: dict[str, bytes] = {}
 
     @staticmethod
-    def pieces(text: str) -> list[str]:
-        """Keys of the pieces of ``text``: ``\\0`` + piece, a piece that starts
-        with a newline, or the rest of a piece that starts with a space."""
+    def _spaced(text: str) -> tuple[str, str] | None:
+        """``text`` up to its tail, so that a split at spaces gives its keys, and the tail;
+        None for a text with other white space."""
         body = text.rstrip(" \n")
-        tail = text[len(body) :]
         # printable: no white space but plain spaces, nothing that is no character
         odd = not body.replace("\n", "").isprintable()
         spaced = body.replace("\n", " \n")
         # white space beside white space shows as two spaces, or a newline before a space
         if odd or "  " in spaced or "\n " in spaced or body[:1] == "\n":
+            return None
+        return "\0" + spaced, text[len(body) :]
+
+    @classmethod
+    def pieces(cls, text: str) -> list[str]:
+        """Keys of the pieces of ``text``: ``\\0`` + piece, a piece that starts
+        with a newline, or the rest of a piece that starts with a space."""
+        plain = cls._spaced(text)
+        if plain is None:
+            body = text.rstrip(" \n")
             cut = body.split(" ")
             whole = [cut[0]]
             for part in cut[1:]:
@@ -120,10 +133,10 @@ class WordEncoder:
                 else:
                     whole[-1] += " " + part
             # the end of an odd text may be white space that belongs to the tail
-            whole[-1] += tail
+            whole[-1] += text[len(body) :]
             return ["\0" + w for w in whole]
+        spaced, tail = plain
         keys = spaced.split(" ")
-        keys[0] = "\0" + keys[0]
         if tail:
             keys.append("\0" + tail)
         return keys
@@ -172,7 +185,44 @@ class WordEncoder:
             self.known, self.marks = _Memory(self._learn, self.known), {}
             self.known.older.older = {}
         ids_of = self.known.__getitem__
-        return [b"".join(map(ids_of, self.pieces(t))) for t in texts]
+        plain = [self._spaced(t) for t in texts]
+        tails = [p and p[1] for p in plain]
+        found = self._joined(pa.array([p[0] for p in plain if p], pa.large_string()))
+        del plain
+        out = []
+        for text, tail in zip(texts, tails):
+            if tail is None:
+                out.append(b"".join(map(ids_of, self.pieces(text))))
+            else:
+                out.append(next(found) + ids_of("\0" + tail) if tail else next(found))
+        return out
+
+    def _joined(self, spaced: pa.Array, keys: int = 8192) -> Iterator[bytes]:
+        """Ids of texts with their keys between spaces.  A key of several places is looked
+        up once; ids are gathered for about ``keys`` places (one text at least) at a time."""
+        if not len(spaced):
+            return
+        lists = pc.split_pattern(spaced, " ")
+        codes = lists.flatten().dictionary_encode()
+        known = [self.known[key] for key in codes.dictionary.to_numpy(zero_copy_only=False)]
+        size = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        ids = np.frombuffer(b"".join(known), dtype="<u4")
+        del known
+        start = np.cumsum(size) - size
+        which, cuts = codes.indices.to_numpy(), lists.offsets.to_numpy()
+        first = 0
+        while first < len(spaced):
+            last = max(first + 1, int(np.searchsorted(cuts, cuts[first] + keys, side="right")) - 1)
+            own = which[cuts[first] : cuts[last]]
+            n = size.take(own)
+            ends = np.cumsum(n)
+            places = np.repeat(start.take(own) - ends + n, n)
+            places += np.arange(len(places))
+            data = ids.take(places).tobytes()
+            edges = 4 * np.concatenate([[0], ends]).take(cuts[first : last + 1] - cuts[first])
+            for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                yield data[i:j]
+            first = last
 
 
 _ENCODERS: dict[str, WordEncoder] = kept_between_tasks()

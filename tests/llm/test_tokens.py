@@ -300,3 +300,20 @@ def test_rounds_of_many_and_of_few_places_expand_to_the_ids():
             grown[symbol] = grown[left] + grown[right]
         assert [i for symbol in body.tolist() for i in grown[symbol]] == ids.tolist()
         assert lengths.tolist() == [len(grown[100 + k]) for k in range(len(rules))]
+
+
+def test_a_key_of_many_places_is_looked_up_once(byte_tok):
+    asked = []
+
+    class Noted(encode._Memory):
+        def __getitem__(self, key):
+            asked.append(key)
+            return super().__getitem__(key)
+
+    enc = encode.WordEncoder(encode.tokenizer_path(encode.BYTE_BPE))
+    enc.known = Noted(enc._learn, {})
+    texts = ["alpha beta alpha.\nbeta ", "beta alpha", "", "an odd\ttext  here", " ", "x" * 50 + " beta\n"]
+    want = [np.array(library_ids(byte_tok, t), dtype="<u4").tobytes() for t in texts]
+    assert enc.encode(texts * 3000) == want * 3000
+    assert asked.count("beta") == asked.count("alpha") == 1
+    assert enc.encode([]) == [] and enc.encode(["", "\t"]) == [b"", np.array(library_ids(byte_tok, "\t"), dtype="<u4").tobytes()]
