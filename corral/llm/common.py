@@ -33,6 +33,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts_of(table(spark, sf_dir, "documents"))
 
 
+def in_files(df: DataFrame, rows: int, rows_a_file: int = 50_000, least: int = 8) -> DataFrame:
+    """``df``, to be written as at most ``least`` files, or as many as ``rows`` rows need.
+
+    Every file costs its task several calls to the file system, and on a local one
+    Hadoop starts a process for each; rounds over few rows else write a file for each
+    shuffle partition.  Partitions are taken one after the other, so a task holds no
+    more than one of them, and only their number depends on ``rows``."""
+    return df.coalesce(max(least, -(-rows // rows_a_file)))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder of the shared scratch root and read it back:
     cuts the lineage with files that survive lost executors."""

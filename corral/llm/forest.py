@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corral.llm.common import kept_between_tasks, map_batches, staged, text_batches, texts_of
+from corral.llm.common import in_files, kept_between_tasks, map_batches, staged, text_batches, texts_of
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _WORDS: dict[str, int] = kept_between_tasks()
@@ -227,12 +227,15 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     """``(node, root)``: smallest node of every connected component of ``(a, b)``.
 
     Rounds of hooking to the smallest neighbouring root and of jumping to the
-    root's root; every round is written to shared storage.  Only the count of
-    changed nodes reaches the driver.
+    root's root; every round is written to shared storage, in as many files as
+    the edges need.  Only counts of edges and of changed nodes reach the driver.
+    ``edges`` is read twice, once to count.
     """
+    rows = 2 * edges.count()  # no round has more
     both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = staged(both.where("a <> b").distinct(), name)
-    labels = staged(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")), name)
+    both = staged(in_files(both.where("a <> b").distinct(), rows), name)
+    labels = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root"))
+    labels = staged(in_files(labels, rows), name)
     while True:
         seen = both.join(labels.select(F.col("node").alias("b"), "root"), "b")
         nearest = seen.groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
@@ -241,7 +244,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         under = hooked.groupBy(F.col("old").alias("root_")).agg(F.min("new").alias("best"))
         joined = hooked.join(under, F.col("new") == F.col("root_"), "left")
         new = joined.select("node", F.least("new", F.coalesce("best", "new")).alias("root"), "old")
-        new = staged(new, name)
+        new = staged(in_files(new, rows), name)
         labels = new.select("node", "root")
         if not new.where("root <> old").limit(1).count():
             return labels
@@ -405,7 +408,10 @@ def _joined(
     )
     pairs_at = prefix_pairs(leaves, max(1, longest - 3), longest)
     depths = forest_depths(pairs_at, threshold, trees, longest, target_recall)
-    found = staged(_candidates(leaves, depths, hot, threshold).distinct(), "forest_candidates")
+    n_docs = sketched.count()
+    # about as many candidates as leaves, at most half of ``hot`` for each
+    found = _candidates(leaves, depths, hot, threshold).distinct()
+    found = staged(in_files(found, n_docs * trees), "forest_candidates")
 
     large = found.where("hot").select("a", "b")
     groups = components(large, "forest_groups").select(F.col("node").alias("class_id"), F.col("root").alias("grp"))
@@ -419,14 +425,15 @@ def _joined(
         .where("ga is null or gb is null or ga <> gb")
         .select("a", "b")
     )
-    pairs = staged(pairs, "forest_pairs")
+    pairs = staged(in_files(pairs, found.count()), "forest_pairs")
+    n_pairs = pairs.count()
 
     wanted = pairs.select(F.col("a").alias("class_id")).unionAll(pairs.select("b")).unionAll(groups.select("class_id")).distinct()
     # the text of one document stands for its class
     one = named.groupBy("class_id").agg(F.min(F.struct("doc_id", "text_key")).alias("one")).select("class_id", "one.*")
     keyed = _class_texts(rows, wanted.join(one, "class_id"), shingle_words)
-    texts = staged(keyed, "forest_texts")
-    links = staged(_verify_pairs(pairs, texts, shingle_words, threshold), "forest_links")
+    texts = staged(in_files(keyed, min(n_docs, 2 * n_pairs + groups.count()), 2_000), "forest_texts")
+    links = staged(in_files(_verify_pairs(pairs, texts, shingle_words, threshold), n_pairs, 2_000), "forest_links")
     blocks = staged(_verify_blocks(groups, texts, shingle_words, threshold, block), "forest_blocks")
 
     edges = links.select("a", "b").unionAll(blocks.select(F.col("class_id").alias("a"), F.col("reach").alias("b")))
@@ -482,7 +489,9 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of every group of near copies: the one with the
     group's smallest id (of texts that share it: with the smallest hash).  A null id
     comes after all others, so a group of null ids keeps one document, too."""
-    members = staged(_joined(texts_of(docs))[0].select("doc_id", "text_key", "root"), "forest_membership")
+    n_docs = docs.count()
+    members = _joined(texts_of(docs))[0].select("doc_id", "text_key", "root")
+    members = staged(in_files(members, n_docs), "forest_membership")
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
     keep = members.groupBy("root").agg(F.min_by(F.struct("doc_id", "text_key"), first).alias("one")).select("one.*")
     # the row travels whole, so columns of any name stay as they are
@@ -493,4 +502,4 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     kept = left.join(keep, same, "left_semi")
     if members.groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count():
         kept = kept.dropDuplicates(["own_id", "own_key"])
-    return kept.select("row.*")
+    return in_files(kept.select("row.*"), n_docs, 2_000)

@@ -1,12 +1,14 @@
 """Similarity join and nearest neighbours against brute force."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corral.llm import forest, mih
+from corral.llm import common, forest, mih
+from corral.session import session_setting
 
 
 def near(rng, words, share):
@@ -156,6 +158,31 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 103: 100}
 
 
+@pytest.mark.parametrize("step", ["components", "keep_one_of_each"])
+def test_rounds_over_few_rows_write_few_files(spark, tmp_dir, monkeypatch, step):
+    folders = []
+
+    def location(_, name):
+        folders.append(Path(tmp_dir, f"{name}-{len(folders)}"))
+        return str(folders[-1])
+
+    monkeypatch.setattr(common, "scratch_location", location)
+    names = ("spark.sql.shuffle.partitions", "40"), ("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    with session_setting(spark, *names[0]), session_setting(spark, *names[1]):
+        if step == "components":
+            edges = spark.range(200).selectExpr("id as a", "id - id % 2 as b")
+            got = forest.components(edges, "t")
+            assert {(r.node, r.root) for r in got.collect()} == {(i, i - i % 2) for i in range(200)}
+        else:
+            texts = [" ".join(f"w{i}x{j}" for j in range(30)) + (" end" if k else "") for i in range(50) for k in range(2)]
+            docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+            got = forest.keep_one_of_each(docs.coalesce(4))
+            assert sorted(r.doc_id for r in got.collect()) == list(range(0, 100, 2))
+            assert got.rdd.getNumPartitions() <= 8
+    files = {f.name: len(list(f.glob("part-*"))) for f in folders}
+    assert files and max(n for name, n in files.items() if "forest_blocks" not in name) <= 8
+
+
 def vectors():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(900, 32)).astype(np.float32)
